@@ -31,9 +31,10 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset) if subset else None)
 
 
-def duplicated_ids(df: DataFrame, id_col: str) -> DataFrame:
+def duplicated_ids(df: DataFrame, id_cols: str | Sequence[str]) -> DataFrame:
     """Ids that occur more than once, with their counts."""
-    return (df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    return (df.groupBy(*ids).agg(F.count(F.lit(1)).alias("n_rows"))
               .where(F.col("n_rows") > 1))
 
 

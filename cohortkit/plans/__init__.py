@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_grades"]
+MODULES = ["q_grades", "q_clean", "q_linkage"]
 
 
 def load_all():
