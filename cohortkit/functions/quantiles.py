@@ -54,15 +54,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
     """Return ``(group_cols..., prob, quantile)``; nulls and NaN are ignored.
     Groups without values produce no rows."""
-    group_cols = list(group_cols)
-    no_groups = not group_cols
-    if no_groups:  # a constant key keeps every join an equi-join
-        df = df.withColumn("__g", F.lit(0))
-        group_cols = ["__g"]
-    base = (df.select(*group_cols, F.col(value_col).cast("double").alias("__v"))
+    user_groups = list(group_cols)
+    # one non-null text key per group (null group values are groups too);
+    # a constant key when there are no groups keeps every join an equi-join
+    gk = F.to_json(F.struct(*[F.col(c) for c in user_groups])) if user_groups else F.lit("")
+    group_cols = ["__gk"]
+    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
               .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    counts = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    tg = _targets(counts, group_cols, probs, method)
+    counts = (df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v"))
+                .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+                .groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in user_groups]))
+    tg = _targets(counts, ["__gk", *user_groups], probs, method)
     ranks = (tg.select(*group_cols, F.col("__klo").alias("__k"))
                .unionByName(tg.select(*group_cols, F.col("__khi").alias("__k"))).distinct())
     # state: target rank k of a group; candidates are values in (lo, hi];
@@ -116,11 +118,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     vals = single.unionByName(picked)
     lo = vals.withColumnRenamed("__k", "__klo").withColumnRenamed("__val", "__vlo")
     hi = vals.withColumnRenamed("__k", "__khi").withColumnRenamed("__val", "__vhi")
-    res = (tg.join(lo, on=[*group_cols, "__klo"], how="left")
-             .join(hi, on=[*group_cols, "__khi"], how="left")
-             .select(*group_cols, "prob",
+    res = (tg.join(lo, on=["__gk", "__klo"], how="left")
+             .join(hi, on=["__gk", "__khi"], how="left")
+             .select(*user_groups, "prob",
                      (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("quantile")))
-    return res.drop("__g") if no_groups else res
+    return res
 
 
 def quantile_columns(df: DataFrame, value_col: str, probs: dict[str, float],
@@ -130,5 +132,5 @@ def quantile_columns(df: DataFrame, value_col: str, probs: dict[str, float],
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name)
             for name, p in probs.items()]
     if group_cols:
-        return q.groupBy(*group_cols).agg(*aggs)
+        return q.groupBy(*group_cols).agg(*aggs)  # groupBy keeps null keys as groups
     return q.agg(*aggs)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
+from .joins import null_safe_join
 
 _BLOCK = "__blk"
 
@@ -94,7 +95,7 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     off = tot.select(*group_cols, _BLOCK,
                      *[F.coalesce(F.sum(f"__tot_{out}").over(wb), F.lit(0.0)).alias(f"__off_{out}")
                        for out in sums])
-    d = d.join(broadcast_if_small(off), on=[*group_cols, _BLOCK], how="left")
+    d = null_safe_join(d, broadcast_if_small(off), [*group_cols, _BLOCK], "left")
     for out in sums:
         d = d.withColumn(out, F.col(f"__loc_{out}") + F.coalesce(F.col(f"__off_{out}"), F.lit(0.0)))
     drop = [_BLOCK] + [f"__{p}_{o}" for o in sums for p in ("val", "loc", "off")]
@@ -120,7 +121,7 @@ def lag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
     last = d.groupBy(*group_cols, _BLOCK).agg(F.max_by(value_col, key).alias("__last"))
     wb = Window.partitionBy(*group_cols).orderBy(_BLOCK)
     prev = last.select(*group_cols, _BLOCK, F.lag("__last", 1).over(wb).alias("__prev"))
-    d = d.join(broadcast_if_small(prev), on=[*group_cols, _BLOCK], how="left")
+    d = null_safe_join(d, broadcast_if_small(prev), [*group_cols, _BLOCK], "left")
     d = d.withColumn(out, F.when(F.col("__rnb") == 1, F.col("__prev")).otherwise(F.col("__lag")))
     return d.drop(_BLOCK, "__lag", "__rnb", "__prev")
 

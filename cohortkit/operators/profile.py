@@ -1,7 +1,7 @@
 """Profiling and aggregation.
 
 Plan rule: many columns are profiled in one pass by unpivoting to
-``(column, value)`` and grouping once, never one job per column.  Exact
+``(variable, value)`` and grouping once, never one job per column.  Exact
 quantiles go through the narrowing search in ``functions.quantiles``.
 """
 
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions import windows as Wn
+from ..functions.joins import null_safe_join
 from ..functions.quantiles import exact_quantiles, quantile_columns
+from ..session import broadcast_if_small
 
 NUMERIC_KINDS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -37,11 +39,11 @@ def kind_of(dtype: str) -> str:
 
 def long_values(df: DataFrame, cols: Sequence[str], key_cols: Sequence[str] = (),
                 as_double: bool = False) -> DataFrame:
-    """Unpivot ``cols`` to ``(key..., column, value)``; values are cast to
+    """Unpivot ``cols`` to ``(key..., variable, value)``; values are cast to
     string (or double) so heterogeneous columns share one value column."""
     t = "double" if as_double else "string"
     d = df.select(*key_cols, *[F.col(c).cast(t).alias(c) for c in cols])
-    return d.unpivot(list(key_cols) if key_cols else [], list(cols), "column", "value")
+    return d.unpivot(list(key_cols) if key_cols else [], list(cols), "variable", "value")
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -62,29 +64,29 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, null_is_val
 
     ``null_is_value=True`` counts null as one more distinct value when present
     (polars ``n_unique``, N3); ``False`` ignores it (pandas ``nunique``, N4).
-    One unpivot, one ``groupBy(column, value)`` (partial aggregation collapses
+    One unpivot, one ``groupBy(variable, value)`` (partial aggregation collapses
     repeated values before the shuffle), one small ``groupBy(column)``.
     """
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
     lv = long_values(df, cols)
-    per_value = lv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    prof = per_value.groupBy("column").agg(
+    per_value = lv.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    prof = per_value.groupBy("variable").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
         F.count("value").alias("n_distinct_non_null"))
     unique = F.col("n_distinct_non_null") + (F.when(F.col("n_null") > 0, 1).otherwise(0) if null_is_value else F.lit(0))
     spark = df.sparkSession
-    tdf = spark.createDataFrame([(c, types[c]) for c in cols], "column string, dtype string")
-    return (prof.join(F.broadcast(tdf), on="column")
-                .select("column", "dtype", F.col("n_null").cast("long").alias("n_null"),
+    tdf = spark.createDataFrame([(c, types[c]) for c in cols], "variable string, dtype string")
+    return (prof.join(F.broadcast(tdf), on="variable")
+                .select("variable", "dtype", F.col("n_null").cast("long").alias("n_null"),
                         (F.col("n_null") * 100.0 / F.col("n_rows")).alias("null_pct"),
                         unique.cast("long").alias("n_unique")))
 
 
 def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A3: only the columns with missing values."""
-    return column_profile(df, cols).where(F.col("n_null") > 0).select("column", "n_null", "null_pct")
+    return column_profile(df, cols).where(F.col("n_null") > 0).select("variable", "n_null", "null_pct")
 
 
 def describe(df: DataFrame, cols: Sequence[str], flavour: str = "pandas", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -95,14 +97,14 @@ def describe(df: DataFrame, cols: Sequence[str], flavour: str = "pandas", group_
     """
     method = "linear" if flavour == "pandas" else "nearest"
     lv = long_values(df, cols, group_cols, as_double=True)
-    keys = [*group_cols, "column"]
+    keys = [*group_cols, "variable"]
     base = lv.groupBy(*keys).agg(
         F.count("value").alias("count"),
         F.count_if(F.col("value").isNull()).alias("null_count"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     q = quantile_columns(lv, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, keys, method)
-    return base.join(q, on=keys, how="left")
+    return null_safe_join(base, q, keys, "left")
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], top_n: int | None = None,
@@ -112,9 +114,9 @@ def value_counts(df: DataFrame, cols: Sequence[str], top_n: int | None = None,
     lv = long_values(df, cols)
     if dropna:
         lv = lv.where(F.col("value").isNotNull())
-    vc = lv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    vc = lv.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("count"))
     if top_n:
-        vc = Wn.top_n_per_group(vc, ["column"], [F.col("count").desc(), F.col("value").asc_nulls_first()], top_n, out="rank")
+        vc = Wn.top_n_per_group(vc, ["variable"], [F.col("count").desc(), F.col("value").asc_nulls_first()], top_n, out="rank")
     return vc
 
 
@@ -133,17 +135,17 @@ def imbalance(df: DataFrame, cols: Sequence[str], top: int = 3) -> DataFrame:
     """Largest level share per column (nulls ignored, as value_counts);
     the ``top`` most imbalanced columns."""
     vc = value_counts(df, cols, dropna=True)
-    sh = with_share(vc, group_cols=["column"])
-    mx = sh.groupBy("column").agg(F.max("share").alias("max_share"))
+    sh = with_share(vc, group_cols=["variable"])
+    mx = sh.groupBy("variable").agg(F.max("share").alias("max_share"))
     return Wn.top_n_per_group(mx.withColumn("__all", F.lit(1)), ["__all"],
-                              [F.col("max_share").desc(), F.col("column").asc()], top, out="rank").drop("__all")
+                              [F.col("max_share").desc(), F.col("variable").asc()], top, out="rank").drop("__all")
 
 
 def common_levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most and least common level per column (nulls ignored).  Order
     is count desc, value asc; most = first, least = last."""
     vc = value_counts(df, cols, dropna=True)
-    return vc.groupBy("column").agg(
+    return vc.groupBy("variable").agg(
         F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("most_common"),
         F.max(F.col("count")).alias("most_count"),
         F.max_by("value", F.struct(-F.col("count"), F.col("value"))).alias("least_common"),
@@ -187,33 +189,35 @@ def magnitude_distribution(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def table_summary(df: DataFrame, cols: Sequence[str] | None = None, examples: int = 5) -> tuple[DataFrame, DataFrame]:
     """Per column kind, non-null, null, min, max and the ``examples``
-    smallest distinct values; plus a long ``(column, level)`` table of all
+    smallest distinct values; plus a long ``(variable, level)`` table of all
     levels of the non-numeric columns (kept as rows, not one array)."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
     lv = long_values(df, cols)
-    per_value = lv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_value = lv.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
-    tdf = F.broadcast(spark.createDataFrame([(c, kind_of(types[c])) for c in cols], "column string, kind string"))
+    tdf = F.broadcast(spark.createDataFrame([(c, kind_of(types[c])) for c in cols], "variable string, kind string"))
     # min / max in the column's own type order: numeric by value, others as text
     num = [c for c in cols if _is_numeric(types[c])]
-    ex = Wn.top_n_per_group(per_value.where(F.col("value").isNotNull()).join(tdf, "column")
-                            .withColumn("__num", F.when(F.col("kind") == "numeric", F.col("value").cast("double"))),
-                            ["column"], [F.col("__num").asc(), F.col("value").asc()], examples, out="__r")
-    exa = ex.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("__r", "value"))).alias("__ex")) \
-            .select("column", F.transform("__ex", lambda s: s["value"]).alias("examples"))
-    agg = per_value.join(tdf, "column").groupBy("column", "kind").agg(
+    ex = Wn.top_n_per_group(per_value.where(F.col("value").isNotNull()).join(tdf, "variable")
+                            .withColumn("__num", F.when(F.col("kind") == "numeric", F.col("value").try_cast("double"))),
+                            ["variable"], [F.col("__num").asc(), F.col("value").asc()], examples, out="__r")
+    exa = ex.groupBy("variable").agg(F.sort_array(F.collect_list(F.struct("__r", "value"))).alias("__ex")) \
+            .select("variable", F.transform("__ex", lambda s: s["value"]).alias("examples"))
+    agg = per_value.join(tdf, "variable").groupBy("variable", "kind").agg(
         F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("non_null"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null"),
-        F.min_by("value", F.struct(F.col("value").cast("double"), F.col("value"))).alias("__nmin"),
-        F.max_by("value", F.struct(F.col("value").cast("double"), F.col("value"))).alias("__nmax"),
+        F.min_by("value", F.when(F.col("value").isNotNull(),
+                                 F.struct(F.col("value").try_cast("double"), F.col("value")))).alias("__nmin"),
+        F.max_by("value", F.when(F.col("value").isNotNull(),
+                                 F.struct(F.col("value").try_cast("double"), F.col("value")))).alias("__nmax"),
         F.min("value").alias("__smin"), F.max("value").alias("__smax"))
-    summary = agg.select("column", "kind", "non_null", "null",
+    summary = agg.select("variable", "kind", "non_null", "null",
                          F.when(F.col("kind") == "numeric", F.col("__nmin")).otherwise(F.col("__smin")).alias("min"),
                          F.when(F.col("kind") == "numeric", F.col("__nmax")).otherwise(F.col("__smax")).alias("max")) \
-                 .join(exa, "column", "left")
-    levels = per_value.join(tdf, "column").where((F.col("kind") != "numeric") & F.col("value").isNotNull()) \
-                      .select("column", F.col("value").alias("level"), F.col("n").alias("count"))
+                 .join(exa, "variable", "left")
+    levels = per_value.join(tdf, "variable").where((F.col("kind") != "numeric") & F.col("value").isNotNull()) \
+                      .select("variable", F.col("value").alias("level"), F.col("n").alias("count"))
     return summary, levels
 
 
@@ -221,12 +225,12 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
     """Per column Q1/Q3 (linear), fences, and count / % / min / max of
     the values outside them.  Quartiles are a small table joined back."""
     lv = long_values(df, cols, as_double=True).where(F.col("value").isNotNull())
-    q = quantile_columns(lv, "value", {"q1": 0.25, "q3": 0.75}, ["column"], "linear")
+    q = quantile_columns(lv, "value", {"q1": 0.25, "q3": 0.75}, ["variable"], "linear")
     q = q.withColumn("lower", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper", F.col("q3") + k * (F.col("q3") - F.col("q1")))
-    d = lv.join(F.broadcast(q), "column")
+    d = lv.join(broadcast_if_small(q), "variable")
     out = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    return d.groupBy("column", "q1", "q3", "lower", "upper").agg(
+    return d.groupBy("variable", "q1", "q3", "lower", "upper").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(out).alias("n_outliers"),
         F.min(F.when(out, F.col("value"))).alias("outlier_min"),
@@ -243,7 +247,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, group_cols: Se
     that value is binned with width 1 starting at its minimum.  Empty bins
     are not listed.
     """
-    keys = [*group_cols, "column"]
+    keys = [*group_cols, "variable"]
     lv = long_values(df, cols, group_cols, as_double=True).where(F.col("value").isNotNull())
     mm = lv.groupBy(*keys).agg(F.min("value").alias("__mn"), F.max("value").alias("__mx"))
     rng = F.col("__mx") - F.col("__mn")
@@ -252,7 +256,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, group_cols: Se
            .withColumn("__nb", F.when(F.col("__unit"), F.floor(rng).cast("int") + 1).otherwise(F.lit(bins))) \
            .withColumn("__w", F.when(F.col("__unit"), F.lit(1.0))
                        .when(rng > 0, rng / bins).otherwise(F.lit(1.0)))
-    d = lv.join(F.broadcast(mm), keys)
+    d = null_safe_join(lv, broadcast_if_small(mm), keys)
     b = F.least(F.floor((F.col("value") - F.col("__mn")) / F.col("__w")).cast("int"), F.col("__nb") - 1)
     h = d.groupBy(*keys, b.alias("bin"), "__mn", "__w").agg(F.count(F.lit(1)).alias("count"))
     return h.select(*keys, "bin", (F.col("__mn") + F.col("bin") * F.col("__w")).alias("lower"),
@@ -298,9 +302,9 @@ def kde_grid(df: DataFrame, col: str, points: int = 1000) -> tuple[DataFrame, Da
 def five_number_by_class(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Min, Q1, median, Q3, max per (target class, column)."""
     lv = long_values(df, cols, [target], as_double=True).where(F.col("value").isNotNull())
-    q = quantile_columns(lv, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [target, "column"], "linear")
-    mm = lv.groupBy(target, "column").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    return mm.join(q, [target, "column"])
+    q = quantile_columns(lv, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [target, "variable"], "linear")
+    mm = lv.groupBy(target, "variable").agg(F.min("value").alias("min"), F.max("value").alias("max"))
+    return null_safe_join(mm, q, [target, "variable"])
 
 
 def label_coverage(pairs: DataFrame, label_col: str, expected: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_grades", "q_clean", "q_linkage"]
+MODULES = ["q_grades", "q_clean", "q_linkage", "q_profile"]
 
 
 def load_all():
