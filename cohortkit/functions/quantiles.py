@@ -49,30 +49,17 @@ def _targets(counts: DataFrame, group_cols: list[str], probs: Sequence[float], m
     return out
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), method: str = "linear",
-                    cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
-    """Return ``(group_cols..., prob, quantile)``; nulls and NaN are ignored.
-    Groups without values produce no rows."""
-    user_groups = list(group_cols)
-    # one non-null text key per group (null group values are groups too);
-    # a constant key when there are no groups keeps every join an equi-join
-    gk = F.to_json(F.struct(*[F.col(c) for c in user_groups])) if user_groups else F.lit("")
+def _search(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds: int) -> DataFrame:
+    """Core narrowing search.  ``base``: ``(__gk, __v)`` non-null values;
+    ``ranks``: ``(__gk, __k)`` 0-based target ranks.  Returns
+    ``(__gk, __k, __val)``."""
     group_cols = ["__gk"]
-    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
-              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    counts = (df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v"))
-                .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-                .groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in user_groups]))
-    tg = _targets(counts, ["__gk", *user_groups], probs, method)
-    ranks = (tg.select(*group_cols, F.col("__klo").alias("__k"))
-               .unionByName(tg.select(*group_cols, F.col("__khi").alias("__k"))).distinct())
     # state: target rank k of a group; candidates are values in (lo, hi];
     # `below` rows of the group lie at or under lo.
-    state = ranks.select(*group_cols, "__k",
+    state = ranks.select("__gk", "__k",
                          F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"),
                          F.lit(0).cast("long").alias("__below")).checkpoint()
-    keys = [*group_cols, "__k"]
+    keys = ["__gk", "__k"]
     for _ in range(max_rounds):
         cand = (base.join(broadcast_if_small(state), on=group_cols, how="inner")
                     .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))))
@@ -115,7 +102,44 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     picked = (multi.withColumn("__r", F.row_number().over(w) - 1)
                    .where(F.col("__r") == F.col("__k") - F.col("__below"))
                    .select(*keys, F.col("__v").alias("__val")))
-    vals = single.unionByName(picked)
+    return single.unionByName(picked)
+
+
+def _group_key(user_groups: Sequence[str]):
+    # one non-null text key per group (null group values are groups too);
+    # a constant key when there are no groups keeps every join an equi-join
+    return F.to_json(F.struct(*[F.col(c) for c in user_groups])) if user_groups else F.lit("")
+
+
+def order_statistics(df: DataFrame, value_col: str, group_cols: Sequence[str] | str, ranks: DataFrame,
+                     cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
+    """Exact values of given 0-based ranks per group.  ``ranks`` holds the
+    group columns and ``__k``; returns the group columns, ``__k``, ``__val``."""
+    user_groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    gk = _group_key(user_groups)
+    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
+              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    rk = ranks.select(gk.alias("__gk"), *user_groups, "__k")
+    vals = _search(base, rk.select("__gk", "__k").distinct(), cap, splits, max_rounds)
+    return rk.join(vals, ["__gk", "__k"], "left").drop("__gk")
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
+                    group_cols: Sequence[str] = (), method: str = "linear",
+                    cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
+    """Return ``(group_cols..., prob, quantile)``; nulls and NaN are ignored.
+    Groups without values produce no rows."""
+    user_groups = list(group_cols)
+    gk = _group_key(user_groups)
+    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
+              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    counts = (df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v"))
+                .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+                .groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in user_groups]))
+    tg = _targets(counts, ["__gk", *user_groups], probs, method)
+    ranks = (tg.select("__gk", F.col("__klo").alias("__k"))
+               .unionByName(tg.select("__gk", F.col("__khi").alias("__k"))).distinct())
+    vals = _search(base, ranks, cap, splits, max_rounds)
     lo = vals.withColumnRenamed("__k", "__klo").withColumnRenamed("__val", "__vlo")
     hi = vals.withColumnRenamed("__k", "__khi").withColumnRenamed("__val", "__vhi")
     res = (tg.join(lo, on=["__gk", "__klo"], how="left")
