@@ -56,9 +56,11 @@ def block_of(c: Column, bounds: Sequence[float]) -> Column:
     return F.coalesce(build(0, len(bounds)), F.lit(0))
 
 
-def _prepare(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], blocks: int):
+def _prepare(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], blocks: int,
+             bounds: Sequence[float] | None = None):
     first = order_cols[0]
-    bounds = block_bounds(df, first, blocks)
+    if bounds is None:
+        bounds = block_bounds(df, first, blocks)
     dtype = dict(df.dtypes)[first]
     return df.withColumn(_BLOCK, block_of(_numeric(F.col(first), dtype), bounds))
 
@@ -69,16 +71,18 @@ def _order_exprs(order_cols: Sequence[str], descending: bool):
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                 sums: dict[str, Column], descending: bool = False,
-                blocks: int = 32, inclusive: bool = True) -> DataFrame:
+                blocks: int = 32, inclusive: bool = True, bounds: Sequence[float] | None = None) -> DataFrame:
     """Add running sums ``out = sum(expr) over (partition by group order by
     order rows unbounded preceding .. current row)``.
 
     ``descending`` runs from the largest order value down (reverse running
     sums, e.g. risk sets).  ``inclusive=False`` excludes the current row.
-    The order columns should give a total order within a group.
+    The order columns should give a total order within a group.  ``bounds``
+    (from ``block_bounds``) can be passed when the same order column is
+    summed repeatedly, e.g. once per Newton step.
     """
     group_cols = list(group_cols)
-    d = _prepare(df, group_cols, order_cols, blocks)
+    d = _prepare(df, group_cols, order_cols, blocks, bounds)
     for out, expr in sums.items():
         d = d.withColumn(f"__val_{out}", expr.cast("double"))
     w = (Window.partitionBy(*group_cols, _BLOCK)
@@ -120,10 +124,10 @@ def lag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
     key = F.struct(*[F.col(c) for c in order_cols])
     last = d.groupBy(*group_cols, _BLOCK).agg(F.max_by(value_col, key).alias("__last"))
     wb = Window.partitionBy(*group_cols).orderBy(_BLOCK)
-    prev = last.select(*group_cols, _BLOCK, F.lag("__last", 1).over(wb).alias("__prev"))
+    prev = last.select(*group_cols, _BLOCK, F.lag("__last", 1).over(wb).alias("__blkprev"))
     d = null_safe_join(d, broadcast_if_small(prev), [*group_cols, _BLOCK], "left")
-    d = d.withColumn(out, F.when(F.col("__rnb") == 1, F.col("__prev")).otherwise(F.col("__lag")))
-    return d.drop(_BLOCK, "__lag", "__rnb", "__prev")
+    d = d.withColumn(out, F.when(F.col("__rnb") == 1, F.col("__blkprev")).otherwise(F.col("__lag")))
+    return d.drop(_BLOCK, "__lag", "__rnb", "__blkprev")
 
 
 def top_n_per_group(df: DataFrame, group_cols: Iterable[str], order: Sequence[Column],
