@@ -56,11 +56,15 @@ def _search(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds
     group_cols = ["__gk"]
     # state: target rank k of a group; candidates are values in (lo, hi];
     # `below` rows of the group lie at or under lo.
-    state = ranks.select("__gk", "__k",
+    sizes = base.groupBy("__gk").agg(F.count(F.lit(1)).alias("__size"))
+    state = ranks.join(sizes, "__gk").select("__gk", "__k", "__size",
                          F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"),
                          F.lit(0).cast("long").alias("__below")).checkpoint()
     keys = ["__gk", "__k"]
-    for _ in range(max_rounds):
+    # no group larger than the cap: the final window pass alone is exact
+    rounds = max_rounds if (state.agg(F.max("__size")).first()[0] or 0) > cap else 0
+    state = state.drop("__size")
+    for _ in range(rounds):
         cand = (base.join(broadcast_if_small(state), on=group_cols, how="inner")
                     .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))))
         stats = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"),

@@ -16,9 +16,13 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, estimated_bytes
 from .joins import null_safe_join
 
+# Inputs the optimizer estimates below this size run as one block per group:
+# splitting only pays when a group can be large.
+SPLIT_ABOVE_BYTES = 256 << 20
+
 _BLOCK = "__blk"
 
 
@@ -60,7 +64,7 @@ def _prepare(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]
              bounds: Sequence[float] | None = None):
     first = order_cols[0]
     if bounds is None:
-        bounds = block_bounds(df, first, blocks)
+        bounds = block_bounds(df, first, blocks) if estimated_bytes(df) > SPLIT_ABOVE_BYTES else []
     dtype = dict(df.dtypes)[first]
     return df.withColumn(_BLOCK, block_of(_numeric(F.col(first), dtype), bounds))
 
