@@ -22,7 +22,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 
 
 def _targets(counts: DataFrame, group_cols: list[str], probs: Sequence[float], method: str) -> DataFrame:
@@ -50,62 +50,127 @@ def _targets(counts: DataFrame, group_cols: list[str], probs: Sequence[float], m
 
 
 def _search(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds: int) -> DataFrame:
-    """Core narrowing search.  ``base``: ``(__gk, __v)`` non-null values;
+    """Exact values of the target ranks.
+
+    Fast path, three passes and no row expansion: (1) one sketch per group;
+    (2) each target gets a bracket of +-2 sketch steps around its rank, and
+    one pass places every row among its group's few bracket end points
+    (interval counts give the exact rows below each bracket); (3) the rows
+    inside brackets that hold their rank with at most ``cap`` rows are
+    ranked with a window.  Targets whose bracket is still large (huge groups,
+    heavy ties) go through the general narrowing loop.
+    """
+    keys = ["__gk", "__k"]
+    S = splits
+    probs = [i / S for i in range(1, S)]
+    sk = base.groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"),
+                                  F.percentile_approx("__v", probs, 4 * S).alias("__b"))
+    t = ranks.join(sk, "__gk")
+    idx = F.floor((F.col("__k") + 1) * S / F.col("__n")).cast("int")
+    # the sketch points around the rank become cut points of the group
+    window_pts = F.slice("__b", F.greatest(idx - 2, F.lit(1)), F.lit(5))
+    cuts = materialize(t.groupBy("__gk").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(window_pts)))).alias("__cuts")))
+    # interval i holds rows with cuts[i-1] < v <= cuts[i] (1-based; 0 below all)
+    iv = base.join(broadcast_if_small(cuts), "__gk").withColumn(
+        "__iv", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
+    counts = iv.groupBy("__gk", "__iv").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__mn"),
+                                            F.max("__v").alias("__mx"))
+    wi = Window.partitionBy("__gk").orderBy("__iv").rowsBetween(Window.unboundedPreceding, -1)
+    ci = counts.join(cuts, "__gk").select(
+        "__gk", "__iv", "__cnt", "__mn", "__mx",
+        F.when(F.col("__iv") >= 1, F.element_at("__cuts", F.col("__iv"))).otherwise(F.lit(float("-inf"))).alias("__lo"),
+        F.coalesce(F.try_element_at("__cuts", F.col("__iv") + 1), F.lit(float("inf"))).alias("__hi")) \
+        .withColumn("__below", F.coalesce(F.sum("__cnt").over(wi), F.lit(0)))  # intervals: a few per target
+    k = F.col("__k")
+    st = materialize(ranks.join(ci, "__gk").where((F.col("__below") <= k) & (k < F.col("__below") + F.col("__cnt")))
+                          .select(*keys, "__lo", "__hi", "__below", "__cnt", "__mn", "__mx"))
+    fast = (F.col("__cnt") <= cap) | (F.col("__mn") == F.col("__mx"))
+    single = st.where(F.col("__mn") == F.col("__mx")).select(*keys, F.col("__mn").alias("__val"))
+    multi = st.where(fast & (F.col("__mn") < F.col("__mx")))
+    mb = multi.groupBy("__gk").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__br"))
+    rows = (base.join(broadcast_if_small(mb), "__gk")
+                .where(F.exists("__br", lambda b: (F.col("__v") > b["__lo"]) & (F.col("__v") <= b["__hi"])))
+                .select("__gk", "__v"))
+    cand = rows.join(broadcast_if_small(multi.select(*keys, "__lo", "__hi", "__below")), "__gk") \
+               .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+    w = Window.partitionBy(*keys).orderBy("__v")
+    picked = (cand.withColumn("__r", F.row_number().over(w) - 1)
+                  .where(F.col("__r") == F.col("__k") - F.col("__below"))
+                  .select(*keys, F.col("__v").alias("__val")))
+    out = single.unionByName(picked)
+    slow = st.where(~fast).select(*keys)
+    if slow.limit(1).count() == 0:
+        return out
+    return out.unionByName(_search_loop(base, slow, cap, splits, max_rounds))
+
+
+def _search_loop(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds: int) -> DataFrame:
+    """General narrowing search.  ``base``: ``(__gk, __v)`` non-null values;
     ``ranks``: ``(__gk, __k)`` 0-based target ranks.  Returns
-    ``(__gk, __k, __val)``."""
-    group_cols = ["__gk"]
-    # state: target rank k of a group; candidates are values in (lo, hi];
-    # `below` rows of the group lie at or under lo.
-    sizes = base.groupBy("__gk").agg(F.count(F.lit(1)).alias("__size"))
-    state = ranks.join(sizes, "__gk").select("__gk", "__k", "__size",
-                         F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"),
-                         F.lit(0).cast("long").alias("__below")).checkpoint()
+    ``(__gk, __k, __val)``.
+
+    State per target: a bracket ``(lo, hi]`` that holds rank k and the
+    previous bracket ``(plo, phi]``.  One pass per round over the group's
+    rows ``v <= phi`` counts ``v <= plo``, ``v <= lo``, ``v <= hi`` and
+    sketches the bracket's values; the next bracket is the sketch window of
+    +-2 of ``splits`` steps around the rank (about ``4 c / splits`` rows).  If
+    ties make the rank fall outside it, the counts show on which side and the
+    bracket becomes ``(plo, lo]`` or ``(hi, phi]``, which still holds it.
+    """
     keys = ["__gk", "__k"]
-    # no group larger than the cap: the final window pass alone is exact
-    rounds = max_rounds if (state.agg(F.max("__size")).first()[0] or 0) > cap else 0
-    state = state.drop("__size")
-    for _ in range(rounds):
-        cand = (base.join(broadcast_if_small(state), on=group_cols, how="inner")
-                    .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))))
-        stats = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"),
-                                        F.min("__v").alias("__mn"), F.max("__v").alias("__mx"))
-        open_ = stats.where((F.col("__c") > cap) & (F.col("__mn") < F.col("__mx")))
-        if open_.limit(1).count() == 0:
+    S = splits
+    probs = [i / S for i in range(1, S)]
+    inf = float("inf")
+    state = materialize(ranks.select(*keys, F.lit(-inf).alias("__lo"), F.lit(inf).alias("__hi"),
+                                     F.lit(-inf).alias("__plo"), F.lit(inf).alias("__phi")))
+    for rnd in range(max_rounds + 1):
+        last = rnd == max_rounds
+        cand = base.join(broadcast_if_small(state), on="__gk", how="inner").where(F.col("__v") <= F.col("__phi"))
+        inb = (F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+        aggs = [F.count_if(F.col("__v") <= F.col("__plo")).alias("__nplo"),
+                F.count_if(F.col("__v") <= F.col("__lo")).alias("__nlo"),
+                F.count_if(F.col("__v") <= F.col("__hi")).alias("__nhi"),
+                F.min(F.when(inb, F.col("__v"))).alias("__mn"), F.max(F.when(inb, F.col("__v"))).alias("__mx")]
+        if not last:
+            aggs.append(F.percentile_approx(F.when(inb, F.col("__v")), probs, 4 * S).alias("__b"))
+        st = cand.groupBy(*keys).agg(*aggs)
+        st = materialize(state.join(st, keys, "left"))  # one row per target
+        k = F.col("__k")
+        valid = (F.col("__nlo") <= k) & (k < F.col("__nhi"))
+        c = F.col("__nhi") - F.col("__nlo")
+        done = valid & ((c <= cap) | (F.col("__mn") == F.col("__mx")))
+        if last or st.where(~done).limit(1).count() == 0:
             break
-        probs_s = [i / splits for i in range(1, splits)]
-        sk = (cand.join(open_.select(*keys), on=keys, how="left_semi")
-                  .groupBy(*keys)
-                  .agg(F.array_sort(F.array_distinct(
-                      F.percentile_approx("__v", probs_s, 4 * splits))).alias("__b")))
-        cand2 = cand.join(broadcast_if_small(sk), on=keys, how="inner").withColumn(
-            "__blk", F.size(F.filter("__b", lambda b: b < F.col("__v"))))
-        bc = cand2.groupBy(*keys, "__blk").agg(F.count(F.lit(1)).alias("__bc"),
-                                               F.first("__b").alias("__b"),
-                                               F.first("__lo").alias("__lo0"),
-                                               F.first("__hi").alias("__hi0"),
-                                               F.first("__below").alias("__below0"))
-        w = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-        bc = bc.withColumn("__before", F.coalesce(F.sum("__bc").over(w), F.lit(0)))
-        local = F.col("__k") - F.col("__below0")
-        chosen = bc.where((local >= F.col("__before")) & (local < F.col("__before") + F.col("__bc")))
-        new = chosen.select(
+        r = k - F.col("__nlo")
+        idx = F.floor((r + 1) * S / c).cast("int")
+        new_lo = F.when(idx - 2 >= 1, F.element_at("__b", idx - 2)).otherwise(F.col("__lo"))
+        new_hi = F.when(idx + 2 <= S - 1, F.element_at("__b", idx + 2)).otherwise(F.col("__hi"))
+        miss_low = k < F.col("__nlo")   # the rank lies in (plo, lo]
+        state = materialize(st.select(
             *keys,
-            F.when(F.col("__blk") == 0, F.col("__lo0")).otherwise(F.element_at("__b", F.col("__blk"))).alias("__lo"),
-            F.when(F.col("__blk") >= F.size("__b"), F.col("__hi0"))
-             .otherwise(F.element_at("__b", F.col("__blk") + 1)).alias("__hi"),
-            (F.col("__below0") + F.col("__before")).alias("__below"))
-        state = (state.join(new.select(*keys), on=keys, how="left_anti")
-                      .unionByName(new)).checkpoint()
-    cand = (base.join(broadcast_if_small(state), on=group_cols, how="inner")
+            F.when(done, F.col("__lo")).when(valid, new_lo).when(miss_low, F.col("__plo")).otherwise(F.col("__hi")).alias("__lo"),
+            F.when(done, F.col("__hi")).when(valid, new_hi).when(miss_low, F.col("__lo")).otherwise(F.col("__phi")).alias("__hi"),
+            F.when(valid, F.col("__lo")).otherwise(F.col("__plo")).alias("__plo"),
+            F.when(valid, F.col("__hi")).otherwise(F.col("__phi")).alias("__phi")))
+    # final: the bracket that holds the rank (after a miss in the last round,
+    # the side the counts point to) and the rows at or below it
+    k = F.col("__k")
+    valid = (F.col("__nlo") <= k) & (k < F.col("__nhi"))
+    miss_low = k < F.col("__nlo")
+    fin = st.select(*keys,
+                    F.when(valid, F.col("__lo")).when(miss_low, F.col("__plo")).otherwise(F.col("__hi")).alias("__lo"),
+                    F.when(valid, F.col("__hi")).when(miss_low, F.col("__lo")).otherwise(F.col("__phi")).alias("__hi"),
+                    F.when(valid, F.col("__nlo")).when(miss_low, F.col("__nplo")).otherwise(F.col("__nhi")).alias("__below"),
+                    (valid & (F.col("__mn") == F.col("__mx"))).alias("__single"), "__mn")
+    single = fin.where("__single").select(*keys, F.col("__mn").alias("__val"))
+    multi = fin.where(~F.col("__single"))
+    cand = (base.join(broadcast_if_small(multi), on="__gk", how="inner")
                 .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))))
-    stats = cand.groupBy(*keys).agg(F.min("__v").alias("__mn"), F.max("__v").alias("__mx"),
-                                    F.first("__below").alias("__below"))
-    single = stats.where(F.col("__mn") == F.col("__mx")).select(*keys, F.col("__mn").alias("__val"))
-    multi = cand.join(stats.where(F.col("__mn") < F.col("__mx")).select(*keys), on=keys, how="left_semi")
     w = Window.partitionBy(*keys).orderBy("__v")
-    picked = (multi.withColumn("__r", F.row_number().over(w) - 1)
-                   .where(F.col("__r") == F.col("__k") - F.col("__below"))
-                   .select(*keys, F.col("__v").alias("__val")))
+    picked = (cand.withColumn("__r", F.row_number().over(w) - 1)
+                  .where(F.col("__r") == F.col("__k") - F.col("__below"))
+                  .select(*keys, F.col("__v").alias("__val")))
     return single.unionByName(picked)
 
 

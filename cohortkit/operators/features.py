@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import windows as Wn
 from ..functions.joins import null_safe_join
 from ..functions.quantiles import quantile_columns
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 from .profile import _is_numeric, long_values
 
 MISSING_CATEGORY = "MISSING_CATEGORY"  # fixed value: null label before encoding
@@ -183,7 +183,7 @@ def iterative_impute(df: DataFrame, cols: Sequence[str], max_iter: int = 10, rid
             for f, b in zip(feats[1:], beta[1:]):
                 pred = pred + F.lit(float(b)) * F.col(f)
             upd[t] = F.when(F.col(miss[t]), pred).otherwise(F.col(t))
-        d = d.withColumns(upd).checkpoint()
+        d = materialize(d.withColumns(upd))
         flat = np.concatenate([coefs[t][1] for t in targets]) if targets else np.zeros(0)
         if prev is not None and flat.size and np.max(np.abs(flat - prev)) < tol:
             break
@@ -199,9 +199,9 @@ def fit_label_encoder(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     of the earlier partitions (no single-task global window)."""
     lv = long_values(train, cols).select("variable", F.coalesce("value", F.lit(MISSING_CATEGORY)).alias("value"))
     distinct = lv.distinct()
-    srt = distinct.repartitionByRange("variable", "value").sortWithinPartitions("variable", "value") \
-                  .withColumn("__pid", F.spark_partition_id()) \
-                  .withColumn("__mono", F.monotonically_increasing_id()).checkpoint()
+    srt = materialize(distinct.repartitionByRange("variable", "value").sortWithinPartitions("variable", "value")
+                              .withColumn("__pid", F.spark_partition_id())
+                              .withColumn("__mono", F.monotonically_increasing_id()))
     first = srt.groupBy("__pid", "variable").agg(F.min("__mono").alias("__m0"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy("variable").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = first.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))

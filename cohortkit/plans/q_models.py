@@ -19,7 +19,7 @@ from ..operators import features as Fe
 from ..operators import linkage as L
 from ..operators import models as M
 from ..operators import rules as R
-from ..session import table
+from ..session import materialize, table
 from .common import graded_orders, r
 from .registry import register
 
@@ -59,7 +59,7 @@ def _frame(spark, sf):
     of recomputing the joins and windows."""
     d = Fe.class_weights(_base_frame(spark, sf), "label", "weight").withColumn("unit_weight", F.lit(1.0))
     d = Fe.stratified_folds(d, "o_orderkey", "label", 3, 42, "fold")
-    return Fe.stratified_split(d, "o_orderkey", "label", 0.2, 42, "is_test").checkpoint()
+    return materialize(Fe.stratified_split(d, "o_orderkey", "label", 0.2, 42, "is_test"))
 
 
 def _assembled(spark, sf):

@@ -80,3 +80,13 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     decides at runtime from the real shuffle size: it turns the join into a
     broadcast when the side is small, and keeps a shuffled join when not."""
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder (cuts lineage, survives
+    executor loss).  Persisting first lets the checkpoint job read the
+    computed blocks instead of running the plan a second time."""
+    df = df.persist()
+    out = df.checkpoint()
+    df.unpersist()
+    return out
