@@ -86,6 +86,14 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     summed repeatedly, e.g. once per Newton step.
     """
     group_cols = list(group_cols)
+    if bounds is None and estimated_bytes(df) <= SPLIT_ABOVE_BYTES:
+        bounds = []
+    if bounds is not None and len(bounds) == 0 and group_cols:
+        # one block per group: the plain window is the whole answer
+        w = (Window.partitionBy(*group_cols).orderBy(*_order_exprs(order_cols, descending))
+             .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+        return df.withColumns({out: F.coalesce(F.sum(expr.cast("double")).over(w), F.lit(0.0))
+                               for out, expr in sums.items()})
     d = _prepare(df, group_cols, order_cols, blocks, bounds)
     for out, expr in sums.items():
         d = d.withColumn(f"__val_{out}", expr.cast("double"))
@@ -121,6 +129,9 @@ def lag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
         value_col: str, out: str, blocks: int = 32) -> DataFrame:
     """Skew-safe ``lag(value, 1)``: the previous row's value within the group."""
     group_cols = list(group_cols)
+    if group_cols and estimated_bytes(df) <= SPLIT_ABOVE_BYTES:
+        w = Window.partitionBy(*group_cols).orderBy(*_order_exprs(order_cols, False))
+        return df.withColumn(out, F.lag(value_col, 1).over(w))
     d = _prepare(df, group_cols, order_cols, blocks)
     w = Window.partitionBy(*group_cols, _BLOCK).orderBy(*_order_exprs(order_cols, False))
     d = (d.withColumn("__lag", F.lag(value_col, 1).over(w))

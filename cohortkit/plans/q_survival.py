@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import survival as Sv
 from ..operators import timeline as Tl
-from ..session import table
+from ..session import materialize, table
 from .common import SQL_USER_DURATIONS, r, user_durations
 from .registry import register
 
@@ -85,7 +85,8 @@ def _wide(spark, sf):
     # shorter and interrupted timelines, the same way in both engines
     g = g.where(~((F.col("user_id") % 10 == 0) & (F.col("seq") > 6)))
     g = g.withColumn("gap", F.when((F.col("user_id") % 9 == 0) & (F.col("seq") == 5), None).otherwise(F.col("gap")))
-    return Tl.to_wide(g, "user_id", 12)
+    # the wide timeline is an input table in its own right: written once
+    return materialize(Tl.to_wide(g, "user_id", 12))
 
 
 _TL_SQL = """e AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq,
