@@ -175,9 +175,13 @@ def _search_loop(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_r
 
 
 def _group_key(user_groups: Sequence[str]):
-    # one non-null text key per group (null group values are groups too);
-    # a constant key when there are no groups keeps every join an equi-join
-    return F.to_json(F.struct(*[F.col(c) for c in user_groups])) if user_groups else F.lit("")
+    # one non-null text key per group; a null group value is a group of its
+    # own ("N" marker); a constant key when there are no groups keeps every
+    # join an equi-join
+    if not user_groups:
+        return F.lit("")
+    return F.concat_ws("\u0001", *[F.when(F.col(c).isNull(), F.lit("N"))
+                                    .otherwise(F.concat(F.lit("V"), F.col(c).cast("string"))) for c in user_groups])
 
 
 def order_statistics(df: DataFrame, value_col: str, group_cols: Sequence[str] | str, ranks: DataFrame,
