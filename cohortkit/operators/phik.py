@@ -74,10 +74,29 @@ def _bvn_cdf(h: float, k: float, rho: float) -> float:
     return base + float(np.sum(w * f)) / (2 * math.pi)
 
 
+_erfc = np.vectorize(math.erfc)
+
+
+def _bvn_grid(ex: np.ndarray, ey: np.ndarray, rho: float) -> np.ndarray:
+    """Bivariate normal CDF on the grid ex x ey (same formula as
+    ``_bvn_cdf``, evaluated for all points at once)."""
+    px = 0.5 * _erfc(-ex / math.sqrt(2.0))
+    py = 0.5 * _erfc(-ey / math.sqrt(2.0))
+    base = np.outer(px, py)
+    if rho == 0:
+        return base
+    r = np.minimum(0.5 * rho * (_GL_X + 1.0), 1 - 1e-12)
+    w = 0.5 * rho * _GL_W
+    h = ex[:, None, None]
+    k = ey[None, :, None]
+    f = np.exp(-(h * h - 2 * h * k * r + k * k) / (2 * (1 - r * r))) / np.sqrt(1 - r * r)
+    return base + (f * w).sum(axis=2) / (2 * math.pi)
+
+
 def _bvn_chi2(rho: float, px: np.ndarray, py: np.ndarray, n: float) -> float:
     ex = np.concatenate([[-8.0], _norm_ppf(np.cumsum(px)[:-1]), [8.0]])
     ey = np.concatenate([[-8.0], _norm_ppf(np.cumsum(py)[:-1]), [8.0]])
-    cdf = np.array([[_bvn_cdf(a, b, rho) for b in ey] for a in ex])
+    cdf = _bvn_grid(ex, ey, rho)
     cell = cdf[1:, 1:] - cdf[:-1, 1:] - cdf[1:, :-1] + cdf[:-1, :-1]
     exp0 = np.outer(px, py)
     return float(n * np.sum((cell - exp0) ** 2 / exp0))
