@@ -54,11 +54,16 @@ def median_survival(km: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 
 
 def survival_frame(df: DataFrame, key: str, outcomes: DataFrame, cluster: str, drop_first: bool = True,
-                   levels: Sequence | None = None) -> DataFrame:
+                   levels: Sequence | None = None, max_levels: int = 1000) -> DataFrame:
     """V6: attach duration / event by key (J5) and one-hot the cluster,
     dropping the first level (F7)."""
     j = df.join(outcomes, key, "inner")
-    lv = list(levels) if levels is not None else sorted(r[0] for r in j.select(cluster).distinct().collect())
+    if levels is None:  # levels become columns: read at most max_levels + 1 of them
+        found = [r[0] for r in j.select(cluster).distinct().limit(max_levels + 1).collect()]
+        if len(found) > max_levels:
+            raise ValueError(f"{cluster}: more than {max_levels} levels")
+        levels = sorted(x for x in found if x is not None)
+    lv = list(levels)
     dummies = {f"{cluster}_{x}": (F.col(cluster) == F.lit(x)).cast("int") for x in (lv[1:] if drop_first else lv)}
     return j.withColumns(dummies).drop(cluster)
 
