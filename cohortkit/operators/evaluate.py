@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import windows as Wn
+from ..session import materialize
 from .stats import kl_divergence
 
 
@@ -77,7 +78,7 @@ def confusion_matrix(df: DataFrame, actual: str, pred: str, labels: Sequence) ->
 def classification_report(df: DataFrame, actual: str, pred: str, labels: Sequence) -> DataFrame:
     """E5: per class precision, recall, F1, support; then ``macro avg`` and
     ``weighted avg`` rows (class as text)."""
-    cm = confusion_matrix(df, actual, pred, labels)
+    cm = materialize(confusion_matrix(df, actual, pred, labels))  # labels^2 rows, read three times
     tp = cm.where(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("c"), F.col("count").alias("tp"))
     sup = cm.groupBy(F.col("actual").alias("c")).agg(F.sum("count").alias("support"))
     prd = cm.groupBy(F.col("predicted").alias("c")).agg(F.sum("count").alias("npred"))
