@@ -172,7 +172,7 @@ def _pos(e: str) -> Column:
 
 def _wanted(keys: DataFrame) -> np.ndarray:
     """A bitmap of fixed size (2**WANTED_BITS bits) over the keys in k1."""
-    at = F.col("k1").bitwiseAND(F.lit((1 << WANTED_BITS) - 1).cast("long"))
+    at = F.col("k1").bitwiseAND(F.lit((1 << WANTED_BITS) - 1).cast("long")) + 1    # Spark's bitmaps count from 1
     rows = keys.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m"))
     out = np.zeros((1 << WANTED_BITS) // 8 + 4096, np.uint8)
     for r in rows.toLocalIterator():

@@ -133,9 +133,10 @@ def _features(raw: list[bytes], metadata: list[np.ndarray]):
     return ptr, idx, val
 
 
-def fit_arrays(indptr, idx, val, labels, metadata: int, factors: int = 8, epochs: int = 8, batch: int = 128,
+def fit_arrays(indptr, idx, val, labels, metadata: int, factors: int = 8, steps: int = 600, batch: int = 128,
                rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> FactorisationMachine:
-    """Logistic loss by AdaGrad on mini-batches; the order is seeded."""
+    """Logistic loss by AdaGrad on about ``steps`` mini-batches; the order
+    is seeded."""
     rng = np.random.default_rng(seed)
     d = feature_count(metadata)
     w, v = np.zeros(d), rng.normal(0, 0.05, (d, factors))
@@ -143,7 +144,7 @@ def fit_arrays(indptr, idx, val, labels, metadata: int, factors: int = 8, epochs
     w0, g0 = 0.0, 1e-6
     labels = np.asarray(labels, float)
     n = len(labels)
-    for _ in range(epochs):
+    for _ in range(-(-steps * batch // n)):
         for at in range(0, n, batch):
             if at == 0:
                 order = rng.permutation(n)

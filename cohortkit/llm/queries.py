@@ -69,9 +69,9 @@ solid AS (SELECT * FROM lines WHERE len(ws) > 0),
 classes AS (SELECT ws, min((doc_id, line_no)) AS first, len(ws) AS n FROM solid GROUP BY ws),
 c AS (SELECT *, row_number() OVER (ORDER BY first) AS c FROM classes),
 w AS (SELECT c, n, unnest(ws) AS word FROM c),
-o AS (SELECT a.c, a.n AS an, b.n AS bn, count(*) AS both FROM w a JOIN w b ON a.word = b.word AND b.c < a.c
+o AS (SELECT a.c, a.n AS an, b.n AS bn, count(*) AS shared FROM w a JOIN w b ON a.word = b.word AND b.c < a.c
       AND b.n * 5 >= a.n * 4 AND a.n * 5 >= b.n * 4 GROUP BY a.c, b.c, a.n, b.n),
-hit AS (SELECT DISTINCT c FROM o WHERE both * 5 >= (an + bn - both) * 4),
+hit AS (SELECT DISTINCT c FROM o WHERE shared * 5 >= (an + bn - shared) * 4),
 gone AS (SELECT s.doc_id, s.line_no, (hit.c IS NOT NULL OR (s.doc_id, s.line_no) <> c.first) AS gone
          FROM solid s JOIN c ON s.ws = c.ws LEFT JOIN hit ON hit.c = c.c),
 per AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (gone) AS removed, list(line_no) FILTER (gone) AS nos FROM gone GROUP BY doc_id)
