@@ -63,7 +63,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_OP6 = """
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, i - 1 AS line_no, ls[i] AS line,
-                 list_sort(list_distinct(list_filter(regexp_split_to_array(lower(ls[i]), '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> ''))) AS ws
+                 list_sort(list_distinct([w FOR w IN regexp_split_to_array(lower(ls[i]), '[ \\t\\n\\x0B\\f\\r]+') IF w <> ''])) AS ws
           FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw)),
 solid AS (SELECT * FROM lines WHERE len(ws) > 0),
 classes AS (SELECT ws, min((doc_id, line_no)) AS first, len(ws) AS n FROM solid GROUP BY ws),
