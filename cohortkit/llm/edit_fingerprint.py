@@ -54,7 +54,7 @@ def _walk() -> list[list]:
 
 
 @functools.lru_cache(maxsize=1)
-def _samples() -> list[np.ndarray]:
+def _samples() -> np.ndarray:
     """For each fingerprint bit the steps at which its running minimum of
     random priorities is renewed; the last one below N is a uniform sample of
     the first N steps, and is the same for most N near each other."""
@@ -66,13 +66,15 @@ def _samples() -> list[np.ndarray]:
             low *= rng.random()
             at += int(rng.geometric(max(low, 1e-18)))
             rec.append(at)
-        out.append(np.array(rec, np.int64))
-    return out
+        out.append(rec)
+    width = max(map(len, out))
+    return np.array([r + [1 << 62] * (width - len(r)) for r in out], np.int64)
 
 
+@functools.lru_cache(maxsize=4096)
 def sampled_steps(n_chars: int) -> np.ndarray:
-    n = max(1, STRETCH * n_chars)
-    return np.array([r[np.searchsorted(r, n) - 1] for r in _samples()])
+    records = _samples()
+    return records[np.arange(BITS), (records < max(1, STRETCH * n_chars)).sum(axis=1) - 1]
 
 
 def char_classes(text: str) -> np.ndarray:
@@ -165,7 +167,8 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = id_and_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     dealt = _with_next(d, parts)
-    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text").select("bucket", "guest", "doc_id", "text")
+    # buckets are numbered from 0 and fewer than partitions: one bucket a partition
+    dealt = dealt.repartitionById(parts, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "guest", "doc_id", "text").select("bucket", "guest", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib

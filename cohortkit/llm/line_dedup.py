@@ -9,18 +9,22 @@ document id, then smaller line number) is removed.
 
 Equal word sets are one class.  A class is removed wherever it occurs if an
 earlier class matches it, otherwise everywhere but at its first place; so it is
-enough to know one earlier match of each class.  Classes are first held
-against the earliest class of each index entry, which settles groups of
-alike lines at a cost in proportion to their size; only unsettled classes are
-joined with every entry.
+enough to know one earlier match of each class.  Index entries are shuffled by
+word once and read in order.  Under a word with few entries all pairs are
+candidates.  Under a word with many, each entry is first held against the earliest
+entry of each length, which settles groups of alike lines at a cost in proportion to
+their size; the classes that this leaves open are then joined with all entries.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,62 +33,81 @@ from .common import id_and_text, stored, sub_batches
 
 RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
-WANTED_BITS = 26            # bits of the filter that picks the lines to verify
+FILTER_BITS = 26            # bits of the membership filters
+FEW = 64                    # entries under a word up to which all pairs are candidates
 _U = np.uint64
-_LINE_FIELDS = [("doc_id", pa.int64()), ("line_no", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()),
-                ("bits", pa.int64()), ("prefix", pa.list_(pa.int64()))]
-_LINES = "doc_id long, line_no int, k1 long, k2 long, n int, bits long, prefix array<long>"
+_LINES = "doc_id long, line_no int, k1 long, bits long, n int, prefix array<long>"
+_FOUND = "a long, b long, entry long, doc_id long"
 
 
 def _folded(t: str | None) -> bytes:
     return (t or "").lower().encode("utf-8", "replace")
 
 
-def line_words(raw: list[bytes]):
-    """The distinct words of each non-blank line of lower-cased texts: per
-    line (text, line number, first word, end word), and the words' hashes (ascending in
-    each line).  Lines end at line feeds."""
+def _tokens(raw: list[bytes]):
     buf, at = tn.join_texts(raw)
     starts, ends = tn.token_spans(buf)
-    h = tn.token_hashes(buf, starts, ends)
+    return buf, at, starts, tn.token_hashes(buf, starts, ends)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> _U(64 - RARITY_BITS)).astype(np.int64)
+
+
+def line_words(raw: list[bytes], rarity: np.ndarray):
+    """The distinct words of each non-blank line of lower-cased texts, the
+    rarest first: (text, line number, first word) by line, the words' hashes and
+    their counts.  Lines end at line feeds."""
+    buf, at, starts, h = _tokens(raw)
     feeds = np.flatnonzero(buf == 10)
-    line = np.searchsorted(feeds, starts)                  # number of the line in the buffer
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
+    step = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(step, np.searchsorted(starts, feeds), 1)
+    line = np.cumsum(step)[:-1]                             # number of the line in the buffer
+    c = np.minimum(rarity[_bucket(h)], 4095)                # one order for the whole corpus: count, then hash
+    low = h >> _U(32)
+    order = None
+    if len(feeds) < 1 << 20:
+        key = (line.astype(_U) << _U(44)) | (c.astype(_U) << _U(32)) | low
+        order = np.argsort(key)
+        k, x = key[order], h[order]
+        if ((k[1:] == k[:-1]) & (x[1:] != x[:-1])).any():   # words that differ in the other half of the hash only
+            order = None
+    if order is None:
+        order = np.lexsort((h, c, line))
+    h, line, c = h[order], line[order], c[order]
     first = np.ones(len(h), bool)
     first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    h, line = h[first], line[first]
-    lines, lo = np.unique(line, return_index=True)
-    hi = np.append(lo[1:], len(h))
+    h, line, c = h[first], line[first], c[first]
+    new = np.ones(len(line), bool)
+    new[1:] = line[1:] != line[:-1]
+    lo = np.flatnonzero(new)
+    lines = line[lo]
     begin = np.where(lines > 0, feeds[lines - 1] + 1, 0)
     text = np.searchsorted(at, begin, "right") - 1
-    number = lines - np.searchsorted(feeds, at[text])
-    return text, number, lo, hi, h
+    return text, lines - np.searchsorted(feeds, at[text]), lo, h, c
 
 
-def _keys(lo: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two 64-bit keys of each word set and a parity bitmap: the number of
-    bits in which two bitmaps differ is at most the size of the symmetric difference."""
+def _keys(lo: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each word set: a 64-bit sum of hashes, and a 64-bit
+    parity bitmap (the number of bits in which two bitmaps differ is at most the
+    size of the symmetric difference)."""
     if not len(lo):
-        z = np.zeros(0, np.int64)
-        return z, z, z
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     k1 = np.add.reduceat(tn.mix(h ^ _U(0x1F83D9ABFB41BD6B)), lo)
-    k2 = np.add.reduceat(tn.mix(h + _U(0x5BE0CD19137E2179)), lo)
     bits = np.bitwise_xor.reduceat(_U(1) << (h & _U(63)), lo)
-    return k1.view(np.int64), k2.view(np.int64), bits.view(np.int64)
+    return k1.view(np.int64), bits.view(np.int64)
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences (once a line) of the words over all documents, in hashed
-    buckets: a table of fixed size.  Each task counts its lines, blocks of
-    buckets are added up on the executors."""
+    """Occurrences of the words over all documents, in hashed buckets: a
+    table of fixed size.  Each task counts its texts, and blocks of buckets are added
+    up on the executors."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, np.uint32)
         for b in batches:
             raw = [_folded(t) for t in b.column(0).to_pylist()]
-            for x, z in sub_batches(raw):
-                h = line_words(raw[x:z])[-1]
-                np.add.at(total, (h >> _U(64 - RARITY_BITS)).astype(np.int64), np.uint32(1))
+            for x, z in sub_batches(raw, 1 << 18):
+                np.add.at(total, _bucket(_tokens(raw[x:z])[-1]), np.uint32(1))
         parts = total.reshape(-1, RARITY_BLOCK)
         used = np.flatnonzero(parts.any(axis=1))
         for i in range(0, len(used), 64):
@@ -100,8 +123,8 @@ def word_counts(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(c, 2**32 - 1).astype(np.uint32).tobytes() for c in total.values()], pa.binary())], ["block", "counts"])
 
     blocks = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
-    out = np.zeros((1 << RARITY_BITS) // RARITY_BLOCK * RARITY_BLOCK, np.uint32).reshape(-1, RARITY_BLOCK)
-    for r in blocks.toLocalIterator():         # 2**RARITY_BITS counts in all
+    out = np.zeros(1 << RARITY_BITS, np.uint32).reshape(-1, RARITY_BLOCK)
+    for r in blocks.collect():                 # 2**RARITY_BITS counts in all
         out[r["block"]] = np.frombuffer(r["counts"], np.uint32)
     return out.ravel()
 
@@ -115,176 +138,266 @@ def _unpack(b) -> bytes:
 
 
 def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
-    """Every non-blank line: place, class keys, set size, bitmap, and its
-    prefix: entries word(32 bits) | size(16) | position(16).  Words that occur
-    in one line only are not indexed; sizes and positions above 65535 saturate,
-    which only loosens the filters."""
+    """Every non-blank line: place, class, set size, and its prefix entries
+    word(32 bits) | size(16) | position(16).  A class has its entries at its first line
+    in each task only.  Words that occur once are not indexed, nor are sets so small
+    that only equal ones match; sizes and positions above 65535 saturate, which
+    only loosens the filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
+        table, seen = counts.value, set()
         for b in batches:
             ids = b.column(0).to_pylist()
             raw = [_folded(t) for t in b.column(1).to_pylist()]
-            for x, z in sub_batches(raw):
-                text, number, lo, hi, h = line_words(raw[x:z])
+            for x, z in sub_batches(raw, 1 << 18):
+                text, number, lo, h, c = line_words(raw[x:z], table)
                 if not len(lo):
                     continue
-                n = hi - lo
-                k1, k2, bits = _keys(lo, h)
-                c = table[(h >> _U(64 - RARITY_BITS)).astype(np.int64)].astype(np.int64)
+                n = np.diff(np.append(lo, len(h)))
+                k1, bits = _keys(lo, h)
+                fresh = np.zeros(len(lo), bool)
+                for i, k in enumerate(zip(k1.tolist(), bits.tolist())):
+                    if k not in seen:
+                        seen.add(k)
+                        fresh[i] = True
                 line = np.repeat(np.arange(len(lo)), n)
-                order = np.lexsort((h, c, line))           # rarest first; ties by hash
-                pos = np.arange(len(h)) - np.repeat(lo, n)
-                size = n[line]
+                pos, size = np.arange(len(h)) - lo[line], n[line]
                 least = -(-size * num // den)              # overlap with a line of like size
-                use = (pos <= size - least) & (c[order] > 1) & (size * (den - num) >= num)
-                word = h[order] >> _U(32)
-                entry = (word << _U(32)) | (np.minimum(size, 65535).astype(_U) << _U(16)) | np.minimum(pos, 65535).astype(_U)
+                use = (pos <= size - least) & (c > 1) & (size * (den - num) >= num) & fresh[line]
+                entry = (h[use] & _U(0xFFFFFFFF00000000)) | (np.minimum(size[use], 65535).astype(_U) << _U(16)) | np.minimum(pos[use], 65535).astype(_U)
                 many = np.bincount(line[use], minlength=len(lo))
-                offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
-                prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(entry[use].view(np.int64)))
-                doc = pa.array([ids[x + i] for i in text], pa.int64())
-                yield pa.RecordBatch.from_arrays([doc, pa.array(number.astype(np.int32)), pa.array(k1), pa.array(k2), pa.array(n.astype(np.int32)), pa.array(bits), prefix],
-                                                 [f for f, _ in _LINE_FIELDS])
+                prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(entry.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([ids[x + i] for i in text], pa.int64()), pa.array(number.astype(np.int32)), pa.array(k1), pa.array(bits),
+                                                  pa.array(n.astype(np.int32)), prefix], [f.split()[0] for f in _LINES.split(", ")])
     return docs.select("doc_id", "text").mapInArrow(run, _LINES)
 
 
-def _may_match(num: int, den: int, un: Column, up: Column, vn: Column, vp: Column) -> Column:
+def _fits(un, up, vn, vp, num: int, den: int, ceiling, least):
     """Length filter, and positional filter for a word that stands at
     positions up and vp of sets of un and vn words."""
-    total = un + vn
-    need = F.ceil(total * F.lit(num) / F.lit(num + den))    # overlap that the similarity asks for
-    room = F.least(un - up, vn - vp)                        # this word and those after it
+    need = ceiling((un + vn) * num / (num + den))           # overlap that the similarity asks for
+    room = least(un - up, vn - vp)                          # this word and those after it
     big = (un >= 65535) | (vn >= 65535)
     return big | ((un * den >= vn * num) & (vn * den >= un * num) & (room >= need))
 
 
-def _word(e: str) -> Column:
-    return F.shiftrightunsigned(e, 32)
+def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> DataFrame:
+    """Rows (a, b) for pairs of classes, and rows (a, entry, doc_id) for the
+    entries under words with more than ``few_entries``.  ``entries`` (entry, a, doc_id) come word by
+    word, the smallest document first."""
+    names = [f.split()[0] for f in _FOUND.split(", ")]
+
+    def pairs(e, k, i, j):
+        n, p = (e >> 16) & 65535, e & 65535
+        ok = (k[i] != k[j]) & _fits(n[i], p[i], n[j], p[j], num, den, np.ceil, np.minimum)
+        lo, hi = np.minimum(k[i][ok], k[j][ok]), np.maximum(k[i][ok], k[j][ok])
+        return np.stack([lo, hi], axis=1)
+
+    def out(ab, e=None, k=None, d=None):
+        if e is None:
+            ab = np.unique(ab, axis=0) if len(ab) else ab
+            none = pa.nulls(len(ab), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), none, none], names)
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.int64()), pa.array(e), d], names)
+
+    def few(e, k):
+        """All pairs under each word; words are runs of equal high halves."""
+        w = e >> 32
+        got, left, step = [np.zeros((0, 2), np.int64)], np.arange(len(e) - 1), 1
+        while len(left):
+            left = left[left + step < len(e)]
+            left = left[w[left + step] == w[left]]
+            got.append(pairs(e, k, left, left + step))
+            step += 1
+        return np.concatenate(got)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        he, hk, hd = np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.int64())   # the last word, if it has few so far
+        lead: dict[int, tuple[int, int]] = {}               # of a word with many: size -> its earliest entry
+        lead_word = None                                    # the last word, if it has many
+
+        def many(e, k, d):
+            n = (e >> 16) & 65535
+            for size, i in zip(*np.unique(n, return_index=True)):
+                lead.setdefault(int(size), (int(e[i]), int(k[i])))
+            i, got = np.arange(len(e)), []
+            for x, y in lead.values():                      # each length's earliest against this part
+                got.append(pairs(np.append(e, x), np.append(k, y), i, np.full(len(e), len(e))))
+            yield out(np.concatenate(got))
+            yield out(None, e, k, d)
 
-def _size(e: str) -> Column:
-    return F.shiftrightunsigned(e, 16).bitwiseAND(F.lit(65535).cast("long")).cast("long")
+        for b in batches:
+            e = np.concatenate([he, b.column(0).to_numpy(zero_copy_only=False)])
+            k = np.concatenate([hk, b.column(1).to_numpy(zero_copy_only=False)])
+            d = pa.concat_arrays([hd, b.column(2)])
+            if not len(e):
+                continue
+            w = e >> 32
+            start = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            size = np.diff(np.append(start, len(e)))
+            if lead_word == w[0]:                           # goes on from the batch before
+                z = int(size[0])
+                yield from many(e[:z], k[:z], d.slice(0, z))
+                start, size = start[1:], size[1:]
+            keep = len(e)
+            if len(start):
+                lead_word = None
+                lead.clear()
+                if size[-1] <= few_entries:                 # may go on in the next batch
+                    keep = int(start[-1])
+                    start, size = start[:-1], size[:-1]
+                else:
+                    lead_word = w[-1]
+            for s, z in zip(start[size > few_entries].tolist(), size[size > few_entries].tolist()):
+                lead.clear()
+                yield from many(e[s:s + z], k[s:s + z], d.slice(s, z))
+            if lead_word is None:
+                lead.clear()
+            if len(start):
+                sel = int(start[0]) + np.flatnonzero(np.repeat(size <= few_entries, size))
+                if len(sel):
+                    yield out(few(e[sel], k[sel]))
+            he, hk, hd = e[keep:], k[keep:], d.slice(keep)
+        if len(he):
+            yield out(few(he, hk))
+
+    word = F.shiftrightunsigned("entry", 32)
+    dealt = entries.repartition(word).sortWithinPartitions(F.shiftright("entry", 32), "doc_id", "a", "entry")
+    return dealt.select("entry", "a", "doc_id").mapInArrow(run, _FOUND)
+
+
+def _filter_bits(rows: DataFrame, hashed: Column) -> np.ndarray:
+    """A membership filter of fixed size: a bitmap over a hash."""
+    at = hashed.bitwiseAND(F.lit((1 << FILTER_BITS) - 1).cast("long")) + 1    # Spark's bitmaps count from 1
+    got = rows.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m"))
+    out = np.zeros((1 << FILTER_BITS) // 8 + 4096, np.uint8)
+    for r in got.collect():                    # 2**FILTER_BITS bits in all
+        lo = (r["b"] - 1) * 4096
+        out[lo:lo + 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return out
 
 
-def _pos(e: str) -> Column:
-    return F.col(e).bitwiseAND(F.lit(65535).cast("long"))
+def _inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = (h & _U((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _wanted(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (2**WANTED_BITS bits) over the keys in k1."""
-    at = F.col("k1").bitwiseAND(F.lit((1 << WANTED_BITS) - 1).cast("long")) + 1    # Spark's bitmaps count from 1
-    rows = keys.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m"))
-    out = np.zeros((1 << WANTED_BITS) // 8 + 4096, np.uint8)
-    for r in rows.toLocalIterator():
-        lo = (r["b"] - 1) * 4096
-        out[lo:lo + 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
-    return out
+def _hash_id(d: int | None) -> int:
+    """Spark's xxhash64 of a long."""
+    return 42 if d is None else xxhash.xxh64_intdigest(struct.pack("<q", d), 42)
+
 
+def _may_be_in(docs: DataFrame, id_col: str, rows: DataFrame) -> Column:
+    """Whether a row's id may be among those of ``rows`` (doc_id); false only
+    if it is not."""
+    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(rows, F.xxhash64("doc_id")))
 
-def _class_words(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(k1, k2, words) of the classes in ``keys`` (k1, k2), read from the
-    texts again; a bitmap keeps most other lines from leaving the tasks."""
-    sc = docs.sparkSession.sparkContext
-    sent = sc.broadcast(_wanted(keys))
+    @F.pandas_udf("boolean")
+    def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            h = np.array([_hash_id(None if pd.isna(d) else int(d)) for d in s], _U)
+            yield pd.Series(_inside(sent.value, h))
+    return test(F.col(id_col).cast("long"))
+
+
+def _class_words(docs: DataFrame, places: DataFrame, counts) -> DataFrame:
+    """(k1, bits, words) of the lines at ``places`` (doc_id, line_no), read
+    from the texts; filters keep most other lines from leaving the tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, F.xxhash64("doc_id", "line_no")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = sent.value
         for b in batches:
-            raw = [_folded(t) for t in b.column(0).to_pylist()]
-            for x, z in sub_batches(raw):
-                text, number, lo, hi, h = line_words(raw[x:z])
-                k1, k2, _ = _keys(lo, h)
-                bit = k1 & ((1 << WANTED_BITS) - 1)
-                hit = np.flatnonzero((want[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                split: dict[int, list[bytes]] = {}
-                lines = []
-                for i in hit:
-                    t = int(text[i])
-                    if t not in split:
-                        split[t] = raw[x + t].split(b"\n")
-                    lines.append(split[t][number[i]].decode("utf-8", "replace"))
-                if lines:
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), pa.array(lines, pa.string())], ["k1", "k2", "line"])
-
-    found = docs.select("text").mapInArrow(run, "k1 long, k2 long, line string")
-    found = found.join(keys, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    return found.select("k1", "k2", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
-
-
-def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5)) -> tuple[DataFrame, DataFrame]:
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                raw = _folded(t).split(b"\n")
+                seed = _hash_id(d)
+                h = np.array([xxhash.xxh64_intdigest(struct.pack("<i", i), seed) for i in range(len(raw))], _U)
+                raw = [x for x, hit in zip(raw, _inside(sent.value, h)) if hit and x.strip()]
+                if raw:
+                    text, _, lo, words, _ = line_words(raw, counts.value)
+                    k1, bits = _keys(lo, words)
+                    yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
+
+    some = docs.where(_may_be_in(docs, "doc_id", places)).select("doc_id", "text")
+    found = some.mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
+    return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
+
+
+def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entries: int = FEW) -> tuple[DataFrame, DataFrame]:
     """(lines, classes) of ``docs`` (doc_id, text): every non-blank line
-    with its class keys k1, k2, and every class with the place of its first line
-    (first_doc, first_line) and ``matched``: whether a class that begins
-    earlier has a Jaccard similarity of num/den or more to it."""
+    (doc_id, line_no, k1, bits), and every class (k1, bits) with the place of its first line
+    (first) and ``matched``: whether a class that begins earlier has a Jaccard
+    similarity of num/den or more to it."""
     num, den = similarity
-    spark = docs.sparkSession
-    counts = spark.sparkContext.broadcast(word_counts(docs))
+    counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
     lines = stored(_lines(docs, counts, num, den), "lines")
-    place = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-    classes = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.min("n").alias("n"), F.min("bits").alias("bits"),
-                                            F.max("prefix").alias("prefix"))
-    classes = stored(classes, "line-classes")
-    index = classes.where(F.size("prefix") > 0).select(F.explode("prefix").alias("e"), "k1", "k2", "first")
-    index = index.select(_word("e").alias("w"), _size("e").alias("n"), _pos("e").alias("p"), "k1", "k2", "first")
-    earliest = index.groupBy("w", "n").agg(F.min(F.struct("first", "k1", "k2", "p")).alias("lead"))
-    lead = earliest.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("lead.p").alias("vp"), F.col("lead.k1").alias("v1"),
-                           F.col("lead.k2").alias("v2"), F.col("lead.first").alias("vfirst"))
-    entry = index.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("k1").alias("v1"),
-                         F.col("k2").alias("v2"), F.col("first").alias("vfirst"))
-
-    def candidates(probe: DataFrame, other: DataFrame) -> DataFrame:
-        near = (F.col("w") == F.col("vw")) & (F.col("vfirst") < F.col("first")) & _may_match(num, den, F.col("n"), F.col("p"), F.col("vn"), F.col("vp"))
-        return probe.join(other, near).select("k1", "k2", "v1", "v2").distinct()
+    classes = stored(lines.groupBy("k1", "bits").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.min("n").alias("n")), "line-classes")
+    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("k1").alias("a"), "doc_id")
+    found = stored(_candidates(entries, num, den, few_entries), "line-candidates")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = classes.select("k1", "k2", "n", "bits")
-        other = classes.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("n").alias("vn"), F.col("bits").alias("vbits"))
-        p = pairs.join(side, ["k1", "k2"]).join(other, ["v1", "v2"])
+        """Classes of ``pairs`` (a, b) that match an earlier one."""
+        p = pairs.distinct()
+        for k, m in (("a", "u"), ("b", "v")):
+            p = p.join(classes.select(F.col("k1").alias(k), *[F.col(c).alias(m + c) for c in ("bits", "n", "first")]), k)
         # the symmetric difference is at least the number of differing bitmap bits
-        p = p.where(F.bit_count(F.col("bits").bitwiseXOR(F.col("vbits"))) * (den + num) <= (F.col("n") + F.col("vn")) * (den - num))
-        p = stored(p.select("k1", "k2", "v1", "v2"), "line-pairs")
-        keys = p.select("k1", "k2").union(p.select(F.col("v1").alias("k1"), F.col("v2").alias("k2"))).distinct()
-        words = stored(_class_words(docs, stored(keys, "line-keys")), "line-words")
-        vwords = words.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("words").alias("vwords"))
-        p = p.join(words, ["k1", "k2"]).join(vwords, ["v1", "v2"])
-        both = F.size(F.array_intersect("words", "vwords"))
-        return p.where(both * den >= (F.size("words") + F.size("vwords") - both) * num).select("k1", "k2").distinct()
-
-    settled = stored(verified(candidates(index, lead)), "line-settled")
-    rest = index.join(settled, ["k1", "k2"], "left_anti")
-    matched = settled.union(verified(candidates(rest, entry))).withColumn("matched", F.lit(True))
-    classes = classes.join(matched, ["k1", "k2"], "left").select(
-        "k1", "k2", F.col("first.d").alias("first_doc"), F.col("first.l").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched"))
-    return lines.select("doc_id", "line_no", "k1", "k2"), stored(classes, "line-matched")
-
-
-def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lines, removed): for each document with a non-blank line the
-    number of these and the sorted numbers (from 0) of the lines to remove.
+        p = p.where(F.bit_count(F.col("ubits").bitwiseXOR(F.col("vbits"))) * (den + num) <= (F.col("un") + F.col("vn")) * (den - num))
+        p = p.where(F.col("ufirst") != F.col("vfirst"))
+        late = F.col("ufirst") > F.col("vfirst")
+        p = stored(p.select(F.struct(F.col("a").alias("k1"), F.col("ubits").alias("bits")).alias("u"), F.struct(F.col("b").alias("k1"), F.col("vbits").alias("bits")).alias("v"),
+                            "ufirst", "vfirst", late.alias("late")), "line-pairs")
+        places = stored(p.select("ufirst.*").union(p.select("vfirst.*")).distinct(), "line-places")
+        words = stored(_class_words(docs, places, counts), "line-words")
+        for m in ("u", "v"):
+            p = p.join(words.select(F.struct("k1", "bits").alias(m), F.col("words").alias(m + "words")), m)
+        both = F.size(F.array_intersect("uwords", "vwords"))
+        p = p.where(both * den >= (F.size("uwords") + F.size("vwords") - both) * num)
+        return p.select(F.when(F.col("late"), F.col("u")).otherwise(F.col("v")).alias("x")).select("x.*").distinct()
+
+    settled = stored(verified(found.where("b is not null").select("a", "b")), "line-settled")
+    # under words with many entries: the open classes against all that begin earlier
+    many = found.where("entry is not null").select("entry", F.col("a").alias("k1")).distinct()
+    many = many.join(classes.select("k1", "bits", "first"), "k1").select(
+        F.shiftright("entry", 32).alias("w"), F.shiftright("entry", 16).bitwiseAND(F.lit(65535).cast("long")).alias("n"),
+        F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "first")
+    many = stored(many, "line-many")
+    probe = many.join(settled, ["k1", "bits"], "left_anti").select("w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("k1").alias("a"), F.col("first").alias("ufirst"))
+    other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("k1").alias("b"), F.col("first").alias("vfirst"))
+    near = _fits(F.col("un"), F.col("up"), F.col("vn"), F.col("vp"), num, den, F.ceil, F.least)
+    rest = probe.join(other, (F.col("w") == F.col("vw")) & (F.col("vfirst") < F.col("ufirst")) & near).select("a", "b")
+    matched = settled.union(verified(rest)).distinct().withColumn("matched", F.lit(True))
+    classes = classes.join(matched, ["k1", "bits"], "left").select("k1", "bits", "first", F.coalesce("matched", F.lit(False)).alias("matched"))
+    return lines.select("doc_id", "line_no", "k1", "bits"), classes
+
+
+def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
+                  few_entries: int = FEW) -> DataFrame:
+    """(doc_id, removed): for each document that loses lines their sorted
+    numbers (from 0).
 
     Later means a larger document id (a null one comes first), then a larger
     line number.  Blank lines are never matched.  Lines of rows with an equal
     id stand at the same place and do not remove each other at an equal line number."""
-    d = id_and_text(docs, id_col, text_col)
-    lines, classes = line_classes(d, similarity)
-    j = lines.join(classes, ["k1", "k2"])
-    go = F.col("matched") | ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line")))
-    return j.groupBy("doc_id").agg(F.count("*").alias("lines"), F.sort_array(F.collect_set(F.when(go, F.col("line_no")))).alias("removed"))
+    lines, classes = line_classes(id_and_text(docs, id_col, text_col), similarity, few_entries)
+    j = lines.join(classes, ["k1", "bits"])
+    place = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
+    return j.where(F.col("matched") | ~place).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
-                out: str = "__line_dedup") -> DataFrame:
+                out: str = "__line_dedup", few_entries: int = FEW) -> DataFrame:
     """``docs``, all rows and columns, with a struct column ``out``: text
-    (the text without the removed lines), lines (non-blank lines), removed
-    (numbers of removed lines).
-
-    Null and empty texts stay as they are, with 0 lines.  A text of which no
-    line is left is empty.  An empty table gives an empty result."""
-    r = removed_lines(docs, similarity, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("lines").alias("__lines"), F.col("removed").alias("__removed"))
-    j = docs.join(r, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left")
+    (the text without the removed lines) and removed (their numbers from 0).
+
+    Null and empty texts stay as they are.  A text of which no line is left is
+    empty.  An empty table gives an empty result."""
+    r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries), "line-removed")
     text = F.col(text_col).cast("string")
-    gone = F.coalesce("__removed", F.array().cast("array<int>"))
+    hit = docs.withColumn("__hit", _may_be_in(docs, id_col, r))     # the others need no join
+    none = F.array().cast("array<int>")
+    same = hit.where(~F.col("__hit")).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
+    r = r.select(F.col("doc_id").alias("__id"), F.col("removed").alias("__removed"))
+    j = hit.where("__hit").join(r, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left")
+    gone = F.coalesce("__removed", none)
     kept = F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(
         F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n"))
-    return j.withColumn(out, F.struct(kept.alias("text"), F.coalesce("__lines", F.lit(0)).alias("lines"), gone.alias("removed"))).drop("__id", "__lines", "__removed")
+    cut = j.withColumn(out, F.struct(kept.alias("text"), gone.alias("removed")))
+    return same.select(*docs.columns, out).union(cut.select(*docs.columns, out))

@@ -53,10 +53,10 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: non-blank lines, removed lines (Jaccard similarity of
-    0.8 or more to an earlier line) and the remaining text's digest."""
+    """Per document: how many lines go (Jaccard similarity of 0.8 or more to
+    an earlier line) and the remaining text's digest."""
     got = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), (4, 5), out="__out")
-    return got.select("doc_id", F.col("__out.lines").alias("lines"), F.size("__out.removed").cast("long").alias("removed"),
+    return got.select("doc_id", F.size("__out.removed").cast("long").alias("removed"),
                       F.sha2(F.col("__out.text"), 256).alias("kept_sha256"))
 
 
@@ -74,8 +74,8 @@ o AS (SELECT a.c, a.n AS an, b.n AS bn, count(*) AS shared FROM w a JOIN w b ON
 hit AS (SELECT DISTINCT c FROM o WHERE shared * 5 >= (an + bn - shared) * 4),
 gone AS (SELECT s.doc_id, s.line_no, (hit.c IS NOT NULL OR (s.doc_id, s.line_no) <> c.first) AS gone
          FROM solid s JOIN c ON s.ws = c.ws LEFT JOIN hit ON hit.c = c.c),
-per AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (gone) AS removed, list(line_no) FILTER (gone) AS nos FROM gone GROUP BY doc_id)
-SELECT raw.doc_id, coalesce(per.lines, 0) AS lines, coalesce(per.removed, 0) AS removed,
+per AS (SELECT doc_id, count(*) FILTER (gone) AS removed, list(line_no) FILTER (gone) AS nos FROM gone GROUP BY doc_id)
+SELECT raw.doc_id, coalesce(per.removed, 0) AS removed,
        sha256(array_to_string([ls[i] FOR i IN range(1, len(ls) + 1) IF per.nos IS NULL OR NOT list_contains(per.nos, i - 1)], chr(10))) AS kept_sha256
 FROM raw LEFT JOIN per USING (doc_id)"""
 

@@ -89,7 +89,8 @@ def links(codes: DataFrame, max_bits: int = 2, bucket_cap: int = 32) -> DataFram
     idx = _variants(codes, 2)
     size = idx.groupBy("key").agg(F.count("*").alias("n"))
     shared = stored(size.where("n > 1"), "simhash-buckets")
-    hits = stored(idx.join(shared, "key"), "simhash-hits")  # only members of shared buckets
+    # members of shared buckets; merged at every size, as the buckets grow with the corpus
+    hits = stored(idx.join(shared.hint("merge"), "key"), "simhash-hits")
     few = hits.where(F.col("n") <= bucket_cap).select("key", "code")
     pairs = (few.select("key", F.col("code").alias("u")).join(few.select("key", F.col("code").alias("v")), "key")
              .where((F.col("u") < F.col("v")) & (_bits("u", "v") <= max_bits)).select("u", "v"))

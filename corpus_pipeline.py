@@ -39,10 +39,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove lines that repeat an earlier line; documents of which no word
     is left through that go."""
     got = line_dedup.dedup_lines(docs, out="__out")
-    left = F.col("__out.lines") > F.size("__out.removed")
     text = F.col("__out.text")
+    left = text.rlike(r"[^ \t\n\x0B\f\r]")
     cols = [text.alias(c) if c == "text" else F.coalesce(F.char_length(text), F.lit(0)).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return got.where(left | (F.size("__out.removed") == 0)).select(*cols)
+    return got.where((F.size("__out.removed") == 0) | left).select(*cols)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
