@@ -34,10 +34,11 @@ from .common import id_and_text, stored, sub_batches
 RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
 FILTER_BITS = 26            # bits of the membership filters
-FEW = 64                    # entries under a word up to which all pairs are candidates
+FEW = 512                   # entries under a word up to which all pairs are candidates
+NO_ID = -(1 << 63)          # stands for a null document id, which comes first
 _U = np.uint64
-_LINES = "doc_id long, line_no int, k1 long, bits long, n int, prefix array<long>"
-_FOUND = "a long, b long, entry long, doc_id long"
+_LINES = "doc long, line_no int, k1 long, bits long, n int, prefix array<long>"
+_FOUND = "a long, adoc long, b long, bdoc long, entry long"
 
 
 def _folded(t: str | None) -> bytes:
@@ -168,7 +169,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(entry.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([ids[x + i] for i in text], pa.int64()), pa.array(number.astype(np.int32)), pa.array(k1), pa.array(bits),
                                                   pa.array(n.astype(np.int32)), prefix], [f.split()[0] for f in _LINES.split(", ")])
-    return docs.select("doc_id", "text").mapInArrow(run, _LINES)
+    return docs.select("doc", "text").mapInArrow(run, _LINES)
 
 
 def _fits(un, up, vn, vp, num: int, den: int, ceiling, least):
@@ -180,65 +181,73 @@ def _fits(un, up, vn, vp, num: int, den: int, ceiling, least):
     return big | ((un * den >= vn * num) & (vn * den >= un * num) & (room >= need))
 
 
+def _near_bits(ubits, vbits, un, vn, num: int, den: int, ones):
+    """Whether two sets' bitmaps allow the similarity: their symmetric
+    difference is at least the number of differing bits."""
+    return (ones(ubits, vbits) * (den + num) <= (un + vn) * (den - num)) | (un >= 65535) | (vn >= 65535)
+
+
 def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> DataFrame:
-    """Rows (a, b) for pairs of classes, and rows (a, entry, doc_id) for the
-    entries under words with more than ``few_entries``.  ``entries`` (entry, a, doc_id) come word by
-    word, the smallest document first."""
+    """Rows (a, adoc, b, bdoc) for pairs of lines, each told by bitmap and
+    document, and rows (a, adoc, entry) for the entries under words with more than
+    ``few_entries``.  ``entries`` (entry, a, adoc) come word by word, the smallest
+    document first."""
     names = [f.split()[0] for f in _FOUND.split(", ")]
-
-    def pairs(e, k, i, j):
-        n, p = (e >> 16) & 65535, e & 65535
-        ok = (k[i] != k[j]) & _fits(n[i], p[i], n[j], p[j], num, den, np.ceil, np.minimum)
-        lo, hi = np.minimum(k[i][ok], k[j][ok]), np.maximum(k[i][ok], k[j][ok])
-        return np.stack([lo, hi], axis=1)
-
-    def out(ab, e=None, k=None, d=None):
-        if e is None:
-            ab = np.unique(ab, axis=0) if len(ab) else ab
-            none = pa.nulls(len(ab), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), none, none], names)
-        return pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.int64()), pa.array(e), d], names)
-
-    def few(e, k):
-        """All pairs under each word; words are runs of equal high halves."""
-        w = e >> 32
-        got, left, step = [np.zeros((0, 2), np.int64)], np.arange(len(e) - 1), 1
+    empty = np.zeros((3, 0), np.int64)
+
+    def pairs(x, y):
+        """Those of the pairs of entries (columns of x and y) that pass."""
+        xn, yn = (x[0] >> 16) & 65535, (y[0] >> 16) & 65535
+        ok = _fits(xn, x[0] & 65535, yn, y[0] & 65535, num, den, np.ceil, np.minimum)
+        ok &= (x[1] != y[1]) | (x[2] != y[2])
+        x, y, xn, yn = x[:, ok], y[:, ok], xn[ok], yn[ok]
+        ok = _near_bits(x[1], y[1], xn, yn, num, den, lambda a, b: np.bitwise_count(a ^ b).astype(np.int64))
+        return np.stack([x[1][ok], x[2][ok], y[1][ok], y[2][ok]])
+
+    def few(x):
+        """All pairs under each word, by size, as far as sizes are alike."""
+        w, n = x[0] >> 32, (x[0] >> 16) & 65535
+        order = np.lexsort((n, w)) if len(w) else np.zeros(0, np.int64)
+        x, w, n = x[:, order], w[order], n[order]
+        got, left, step = [], np.arange(len(w)), 1
         while len(left):
-            left = left[left + step < len(e)]
-            left = left[w[left + step] == w[left]]
-            got.append(pairs(e, k, left, left + step))
+            left = left[left + step < len(w)]
+            to = left + step
+            go = (w[to] == w[left]) & ((n[left] * den >= n[to] * num) | (n[to] >= 65535))
+            left, to = left[go], to[go]
+            got.append(pairs(x[:, left], x[:, to]))
             step += 1
-        return np.concatenate(got)
+        return np.concatenate(got, axis=1) if got else np.zeros((4, 0), np.int64)
+
+    def out(ab):
+        swap = (ab[0] > ab[2]) | ((ab[0] == ab[2]) & (ab[1] > ab[3]))
+        ab = np.unique(np.where(swap, ab[[2, 3, 0, 1]], ab), axis=1) if ab.shape[1] else ab
+        return pa.RecordBatch.from_arrays([*map(pa.array, ab), pa.nulls(ab.shape[1], pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        he, hk, hd = np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.int64())   # the last word, if it has few so far
-        lead: dict[int, tuple[int, int]] = {}               # of a word with many: size -> its earliest entry
+        held = empty                                        # the last word, if it has few entries so far
+        lead: dict[int, np.ndarray] = {}                    # of a word with many: size -> its earliest entry
         lead_word = None                                    # the last word, if it has many
 
-        def many(e, k, d):
-            n = (e >> 16) & 65535
+        def many(x):
+            n = (x[0] >> 16) & 65535
             for size, i in zip(*np.unique(n, return_index=True)):
-                lead.setdefault(int(size), (int(e[i]), int(k[i])))
-            i, got = np.arange(len(e)), []
-            for x, y in lead.values():                      # each length's earliest against this part
-                got.append(pairs(np.append(e, x), np.append(k, y), i, np.full(len(e), len(e))))
-            yield out(np.concatenate(got))
-            yield out(None, e, k, d)
+                lead.setdefault(int(size), x[:, i:i + 1])
+            yield out(np.concatenate([pairs(x, np.repeat(y, x.shape[1], axis=1)) for y in lead.values()], axis=1))
+            none = pa.nulls(x.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x[1]), pa.array(x[2]), none, none, pa.array(x[0])], names)
 
         for b in batches:
-            e = np.concatenate([he, b.column(0).to_numpy(zero_copy_only=False)])
-            k = np.concatenate([hk, b.column(1).to_numpy(zero_copy_only=False)])
-            d = pa.concat_arrays([hd, b.column(2)])
-            if not len(e):
+            x = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns])], axis=1)
+            if not x.shape[1]:
                 continue
-            w = e >> 32
+            w = x[0] >> 32
             start = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-            size = np.diff(np.append(start, len(e)))
+            size = np.diff(np.append(start, len(w)))
             if lead_word == w[0]:                           # goes on from the batch before
-                z = int(size[0])
-                yield from many(e[:z], k[:z], d.slice(0, z))
+                yield from many(x[:, :int(size[0])])
                 start, size = start[1:], size[1:]
-            keep = len(e)
+            keep = len(w)
             if len(start):
                 lead_word = None
                 lead.clear()
@@ -249,20 +258,19 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> Dat
                     lead_word = w[-1]
             for s, z in zip(start[size > few_entries].tolist(), size[size > few_entries].tolist()):
                 lead.clear()
-                yield from many(e[s:s + z], k[s:s + z], d.slice(s, z))
+                yield from many(x[:, s:s + z])
             if lead_word is None:
                 lead.clear()
             if len(start):
                 sel = int(start[0]) + np.flatnonzero(np.repeat(size <= few_entries, size))
                 if len(sel):
-                    yield out(few(e[sel], k[sel]))
-            he, hk, hd = e[keep:], k[keep:], d.slice(keep)
-        if len(he):
-            yield out(few(he, hk))
+                    yield out(few(x[:, sel]))
+            held = x[:, keep:]
+        if held.shape[1]:
+            yield out(few(held))
 
-    word = F.shiftrightunsigned("entry", 32)
-    dealt = entries.repartition(word).sortWithinPartitions(F.shiftright("entry", 32), "doc_id", "a", "entry")
-    return dealt.select("entry", "a", "doc_id").mapInArrow(run, _FOUND)
+    dealt = entries.repartition(F.shiftrightunsigned("entry", 32)).sortWithinPartitions(F.shiftright("entry", 32), "adoc", "a", "entry")
+    return dealt.select("entry", "a", "adoc").mapInArrow(run, _FOUND)
 
 
 def _filter_bits(rows: DataFrame, hashed: Column) -> np.ndarray:
@@ -281,34 +289,30 @@ def _inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _hash_id(d: int | None) -> int:
-    """Spark's xxhash64 of a long."""
-    return 42 if d is None else xxhash.xxh64_intdigest(struct.pack("<q", d), 42)
-
-
-def _may_be_in(docs: DataFrame, id_col: str, rows: DataFrame) -> Column:
-    """Whether a row's id may be among those of ``rows`` (doc_id); false only
-    if it is not."""
-    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(rows, F.xxhash64("doc_id")))
+def _may_match(rows: DataFrame, hashed: Column) -> Column:
+    """Tests a hash (a column of another table, by calling) against those of
+    ``rows``: false only if it is not among them.  It spares a join the shuffle of
+    most rows that find nothing."""
+    sent = rows.sparkSession.sparkContext.broadcast(_filter_bits(rows, hashed))
 
     @F.pandas_udf("boolean")
     def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            h = np.array([_hash_id(None if pd.isna(d) else int(d)) for d in s], _U)
-            yield pd.Series(_inside(sent.value, h))
-    return test(F.col(id_col).cast("long"))
+            yield pd.Series(_inside(sent.value, s.to_numpy(np.int64).view(_U)))
+    return test
 
 
 def _class_words(docs: DataFrame, places: DataFrame, counts) -> DataFrame:
-    """(k1, bits, words) of the lines at ``places`` (doc_id, line_no), read
-    from the texts; filters keep most other lines from leaving the tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, F.xxhash64("doc_id", "line_no")))
+    """(k1, bits, words) of the lines at ``places`` (doc, line_no), read from
+    the texts; filters keep most other lines from leaving the tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, F.xxhash64("doc", "line_no")))
+    test = _may_match(places, F.xxhash64("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = _folded(t).split(b"\n")
-                seed = _hash_id(d)
+                seed = xxhash.xxh64_intdigest(struct.pack("<q", d), 42)     # as Spark hashes (doc, line_no)
                 h = np.array([xxhash.xxh64_intdigest(struct.pack("<i", i), seed) for i in range(len(raw))], _U)
                 raw = [x for x, hit in zip(raw, _inside(sent.value, h)) if hit and x.strip()]
                 if raw:
@@ -316,56 +320,67 @@ def _class_words(docs: DataFrame, places: DataFrame, counts) -> DataFrame:
                     k1, bits = _keys(lo, words)
                     yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
 
-    some = docs.where(_may_be_in(docs, "doc_id", places)).select("doc_id", "text")
+    some = docs.where(test(F.xxhash64("doc"))).select("doc", "text")
     found = some.mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
     return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
 
 
 def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entries: int = FEW) -> tuple[DataFrame, DataFrame]:
-    """(lines, classes) of ``docs`` (doc_id, text): every non-blank line
-    (doc_id, line_no, k1, bits), and every class (k1, bits) with the place of its first line
-    (first) and ``matched``: whether a class that begins earlier has a Jaccard
-    similarity of num/den or more to it."""
+    """(lines, marked) of ``docs`` (doc, text): every non-blank line (doc,
+    line_no, k1, bits), and the classes (k1, bits) that have several lines or match: the place of the
+    first line (first) and ``matched``, whether a class that begins earlier has a
+    Jaccard similarity of num/den or more to it."""
     num, den = similarity
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
     lines = stored(_lines(docs, counts, num, den), "lines")
-    classes = stored(lines.groupBy("k1", "bits").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.min("n").alias("n")), "line-classes")
-    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("k1").alias("a"), "doc_id")
+    place = F.struct("doc", "line_no")
+    # classes of one line need no entry here: it is their first
+    repeated = stored(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
+    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"))
     found = stored(_candidates(entries, num, den, few_entries), "line-candidates")
 
+    def named(rows: DataFrame) -> DataFrame:
+        """The class (k1, bits, n, first) of lines told by (bits, doc)."""
+        test = _may_match(rows, F.xxhash64("bits", "doc"))
+        own = lines.where(test(F.xxhash64("bits", "doc"))).select("k1", "bits", "n", "doc", place.alias("own")).join(rows, ["bits", "doc"], "left_semi")
+        rep = repeated.select("k1", "bits", "first")
+        return own.join(rep, ["k1", "bits"], "left").select("doc", "k1", "bits", "n", F.coalesce("first", "own").alias("first")).distinct()
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """Classes of ``pairs`` (a, b) that match an earlier one."""
-        p = pairs.distinct()
-        for k, m in (("a", "u"), ("b", "v")):
-            p = p.join(classes.select(F.col("k1").alias(k), *[F.col(c).alias(m + c) for c in ("bits", "n", "first")]), k)
-        # the symmetric difference is at least the number of differing bitmap bits
-        p = p.where(F.bit_count(F.col("ubits").bitwiseXOR(F.col("vbits"))) * (den + num) <= (F.col("un") + F.col("vn")) * (den - num))
-        p = p.where(F.col("ufirst") != F.col("vfirst"))
-        late = F.col("ufirst") > F.col("vfirst")
-        p = stored(p.select(F.struct(F.col("a").alias("k1"), F.col("ubits").alias("bits")).alias("u"), F.struct(F.col("b").alias("k1"), F.col("vbits").alias("bits")).alias("v"),
-                            "ufirst", "vfirst", late.alias("late")), "line-pairs")
+        """Classes of ``pairs`` (a, adoc, b, bdoc) that match an earlier one."""
+        p = stored(pairs.distinct(), "line-found")
+        who = stored(named(p.select(F.col("a").alias("bits"), F.col("adoc").alias("doc")).union(p.select("b", "bdoc")).distinct()), "line-named")
+        for side, m in (("a", "u"), ("b", "v")):
+            p = p.join(who.select(F.col("bits").alias(side), F.col("doc").alias(side + "doc"), F.struct("k1", "bits").alias(m), F.col("first").alias(m + "first")), [side, side + "doc"])
+        p = p.where((F.col("u") != F.col("v")) & (F.col("ufirst") != F.col("vfirst")))
+        p = stored(p.select("u", "v", "ufirst", "vfirst", (F.col("ufirst") > F.col("vfirst")).alias("late")).distinct(), "line-pairs")
         places = stored(p.select("ufirst.*").union(p.select("vfirst.*")).distinct(), "line-places")
         words = stored(_class_words(docs, places, counts), "line-words")
         for m in ("u", "v"):
             p = p.join(words.select(F.struct("k1", "bits").alias(m), F.col("words").alias(m + "words")), m)
         both = F.size(F.array_intersect("uwords", "vwords"))
         p = p.where(both * den >= (F.size("uwords") + F.size("vwords") - both) * num)
-        return p.select(F.when(F.col("late"), F.col("u")).otherwise(F.col("v")).alias("x")).select("x.*").distinct()
+        late = F.col("late")
+        return p.select(F.when(late, F.col("u")).otherwise(F.col("v")).alias("x"), F.when(late, F.col("ufirst")).otherwise(F.col("vfirst")).alias("first")).select("x.*", "first").distinct()
 
-    settled = stored(verified(found.where("b is not null").select("a", "b")), "line-settled")
+    settled = stored(verified(found.where("entry is null").select("a", "adoc", "b", "bdoc")), "line-settled")
     # under words with many entries: the open classes against all that begin earlier
-    many = found.where("entry is not null").select("entry", F.col("a").alias("k1")).distinct()
-    many = many.join(classes.select("k1", "bits", "first"), "k1").select(
+    many = stored(found.where("entry is not null").select("entry", F.col("a").alias("bits"), F.col("adoc").alias("doc")), "line-many")
+    who = named(many.select("bits", "doc").distinct())
+    many = many.join(who.drop("n"), ["bits", "doc"]).groupBy("k1", "bits", "first", "entry").agg(F.min("doc").alias("doc")).select(
         F.shiftright("entry", 32).alias("w"), F.shiftright("entry", 16).bitwiseAND(F.lit(65535).cast("long")).alias("n"),
-        F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "first")
+        F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "first", "doc")
     many = stored(many, "line-many")
-    probe = many.join(settled, ["k1", "bits"], "left_anti").select("w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("k1").alias("a"), F.col("first").alias("ufirst"))
-    other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("k1").alias("b"), F.col("first").alias("vfirst"))
-    near = _fits(F.col("un"), F.col("up"), F.col("vn"), F.col("vp"), num, den, F.ceil, F.least)
-    rest = probe.join(other, (F.col("w") == F.col("vw")) & (F.col("vfirst") < F.col("ufirst")) & near).select("a", "b")
+    probe = many.join(settled.select("k1", "bits"), ["k1", "bits"], "left_anti").select(
+        "w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("first").alias("ufirst"))
+    other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("bits").alias("b"), F.col("doc").alias("bdoc"), F.col("first").alias("vfirst"))
+    near = _fits(F.col("un"), F.col("up"), F.col("vn"), F.col("vp"), num, den, F.ceil, F.least) & _near_bits(
+        F.col("a"), F.col("b"), F.col("un"), F.col("vn"), num, den, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    rest = probe.join(other, (F.col("w") == F.col("vw")) & (F.col("vfirst") < F.col("ufirst")) & near).select("a", "adoc", "b", "bdoc")
     matched = settled.union(verified(rest)).distinct().withColumn("matched", F.lit(True))
-    classes = classes.join(matched, ["k1", "bits"], "left").select("k1", "bits", "first", F.coalesce("matched", F.lit(False)).alias("matched"))
-    return lines.select("doc_id", "line_no", "k1", "bits"), classes
+    marked = repeated.select("k1", "bits", "first", F.lit(False).alias("matched")).union(matched.select("k1", "bits", "first", "matched"))
+    marked = marked.groupBy("k1", "bits").agg(F.min("first").alias("first"), F.max("matched").alias("matched"))
+    return lines.select("doc", "line_no", "k1", "bits"), stored(marked, "line-marked")
 
 
 def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
@@ -376,10 +391,13 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col:
     Later means a larger document id (a null one comes first), then a larger
     line number.  Blank lines are never matched.  Lines of rows with an equal
     id stand at the same place and do not remove each other at an equal line number."""
-    lines, classes = line_classes(id_and_text(docs, id_col, text_col), similarity, few_entries)
-    j = lines.join(classes, ["k1", "bits"])
-    place = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
-    return j.where(F.col("matched") | ~place).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    d = id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+    lines, marked = line_classes(d, similarity, few_entries)
+    test = _may_match(marked, F.xxhash64("k1", "bits"))
+    j = lines.where(test(F.xxhash64("k1", "bits"))).join(marked, ["k1", "bits"])
+    gone = F.col("matched") | (F.struct("doc", "line_no") != F.col("first"))
+    return j.where(gone).groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).select(
+        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "removed")
 
 
 def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
@@ -391,11 +409,12 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
     empty.  An empty table gives an empty result."""
     r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries), "line-removed")
     text = F.col(text_col).cast("string")
-    hit = docs.withColumn("__hit", _may_be_in(docs, id_col, r))     # the others need no join
+    ids = F.col(id_col).cast("long")
+    hit = docs.withColumn("__hit", _may_match(r, F.xxhash64("doc_id"))(F.xxhash64(ids)))     # the others need no join
     none = F.array().cast("array<int>")
     same = hit.where(~F.col("__hit")).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
     r = r.select(F.col("doc_id").alias("__id"), F.col("removed").alias("__removed"))
-    j = hit.where("__hit").join(r, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left")
+    j = hit.where("__hit").join(r, ids.eqNullSafe(F.col("__id")), "left")
     gone = F.coalesce("__removed", none)
     kept = F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(
         F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n"))
