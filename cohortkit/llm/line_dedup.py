@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from . import textnum as tn
 from .common import id_and_text, stored, sub_batches
 
-RARITY_BITS = 22            # buckets of the word counts
+RARITY_BITS = 23            # buckets of the word counts
 RARITY_BLOCK = 8192
 FILTER_BITS = 26            # bits of the membership filters
 FEW = 512                   # entries under a word up to which all pairs are candidates
 NO_ID = -(1 << 63)          # stands for a null document id, which comes first
 _U = np.uint64
-_LINES = "doc long, line_no int, k1 long, bits long, n int, prefix array<long>"
+_LINES = "doc long, line_no int, k1 long, bits long, bits2 long, n int, prefix array<long>"
 _FOUND = "a long, adoc long, b long, bdoc long, entry long"
 
 
@@ -88,15 +88,17 @@ def line_words(raw: list[bytes], rarity: np.ndarray):
     return text, lines - np.searchsorted(feeds, at[text]), lo, h, c
 
 
-def _keys(lo: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each word set: a 64-bit sum of hashes, and a 64-bit
-    parity bitmap (the number of bits in which two bitmaps differ is at most the
-    size of the symmetric difference)."""
+def _keys(lo: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word set a 64-bit sum of hashes and the two halves of a
+    parity bitmap of 128 bits (the number of bits in which two bitmaps differ is at most
+    the size of the symmetric difference).  The sum and the first half tell the class."""
     if not len(lo):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     k1 = np.add.reduceat(tn.mix(h ^ _U(0x1F83D9ABFB41BD6B)), lo)
-    bits = np.bitwise_xor.reduceat(_U(1) << (h & _U(63)), lo)
-    return k1.view(np.int64), bits.view(np.int64)
+    one, side = _U(1) << (h & _U(63)), (h & _U(64)) > 0
+    bits = np.bitwise_xor.reduceat(np.where(side, _U(0), one), lo)
+    bits2 = np.bitwise_xor.reduceat(np.where(side, one, _U(0)), lo)
+    return k1.view(np.int64), bits.view(np.int64), bits2.view(np.int64)
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
@@ -154,7 +156,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 if not len(lo):
                     continue
                 n = np.diff(np.append(lo, len(h)))
-                k1, bits = _keys(lo, h)
+                k1, bits, bits2 = _keys(lo, h)
                 fresh = np.zeros(len(lo), bool)
                 for i, k in enumerate(zip(k1.tolist(), bits.tolist())):
                     if k not in seen:
@@ -168,7 +170,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 many = np.bincount(line[use], minlength=len(lo))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(entry.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([ids[x + i] for i in text], pa.int64()), pa.array(number.astype(np.int32)), pa.array(k1), pa.array(bits),
-                                                  pa.array(n.astype(np.int32)), prefix], [f.split()[0] for f in _LINES.split(", ")])
+                                                  pa.array(bits2), pa.array(n.astype(np.int32)), prefix], [f.split()[0] for f in _LINES.split(", ")])
     return docs.select("doc", "text").mapInArrow(run, _LINES)
 
 
@@ -182,26 +184,25 @@ def _fits(un, up, vn, vp, num: int, den: int, ceiling, least):
 
 
 def _near_bits(ubits, vbits, un, vn, num: int, den: int, ones):
-    """Whether two sets' bitmaps allow the similarity: their symmetric
-    difference is at least the number of differing bits."""
-    return (ones(ubits, vbits) * (den + num) <= (un + vn) * (den - num)) | (un >= 65535) | (vn >= 65535)
+    """Whether two sets' bitmaps (pairs of halves) allow the similarity:
+    their symmetric difference is at least the number of differing bits."""
+    return ((ones(ubits[0], vbits[0]) + ones(ubits[1], vbits[1])) * (den + num) <= (un + vn) * (den - num)) | (un >= 65535) | (vn >= 65535)
 
 
 def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> DataFrame:
     """Rows (a, adoc, b, bdoc) for pairs of lines, each told by bitmap and
     document, and rows (a, adoc, entry) for the entries under words with more than
-    ``few_entries``.  ``entries`` (entry, a, adoc) come word by word, the smallest
+    ``few_entries``.  ``entries`` (entry, a, adoc, a2) come word by word, the smallest
     document first."""
     names = [f.split()[0] for f in _FOUND.split(", ")]
-    empty = np.zeros((3, 0), np.int64)
+    empty = np.zeros((4, 0), np.int64)
 
     def pairs(x, y):
         """Those of the pairs of entries (columns of x and y) that pass."""
         xn, yn = (x[0] >> 16) & 65535, (y[0] >> 16) & 65535
         ok = _fits(xn, x[0] & 65535, yn, y[0] & 65535, num, den, np.ceil, np.minimum)
-        ok &= (x[1] != y[1]) | (x[2] != y[2])
         x, y, xn, yn = x[:, ok], y[:, ok], xn[ok], yn[ok]
-        ok = _near_bits(x[1], y[1], xn, yn, num, den, lambda a, b: np.bitwise_count(a ^ b).astype(np.int64))
+        ok = _near_bits((x[1], x[3]), (y[1], y[3]), xn, yn, num, den, lambda a, b: np.bitwise_count(a ^ b).astype(np.int64))
         return np.stack([x[1][ok], x[2][ok], y[1][ok], y[2][ok]])
 
     def few(x):
@@ -270,7 +271,7 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> Dat
             yield out(few(held))
 
     dealt = entries.repartition(F.shiftrightunsigned("entry", 32)).sortWithinPartitions(F.shiftright("entry", 32), "adoc", "a", "entry")
-    return dealt.select("entry", "a", "adoc").mapInArrow(run, _FOUND)
+    return dealt.select("entry", "a", "adoc", "a2").mapInArrow(run, _FOUND)
 
 
 def _filter_bits(rows: DataFrame, hashed: Column) -> np.ndarray:
@@ -317,7 +318,7 @@ def _class_words(docs: DataFrame, places: DataFrame, counts) -> DataFrame:
                 raw = [x for x, hit in zip(raw, _inside(sent.value, h)) if hit and x.strip()]
                 if raw:
                     text, _, lo, words, _ = line_words(raw, counts.value)
-                    k1, bits = _keys(lo, words)
+                    k1, bits, _ = _keys(lo, words)
                     yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
 
     some = docs.where(test(F.xxhash64("doc"))).select("doc", "text")
@@ -336,15 +337,15 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     place = F.struct("doc", "line_no")
     # classes of one line need no entry here: it is their first
     repeated = stored(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
-    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"))
+    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("bits2").alias("a2"))
     found = stored(_candidates(entries, num, den, few_entries), "line-candidates")
 
     def named(rows: DataFrame) -> DataFrame:
-        """The class (k1, bits, n, first) of lines told by (bits, doc)."""
+        """The classes (k1, bits, bits2, first) of lines told by (bits, doc)."""
         test = _may_match(rows, F.xxhash64("bits", "doc"))
-        own = lines.where(test(F.xxhash64("bits", "doc"))).select("k1", "bits", "n", "doc", place.alias("own")).join(rows, ["bits", "doc"], "left_semi")
+        own = lines.where(test(F.xxhash64("bits", "doc"))).select("k1", "bits", "bits2", "doc", place.alias("own")).join(rows, ["bits", "doc"], "left_semi")
         rep = repeated.select("k1", "bits", "first")
-        return own.join(rep, ["k1", "bits"], "left").select("doc", "k1", "bits", "n", F.coalesce("first", "own").alias("first")).distinct()
+        return own.join(rep, ["k1", "bits"], "left").select("doc", "k1", "bits", "bits2", F.coalesce("first", "own").alias("first")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Classes of ``pairs`` (a, adoc, b, bdoc) that match an earlier one."""
@@ -367,15 +368,15 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     # under words with many entries: the open classes against all that begin earlier
     many = stored(found.where("entry is not null").select("entry", F.col("a").alias("bits"), F.col("adoc").alias("doc")), "line-many")
     who = named(many.select("bits", "doc").distinct())
-    many = many.join(who.drop("n"), ["bits", "doc"]).groupBy("k1", "bits", "first", "entry").agg(F.min("doc").alias("doc")).select(
+    many = many.join(who, ["bits", "doc"]).groupBy("k1", "bits", "bits2", "first", "entry").agg(F.min("doc").alias("doc")).select(
         F.shiftright("entry", 32).alias("w"), F.shiftright("entry", 16).bitwiseAND(F.lit(65535).cast("long")).alias("n"),
-        F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "first", "doc")
+        F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "bits2", "first", "doc")
     many = stored(many, "line-many")
     probe = many.join(settled.select("k1", "bits"), ["k1", "bits"], "left_anti").select(
-        "w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("first").alias("ufirst"))
-    other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("bits").alias("b"), F.col("doc").alias("bdoc"), F.col("first").alias("vfirst"))
+        "w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("bits").alias("a"), F.col("bits2").alias("a2"), F.col("doc").alias("adoc"), F.col("first").alias("ufirst"))
+    other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("bits").alias("b"), F.col("bits2").alias("b2"), F.col("doc").alias("bdoc"), F.col("first").alias("vfirst"))
     near = _fits(F.col("un"), F.col("up"), F.col("vn"), F.col("vp"), num, den, F.ceil, F.least) & _near_bits(
-        F.col("a"), F.col("b"), F.col("un"), F.col("vn"), num, den, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        (F.col("a"), F.col("a2")), (F.col("b"), F.col("b2")), F.col("un"), F.col("vn"), num, den, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     rest = probe.join(other, (F.col("w") == F.col("vw")) & (F.col("vfirst") < F.col("ufirst")) & near).select("a", "adoc", "b", "bdoc")
     matched = settled.union(verified(rest)).distinct().withColumn("matched", F.lit(True))
     marked = repeated.select("k1", "bits", "first", F.lit(False).alias("matched")).union(matched.select("k1", "bits", "first", "matched"))
