@@ -25,8 +25,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get texts in batches of BATCH_ROWS rows, unless the
+    session asks for still smaller ones."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id long, text string), whatever else the table carries."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -41,9 +55,9 @@ def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
 
 
-def sub_batches(texts: Sequence[bytes], max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """(from, to) ranges of consecutive texts of at most ``max_bytes`` in
-    all; a longer text is a range of its own."""
+def sub_batches(texts: Sequence, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(from, to) ranges of consecutive texts (bytes or str) of at most
+    ``max_bytes`` in all; a longer text is a range of its own."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
         if i > lo and size + len(t) > max_bytes:

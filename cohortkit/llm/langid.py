@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, small_batches
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -124,6 +124,7 @@ def predict(docs: DataFrame, model: NaiveBayes | None, lang_out: str, score_out:
     """``docs`` with the predicted language and its posterior for every row.
     Null texts and texts without a letter have language ``und`` and score 0;
     so has every row if there is no model."""
+    small_batches(docs.sparkSession)
     if model is not None:
         model = NaiveBayes(model.languages, model.prior, np.asfortranarray(model.log_prob))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS x languages floats

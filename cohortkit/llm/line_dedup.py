@@ -202,7 +202,7 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> Dat
         xn, yn = (x[0] >> 16) & 65535, (y[0] >> 16) & 65535
         ok = _fits(xn, x[0] & 65535, yn, y[0] & 65535, num, den, np.ceil, np.minimum)
         x, y, xn, yn = x[:, ok], y[:, ok], xn[ok], yn[ok]
-        ok = _near_bits((x[1], x[3]), (y[1], y[3]), xn, yn, num, den, lambda a, b: np.bitwise_count(a ^ b).astype(np.int64))
+        ok = _near_bits((x[1], x[3]), (y[1], y[3]), xn, yn, num, den, lambda a, b: np.bitwise_count((a ^ b).view(_U)).astype(np.int64))
         return np.stack([x[1][ok], x[2][ok], y[1][ok], y[2][ok]])
 
     def few(x):

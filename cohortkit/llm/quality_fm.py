@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import held_out, sub_batches
+from .common import held_out, small_batches, sub_batches
 
 WORD_BITS = 15
 STATS = 12          # structure statistics
@@ -208,6 +208,7 @@ def score(docs: DataFrame, model: FactorisationMachine | None, out: str, metadat
           text_col: str = "text") -> DataFrame:
     """``docs`` with a double column ``out`` between 0 and 1 for every row,
     empty and null texts too.  Without a model every row has 0.5."""
+    small_batches(docs.sparkSession)
     if model is None:
         return docs.withColumn(out, F.lit(0.5))
     if len(metadata_cols) != model.metadata:

@@ -80,8 +80,10 @@ class Vocabulary:
         keys = tn.span_hash(pre, ends - [len(c) for c in cps], ends)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(ids, np.int32)[order]
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[(self.keys >> _U(44)).astype(np.int64)] = True
+        slot = (self.keys >> _U(44)).astype(np.int64)       # keys with equal first 20 bits are neighbours
+        self.many = np.bincount(slot, minlength=1 << 20).astype(np.uint8)
+        self.at = np.searchsorted(slot, np.arange(1 << 20)).astype(np.int32)
+        self.odds_list = self.odds.tolist()
         self.inner = np.zeros(0x110000, bool)               # characters of pieces of two or more
         for c in cps:
             if len(c) > 1:
@@ -91,10 +93,16 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece id for each hash, -1 for none."""
         out = np.full(len(h), -1, np.int32)
-        at = np.flatnonzero(self.seen[(h >> _U(44)).astype(np.int64)])
-        i = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
-        hit = self.keys[i] == h[at]
-        out[at[hit]] = self.ids[i[hit]]
+        slot = (h >> _U(44)).astype(np.int64)
+        left = np.flatnonzero(self.many[slot])
+        r = 0
+        while len(left):
+            i = self.at[slot[left]] + r
+            hit = self.keys[i] == h[left]
+            out[left[hit]] = self.ids[i[hit]]
+            r += 1
+            left = left[~hit]
+            left = left[self.many[slot[left]] > r]
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -123,25 +131,25 @@ class _Lattices:
         chars = np.where(rem > 0, cp[np.minimum(starts[part] + off, len(cp) - 1)], 0)
         pre = tn.prefix_hash(_values(chars))
         width = max(1, min(vocab.longest, int(lens.max()) if len(lens) else 1))
-        self.ids = np.full((n, width), -1, np.int32)
+        ids = np.full((width, n), -1, np.int32)             # by size, then slot: long runs to work on
         at = np.flatnonzero(rem >= 1)
         for size in range(1, width + 1):
             at = at[rem[at] >= size]
             got = vocab.find(tn.span_hash(pre, at, at + size))
             if size == 1:                                   # a character without piece is written as bytes
                 got = np.where(got < 0, vocab.size + chars[at], got)
-            self.ids[at, size - 1] = got
+            ids[size - 1, at] = got
+        self.ids = ids.T
         self.end = rem == 0
         self.beta = np.zeros(n)
-        # columns beyond 16 would not fit the walk's packed comparison
-        self.cdf = np.full((n, max(16, width)), 2.0, np.float32)
+        cdf = np.full((width, n), 2.0, np.float32)
         order = np.argsort(rem, kind="stable")
         edge = np.concatenate([[0], np.cumsum(np.bincount(rem))])
         mass = np.ones(n)
         for r in range(1, len(edge) - 1):                   # by distance from the end
             a = order[edge[r]:edge[r + 1]]
             w = min(r, width)
-            e = [self.ids[a, j] for j in range(w)]
+            e = [ids[j][a] for j in range(w)]
             if r <= LINEAR:
                 p = [vocab.odds[np.minimum(e[j], vocab.size)] * mass[a + j + 1] for j in range(w)]
             else:                                           # long parts: relative to the best way on
@@ -154,13 +162,15 @@ class _Lattices:
                 total = total + p[j]
                 sums.append(total)
                 last[e[j] >= 0] = j
-            for j in range(w):
-                self.cdf[a, j] = np.where(j < last, sums[j] / total, 2.0)   # the last edge takes what rounding leaves
+            scale = 1.0 / total
+            for j in range(w - 1):
+                cdf[j][a] = np.where(j < last, sums[j] * scale, 2.0)        # the last edge takes what rounding leaves
             if r <= LINEAR:
                 mass[a] = total
                 self.beta[a] = np.log(total)
             else:
                 self.beta[a] = most + np.log(total)
+        self.cdf = np.ascontiguousarray(cdf.T)
 
     def _weight(self, ids: np.ndarray) -> np.ndarray:
         w = self.vocab.weight[np.minimum(ids, self.vocab.size - 1)]
@@ -170,9 +180,29 @@ class _Lattices:
         """Log probability of an edge given its start."""
         return self._weight(self.ids[node, size - 1]) + self.beta[node + size] - self.beta[node]
 
-    def edges(self, node: int) -> tuple[np.ndarray, np.ndarray]:
-        size = np.flatnonzero(self.ids[node] >= 0) + 1
-        return size, np.minimum(np.exp(self.edge_logp(np.full(len(size), node), size)), 1.0)
+    def edges(self, node: int) -> tuple[list[int], list[float]]:
+        """Sizes and probabilities of the edges of one slot."""
+        base, odds, size = float(self.beta[node]), self.vocab.odds_list, self.vocab.size
+        ids = self.ids[node].tolist()
+        on = self.beta[node + 1:node + 1 + len(ids)].tolist()
+        sizes = [j + 1 for j, i in enumerate(ids) if i >= 0]
+        return sizes, [min(1.0, odds[min(ids[j - 1], size)] * math.exp(on[j - 1] - base)) for j in sizes]
+
+
+_MASK = 2**64 - 1
+
+
+def _chance(seed: int, *numbers: int) -> float:
+    """``_uniform`` for plain integers."""
+    h = seed
+    for x in numbers:
+        h = ((h + x * 0x9E3779B97F4A7C15) & _MASK) ^ 0xD1B54A32D192ED03
+        h ^= h >> 33
+        h = h * 0xFF51AFD7ED558CCD & _MASK
+        h ^= h >> 33
+        h = h * 0xC4CEB9FE1A85EC53 & _MASK
+        h ^= h >> 33
+    return ((h >> 11) + 0.5) * 2.0 ** -53
 
 
 def _uniform(seed, *numbers) -> np.ndarray:
@@ -188,25 +218,32 @@ def _walk(lat: _Lattices, part: np.ndarray, node: np.ndarray, seed: np.ndarray,
     conditional probabilities: (entry, step in it, node, size) by entry, step."""
     live = np.arange(len(part))
     out_e, out_n, out_s = [], [], []
-    base = tn.mix(seed + _U((path + 1) * int(_GOLD) % 2**64)) + number.astype(_U) * _U(0xA0761D6478BD642F)
-    t = 0
+    # a generator of its own for each part: a hashed start, then a linear congruence
+    state = tn.mix(tn.mix(seed + _U((path + 1) * int(_GOLD) % 2**64)) + number.astype(_U) * _U(0xA0761D6478BD642F))
     steps = np.zeros(len(part), np.int64)
+    flat, wide = lat.cdf.ravel(), lat.cdf.shape[1]
+    at = node
     while len(live):
-        h = tn.mix(base[live] + _U((t + 1) * int(_GOLD) % 2**64))
-        u = (h >> _U(40)).astype(np.float32) * np.float32(2.0 ** -24)
-        at = node[live]
-        passed = np.packbits(lat.cdf[at] <= u[:, None], axis=1)
-        size = (np.bitwise_count(passed.view(np.uint16)).ravel() if passed.shape[1] == 2 else np.bitwise_count(passed).sum(axis=1)).astype(np.int64) + 1
+        state = state * _U(6364136223846793005) + _U(1442695040888963407)
+        u = (state >> _U(40)).astype(np.float32) * np.float32(2.0 ** -24)
+        size = np.ones(len(at), np.int64)
+        pend, slot, left = None, at * wide, u
+        while True:                                         # short pieces first, on through those that are passed
+            go = flat[slot] <= left
+            pend = np.flatnonzero(go) if pend is None else pend[go]
+            if not len(pend):
+                break
+            size[pend] += 1
+            slot, left = slot[go] + 1, left[go]
         out_e.append(live)
         out_n.append(at)
-        out_s.append(size.astype(np.int16))
+        out_s.append(size)
         steps[live] += 1
         at = at + size
-        node[live] = at
-        live = live[~lat.end[at]]
-        t += 1
+        go = ~lat.end[at]
+        live, at, state = live[go], at[go], state[go]
     first = np.concatenate([[0], np.cumsum(steps)])
-    nodes, sizes = np.empty(first[-1], np.int64), np.empty(first[-1], np.int16)
+    nodes, sizes = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
     for t, (e, a, s) in enumerate(zip(out_e, out_n, out_s)):
         nodes[first[e] + t] = a
         sizes[first[e] + t] = s
@@ -218,37 +255,48 @@ def _truncated(phi, limit, u):
     return -np.logaddexp(-limit, np.log(-np.log(u)) - phi)
 
 
-def _branches(lat, heap, doc_seed, path, first_step, parent_phi, top, nodes, sizes, logp, need):
-    """Push the untaken alternatives of a path's steps from ``first_step``
-    on: the largest key of each.  Only the best ``need`` can ever be taken, and
-    the walk ends where no further one can be among them."""
-    phi, at, span = parent_phi, first_step, 256
-    keys, steps, phis = [], [], []
-    best = -math.inf
-    while at < len(nodes):
-        z = min(at + span, len(nodes))
-        lp = logp[at:z]
-        before = phi + np.concatenate([[0.0], np.cumsum(lp)])
-        rest = -np.expm1(np.minimum(lp, 0.0))
-        use = np.flatnonzero(rest > 1e-12)
-        if len(use):
-            key = _truncated(before[use] + np.log(rest[use]), top, _uniform(doc_seed, path, 1 << 40, at + use))
-            keys.append(key)
-            steps.append(at + use)
-            phis.append(before[use])
-            if len(keys) > 1:
-                keys, steps, phis = [np.concatenate(keys)], [np.concatenate(steps)], [np.concatenate(phis)]
-            if len(keys[0]) > need:
-                top_of = np.argpartition(-keys[0], need - 1)[:need]
-                keys, steps, phis = [keys[0][top_of]], [steps[0][top_of]], [phis[0][top_of]]
-            if len(keys[0]) == need:
-                best = float(keys[0].min())
-        phi, at, span = before[-1], z, span * 4
-        if phi + _NOISE_MOST < best:
-            break
-    if keys:
-        for v, i, f in zip(keys[0].tolist(), steps[0].tolist(), phis[0].tolist()):
-            heapq.heappush(heap, (-v, path, i, f, (int(sizes[i]),)))
+def _branches(heaps, plan, seeds, path, ptr, logp, sizes, need):
+    """Push the untaken alternatives of the new steps of all paths: of each
+    step the largest key that its alternatives hold.  Only the best ``need`` of a text can ever
+    be taken; a path is followed until no further step can be among them.
+
+    plan: (text, first step, log mass before it, key of the path) each; ptr,
+    logp, sizes: the new steps of each path."""
+    row = np.arange(len(plan))
+    step = np.array([p[1] for p in plan])
+    phi = np.array([p[2] for p in plan], float)
+    top = np.array([p[3] for p in plan], float)
+    who = np.array([p[0] for p in plan])
+    at, end = ptr[:-1].copy(), ptr[1:]
+    best_key = np.full((len(plan), need), -np.inf)
+    best_at = np.zeros((len(plan), need), np.int64)
+    best_phi = np.zeros((len(plan), need))
+    span = 64
+    while len(row):
+        cols = at[row, None] + np.arange(span)
+        there = cols < end[row, None]
+        lp = np.where(there, np.minimum(logp[np.minimum(cols, len(logp) - 1)], 0.0), 0.0)
+        done = phi[row, None] + np.cumsum(lp, axis=1)
+        before = np.concatenate([phi[row, None], done[:, :-1]], axis=1)
+        rest = -np.expm1(lp)
+        use = there & (rest > 1e-12)
+        r, c = np.nonzero(use)
+        key = np.full(use.shape, -np.inf)
+        u = _uniform(seeds[who[row[r]]], path, 1 << 40, step[row[r]] + cols[r, c] - ptr[row[r]])
+        key[r, c] = _truncated(before[r, c] + np.log(rest[r, c]), top[row[r]], u)
+        key = np.concatenate([best_key[row], key], axis=1)
+        where = np.concatenate([best_at[row], cols], axis=1)
+        mass = np.concatenate([best_phi[row], before], axis=1)
+        pick = np.argpartition(-key, need - 1, axis=1)[:, :need]
+        best_key[row], best_at[row], best_phi[row] = (np.take_along_axis(x, pick, axis=1) for x in (key, where, mass))
+        phi[row] = done[:, -1]
+        at[row] += span
+        row = row[(at[row] < end[row]) & (phi[row] + _NOISE_MOST >= best_key[row].min(axis=1))]
+        span = min(span * 2, 4096)
+    for (d, first, _, _), a, keys, where, mass in zip(plan, ptr.tolist(), best_key.tolist(), best_at.tolist(), best_phi.tolist()):
+        for v, i, f in zip(keys, where, mass):
+            if v > -math.inf:
+                heapq.heappush(heaps[d], (-v, path, first + i - a, f, (int(sizes[i]),)))
 
 
 def sample_batch(vocab: Vocabulary, texts: Sequence[str], keys: Sequence[int], k: int, seed: int = 0) -> list[list[tuple]]:
@@ -282,12 +330,13 @@ def sample_batch(vocab: Vocabulary, texts: Sequence[str], keys: Sequence[int], k
     paths: list[list[tuple]] = [[] for _ in range(n_docs)]    # (nodes, sizes, part of each step)
     samples: list[list[tuple]] = [[] for _ in range(n_docs)]
     plan = []                                                  # (doc, prefix nodes, sizes, parts, next part, next node, top, phi0, first step)
-    for d in range(n_docs):
-        top = -math.log(-math.log(float(_uniform(seeds[d], 1 << 41)[0])))
+    tops = (-np.log(-np.log(_uniform(seeds, 1 << 41)))).tolist() if n_docs else []
+    plain = seeds.tolist()
+    for d, top in enumerate(tops):
         if doc_len[d]:
             plan.append((d, None, 0, int(part_at[d]), -1, top, 0.0))
         else:
-            samples[d].append((np.zeros(0, "<u4"), 0.0, top))
+            samples[d].append((None, 0.0, top))
     for r in range(k):
         if not plan:
             break
@@ -305,17 +354,17 @@ def sample_batch(vocab: Vocabulary, texts: Sequence[str], keys: Sequence[int], k
         who = np.array([p[0] for p in plan])
         ptr, nodes, sizes = _walk(lat, kind[take], node, seeds[who][owner], r, take - part_at[who][owner])
         parts = np.repeat(take, np.diff(ptr))
-        edge_lp = lat.edge_logp(nodes, sizes.astype(np.int64))
+        edge_lp = lat.edge_logp(nodes, sizes)
+        new = ptr[first_of]                                    # where each text's new steps begin
+        total = np.concatenate([[0.0], np.cumsum(edge_lp)])
         for i, (d, head, step, _, _, top, phi) in enumerate(plan):
-            a, z = ptr[first_of[i]], ptr[first_of[i + 1]]
-            if head is None:
-                full = (nodes[a:z], sizes[a:z], parts[a:z])
-            else:
-                full = tuple(np.concatenate([x, y[a:z]]) for x, y in zip(head, (nodes, sizes, parts)))
+            a, z = new[i], new[i + 1]
+            full = (nodes[a:z], sizes[a:z], parts[a:z])
+            if head is not None:
+                full = tuple(np.concatenate(x) for x in zip(head, full))
             paths[d].append(full)
-            lp = edge_lp[a:z] if head is None else np.concatenate([lat.edge_logp(head[0], head[1].astype(np.int64)), edge_lp[a:z]])
-            samples[d].append((lat.ids[full[0], full[1] - 1], float(lp.sum()), top))
-            _branches(lat, heaps[d], seeds[d], r, step, phi, top, full[0], full[1], lp, k - r)
+            samples[d].append((full, float(phi + total[z] - total[a]), top))
+        _branches(heaps, [(p[0], p[2], p[6], p[5]) for p in plan], seeds, r, new, edge_lp, sizes, k - r)
         plan = []
         if r + 1 == k:
             break
@@ -325,27 +374,29 @@ def sample_batch(vocab: Vocabulary, texts: Sequence[str], keys: Sequence[int], k
             key, path, step, phi, taken = heapq.heappop(heaps[d])
             n0, s0, p0 = paths[d][path]
             here = int(n0[step])
-            size, prob = lat.edges(here)
-            free = ~np.isin(size, taken)
-            size, prob = size[free], prob[free]
-            if not len(size) or prob.sum() <= 0:
+            free = [(x, p) for x, p in zip(*lat.edges(here)) if x not in taken]
+            mass = sum(p for _, p in free)
+            if mass <= 0:
                 continue
-            u = float(_uniform(seeds[d], r, 1 << 42, step)[0]) * prob.sum()
-            pick = int(min(np.searchsorted(np.cumsum(prob), u, "right"), len(size) - 1))
-            left = prob.sum() - prob[pick]
-            if len(size) > 1 and left > 1e-12:                # the alternatives that are still untaken here
-                v = float(_truncated(phi + math.log(left), -key, _uniform(seeds[d], r, 1 << 43, step)[0]))
-                heapq.heappush(heaps[d], (-v, path, step, phi, taken + (int(size[pick]),)))
-            go = int(size[pick])
-            head = (np.append(n0[:step], here), np.append(s0[:step], np.int16(go)), np.append(p0[:step], p0[step]))
+            u = _chance(plain[d], r, 1 << 42, step) * mass
+            for go, prob in free:                             # the last one takes what rounding leaves
+                u -= prob
+                if u < 0:
+                    break
+            if len(free) > 1 and mass - prob > 1e-12:         # the alternatives that are still untaken here
+                noise = math.log(-math.log(_chance(plain[d], r, 1 << 43, step))) - (phi + math.log(mass - prob))
+                v = -float(np.logaddexp(key, noise))
+                heapq.heappush(heaps[d], (-v, path, step, phi, taken + (go,)))
+            head = (np.append(n0[:step], here), np.append(s0[:step], go), np.append(p0[:step], p0[step]))
             ended = bool(lat.end[here + go])
             part = int(p0[step]) + ended
-            plan.append((d, head, step + 1, part, -1 if ended else here + go, -key, phi + math.log(prob[pick])))
+            plan.append((d, head, step + 1, part, -1 if ended else here + go, -key, phi + math.log(prob)))
     out = []
     for d in range(n_docs):
         kappa = -heaps[d][0][0] if heaps[d] else -math.inf
         rows = []
-        for ids, logp, key in samples[d]:
+        for steps, logp, key in samples[d]:
+            ids = lat.ids[steps[0], steps[1] - 1] if steps is not None else np.zeros(0, "<u4")
             x = logp - kappa                                   # P(included) = 1 - exp(-exp(x))
             inc = 0.0 if x > 3.6 else (x if x < -20 else math.log(-math.expm1(-math.exp(x))))
             rows.append((_expand(vocab, ids), logp, key, inc))
@@ -372,7 +423,7 @@ def default_model() -> str:
 
 
 def sampled_segmentations(docs: DataFrame, k: int = 2, alpha: float = 1.0, seed: int = 0, model: str | None = None, scores: str = "rank",
-                          id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+                          id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 20) -> DataFrame:
     """``k`` distinct segmentations of every whole text, drawn without
     replacement: doc_id, sample (from 1, largest key first), ids (little-endian unsigned
     32-bit piece ids), pieces, log_prob, perturbed (the key), log_inclusion (log of
@@ -390,7 +441,7 @@ def sampled_segmentations(docs: DataFrame, k: int = 2, alpha: float = 1.0, seed:
         types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string()]
         for b in batches:
             keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for x, z in sub_batches([t.encode("utf-8", "replace") for t in texts], batch_bytes):
+            for x, z in sub_batches(texts, batch_chars):
                 cols: list[list] = [[] for _ in names]
                 for key, rows in zip(keys[x:z], sample_batch(vocab, texts[x:z], keys[x:z], k, seed)):
                     for i, (ids, logp, pert, inc) in enumerate(rows):
