@@ -189,7 +189,7 @@ def _near_bits(ubits, vbits, un, vn, num: int, den: int, ones):
     return ((ones(ubits[0], vbits[0]) + ones(ubits[1], vbits[1])) * (den + num) <= (un + vn) * (den - num)) | (un >= 65535) | (vn >= 65535)
 
 
-def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> DataFrame:
+def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_rows: int = 65536) -> DataFrame:
     """Rows (a, adoc, b, bdoc) for pairs of lines, each told by bitmap and
     document, and rows (a, adoc, entry) for the entries under words with more than
     ``few_entries``.  ``entries`` (entry, a, adoc, a2) come word by word, the smallest
@@ -238,10 +238,20 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> Dat
             none = pa.nulls(x.shape[1], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x[1]), pa.array(x[2]), none, none, pa.array(x[0])], names)
 
-        for b in batches:
-            x = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns])], axis=1)
-            if not x.shape[1]:
-                continue
+        def parts():
+            """The batches, joined to some tens of thousands of rows."""
+            wait, rows = [], 0
+            for b in batches:
+                wait.append(np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns]))
+                rows += b.num_rows
+                if rows >= part_rows:
+                    yield np.concatenate(wait, axis=1)
+                    wait, rows = [], 0
+            if rows:
+                yield np.concatenate(wait, axis=1)
+
+        for x in parts():
+            x = np.concatenate([held, x], axis=1)
             w = x[0] >> 32
             start = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
             size = np.diff(np.append(start, len(w)))
@@ -270,7 +280,9 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int) -> Dat
         if held.shape[1]:
             yield out(few(held))
 
-    dealt = entries.repartition(F.shiftrightunsigned("entry", 32)).sortWithinPartitions(F.shiftright("entry", 32), "adoc", "a", "entry")
+    # word, then document (its low half: which entry counts as earliest only decides what is tried first)
+    order = F.col("entry").bitwiseAND(F.lit(-1 << 32).cast("long")).bitwiseOR(F.col("adoc").bitwiseAND(F.lit((1 << 32) - 1).cast("long")))
+    dealt = entries.repartition(F.shiftrightunsigned("entry", 32)).sortWithinPartitions(order)
     return dealt.select("entry", "a", "adoc", "a2").mapInArrow(run, _FOUND)
 
 
@@ -348,21 +360,29 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
         return own.join(rep, ["k1", "bits"], "left").select("doc", "k1", "bits", "bits2", F.coalesce("first", "own").alias("first")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Classes of ``pairs`` (a, adoc, b, bdoc) that match an earlier one."""
+        """(k1, bits, first) of the classes of ``pairs`` (a, adoc, b, bdoc)
+        that match an earlier one."""
         p = stored(pairs.distinct(), "line-found")
         who = stored(named(p.select(F.col("a").alias("bits"), F.col("adoc").alias("doc")).union(p.select("b", "bdoc")).distinct()), "line-named")
         for side, m in (("a", "u"), ("b", "v")):
             p = p.join(who.select(F.col("bits").alias(side), F.col("doc").alias(side + "doc"), F.struct("k1", "bits").alias(m), F.col("first").alias(m + "first")), [side, side + "doc"])
         p = p.where((F.col("u") != F.col("v")) & (F.col("ufirst") != F.col("vfirst")))
-        p = stored(p.select("u", "v", "ufirst", "vfirst", (F.col("ufirst") > F.col("vfirst")).alias("late")).distinct(), "line-pairs")
-        places = stored(p.select("ufirst.*").union(p.select("vfirst.*")).distinct(), "line-places")
+        late = F.col("ufirst") > F.col("vfirst")
+        p = stored(p.select(*[F.when(late, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
+            ("u", "v", "x"), ("v", "u", "y"), ("ufirst", "vfirst", "xfirst"), ("vfirst", "ufirst", "yfirst"))]).distinct(), "line-pairs")
+        places = stored(p.select("xfirst.*").union(p.select("yfirst.*")).distinct(), "line-places")
         words = stored(_class_words(docs, places, counts), "line-words")
-        for m in ("u", "v"):
-            p = p.join(words.select(F.struct("k1", "bits").alias(m), F.col("words").alias(m + "words")), m)
-        both = F.size(F.array_intersect("uwords", "vwords"))
-        p = p.where(both * den >= (F.size("uwords") + F.size("vwords") - both) * num)
-        late = F.col("late")
-        return p.select(F.when(late, F.col("u")).otherwise(F.col("v")).alias("x"), F.when(late, F.col("ufirst")).otherwise(F.col("vfirst")).alias("first")).select("x.*", "first").distinct()
+
+        def similar(q: DataFrame) -> DataFrame:
+            for m in ("x", "y"):
+                q = q.join(words.select(F.struct("k1", "bits").alias(m), F.col("words").alias(m + "words")), m)
+            both = F.size(F.array_intersect("xwords", "ywords"))
+            return q.where(both * den >= (F.size("xwords") + F.size("ywords") - both) * num).select("x", "xfirst").distinct()
+
+        # one match is enough: the earliest candidate first, the others where it fails
+        one = p.groupBy("x").agg(F.min(F.struct("yfirst", "y", "xfirst")).alias("c")).select("x", "c.y", "c.xfirst")
+        one = stored(similar(one), "line-one")
+        return one.union(similar(p.join(one.select("x"), "x", "left_anti"))).select("x.*", F.col("xfirst").alias("first"))
 
     settled = stored(verified(found.where("entry is null").select("a", "adoc", "b", "bdoc")), "line-settled")
     # under words with many entries: the open classes against all that begin earlier
