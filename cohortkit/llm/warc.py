@@ -158,7 +158,7 @@ def write_arc(records: DataFrame, path: str, version: str = "1", file_rows: int
     blobs = records.select("url", "ip", "date", "content_type", F.col("payload").cast("binary").alias("payload")).mapInArrow(run, "value binary")
     # records end with their own line feed; no separator is added
     blobs.select(F.expr("cast(substring(value, 1, length(value) - 1) as string)").alias("value")).write.option("lineSep", "\n").option(
-        "maxRecordsPerFile", file_rows).option("compression", "gzip").text(path)
+        "maxRecordsPerFile", file_rows).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def warc_id(url: str, date: str, digest: str) -> str:
@@ -220,7 +220,7 @@ def write_warc(records: DataFrame, path: str, file_rows: int = 20000) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     records.select(*names).mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
-        "lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_rows).option("compression", "gzip").text(path)
+        "lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_rows).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 WARC_SCHEMA = ("record_type string, record_id string, date string, url string, payload_digest string, refers_to string, "
@@ -310,8 +310,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, order: Column |
     rank = F.struct("date", "url") if order is None else order
     rec = rec.withColumn("payload_bytes", F.length("payload").cast("long")).withColumn("rank", rank)
     win = (rec.where(F.col("payload_bytes") >= min_bytes).groupBy("digest")
-           .agg(F.max("rank").alias("top"), F.max_by("record_id", F.struct("rank", "record_id")).alias("first_id")))
-    win = stored(win.withColumnRenamed("digest", "win_digest"), "warc-responses")
+           .agg(F.count("*").alias("copies"), F.max_by("record_id", F.struct("rank", "record_id")).alias("first_id")).where("copies > 1"))
+    # only payloads that occur more than once are looked up
+    win = stored(win.select(F.col("digest").alias("win_digest"), "first_id"), "warc-responses")
     j = rec.join(win, (F.col("digest") == F.col("win_digest")) & (F.col("payload_bytes") >= min_bytes), "left")
     again = F.col("first_id").isNotNull() & (F.col("record_id") != F.col("first_id"))
     write_warc(j.select(F.when(again, "revisit").otherwise("response").alias("kind"), "record_id", "url", "ip", "date", "content_type",
