@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator, Sequence
 
@@ -44,6 +45,13 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that are done:
+    it does so when the driver has collected their plans as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(id_col: str | Column, mod: int, rest: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``rest``; a null id is
     never held out."""

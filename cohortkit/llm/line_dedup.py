@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import id_and_text, stored, sub_batches
+from .common import id_and_text, release, stored, sub_batches
 
 RARITY_BITS = 23            # buckets of the word counts
 RARITY_BLOCK = 8192
@@ -349,8 +349,10 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     place = F.struct("doc", "line_no")
     # classes of one line need no entry here: it is their first
     repeated = stored(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
+    release(docs.sparkSession)
     entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("bits2").alias("a2"))
     found = stored(_candidates(entries, num, den, few_entries), "line-candidates")
+    release(docs.sparkSession)
 
     def named(rows: DataFrame) -> DataFrame:
         """The classes (k1, bits, bits2, first) of lines told by (bits, doc)."""
@@ -429,6 +431,7 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
     Null and empty texts stay as they are.  A text of which no line is left is
     empty.  An empty table gives an empty result."""
     r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries), "line-removed")
+    release(docs.sparkSession)
     text = F.col(text_col).cast("string")
     ids = F.col(id_col).cast("long")
     hit = docs.withColumn("__hit", _may_match(r, F.xxhash64("doc_id"))(F.xxhash64(ids)))     # the others need no join
