@@ -2,11 +2,11 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to
 one task; when one key holds a third of all rows that task holds a third of
-the table.  These helpers split each key further into value-range blocks of
-the first order column (bounds from one ``approxQuantile`` pass, a bounded
-list of numbers), run the window inside ``(key, block)`` and add per-block
-offsets computed on the small ``(key, block)`` summary.  Blocks depend only on
-the row's value, so the result is deterministic and exact.
+the table.  These helpers range-partition the rows by key and all order
+columns, so a large key spreads over many partitions, run the window inside
+each (key, partition) and add what the key's earlier partitions hold.  Only a
+key that crosses a partition border has earlier partitions, so there are
+fewer such offsets than partitions.  The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -16,131 +16,67 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, estimated_bytes
+from ..session import materialize
 from .joins import null_safe_join
 
-# Inputs the optimizer estimates below this size run as one block per group:
-# splitting only pays when a group can be large.
-SPLIT_ABOVE_BYTES = 256 << 20
-
 _BLOCK = "__blk"
 
 
-def _numeric(c: Column, dtype: str) -> Column:
-    if dtype in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if dtype == "date":
-        return F.unix_date(c).cast("double")
-    if dtype == "boolean":
-        return c.cast("int").cast("double")
-    return c.cast("double")
-
-
-def block_bounds(df: DataFrame, col: str, blocks: int) -> list[float]:
-    """Sorted distinct split points of ``col`` (at most ``blocks - 1``)."""
-    if blocks <= 1:
-        return []
-    dtype = dict(df.dtypes)[col]
-    tmp = df.select(_numeric(F.col(col), dtype).alias("__v")).where(F.col("__v").isNotNull())
-    qs = tmp.approxQuantile("__v", [i / blocks for i in range(1, blocks)], 1.0 / (4 * blocks))
-    return sorted(set(qs))
-
-
-def block_of(c: Column, bounds: Sequence[float]) -> Column:
-    """Index of the block of ``c``: number of bounds strictly below it.
-    Built as a balanced CASE tree (log2 of the bound count deep)."""
-    def build(lo: int, hi: int) -> Column:
-        # result in [lo, hi]; bounds[lo:hi] decide
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    if not bounds:
-        return F.lit(0)
-    return F.coalesce(build(0, len(bounds)), F.lit(0))
-
-
-def _prepare(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], blocks: int,
-             bounds: Sequence[float] | None = None):
-    first = order_cols[0]
-    if bounds is None:
-        bounds = block_bounds(df, first, blocks) if estimated_bytes(df) > SPLIT_ABOVE_BYTES else []
-    dtype = dict(df.dtypes)[first]
-    return df.withColumn(_BLOCK, block_of(_numeric(F.col(first), dtype), bounds))
-
-
 def _order_exprs(order_cols: Sequence[str], descending: bool):
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
 
 
+def _ranged(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], descending: bool) -> DataFrame:
+    """``df`` with the number of its range partition; written, so that the
+    numbers hold for every later reading."""
+    d = df.repartitionByRange(*[F.col(c) for c in group_cols], *_order_exprs(order_cols, descending))
+    return materialize(d.withColumn(_BLOCK, F.spark_partition_id()))
+
+
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                sums: dict[str, Column], descending: bool = False,
-                blocks: int = 32, inclusive: bool = True, bounds: Sequence[float] | None = None) -> DataFrame:
+                sums: dict[str, Column], descending: bool = False, inclusive: bool = True) -> DataFrame:
     """Add running sums ``out = sum(expr) over (partition by group order by
     order rows unbounded preceding .. current row)``.
 
     ``descending`` runs from the largest order value down (reverse running
     sums, e.g. risk sets).  ``inclusive=False`` excludes the current row.
-    The order columns should give a total order within a group.  ``bounds``
-    (from ``block_bounds``) can be passed when the same order column is
-    summed repeatedly, e.g. once per Newton step.
+    The order columns should give a total order within a group.
     """
     group_cols = list(group_cols)
-    if bounds is None and estimated_bytes(df) <= SPLIT_ABOVE_BYTES:
-        bounds = []
-    if bounds is not None and len(bounds) == 0 and group_cols:
-        # one block per group: the plain window is the whole answer
-        w = (Window.partitionBy(*group_cols).orderBy(*_order_exprs(order_cols, descending))
-             .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-        return df.withColumns({out: F.coalesce(F.sum(expr.cast("double")).over(w), F.lit(0.0))
-                               for out, expr in sums.items()})
-    d = _prepare(df, group_cols, order_cols, blocks, bounds)
-    for out, expr in sums.items():
-        d = d.withColumn(f"__val_{out}", expr.cast("double"))
-    w = (Window.partitionBy(*group_cols, _BLOCK)
-         .orderBy(*_order_exprs(order_cols, descending))
+    d = _ranged(df.withColumns({f"__val_{o}": e.cast("double") for o, e in sums.items()}), group_cols, order_cols, descending)
+    w = (Window.partitionBy(*group_cols, _BLOCK).orderBy(*_order_exprs(order_cols, descending))
          .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    for out in sums:
-        d = d.withColumn(f"__loc_{out}", F.coalesce(F.sum(f"__val_{out}").over(w), F.lit(0.0)))
-    # Per-block totals, then offsets = totals of the earlier blocks.
-    tot = d.groupBy(*group_cols, _BLOCK).agg(
-        *[F.coalesce(F.sum(f"__val_{out}"), F.lit(0.0)).alias(f"__tot_{out}") for out in sums])
-    wb = (Window.partitionBy(*group_cols)
-          .orderBy(F.col(_BLOCK).desc() if descending else F.col(_BLOCK).asc())
-          .rowsBetween(Window.unboundedPreceding, -1))
-    off = tot.select(*group_cols, _BLOCK,
-                     *[F.coalesce(F.sum(f"__tot_{out}").over(wb), F.lit(0.0)).alias(f"__off_{out}")
-                       for out in sums])
-    d = null_safe_join(d, broadcast_if_small(off), [*group_cols, _BLOCK], "left")
-    for out in sums:
-        d = d.withColumn(out, F.col(f"__loc_{out}") + F.coalesce(F.col(f"__off_{out}"), F.lit(0.0)))
-    drop = [_BLOCK] + [f"__{p}_{o}" for o in sums for p in ("val", "loc", "off")]
-    return d.drop(*drop)
+    tot = d.groupBy(*group_cols, _BLOCK).agg(*[F.coalesce(F.sum(f"__val_{o}"), F.lit(0.0)).alias(f"__tot_{o}") for o in sums])
+    order = Window.partitionBy(*group_cols).orderBy(_BLOCK)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*group_cols, _BLOCK, F.row_number().over(order).alias("__nth"),
+                     *[F.coalesce(F.sum(f"__tot_{o}").over(before), F.lit(0.0)).alias(f"__off_{o}") for o in sums])
+    off = materialize(off.where("__nth > 1").drop("__nth"))   # fewer rows than partitions
+    d = d.withColumns({f"__loc_{o}": F.coalesce(F.sum(f"__val_{o}").over(w), F.lit(0.0)) for o in sums})
+    d = null_safe_join(d, F.broadcast(off), [*group_cols, _BLOCK], "left")
+    d = d.withColumns({o: F.col(f"__loc_{o}") + F.coalesce(F.col(f"__off_{o}"), F.lit(0.0)) for o in sums})
+    return d.drop(_BLOCK, *[f"__{p}_{o}" for o in sums for p in ("val", "loc", "off")])
 
 
 def row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-               out: str = "rn", descending: bool = False, blocks: int = 32) -> DataFrame:
+               out: str = "rn", descending: bool = False) -> DataFrame:
     """Skew-safe ``row_number()`` (1-based) within ``group_cols``."""
-    r = running_sum(df, group_cols, order_cols, {out: F.lit(1.0)}, descending, blocks)
+    r = running_sum(df, group_cols, order_cols, {out: F.lit(1.0)}, descending)
     return r.withColumn(out, F.col(out).cast("long"))
 
 
-def lag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-        value_col: str, out: str, blocks: int = 32) -> DataFrame:
+def lag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str, out: str) -> DataFrame:
     """Skew-safe ``lag(value, 1)``: the previous row's value within the group."""
     group_cols = list(group_cols)
-    if group_cols and estimated_bytes(df) <= SPLIT_ABOVE_BYTES:
-        w = Window.partitionBy(*group_cols).orderBy(*_order_exprs(order_cols, False))
-        return df.withColumn(out, F.lag(value_col, 1).over(w))
-    d = _prepare(df, group_cols, order_cols, blocks)
+    d = _ranged(df, group_cols, order_cols, False)
     w = Window.partitionBy(*group_cols, _BLOCK).orderBy(*_order_exprs(order_cols, False))
-    d = (d.withColumn("__lag", F.lag(value_col, 1).over(w))
-          .withColumn("__rnb", F.row_number().over(w)))
     key = F.struct(*[F.col(c) for c in order_cols])
-    last = d.groupBy(*group_cols, _BLOCK).agg(F.max_by(value_col, key).alias("__last"))
-    wb = Window.partitionBy(*group_cols).orderBy(_BLOCK)
-    prev = last.select(*group_cols, _BLOCK, F.lag("__last", 1).over(wb).alias("__blkprev"))
-    d = null_safe_join(d, broadcast_if_small(prev), [*group_cols, _BLOCK], "left")
+    last = d.groupBy(*group_cols, _BLOCK).agg(F.max(F.struct(key.alias("k"), F.col(value_col).alias("v"))).alias("__last"))
+    order = Window.partitionBy(*group_cols).orderBy(_BLOCK)
+    prev = last.select(*group_cols, _BLOCK, F.lag("__last.v", 1).over(order).alias("__blkprev"), F.row_number().over(order).alias("__nth"))
+    prev = materialize(prev.where("__nth > 1").drop("__nth"))   # fewer rows than partitions
+    d = d.withColumns({"__lag": F.lag(value_col, 1).over(w), "__rnb": F.row_number().over(w)})
+    d = null_safe_join(d, F.broadcast(prev), [*group_cols, _BLOCK], "left")
     d = d.withColumn(out, F.when(F.col("__rnb") == 1, F.col("__blkprev")).otherwise(F.col("__lag")))
     return d.drop(_BLOCK, "__lag", "__rnb", "__blkprev")
 

@@ -27,7 +27,7 @@ def kmeans_fit(df: DataFrame, vec: str, k: int, seed: int = 42, n_init: int = 10
     best = None
     try:
         for s in range(n_init):
-            m = KMeans(k=k, seed=seed + s, featuresCol="__features", predictionCol=out).fit(d)
+            m = KMeans(k=k, seed=seed + s, maxIter=300, featuresCol="__features", predictionCol=out).fit(d)
             cost = m.summary.trainingCost
             if best is None or cost < best[1]:
                 best = (m, cost)
@@ -46,7 +46,7 @@ def elbow(df: DataFrame, vec: str, ks: Sequence[int] = range(1, 16), seed: int =
                 m = d.agg(Summarizer.mean(F.col("__features")).alias("m")).select(vector_to_array("m").alias("m"))
                 cost = d.withColumn("__m", m.scalar()).agg(F.sum(V.sqdist(vector_to_array("__features"), "__m"))).first()[0]
             else:
-                cost = KMeans(k=k, seed=seed, featuresCol="__features").fit(d).summary.trainingCost
+                cost = KMeans(k=k, seed=seed, maxIter=300, featuresCol="__features").fit(d).summary.trainingCost
             rows.append((int(k), float(cost)))
     finally:
         d.unpersist()

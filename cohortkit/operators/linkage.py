@@ -39,12 +39,12 @@ def duplicated_ids(df: DataFrame, id_cols: str | Sequence[str]) -> DataFrame:
 
 
 def visit_number(df: DataFrame, id_col: str, date_cols: Sequence[str], tie_cols: Sequence[str],
-                 out: str = "visit_number", blocks: int = 32) -> DataFrame:
+                 out: str = "visit_number") -> DataFrame:
     """1-based visit number per entity ordered by the earliest of the
     date columns (undated rows last, N9), then by the tie key.  Uses the
     skew-safe row number so one entity with a third of the rows is split."""
     d = df.withColumn("__sort_date", S.earliest(date_cols))
-    r = Wn.row_number(d, [id_col], ["__sort_date", *tie_cols], out=out, blocks=blocks)
+    r = Wn.row_number(d, [id_col], ["__sort_date", *tie_cols], out=out)
     return r.drop("__sort_date")
 
 

@@ -135,7 +135,7 @@ def l1_logistic(label: str, C: float, n_rows: int, features: str = "features"):
     """M5: multinomial logistic regression with an L1 penalty; the inverse
     strength C maps to ``regParam = 1 / (C n)`` (per-row loss scaling)."""
     return LogisticRegression(labelCol=label, featuresCol=features, family="multinomial", elasticNetParam=1.0,
-                              regParam=1.0 / (C * n_rows), standardization=False, maxIter=200)
+                              regParam=1.0 / (C * n_rows), standardization=False, maxIter=5000)
 
 
 def coefficient_table(model, names: Sequence[str]) -> DataFrame:

@@ -20,8 +20,8 @@ def chi_square(df: DataFrame, cols: Sequence[str], target: str, yates: bool = Tr
     """Pearson chi-square of each categorical column against ``target``
     (rows with a null in either are ignored, like ``crosstab``).
 
-    ``chi2 = sum(o^2 / e) - n`` over observed cells (empty cells add 0), so
-    no grid is built, except for 2x2 tables with ``yates``: then every cell
+    ``chi2 = sum((o - e)^2 / e) + (n - sum(e))`` over observed cells (an empty
+    cell adds its e), so no grid is built, except for 2x2 tables with ``yates``: then every cell
     is corrected by ``min(0.5, |o - e|)`` towards e (scipy's rule), and the
     four cells are completed from the margins.
     Returns ``(column, chi2, dof, n, p_value)``.
@@ -35,8 +35,8 @@ def chi_square(df: DataFrame, cols: Sequence[str], target: str, yates: bool = Tr
     tot = tot.withColumn("dof", ((F.col("nr") - 1) * (F.col("nc") - 1)).cast("long"))
     cells = (obs.join(rows, ["variable", "value"]).join(colm, ["variable", target]).join(tot, "variable")
                 .withColumn("e", F.col("r") * F.col("c") / F.col("n")))
-    plain = cells.groupBy("variable").agg(F.sum(F.col("o") * F.col("o") / F.col("e")).alias("s")) \
-                 .join(tot, "variable").select("variable", (F.col("s") - F.col("n")).alias("chi2"), "dof", "n")
+    plain = cells.groupBy("variable").agg(F.sum((F.col("o") - F.col("e")) * (F.col("o") - F.col("e")) / F.col("e")).alias("s"), F.sum("e").alias("se")) \
+                 .join(tot, "variable").select("variable", (F.col("s") + (F.col("n") - F.col("se"))).alias("chi2"), "dof", "n")
     if not yates:
         res = plain
     else:

@@ -70,7 +70,7 @@ def survival_frame(df: DataFrame, key: str, outcomes: DataFrame, cluster: str, d
 
 # ---- Cox proportional hazards --------------------------------------------------
 
-def _efron_step(d: DataFrame, cols: list[str], beta: np.ndarray, bounds: list[float]) -> tuple[float, np.ndarray, np.ndarray]:
+def _efron_step(d: DataFrame, cols: list[str], beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """One Newton quantity pass: Efron log partial likelihood, gradient and
     Hessian at ``beta`` (standardised covariates in ``cols``)."""
     p = len(cols)
@@ -90,7 +90,7 @@ def _efron_step(d: DataFrame, cols: list[str], beta: np.ndarray, bounds: list[fl
     sums = {"S0": F.col("A0")}
     sums.update({f"S1_{i}": F.col(f"A1_{i}") for i in range(p)})
     sums.update({f"S2_{a}_{b}": F.col(f"A2_{a}_{b}") for a, b in pairs})
-    rs = Wn.running_sum(per_t, [], ["__t"], sums, descending=True, bounds=bounds).where(F.col("dd") > 0)
+    rs = Wn.running_sum(per_t, [], ["__t"], sums, descending=True).where(F.col("dd") > 0)
     dd = F.col("dd").cast("int")
     seq = F.sequence(F.lit(0), dd - 1)
 
@@ -120,7 +120,7 @@ def _efron_step(d: DataFrame, cols: list[str], beta: np.ndarray, bounds: list[fl
 
 
 def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str], penalizer: float = 0.1,
-           max_steps: int = 30, tol: float = 1e-8, blocks: int = 16) -> DataFrame:
+           max_steps: int = 30, tol: float = 1e-8) -> DataFrame:
     """V4: Cox proportional hazards, Efron ties, ridge penalty.
 
     Objective (our definition): Efron log partial likelihood on covariates
@@ -129,7 +129,6 @@ def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
     standard errors from the penalised Hessian and two-sided normal p-values.
     Returns ``(covariate, coef, exp_coef, se, z, p)``.
     """
-    from .profile import long_values  # noqa: F401  (kept for symmetry)
     cols = list(covariates)
     stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in cols],
                    *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
@@ -141,17 +140,16 @@ def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
     d = df.select(F.col(duration).cast("double").alias("__t"), F.col(event).cast("int").alias("__e"),
                   *[((F.col(c) - mean[i]) / std[i]).alias(z[i]) for i, c in enumerate(cols)]).persist()
     try:
-        bounds = Wn.block_bounds(d, "__t", blocks)  # time blocks do not depend on beta
         beta = np.zeros(len(cols))
         for _ in range(max_steps):
-            ll, g, H = _efron_step(d, z, beta, bounds)
+            ll, g, H = _efron_step(d, z, beta)
             g = g - n * penalizer * beta
             H = H + n * penalizer * np.eye(len(cols))
             step = np.linalg.solve(H, g)
             beta = beta + step
             if np.max(np.abs(step)) < tol:
                 break
-        _, g, H = _efron_step(d, z, beta, bounds)
+        _, g, H = _efron_step(d, z, beta)
         H = H + n * penalizer * np.eye(len(cols))
     finally:
         d.unpersist()
@@ -168,7 +166,7 @@ def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
 
 
 def breslow_survival(df: DataFrame, duration: str, event: str, covariates: Sequence[str], beta: Sequence[float],
-                     profiles: Sequence[tuple[str, dict]], blocks: int = 16) -> DataFrame:
+                     profiles: Sequence[tuple[str, dict]]) -> DataFrame:
     """V5: predicted survival curves ``S(t | x) = exp(-H0(t) exp(beta.(x - mean)))``
     with the Breslow baseline ``H0(t) = sum_{u <= t} d_u / sum_{T_j >= u}
     exp(beta.(x_j - mean))``.  ``profiles`` are ``(name, {covariate: value})``
@@ -180,9 +178,9 @@ def breslow_survival(df: DataFrame, duration: str, event: str, covariates: Seque
     xb = sum((F.lit(float(b)) * (F.col(c) - mcols[c]) for b, c in zip(beta, cols)), F.lit(0.0))
     per_t = df.groupBy(F.col(duration).cast("double").alias("t")).agg(
         F.sum(F.col(event).cast("long")).alias("d"), F.sum(F.exp(xb)).alias("w"))
-    rs = Wn.running_sum(per_t, [], ["t"], {"risk": F.col("w")}, descending=True, blocks=blocks)
+    rs = Wn.running_sum(per_t, [], ["t"], {"risk": F.col("w")}, descending=True)
     h = Wn.running_sum(rs.withColumn("__inc", F.when(F.col("d") > 0, F.col("d") / F.col("risk")).otherwise(0.0)),
-                       [], ["t"], {"H0": F.col("__inc")}, blocks=blocks).where(F.col("d") > 0)
+                       [], ["t"], {"H0": F.col("__inc")}).where(F.col("d") > 0)
     prof = F.array(*[F.struct(F.lit(name).alias("profile"),
                               sum((F.lit(float(b)) * ((F.lit(float(vals[c])) if c in vals else mcols[c]) - mcols[c])
                                    for b, c in zip(beta, cols)), F.lit(0.0)).alias("xb"))

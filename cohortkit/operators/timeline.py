@@ -1,7 +1,7 @@
 """Event timelines.
 
-A wide timeline ``(id, time_1..time_n)`` of inter-event gaps is unpivoted
-to ``(id, seq, gap)``; cumulative times are skew-safe running sums; the
+Timelines are long tables ``(id, seq, gap)`` of inter-event gaps (a wide
+one is unpivoted by an adapter); cumulative times are skew-safe running sums; the
 per-cluster rate table is one aggregation.  (No point-process model is
 fitted: the studied analysis computes only these descriptive rates.)
 """
@@ -18,13 +18,12 @@ from ..session import broadcast_if_small
 from .profile import histogram
 
 
-def gaps_from_events(events: DataFrame, id_col: str, ts_col: str, tie_col: str, n: int = 12,
+def gaps_from_events(events: DataFrame, id_col: str, ts_col: str, tie_col: str,
                      unit_micros: float = 3_600_000_000.0) -> DataFrame:
-    """Long gaps ``(id, seq, gap)`` for the first ``n`` events of each entity:
-    gap 1 is measured from the earliest time in the table (study start),
-    later gaps from the previous event, in ``unit_micros`` units (hours)."""
+    """Long gaps ``(id, seq, gap)`` for all events of each entity: gap 1 is
+    measured from the earliest time in the table (study start), later gaps
+    from the previous event, in ``unit_micros`` units (hours)."""
     r = Wn.row_number(events.select(id_col, ts_col, tie_col), [id_col], [ts_col, tie_col], out="seq")
-    r = r.where(F.col("seq") <= n)
     prev = Wn.lag(r, [id_col], ["seq"], ts_col, "__prev")
     t0 = events.agg(F.min(ts_col)).scalar()
     start = F.when(F.col("seq") == 1, t0).otherwise(F.col("__prev"))
@@ -32,32 +31,33 @@ def gaps_from_events(events: DataFrame, id_col: str, ts_col: str, tie_col: str,
     return prev.withColumn("__start", start).select(id_col, F.col("seq").cast("int").alias("seq"), gap.alias("gap"))
 
 
-def to_wide(gaps: DataFrame, id_col: str, n: int = 12, prefix: str = "time_") -> DataFrame:
-    """Pivot long gaps to ``time_1..time_n`` (fixed value list: no distinct
-    pass); missing positions are null."""
-    w = gaps.groupBy(id_col).pivot("seq", list(range(1, n + 1))).agg(F.first("gap"))
-    return w.withColumnsRenamed({str(i): f"{prefix}{i}" for i in range(1, n + 1)})
+def long_from_wide(wide: DataFrame, id_col: str, prefix: str = "time_") -> DataFrame:
+    """Adapter: a wide timeline ``(id, time_1, time_2, ..)``, whatever
+    ``time_`` columns there are, as long gaps ``(id, seq, gap)``."""
+    cols = [c for c in wide.columns if c.startswith(prefix)]
+    return (wide.select(id_col, *[F.col(c).cast("double").alias(c[len(prefix):]) for c in cols])
+            .unpivot([id_col], [c[len(prefix):] for c in cols], "seq", "gap").withColumn("seq", F.col("seq").cast("int")))
 
 
-def cumulative_times(wide: DataFrame, id_col: str, prefix: str = "time_") -> DataFrame:
+def cumulative_times(gaps: DataFrame, id_col: str) -> DataFrame:
     """``(id, seq, gap, t)`` with t the running sum of gaps; as with numpy
     a null gap makes that and every later time null."""
-    cols = [c for c in wide.columns if c.startswith(prefix)]
-    long = wide.select(id_col, *[F.col(c).cast("double").alias(c[len(prefix):]) for c in cols]) \
-               .unpivot([id_col], [c[len(prefix):] for c in cols], "seq", "gap") \
-               .withColumn("seq", F.col("seq").cast("int"))
-    r = Wn.running_sum(long, [id_col], ["seq"], {"__cum": F.coalesce(F.col("gap"), F.lit(0.0)),
-                                                 "__nulls": F.col("gap").isNull().cast("double")})
+    r = Wn.running_sum(gaps.select(id_col, "seq", F.col("gap").cast("double").alias("gap")), [id_col], ["seq"],
+                       {"__cum": F.coalesce(F.col("gap"), F.lit(0.0)), "__nulls": F.col("gap").isNull().cast("double")})
     return r.withColumn("t", F.when(F.col("__nulls") > 0, F.lit(None)).otherwise(F.col("__cum"))) \
             .drop("__cum", "__nulls")
 
 
-def event_sequences(wide: DataFrame, id_col: str, prefix: str = "time_") -> tuple[DataFrame, DataFrame]:
+def event_sequences(gaps: DataFrame, id_col: str, drop_zero_gaps: bool = False) -> tuple[DataFrame, DataFrame]:
     """H1: events = cumulative times > 0 (null never passes); entities with
-    none are dropped; ``end_time`` = last event time + 1.
+    none are dropped; ``end_time`` = last event time + 1.  With
+    ``drop_zero_gaps`` an event at the time of the one before is left out.
     Returns ``(events (id, seq, t), summary (id, end_time, n_events))``."""
-    ct = cumulative_times(wide, id_col, prefix)
-    ev = ct.where(F.col("t") > 0).select(id_col, "seq", "t")
+    ct = cumulative_times(gaps, id_col)
+    ev = ct.where(F.col("t") > 0)
+    if drop_zero_gaps:
+        ev = ev.where(F.col("gap") > 0)
+    ev = ev.select(id_col, "seq", "t")
     summ = ev.groupBy(id_col).agg((F.max_by("t", "seq") + 1).alias("end_time"),
                                   F.count(F.lit(1)).alias("n_events"))
     return ev, summ

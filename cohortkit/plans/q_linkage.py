@@ -174,9 +174,9 @@ def j11_align_columns(spark, sf):
     return L.align_columns(table(spark, sf, "lineitem"), _J11_SCHEMA, keep=["l_orderkey"])
 
 
-@register("a13_dedupe", sql="SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@register("a13_dedupe", sql="SELECT DISTINCT * FROM lineitem")
 def a13_dedupe(spark, sf):
-    return L.dedupe(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    return L.dedupe(table(spark, sf, "lineitem"))
 
 
 @register("a13_duplicated_ids", sql="""

@@ -51,8 +51,8 @@ def s3_arff_read(spark, sf):
     k = F.col("c_custkey")
     c = c.withColumn("c_acctbal", F.when(k % 7 == 0, None).otherwise(F.col("c_acctbal"))) \
          .withColumn("c_mktsegment", F.when(k % 11 == 0, None).otherwise(F.col("c_mktsegment")))
-    # nominal levels go into the header: a bounded read of the distinct values
-    levels = sorted(x[0] for x in table(spark, sf, "customer").select("c_mktsegment").distinct().limit(1000).collect())
+    # all nominal levels go into the header
+    levels = sorted(x[0] for x in table(spark, sf, "customer").select("c_mktsegment").distinct().collect())
     head, data = IO.arff_lines(c, "customer", {"c_mktsegment": levels})
     path = scratch_path(spark, "arff")
     head.write.text(f"{path}/header")

@@ -122,12 +122,13 @@ def _lr_input(spark, sf):
     d = _frame(spark, sf)
     tr = d.where(~F.col("is_test"))
     imp = Fe.SimpleImputerFit(tr, NUMERIC + CATEGORICAL)
-    stats = Fe.fit_scaler(imp.transform(tr), NUMERIC[:2] + NUMERIC[4:])
+    stats = Fe.fit_scaler(imp.transform(tr), [c for c in NUMERIC if c != "priority_grade"])
     d2 = Fe.standardise(imp.transform(d), stats)
     feats = [c for c in NUMERIC if c != "priority_grade"]
     stages, names = M.feature_stages(feats, CATEGORICAL, one_hot=True)
     pm = Pipeline(stages=stages).fit(d2.where(~F.col("is_test")))
-    out = pm.transform(d2).withColumn("grade_a", F.col("grade_a").cast("double"))
+    # classes are indexed from 0 for the fit: grade 1 is class 0
+    out = pm.transform(d2).withColumn("grade_class", F.col("grade_a").cast("double") - 1)
     return out, M.slot_names(out)
 
 
@@ -135,8 +136,8 @@ def _lr_input(spark, sf):
 def m5_l1_logistic(spark, sf):
     d, _ = _lr_input(spark, sf)
     tr = d.where(~F.col("is_test"))
-    model = M.l1_logistic("grade_a", 0.1, tr.count()).fit(tr)
-    return model.transform(d.where(F.col("is_test"))).select("o_orderkey", "grade_a", F.col("prediction").cast("int").alias("lr_pred"))
+    model = M.l1_logistic("grade_class", 0.1, tr.count()).fit(tr)
+    return model.transform(d.where(F.col("is_test"))).select("o_orderkey", F.col("grade_a").cast("double").alias("grade_a"), (F.col("prediction") + 1).cast("int").alias("lr_pred"))
 
 
 @register("m6_c_sweep_confusion")
@@ -146,8 +147,8 @@ def m6_c_sweep_confusion(spark, sf):
     n = tr.count()
     out = None
     for C in (0.1, 0.2, 0.5, 1.0):
-        p = M.l1_logistic("grade_a", C, n).fit(tr).transform(d.where(F.col("is_test")))
-        cm = Ev.confusion_matrix(p.withColumn("pred", F.col("prediction").cast("int")).withColumn("act", F.col("grade_a").cast("int")),
+        p = M.l1_logistic("grade_class", C, n).fit(tr).transform(d.where(F.col("is_test")))
+        cm = Ev.confusion_matrix(p.withColumn("pred", (F.col("prediction") + 1).cast("int")).withColumn("act", F.col("grade_a").cast("int")),
                                  "act", "pred", [1, 2, 3, 4, 5]).withColumn("C", F.lit(C))
         out = cm if out is None else out.unionByName(cm)
     return out
@@ -157,7 +158,7 @@ def m6_c_sweep_confusion(spark, sf):
 def m7_sparsity(spark, sf):
     d, names = _lr_input(spark, sf)
     tr = d.where(~F.col("is_test"))
-    model = M.l1_logistic("grade_a", 0.1, tr.count()).fit(tr)
+    model = M.l1_logistic("grade_class", 0.1, tr.count()).fit(tr)
     return M.sparsity(M.coefficient_table(model, names))
 
 
@@ -173,9 +174,9 @@ def m9_apply_full(spark, sf):
     b, model = _gbt(spark, sf)
     p = model.transform(b)
     return p.select("o_orderkey", F.col("grade_a").alias("actual"), F.col("grade_b").alias("baseline_pred"),
-                    r("prediction").alias("xgb_raw"), S.clip_round_grade("prediction").cast("int").alias("xgb_pred")) \
+                    r("prediction").alias("gbt_raw"), S.clip_round_grade("prediction").cast("int").alias("gbt_pred")) \
             .withColumn("baseline_error", S.abs_error("baseline_pred", "actual")) \
-            .withColumn("xgb_error", S.abs_error("xgb_pred", "actual"))
+            .withColumn("gbt_error", S.abs_error("gbt_pred", "actual"))
 
 
 @register("m10_tree_shape")

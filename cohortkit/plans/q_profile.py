@@ -65,12 +65,12 @@ _A4_OUT = ["variable", "count", "null_count", "mean", "std", "min", "p25", "p50"
 
 def _a4(spark, sf, flavour):
     d = Pr.describe(_li_nulls(spark, sf), _A4_COLS, flavour)
-    return d.select("variable", "count", "null_count", *[r(c).alias(c) for c in _A4_OUT[3:]])
+    return d.select("variable", "count", "null_count", *[r(c, 9 if c == "mean" else 6).alias(c) for c in _A4_OUT[3:]])
 
 
 @register("a4_describe_pandas", sql=f"""
 WITH {_A4_LV}
-SELECT variable, count(value) AS count, count(*) - count(value) AS null_count, round(avg(value), 6) AS mean,
+SELECT variable, count(value) AS count, count(*) - count(value) AS null_count, round(avg(value), 9) AS mean,
   round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25,
   round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max
 FROM lv GROUP BY variable""")
@@ -83,7 +83,7 @@ WITH {_A4_LV},
 s AS (SELECT variable, value, row_number() OVER (PARTITION BY variable ORDER BY value) - 1 AS rn,
   count(*) OVER (PARTITION BY variable) AS n FROM lv WHERE value IS NOT NULL)
 SELECT a.variable, a.count, a.null_count, a.mean, a.std, a.min, q.p25, q.p50, q.p75, a.max FROM (
-  SELECT variable, count(value) AS count, count(*) - count(value) AS null_count, round(avg(value), 6) AS mean,
+  SELECT variable, count(value) AS count, count(*) - count(value) AS null_count, round(avg(value), 9) AS mean,
   round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max FROM lv GROUP BY variable) a
 JOIN (SELECT variable, round(max(CASE WHEN rn = floor((n - 1) * 0.25 + 0.5) THEN value END), 6) AS p25,
   round(max(CASE WHEN rn = floor((n - 1) * 0.5 + 0.5) THEN value END), 6) AS p50,

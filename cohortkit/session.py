@@ -42,11 +42,15 @@ def build_session(master: str | None = None, app: str = "cohortkit",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is; only
-    when it is unset (local tests) a scratch folder is created.
+    On a cluster the setting must name a folder that all machines share;
+    without it this fails.  Only a local master (tests, one machine) gets a
+    scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -65,28 +69,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (no job is run).
-    Estimates of aggregates and joins are upper bounds (child sizes)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast ``df`` only when the optimizer's size estimate proves it
-    small (no extra job).  Otherwise the frame is returned unchanged and AQE
-    decides at runtime from the real shuffle size: it turns the join into a
-    broadcast when the side is small, and keeps a shuffled join when not."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder (cuts lineage, survives
-    executor loss).  Persisting first lets the checkpoint job read the
-    computed blocks instead of running the plan a second time."""
-    df = df.persist()
-    out = df.checkpoint()
-    df.unpersist()
-    return out
+    """Write ``df`` as a table in the shared checkpoint folder and read it
+    back (cuts lineage, survives executor loss)."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` written as a table, and hinted for broadcast only if its rows,
+    counted there, are ``max_rows`` or fewer.  A larger side is joined by
+    shuffle, where AQE splits skewed keys."""
+    t = materialize(df)
+    return F.broadcast(t) if t.limit(max_rows + 1).count() <= max_rows else t

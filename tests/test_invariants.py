@@ -42,13 +42,15 @@ def test_exact_quantiles_narrowing_with_hot_group(spark):
     assert n == s[int(math.floor((len(s) - 1) * 0.25 + 0.5))]
 
 
-def test_skew_safe_windows_match_plain(spark, monkeypatch):
-    monkeypatch.setattr(Wn, "SPLIT_ABOVE_BYTES", 0)  # force value blocks
+def test_skew_safe_windows_match_plain(spark):
     e = table(spark, SF_SMALL, "events").select("user_id", "ts", "event_id", "value")
-    e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))  # a hot key
-    r = Wn.row_number(e, ["user_id"], ["ts", "event_id"], out="rn", blocks=8)
-    s = Wn.running_sum(r, ["user_id"], ["ts", "event_id"], {"cum": F.col("value")}, blocks=8)
-    l = Wn.lag(s, ["user_id"], ["ts", "event_id"], "value", "prev", blocks=8)
+    hot = F.col("event_id") % 2 == 0   # one key holds half the rows, all at the same time
+    e = e.withColumns({"user_id": F.when(hot, F.lit(0)).otherwise(F.col("user_id")), "ts": F.when(hot, F.lit("2024-01-01").cast(e.schema["ts"].dataType)).otherwise(F.col("ts"))})
+    spread = Wn._ranged(e, ["user_id"], ["ts", "event_id"], False).where("user_id = 0").groupBy("__blk").count().collect()
+    assert len(spread) > 2
+    r = Wn.row_number(e, ["user_id"], ["ts", "event_id"], out="rn")
+    s = Wn.running_sum(r, ["user_id"], ["ts", "event_id"], {"cum": F.col("value")})
+    l = Wn.lag(s, ["user_id"], ["ts", "event_id"], "value", "prev")
     from pyspark.sql import Window
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     ref = e.select("event_id", F.row_number().over(w).alias("rn0"),
