@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from . import textnum as tn
 from .common import id_and_text, release, stored, sub_batches
 
-RARITY_BITS = 23            # buckets of the word counts
+RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
-FILTER_BITS = 26            # bits of the membership filters
+FILTER_BITS = 24            # log2 of the bits of a membership filter
 FEW = 512                   # entries under a word up to which all pairs are candidates
+MOST = 4095                 # counts from here on are alike: the order only has to tell rare words
 NO_ID = -(1 << 63)          # stands for a null document id, which comes first
 _U = np.uint64
 _LINES = "doc long, line_no int, k1 long, bits long, bits2 long, n int, prefix array<long>"
@@ -64,7 +65,7 @@ def line_words(raw: list[bytes], rarity: np.ndarray):
     step = np.zeros(len(starts) + 1, np.int64)
     np.add.at(step, np.searchsorted(starts, feeds), 1)
     line = np.cumsum(step)[:-1]                             # number of the line in the buffer
-    c = np.minimum(rarity[_bucket(h)], 4095)                # one order for the whole corpus: count, then hash
+    c = np.minimum(rarity[_bucket(h)], MOST)                # one order for the whole corpus: count, then hash
     low = h >> _U(32)
     order = None
     if len(feeds) < 1 << 20:
@@ -129,7 +130,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     out = np.zeros(1 << RARITY_BITS, np.uint32).reshape(-1, RARITY_BLOCK)
     for r in blocks.collect():                 # 2**RARITY_BITS counts in all
         out[r["block"]] = np.frombuffer(r["counts"], np.uint32)
-    return out.ravel()
+    return np.minimum(out.ravel(), MOST).astype(np.uint16)
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -143,9 +144,8 @@ def _unpack(b) -> bytes:
 def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
     """Every non-blank line: place, class, set size, and its prefix entries
     word(32 bits) | size(16) | position(16).  A class has its entries at its first line
-    in each task only.  Words that occur once are not indexed, nor are sets so small
-    that only equal ones match; sizes and positions above 65535 saturate, which
-    only loosens the filters."""
+    in each task only.  Sets so small that only equal ones match are not indexed;
+    sizes and positions above 65535 saturate, which only loosens the filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = counts.value, set()
         for b in batches:
@@ -165,7 +165,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 line = np.repeat(np.arange(len(lo)), n)
                 pos, size = np.arange(len(h)) - lo[line], n[line]
                 least = -(-size * num // den)              # overlap with a line of like size
-                use = (pos <= size - least) & (c > 1) & (size * (den - num) >= num) & fresh[line]
+                use = (pos <= size - least) & (size * (den - num) >= num) & fresh[line]
                 entry = (h[use] & _U(0xFFFFFFFF00000000)) | (np.minimum(size[use], 65535).astype(_U) << _U(16)) | np.minimum(pos[use], 65535).astype(_U)
                 many = np.bincount(line[use], minlength=len(lo))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(entry.view(np.int64)))
