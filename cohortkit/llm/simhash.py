@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import blocks_for, id_and_text, release, stored
 from .graph import components
 
 
@@ -86,11 +86,14 @@ def links(codes: DataFrame, max_bits: int = 2, bucket_cap: int = 32) -> DataFram
     if max_bits not in (1, 2):
         raise ValueError("max_bits must be 1 or 2")
     codes = codes.select("code")
+    # a fingerprint becomes 64 rows: small tables in enough tasks
+    codes = codes.repartition(blocks_for(codes.count(), 8192))
     idx = _variants(codes, 2)
     size = idx.groupBy("key").agg(F.count("*").alias("n"))
     shared = stored(size.where("n > 1"), "simhash-buckets")
     # members of shared buckets; merged at every size, as the buckets grow with the corpus
     hits = stored(idx.join(shared.hint("merge"), "key"), "simhash-hits")
+    release(codes.sparkSession)
     few = hits.where(F.col("n") <= bucket_cap).select("key", "code")
     pairs = (few.select("key", F.col("code").alias("u")).join(few.select("key", F.col("code").alias("v")), "key")
              .where((F.col("u") < F.col("v")) & (_bits("u", "v") <= max_bits)).select("u", "v"))
