@@ -302,11 +302,12 @@ def _inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _may_match(rows: DataFrame, hashed: Column) -> Column:
+def _may_match(rows: DataFrame, hashed: Column, used: list) -> Column:
     """Tests a hash (a column of another table, by calling) against those of
     ``rows``: false only if it is not among them.  It spares a join the shuffle of
-    most rows that find nothing."""
+    most rows that find nothing.  ``used`` collects what was broadcast."""
     sent = rows.sparkSession.sparkContext.broadcast(_filter_bits(rows, hashed))
+    used.append(sent)
 
     @F.pandas_udf("boolean")
     def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -315,26 +316,28 @@ def _may_match(rows: DataFrame, hashed: Column) -> Column:
     return test
 
 
-def _class_words(docs: DataFrame, places: DataFrame, counts) -> DataFrame:
+def _class_words(docs: DataFrame, places: DataFrame, counts, used: list) -> DataFrame:
     """(k1, bits, words) of the lines at ``places`` (doc, line_no), read from
     the texts; filters keep most other lines from leaving the tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, F.xxhash64("doc", "line_no")))
-    test = _may_match(places, F.xxhash64("doc"))
+    sc = docs.sparkSession.sparkContext
+    sent = sc.broadcast((_filter_bits(places, F.xxhash64("doc")), _filter_bits(places, F.xxhash64("doc", "line_no"))))
+    used.append(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, lines = sent.value
         for b in batches:
+            b = b.filter(pa.array(_inside(some, b.column(2).to_numpy(zero_copy_only=False).view(_U))))
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = _folded(t).split(b"\n")
                 seed = xxhash.xxh64_intdigest(struct.pack("<q", d), 42)     # as Spark hashes (doc, line_no)
                 h = np.array([xxhash.xxh64_intdigest(struct.pack("<i", i), seed) for i in range(len(raw))], _U)
-                raw = [x for x, hit in zip(raw, _inside(sent.value, h)) if hit and x.strip()]
+                raw = [x for x, hit in zip(raw, _inside(lines, h)) if hit and x.strip()]
                 if raw:
                     text, _, lo, words, _ = line_words(raw, counts.value)
                     k1, bits, _ = _keys(lo, words)
                     yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
 
-    some = docs.where(test(F.xxhash64("doc"))).select("doc", "text")
-    found = some.mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
+    found = docs.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
     return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
 
 
@@ -345,6 +348,7 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     Jaccard similarity of num/den or more to it."""
     num, den = similarity
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
+    used = [counts]                                         # broadcasts that end with this function
     lines = stored(_lines(docs, counts, num, den), "lines")
     place = F.struct("doc", "line_no")
     # classes of one line need no entry here: it is their first
@@ -356,7 +360,7 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
 
     def named(rows: DataFrame) -> DataFrame:
         """The classes (k1, bits, bits2, first) of lines told by (bits, doc)."""
-        test = _may_match(rows, F.xxhash64("bits", "doc"))
+        test = _may_match(rows, F.xxhash64("bits", "doc"), used)
         own = lines.where(test(F.xxhash64("bits", "doc"))).select("k1", "bits", "bits2", "doc", place.alias("own")).join(rows, ["bits", "doc"], "left_semi")
         rep = repeated.select("k1", "bits", "first")
         return own.join(rep, ["k1", "bits"], "left").select("doc", "k1", "bits", "bits2", F.coalesce("first", "own").alias("first")).distinct()
@@ -373,7 +377,7 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
         p = stored(p.select(*[F.when(late, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
             ("u", "v", "x"), ("v", "u", "y"), ("ufirst", "vfirst", "xfirst"), ("vfirst", "ufirst", "yfirst"))]).distinct(), "line-pairs")
         places = stored(p.select("xfirst.*").union(p.select("yfirst.*")).distinct(), "line-places")
-        words = stored(_class_words(docs, places, counts), "line-words")
+        words = stored(_class_words(docs, places, counts, used), "line-words")
 
         def similar(q: DataFrame) -> DataFrame:
             for m in ("x", "y"):
@@ -403,7 +407,10 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     matched = settled.union(verified(rest)).distinct().withColumn("matched", F.lit(True))
     marked = repeated.select("k1", "bits", "first", F.lit(False).alias("matched")).union(matched.select("k1", "bits", "first", "matched"))
     marked = marked.groupBy("k1", "bits").agg(F.min("first").alias("first"), F.max("matched").alias("matched"))
-    return lines.select("doc", "line_no", "k1", "bits"), stored(marked, "line-marked")
+    marked = stored(marked, "line-marked")
+    for b in used:
+        b.destroy()
+    return lines.select("doc", "line_no", "k1", "bits"), marked
 
 
 def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
@@ -416,7 +423,7 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col:
     id stand at the same place and do not remove each other at an equal line number."""
     d = id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     lines, marked = line_classes(d, similarity, few_entries)
-    test = _may_match(marked, F.xxhash64("k1", "bits"))
+    test = _may_match(marked, F.xxhash64("k1", "bits"), [])
     j = lines.where(test(F.xxhash64("k1", "bits"))).join(marked, ["k1", "bits"])
     gone = F.col("matched") | (F.struct("doc", "line_no") != F.col("first"))
     return j.where(gone).groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).select(
@@ -434,7 +441,7 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
     release(docs.sparkSession)
     text = F.col(text_col).cast("string")
     ids = F.col(id_col).cast("long")
-    hit = docs.withColumn("__hit", _may_match(r, F.xxhash64("doc_id"))(F.xxhash64(ids)))     # the others need no join
+    hit = docs.withColumn("__hit", _may_match(r, F.xxhash64("doc_id"), [])(F.xxhash64(ids)))     # the others need no join
     none = F.array().cast("array<int>")
     same = hit.where(~F.col("__hit")).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
     r = r.select(F.col("doc_id").alias("__id"), F.col("removed").alias("__removed"))
