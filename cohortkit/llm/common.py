@@ -45,6 +45,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table made by ``stored`` that nothing will read again."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps that are done:
     it does so when the driver has collected their plans as garbage."""

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import id_and_text, release, stored, sub_batches
+from .common import discard, id_and_text, release, stored, sub_batches
 
 RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
@@ -341,21 +341,28 @@ def _class_words(docs: DataFrame, places: DataFrame, counts, used: list) -> Data
     return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
 
 
-def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entries: int = FEW) -> tuple[DataFrame, DataFrame]:
+def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entries: int = FEW, tables: list | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, marked) of ``docs`` (doc, text): every non-blank line (doc,
     line_no, k1, bits), and the classes (k1, bits) that have several lines or match: the place of the
     first line (first) and ``matched``, whether a class that begins earlier has a
     Jaccard similarity of num/den or more to it."""
     num, den = similarity
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        t = stored(df, name)
+        if tables is not None:
+            tables.append(t)                                # for the caller to discard
+        return t
+
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
     used = [counts]                                         # broadcasts that end with this function
-    lines = stored(_lines(docs, counts, num, den), "lines")
+    lines = kept(_lines(docs, counts, num, den), "lines")
     place = F.struct("doc", "line_no")
     # classes of one line need no entry here: it is their first
-    repeated = stored(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
+    repeated = kept(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
     release(docs.sparkSession)
     entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("bits2").alias("a2"))
-    found = stored(_candidates(entries, num, den, few_entries), "line-candidates")
+    found = kept(_candidates(entries, num, den, few_entries), "line-candidates")
     release(docs.sparkSession)
 
     def named(rows: DataFrame) -> DataFrame:
@@ -368,16 +375,16 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     def verified(pairs: DataFrame) -> DataFrame:
         """(k1, bits, first) of the classes of ``pairs`` (a, adoc, b, bdoc)
         that match an earlier one."""
-        p = stored(pairs.distinct(), "line-found")
-        who = stored(named(p.select(F.col("a").alias("bits"), F.col("adoc").alias("doc")).union(p.select("b", "bdoc")).distinct()), "line-named")
+        p = kept(pairs.distinct(), "line-found")
+        who = kept(named(p.select(F.col("a").alias("bits"), F.col("adoc").alias("doc")).union(p.select("b", "bdoc")).distinct()), "line-named")
         for side, m in (("a", "u"), ("b", "v")):
             p = p.join(who.select(F.col("bits").alias(side), F.col("doc").alias(side + "doc"), F.struct("k1", "bits").alias(m), F.col("first").alias(m + "first")), [side, side + "doc"])
         p = p.where((F.col("u") != F.col("v")) & (F.col("ufirst") != F.col("vfirst")))
         late = F.col("ufirst") > F.col("vfirst")
-        p = stored(p.select(*[F.when(late, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
+        p = kept(p.select(*[F.when(late, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
             ("u", "v", "x"), ("v", "u", "y"), ("ufirst", "vfirst", "xfirst"), ("vfirst", "ufirst", "yfirst"))]).distinct(), "line-pairs")
-        places = stored(p.select("xfirst.*").union(p.select("yfirst.*")).distinct(), "line-places")
-        words = stored(_class_words(docs, places, counts, used), "line-words")
+        places = kept(p.select("xfirst.*").union(p.select("yfirst.*")).distinct(), "line-places")
+        words = kept(_class_words(docs, places, counts, used), "line-words")
 
         def similar(q: DataFrame) -> DataFrame:
             for m in ("x", "y"):
@@ -387,17 +394,17 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
 
         # one match is enough: the earliest candidate first, the others where it fails
         one = p.groupBy("x").agg(F.min(F.struct("yfirst", "y", "xfirst")).alias("c")).select("x", "c.y", "c.xfirst")
-        one = stored(similar(one), "line-one")
+        one = kept(similar(one), "line-one")
         return one.union(similar(p.join(one.select("x"), "x", "left_anti"))).select("x.*", F.col("xfirst").alias("first"))
 
-    settled = stored(verified(found.where("entry is null").select("a", "adoc", "b", "bdoc")), "line-settled")
+    settled = kept(verified(found.where("entry is null").select("a", "adoc", "b", "bdoc")), "line-settled")
     # under words with many entries: the open classes against all that begin earlier
-    many = stored(found.where("entry is not null").select("entry", F.col("a").alias("bits"), F.col("adoc").alias("doc")), "line-many")
+    many = kept(found.where("entry is not null").select("entry", F.col("a").alias("bits"), F.col("adoc").alias("doc")), "line-many")
     who = named(many.select("bits", "doc").distinct())
     many = many.join(who, ["bits", "doc"]).groupBy("k1", "bits", "bits2", "first", "entry").agg(F.min("doc").alias("doc")).select(
         F.shiftright("entry", 32).alias("w"), F.shiftright("entry", 16).bitwiseAND(F.lit(65535).cast("long")).alias("n"),
         F.col("entry").bitwiseAND(F.lit(65535).cast("long")).alias("p"), "k1", "bits", "bits2", "first", "doc")
-    many = stored(many, "line-many")
+    many = kept(many, "line-many")
     probe = many.join(settled.select("k1", "bits"), ["k1", "bits"], "left_anti").select(
         "w", F.col("n").alias("un"), F.col("p").alias("up"), F.col("bits").alias("a"), F.col("bits2").alias("a2"), F.col("doc").alias("adoc"), F.col("first").alias("ufirst"))
     other = many.select(F.col("w").alias("vw"), F.col("n").alias("vn"), F.col("p").alias("vp"), F.col("bits").alias("b"), F.col("bits2").alias("b2"), F.col("doc").alias("bdoc"), F.col("first").alias("vfirst"))
@@ -407,14 +414,14 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     matched = settled.union(verified(rest)).distinct().withColumn("matched", F.lit(True))
     marked = repeated.select("k1", "bits", "first", F.lit(False).alias("matched")).union(matched.select("k1", "bits", "first", "matched"))
     marked = marked.groupBy("k1", "bits").agg(F.min("first").alias("first"), F.max("matched").alias("matched"))
-    marked = stored(marked, "line-marked")
+    marked = kept(marked, "line-marked")
     for b in used:
         b.destroy()
     return lines.select("doc", "line_no", "k1", "bits"), marked
 
 
 def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
-                  few_entries: int = FEW) -> DataFrame:
+                  few_entries: int = FEW, tables: list | None = None) -> DataFrame:
     """(doc_id, removed): for each document that loses lines their sorted
     numbers (from 0).
 
@@ -422,7 +429,7 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col:
     line number.  Blank lines are never matched.  Lines of rows with an equal
     id stand at the same place and do not remove each other at an equal line number."""
     d = id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
-    lines, marked = line_classes(d, similarity, few_entries)
+    lines, marked = line_classes(d, similarity, few_entries, tables)
     test = _may_match(marked, F.xxhash64("k1", "bits"), [])
     j = lines.where(test(F.xxhash64("k1", "bits"))).join(marked, ["k1", "bits"])
     gone = F.col("matched") | (F.struct("doc", "line_no") != F.col("first"))
@@ -437,7 +444,10 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
 
     Null and empty texts stay as they are.  A text of which no line is left is
     empty.  An empty table gives an empty result."""
-    r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries), "line-removed")
+    tables: list[DataFrame] = []
+    r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries, tables), "line-removed")
+    for t in tables:                                        # all that the result needs is in r
+        discard(t)
     release(docs.sparkSession)
     text = F.col(text_col).cast("string")
     ids = F.col(id_col).cast("long")
