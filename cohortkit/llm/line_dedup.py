@@ -36,7 +36,7 @@ RARITY_BLOCK = 8192
 FILTER_BITS = 24            # log2 of the bits of a membership filter
 FEW = 512                   # entries under a word up to which all pairs are candidates
 MOST = 4095                 # counts from here on are alike: the order only has to tell rare words
-NO_ID = -(1 << 63)          # stands for a null document id, which comes first
+NO_ID = -(1 << 63)          # stands for the one null document id, which comes first
 _U = np.uint64
 _LINES = "doc long, line_no int, k1 long, bits long, bits2 long, n int, prefix array<long>"
 _FOUND = "a long, adoc long, b long, bdoc long, entry long"
@@ -420,21 +420,44 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     return lines.select("doc", "line_no", "k1", "bits"), marked
 
 
-def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
-                  few_entries: int = FEW, tables: list | None = None) -> DataFrame:
-    """(doc_id, removed): for each document that loses lines their sorted
-    numbers (from 0).
-
-    Later means a larger document id (a null one comes first), then a larger
-    line number.  Blank lines are never matched.  Lines of rows with an equal
-    id stand at the same place and do not remove each other at an equal line number."""
-    d = id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a long ``__row`` that tells its rows apart: the id where
+    every row has its own, otherwise the place in the order of id (null first)
+    and text, in a stored table."""
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    if docs.select(own.alias("doc")).groupBy("doc").count().where("count > 1").isEmpty():
+        return docs.withColumn("__row", own)
+    # rows alike in id and text are dealt by their place in the input, so that they fill no single task
+    order = ["__doc", "__text", "__place"]
+    dealt = docs.withColumns({"__doc": F.col(id_col).cast("long"), "__text": F.xxhash64(F.col(text_col).cast("string")), "__place": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
+    return stored(dealt.withColumn("__row", F.monotonically_increasing_id()), "line-rows")
+
+
+def _removed(keyed: DataFrame, similarity: tuple[int, int], text_col: str, few_entries: int, tables: list | None) -> DataFrame:
+    """(doc, removed) of the rows of ``keyed`` (see ``_row_keys``) that lose
+    lines; doc is the row's key."""
+    d = id_and_text(keyed, "__row", text_col).select(F.col("doc_id").alias("doc"), "text")
     lines, marked = line_classes(d, similarity, few_entries, tables)
     test = _may_match(marked, F.xxhash64("k1", "bits"), [])
     j = lines.where(test(F.xxhash64("k1", "bits"))).join(marked, ["k1", "bits"])
     gone = F.col("matched") | (F.struct("doc", "line_no") != F.col("first"))
-    return j.where(gone).groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "removed")
+    return j.where(gone).groupBy("doc").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+
+
+def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
+                  few_entries: int = FEW, tables: list | None = None) -> DataFrame:
+    """(doc_id, removed): for each row that loses lines their sorted numbers
+    (from 0).
+
+    Later means a larger document id (a null one comes first), then a larger
+    line number.  Blank lines are never matched.  Rows without an id or with an
+    equal one are documents of their own, ordered by a hash of the text; of
+    equal rows any one is the earliest."""
+    keyed = _row_keys(docs, id_col, text_col)
+    r = _removed(keyed, similarity, text_col, few_entries, tables)
+    ids = keyed.select(F.col("__row").alias("doc"), F.col(id_col).cast("long").alias("doc_id"))
+    return r.join(ids, "doc").select("doc_id", "removed")
 
 
 def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
@@ -445,17 +468,17 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
     Null and empty texts stay as they are.  A text of which no line is left is
     empty.  An empty table gives an empty result."""
     tables: list[DataFrame] = []
-    r = stored(removed_lines(docs, similarity, id_col, text_col, few_entries, tables), "line-removed")
+    keyed = _row_keys(docs, id_col, text_col)
+    r = stored(_removed(keyed, similarity, text_col, few_entries, tables), "line-removed")
     for t in tables:                                        # all that the result needs is in r
         discard(t)
     release(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    ids = F.col(id_col).cast("long")
-    hit = docs.withColumn("__hit", _may_match(r, F.xxhash64("doc_id"), [])(F.xxhash64(ids)))     # the others need no join
+    hit = keyed.withColumn("__hit", _may_match(r, F.xxhash64("doc"), [])(F.xxhash64("__row")))     # the others need no join
     none = F.array().cast("array<int>")
     same = hit.where(~F.col("__hit")).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
-    r = r.select(F.col("doc_id").alias("__id"), F.col("removed").alias("__removed"))
-    j = hit.where("__hit").join(r, ids.eqNullSafe(F.col("__id")), "left")
+    r = r.select(F.col("doc").alias("__id"), F.col("removed").alias("__removed"))
+    j = hit.where("__hit").join(r, F.col("__row") == F.col("__id"), "left")
     gone = F.coalesce("__removed", none)
     kept = F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(
         F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n"))

@@ -64,6 +64,43 @@ def test_line_dedup_matches_every_pair_compared(spark, few):
     assert got == brute.line_removals(rows)
 
 
+def test_line_dedup_tells_rows_without_id_and_of_one_id_apart(spark):
+    a, b = "a b c d\nx1 x2 x3 x4", "p q r s\na b c d"
+    for i in (None, 7, -2**63):
+        df = spark.createDataFrame([(i, a), (i, b)], "doc_id long, text string").repartition(2)
+        got = {(r["text"], tuple(r["o"]["removed"]), r["o"]["text"]) for r in line_dedup.dedup_lines(df, out="o").collect()}
+        # 'a b c d' stays once, wherever it comes first, and no other line goes
+        assert got in ({(a, (), a), (b, (1,), "p q r s")}, {(a, (0,), "x1 x2 x3 x4"), (b, (), b)})
+        assert sum(len(r["removed"]) for r in line_dedup.removed_lines(df).collect()) == 1
+
+
+def test_line_dedup_with_a_third_of_the_ids_missing(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(40)]
+    base = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    rows = [(None if n % 3 == 0 else n // 4, "\n".join(rng.choice(base) for _ in range(rng.randint(0, 4)))) for n in range(150)]
+    rows += rows[:20] + [(-2**63, base[0]), (None, None), (None, "")]
+    df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n long, doc_id long, text string").repartition(5)
+    got = {r["n"]: r for r in line_dedup.dedup_lines(df, out="o").collect()}
+    assert len(got) == len(rows) and all((got[n]["doc_id"], got[n]["text"]) == r for n, r in enumerate(rows))
+    # a line keeps one place, its first; blank ones stay
+    kept = Counter(frozenset(x.split()) for r in got.values() for x in (r["o"]["text"] or "").split("\n") if x.split())
+    want = Counter(frozenset(x.split()) for _, t in rows for x in (t or "").split("\n") if x.split())
+    assert all(c == 1 for c in kept.values()) and set(kept) <= set(want)
+    near = lambda x, y: 5 * len(x & y) >= 4 * len(x | y)
+    assert all(any(near(x, y) for y in kept) or any(near(x, y) for y in set(want) - {x}) for x in want)
+    alone = {x for x in want if not any(near(x, y) for y in want if y != x)}
+    assert alone <= set(kept)
+    first = {}
+    for n, (d, t) in sorted(enumerate(rows), key=lambda r: (r[1][0] is not None, r[1][0] or 0)):
+        for x in (t or "").split("\n"):
+            first.setdefault(frozenset(x.split()), (d is not None, d or 0))
+    for n, r in got.items():
+        for x in (r["o"]["text"] or "").split("\n"):
+            if x.split():
+                assert first[frozenset(x.split())] == (r["doc_id"] is not None, r["doc_id"] or 0)
+
+
 def test_minimax_search():
     rng = random.Random(1)
     for n, hi, shards in ((5, 10, 3), (1, 10, 16), (400, 1000, 16), (3000, 9, 16)):
