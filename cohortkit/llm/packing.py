@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import blocks_for, id_and_text, stored
 
 END_ID = 2
+END_OF_TEXT = {"<|endoftext|>": 50256}     # the vocabulary's added token, told apart in texts
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 PACKED_SCHEMA = "row long, sequence_id long, offset long"
 
@@ -32,7 +33,13 @@ def _encoder(path: str, pattern: str):
     import tiktoken
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=END_OF_TEXT)
+
+
+def token_ids(enc, text: str | None) -> list[int]:
+    """Ids of a text as the tokenizers file gives them: the added token is
+    one id wherever it stands, and the text between is encoded by itself."""
+    return enc.encode(text or "", allowed_special="all")
 
 
 def default_tokenizer() -> tuple[str, str]:
@@ -55,8 +62,7 @@ def token_pieces(docs: DataFrame, limit: int = 1024, tokenizer: tuple[str, str]
     """One row a piece: doc_id, piece (from 0), start (the document's ids
     before it), length, ids (little-endian unsigned 32-bit).
 
-    Strings of special tokens in a text are ordinary text.  Null texts count
-    as empty: one piece with the end id alone.  Rows without id and repeated
+    ``<|endoftext|>`` in a text is its one id.  Null texts count as empty: one piece with the end id alone.  Rows without id and repeated
     rows give pieces like any other."""
     path, pattern = tokenizer or default_tokenizer()
 
@@ -67,7 +73,7 @@ def token_pieces(docs: DataFrame, limit: int = 1024, tokenizer: tuple[str, str]
         for b in batches:
             cols, held = [[] for _ in names], 0
             for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.array(enc.encode_ordinary(t.as_py() or "") + [END_ID], "<u4")
+                ids = np.array(token_ids(enc, t.as_py()) + [END_ID], "<u4")
                 at = 0
                 for k, n in enumerate(piece_lengths(len(ids), limit)):
                     for c, v in zip(cols, (d, k, at, n, ids[at:at + n].tobytes())):

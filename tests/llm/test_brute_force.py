@@ -319,3 +319,28 @@ def test_tokenizer_twin():
         assert t.encode(x, add_special_tokens=False).ids == enc.encode_ordinary(x)
     same()
     assert t.encode("<|endoftext|>", add_special_tokens=False).ids == enc.encode_ordinary("<|endoftext|>")
+
+
+def test_added_token_in_texts(docs_of):
+    """Ids as the tokenizers file gives them when called plainly."""
+    from hypothesis import given, settings, strategies as st
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    enc = packing._encoder(*packing.default_tokenizer())
+    assert packing.token_ids(enc, "a<|endoftext|>b") == t.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.one_of(st.text(), st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n"]))))
+    def same(x):
+        x = "".join(x)
+        assert packing.token_ids(enc, x) == t.encode(x, add_special_tokens=False).ids
+    same()
+    rows = [(1, "a<|endoftext|>b"), (2, "a  <|endoftext|>  b" * 40), (3, "<|endoftext|>"), (4, None)]
+    got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"]) for r in packing.pack_documents(docs_of(rows), 64).collect()}
+    for d, x in rows:
+        ids, at = t.encode(x or "", add_special_tokens=False).ids + [2], 0
+        for n in packing.piece_lengths(len(ids), 64):
+            assert got.pop((d, at)) == (n, zlib.crc32(np.array(ids[at:at + n], "<u4").tobytes()))
+            at += n
+    assert not got
