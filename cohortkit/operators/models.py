@@ -74,38 +74,41 @@ def decision_tree(label: str, max_depth: int = 5, min_leaf: int = 1, min_info_ga
 
 # Search space of the tree tuner (fixed values of the studied configuration):
 # depth 3-15, leaf 25-250, impurity decrease 0-0.01, criterion gini/entropy,
-# class weight balanced/none.
+# class weight balanced/none, features a split sqrt/log2/all.
 SEARCH_SPACE = {"max_depth": (3, 15), "min_leaf": (25, 250), "min_info_gain": (0.0, 0.01),
-                "impurity": ["gini", "entropy"], "class_weight": ["balanced", None]}
+                "impurity": ["gini", "entropy"], "class_weight": ["balanced", None], "max_features": ["sqrt", "log2", "all"]}
 
 
-def random_search_cv(df: DataFrame, label: str, fold_col: str, n_trials: int = 20, seed: int = 42,
+def random_search_cv(df: DataFrame, label: str, fold_col: str, n_trials: int = 100, seed: int = 42, num_folds: int = 5,
                      balanced_weight_col: str = "weight", unit_weight_col: str = "unit_weight",
                      parallelism: int = 4, features: str = "features") -> tuple[DataFrame, object]:
     """M2: random draws from ``SEARCH_SPACE`` as parameter maps, k-fold
     cross-validated F1 of the positive class (folds from ``fold_col``).
     ``df`` must hold the assembled features, the balanced weight column
-    (F14) and a unit weight column.  Returns ``(trials, best_model)``."""
+    (F14) and a unit weight column.  The tree is a one-tree forest without
+    bootstrap, as features are sampled per split.  Returns ``(trials, best_model)``."""
     rng = random.Random(seed)
-    dt = DecisionTreeClassifier(labelCol=label, featuresCol=features, seed=seed)
+    dt = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=1, bootstrap=False, seed=seed)
     maps, trials = [], []
     for t in range(n_trials):
         p = {"max_depth": rng.randint(*SEARCH_SPACE["max_depth"]),
              "min_leaf": rng.randint(*SEARCH_SPACE["min_leaf"]),
              "min_info_gain": rng.uniform(*SEARCH_SPACE["min_info_gain"]),
              "impurity": rng.choice(SEARCH_SPACE["impurity"]),
-             "class_weight": rng.choice(SEARCH_SPACE["class_weight"])}
+             "class_weight": rng.choice(SEARCH_SPACE["class_weight"]),
+             "max_features": rng.choice(SEARCH_SPACE["max_features"])}
         trials.append(p)
         maps.append({dt.maxDepth: p["max_depth"], dt.minInstancesPerNode: p["min_leaf"],
                      dt.minInfoGain: p["min_info_gain"], dt.impurity: p["impurity"],
+                     dt.featureSubsetStrategy: p["max_features"],
                      dt.weightCol: balanced_weight_col if p["class_weight"] else unit_weight_col})
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col, numFolds=num_folds,
                         parallelism=parallelism, seed=seed)
     model = cv.fit(df)
     rows = [(i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(trials, model.avgMetrics))]
     out = df.sparkSession.createDataFrame(rows, "trial int, params string, cv_f1 double")
-    return out, model.bestModel
+    return out, model.bestModel.trees[0].setFeaturesCol(features)
 
 
 def importance_table(model, names: Sequence[str], top_n: int | None = None) -> DataFrame:

@@ -53,3 +53,20 @@ def test_pca_components_orthonormal(spark):
     assert np.allclose(pc.T @ pc, np.eye(2), atol=1e-8)
     r = [x["explained_variance_ratio"] for x in ratio.orderBy("component").collect()]
     assert r[0] >= r[1] > 0
+
+
+def test_random_search_is_whole(spark, monkeypatch):
+    import json
+    from cohortkit.plans import q_models as qm
+    from cohortkit.operators import models as M
+    search, seen = M.random_search_cv, {}
+
+    def short(df, label, fold, n_trials, seed):
+        seen.update(n=n_trials, folds=df.select(fold).distinct().count())
+        trials, seen["best"] = search(df, label, fold, n_trials=4, seed=seed)
+        return trials
+    monkeypatch.setattr(M, "random_search_cv", lambda *a, **k: (short(*a, **k), None))
+    got = [json.loads(r["params"]) for r in qm.m2_random_search_cv(spark, SF_SMALL).collect()]
+    assert seen["n"] == 100 and seen["folds"] == 5 and len(got) == 4
+    assert {p["max_features"] for p in got} <= {"sqrt", "log2", "all"} and len({p["max_features"] for p in got}) > 1
+    assert seen["best"].depth >= 0 and seen["best"].numNodes >= 1
