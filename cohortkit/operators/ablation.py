@@ -11,10 +11,11 @@ from __future__ import annotations
 from typing import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .evaluate import binary_metrics
+from .evaluate import binary_metrics, roc_auc
 from .linkage import compare_predictions
 from .models import decision_tree, importance_table
 from .stats import mcnemar
@@ -83,8 +84,12 @@ def run_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], lab
                 sl = VectorSlicer(inputCol="__all", outputCol="features", indices=idx)
                 dt = decision_tree(label, **params)
                 model = dt.fit(sl.transform(tr))
-                pred = model.transform(sl.transform(te)).select(key, label, F.col("prediction").cast("int").alias("pred"))
+                scored = model.transform(sl.transform(te)).select(key, label, F.col("prediction").cast("int").alias("pred"),
+                                                                  vector_to_array("probability")[1].alias("score"))
+                pred = scored.drop("score")
                 m = binary_metrics(pred, label, "pred").first().asDict()
+                both = m["tp"] + m["fn"] > 0 and m["fp"] + m["tn"] > 0     # no area where a class is absent
+                auc = float(roc_auc(scored, label, "score").first()["roc_auc"]) if both else None
                 if base_pred is None:
                     base_pred = pred.cache()
                     mc = {"statistic": 0.0, "p_value": 1.0}
@@ -92,7 +97,7 @@ def run_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], lab
                     pairs = compare_predictions(base_pred, pred, key, label, "pred", "pred")
                     mc = mcnemar(pairs).first().asDict()
                 vals = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
-                vals.update({"n_features": float(len(feats)), "tree_depth": float(model.depth),
+                vals.update({"roc_auc": auc, "tree_leaves": float((model.numNodes + 1) // 2), "n_features": float(len(feats)), "tree_depth": float(model.depth),
                              "tree_nodes": float(model.numNodes), "mcnemar_statistic": float(mc["statistic"]),
                              "mcnemar_p": float(mc["p_value"])})
                 results += [(exp, k, v, None) for k, v in vals.items()]
@@ -110,15 +115,16 @@ def run_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], lab
 
 
 def comparison(results: DataFrame) -> DataFrame:
-    """E9 for ablation: one row per experiment with f1 / accuracy and their
+    """E9 for ablation: one row per experiment with f1 / accuracy / ROC-AUC and their
     deltas from the baseline, McNemar p and a significance mark."""
     w = results.where(F.col("error").isNull()).groupBy("experiment").pivot(
-        "metric", ["accuracy", "precision", "recall", "f1", "n_features", "tree_depth", "mcnemar_p"]).agg(F.first("value"))
-    base = w.where(F.col("experiment") == "baseline").select(F.col("f1").alias("__bf1"), F.col("accuracy").alias("__bacc"))
-    j = w.withColumn("__bf1", base.select("__bf1").scalar()).withColumn("__bacc", base.select("__bacc").scalar())
+        "metric", ["accuracy", "precision", "recall", "f1", "roc_auc", "n_features", "tree_depth", "tree_leaves", "mcnemar_p"]).agg(F.first("value"))
+    base = w.where(F.col("experiment") == "baseline").select(F.col("f1").alias("__bf1"), F.col("accuracy").alias("__bacc"), F.col("roc_auc").alias("__bauc"))
+    j = w.withColumn("__bf1", base.select("__bf1").scalar()).withColumn("__bacc", base.select("__bacc").scalar()).withColumn("__bauc", base.select("__bauc").scalar())
     return j.select("*", (F.col("f1") - F.col("__bf1")).alias("f1_delta"),
                     (F.col("accuracy") - F.col("__bacc")).alias("accuracy_delta"),
-                    F.when(F.col("mcnemar_p") < 0.05, "***").otherwise("").alias("significant")).drop("__bf1", "__bacc")
+                    (F.col("roc_auc") - F.col("__bauc")).alias("roc_auc_delta"),
+                    F.when(F.col("mcnemar_p") < 0.05, "***").otherwise("").alias("significant")).drop("__bf1", "__bacc", "__bauc")
 
 
 def importance_shift(imps: DataFrame, top_n: int = 20, baseline: str = "baseline") -> DataFrame:

@@ -94,9 +94,13 @@ def m2_random_search_cv(spark, sf):
 
 @register("m3_random_forest_importance")
 def m3_random_forest_importance(spark, sf):
-    a, names = _assembled(spark, sf)
+    """Scaling, one-hot coding and the forest, fitted on the training rows."""
+    d = _frame(spark, sf)
+    d = Fe.standardise(d, Fe.fit_scaler(d.where(~F.col("is_test")), NUMERIC))
+    stages, _ = M.feature_stages(NUMERIC, CATEGORICAL, one_hot=True)
+    a = Pipeline(stages=stages).fit(d.where(~F.col("is_test"))).transform(d)
     model = M.random_forest("label", num_trees=100).fit(a.where(~F.col("is_test")))
-    return M.importance_table(model, names, 15)
+    return M.importance_table(model, M.slot_names(a), 15)
 
 
 @_memo
@@ -106,12 +110,12 @@ def _gbt(spark, sf):
     pm = Pipeline(stages=stages).fit(a.where(~F.col("is_test")))
     b = pm.transform(a)
     model = M.gbt_regressor("grade_a", features="gfeatures").fit(b.where(~F.col("is_test")).withColumn("grade_a", F.col("grade_a").cast("double")))
-    return b, model
+    return b, model, pm
 
 
 @register("m4_gbt_regressor")
 def m4_gbt_regressor(spark, sf):
-    b, model = _gbt(spark, sf)
+    b, model, _ = _gbt(spark, sf)
     p = model.transform(b.where(F.col("is_test")))
     return p.select("o_orderkey", "grade_a", r("prediction").alias("raw"),
                     S.clip_round_grade("prediction").cast("int").alias("grade_pred"))
@@ -132,11 +136,16 @@ def _lr_input(spark, sf):
     return out, M.slot_names(out)
 
 
-@register("m5_l1_logistic")
-def m5_l1_logistic(spark, sf):
+@_memo
+def _lr(spark, sf):
     d, _ = _lr_input(spark, sf)
     tr = d.where(~F.col("is_test"))
-    model = M.l1_logistic("grade_class", 0.1, tr.count()).fit(tr)
+    return d, M.l1_logistic("grade_class", 0.1, tr.count()).fit(tr)
+
+
+@register("m5_l1_logistic")
+def m5_l1_logistic(spark, sf):
+    d, model = _lr(spark, sf)
     return model.transform(d.where(F.col("is_test"))).select("o_orderkey", F.col("grade_a").cast("double").alias("grade_a"), (F.col("prediction") + 1).cast("int").alias("lr_pred"))
 
 
@@ -170,11 +179,16 @@ def m8_feature_importance(spark, sf):
 
 @register("m9_apply_full")
 def m9_apply_full(spark, sf):
-    """Apply the regressor to every row next to the baseline grade."""
-    b, model = _gbt(spark, sf)
-    p = model.transform(b)
-    return p.select("o_orderkey", F.col("grade_a").alias("actual"), F.col("grade_b").alias("baseline_pred"),
-                    r("prediction").alias("gbt_raw"), S.clip_round_grade("prediction").cast("int").alias("gbt_pred")) \
+    """Apply the regressor, on its training columns (J11), and the logistic
+    model to every row next to the baseline grade."""
+    _, model, pm = _gbt(spark, sf)
+    feats = [c for c in NUMERIC if c != "priority_grade"] + CATEGORICAL
+    d, lr = _lr(spark, sf)
+    lr_pred = lr.transform(d).select("o_orderkey", (F.col("prediction") + 1).cast("int").alias("lr_pred"))
+    p = model.transform(pm.transform(L.align_columns(_frame(spark, sf), feats, keep=["o_orderkey", "grade_a", "grade_b"])))
+    p = p.select("o_orderkey", F.col("grade_a").alias("actual"), F.col("grade_b").alias("baseline_pred"),
+                 r("prediction").alias("gbt_raw"), S.clip_round_grade("prediction").cast("int").alias("gbt_pred"))
+    return p.join(lr_pred, "o_orderkey", "left") \
             .withColumn("baseline_error", S.abs_error("baseline_pred", "actual")) \
             .withColumn("gbt_error", S.abs_error("gbt_pred", "actual"))
 

@@ -79,6 +79,23 @@ def test_iterative_impute_keeps_observed(spark):
     assert out.where((F.col("l_orderkey") % 7 != 0) & (F.col("q") != F.col("l_quantity"))).count() == 0
 
 
+def test_iterative_impute_is_chained(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 3)) @ np.array([[1, .5, .2], [0, 1, .7], [0, 0, 1]])
+    gap = np.zeros(x.shape, bool)
+    gap[:, 0], gap[:, 1] = rng.uniform(size=200) < .3, rng.uniform(size=200) < .2
+    rows = [(i, *[None if g else float(v) for v, g in zip(a, m)]) for i, (a, m) in enumerate(zip(x, gap))]
+    got = Fe.iterative_impute(spark.createDataFrame(rows, "i int, a double, b double, c double"), ["a", "b", "c"], max_iter=2, ridge=0.0)
+    want = np.where(gap, 0, x)
+    want = np.where(gap, want.sum(axis=0) / (~gap).sum(axis=0), x)
+    for _ in range(2):
+        for t in sorted((0, 1), key=lambda t: gap[:, t].sum()):     # each column sees those before it
+            z = np.column_stack([np.ones(200), np.delete(want, t, axis=1)])
+            m = gap[:, t]
+            want[m, t] = z[m] @ np.linalg.lstsq(z[~m], want[~m, t], rcond=None)[0]
+    assert np.allclose([[r["a"], r["b"], r["c"]] for r in got.orderBy("i").collect()], want, atol=1e-6)
+
+
 def test_kaplan_meier_monotone(spark):
     d = spark.createDataFrame([(1.0, 1), (2.0, 0), (2.0, 1), (3.0, 1), (5.0, 0), (5.0, 1)], "t double, e int")
     km = Sv.kaplan_meier(d, "t", "e").orderBy("t").collect()

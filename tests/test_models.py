@@ -70,3 +70,30 @@ def test_random_search_is_whole(spark, monkeypatch):
     assert seen["n"] == 100 and seen["folds"] == 5 and len(got) == 4
     assert {p["max_features"] for p in got} <= {"sqrt", "log2", "all"} and len({p["max_features"] for p in got}) > 1
     assert seen["best"].depth >= 0 and seen["best"].numNodes >= 1
+
+
+def test_ablation_has_area_and_leaves(spark):
+    from cohortkit.operators import ablation as Ab
+    res = Q["b4_single_ablation"](spark, SF_SMALL).localCheckpoint()
+    got = {(r["experiment"], r["metric"]): r["value"] for r in res.collect()}
+    for e in ("baseline", "without_price"):
+        assert 0 <= got[e, "roc_auc"] <= 1 and got[e, "tree_leaves"] == (got[e, "tree_nodes"] + 1) / 2
+    by = {r["experiment"]: r["roc_auc_delta"] for r in Ab.comparison(res).collect()}
+    assert by["baseline"] == 0 and abs(by["without_price"] - got["without_price", "roc_auc"] + got["baseline", "roc_auc"]) < 1e-9
+
+
+def test_forest_is_fitted_on_one_hot_columns(spark):
+    names = {r["feature"] for r in Q["m3_random_forest_importance"](spark, SF_SMALL).collect()}
+    assert "o_totalprice" in names and "c_mktsegment" not in names and len([n for n in names if n.startswith("c_mktsegment")]) > 1
+
+
+def test_apply_full_has_the_logistic_prediction(spark, monkeypatch):
+    from cohortkit.plans import q_models as qm
+    from cohortkit.operators import models as M
+    gbt, memo = M.gbt_regressor, dict(qm._MEMO)
+    monkeypatch.setattr(M, "gbt_regressor", lambda *a, **k: gbt(*a, max_iter=2, **k))
+    monkeypatch.setattr(qm, "_MEMO", {k: v for k, v in memo.items() if k[0] != "_gbt"})
+    got = qm.m9_apply_full(spark, SF_SMALL)
+    assert got.count() == qm._frame(spark, SF_SMALL).count() and got.where("lr_pred is null or lr_pred not between 1 and 5").count() == 0
+    m5 = qm.m5_l1_logistic(spark, SF_SMALL).withColumnRenamed("lr_pred", "one")
+    assert got.join(m5, "o_orderkey").where("lr_pred <> one").count() == 0
