@@ -35,7 +35,8 @@ RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
 FILTER_BITS = 24            # log2 of the bits of a membership filter
 FEW = 512                   # entries under a word up to which all pairs are candidates
-MOST = 4095                 # counts from here on are alike: the order only has to tell rare words
+EXACT = 1024                # counts from here on are coded by their logarithm, in steps of half a percent
+MOST = 4095                 # the largest code: 12 bits of a sort key
 NO_ID = -(1 << 63)          # stands for the one null document id, which comes first
 _U = np.uint64
 _LINES = "doc long, line_no int, k1 long, bits long, bits2 long, n int, prefix array<long>"
@@ -56,6 +57,13 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> _U(64 - RARITY_BITS)).astype(np.int64)
 
 
+def rarity_codes(counts: np.ndarray) -> np.ndarray:
+    """Codes of 12 bits in the order of the counts, up to 2**32."""
+    c = np.maximum(counts, 1).astype(np.float64)
+    high = EXACT + np.floor(np.log2(np.maximum(c, EXACT) / EXACT) * ((MOST - EXACT) / 22))
+    return np.where(counts < EXACT, counts, np.minimum(high, MOST)).astype(np.uint16)
+
+
 def line_words(raw: list[bytes], rarity: np.ndarray):
     """The distinct words of each non-blank line of lower-cased texts, the
     rarest first: (text, line number, first word) by line, the words' hashes and
@@ -130,7 +138,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     out = np.zeros(1 << RARITY_BITS, np.uint32).reshape(-1, RARITY_BLOCK)
     for r in blocks.collect():                 # 2**RARITY_BITS counts in all
         out[r["block"]] = np.frombuffer(r["counts"], np.uint32)
-    return np.minimum(out.ravel(), MOST).astype(np.uint16)
+    return rarity_codes(out.ravel())
 
 
 def _pack(a: np.ndarray) -> bytes:

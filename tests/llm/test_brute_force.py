@@ -101,6 +101,14 @@ def test_line_dedup_with_a_third_of_the_ids_missing(spark):
                 assert first[frozenset(x.split())] == (r["doc_id"] is not None, r["doc_id"] or 0)
 
 
+def test_rarity_order_does_not_end():
+    n = np.unique(np.concatenate([np.arange(6000), np.geomspace(6000, 2**32 - 1, 2000).astype(np.int64)])).astype(np.uint32)
+    code = line_dedup.rarity_codes(n)
+    assert (np.diff(code.astype(int)) >= 0).all() and code.max() <= line_dedup.MOST and (code[:1024] == n[:1024]).all()
+    far = n[n > 5000].astype(float)
+    assert all(a < b for a, b in zip(line_dedup.rarity_codes(far.astype(np.uint32)), line_dedup.rarity_codes(np.minimum(far * 1.02, 2**32 - 1).astype(np.uint32))) if b < line_dedup.MOST - 10)
+
+
 def test_minimax_search():
     rng = random.Random(1)
     for n, hi, shards in ((5, 10, 3), (1, 10, 16), (400, 1000, 16), (3000, 9, 16)):
