@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_fingerprint, langid, line_dedup, packing, quality_fm, sharding, simhash, sp_sampling, topk_search, warc
+from ..session import scratch_path
+from . import conversations, divergence, edit_fingerprint, langid, line_dedup, packing, quality_fm, sharding, simhash, sp_sampling, token_cache, topk_search, warc
 from .common import held_out, table
 
 EMBEDDING_BITS = 64
@@ -98,7 +99,48 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (language, source) group against the other sources of its
+    language and against the language, over all texts."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
+SQL_OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+      FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[A-Za-z\x{80}-\x{10FFFF}]+')) AS w FROM d)),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(lang_n) AS BIGINT) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+tot AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (coalesce(tot.total, 0) + l.v) AS p,
+             1 + (1000000000 * (k.lang_n + 1)) // (l.total + l.v) AS q
+      FROM g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN tot USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+whole AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM whole
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM terms QUALIFY rank <= 200"""
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole text, through a cache that begins empty."""
+    got = token_cache.token_counts(table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"), limit=1024)
+    return got.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged as the contract says, and the audit and
+    digest of its cheapest repair."""
+    whole = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damaged(whole), whole.select("conv_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_fm, op3_vector_packing, op4_sampled_segmentations, op5_minimax_sharding, op6_line_dedup,
-    op7_edit_fingerprints, op8_warc, op9_simhash, op10_langid)}
-SQL = {"op1_exact_topk": SQL_OP1, "op6_line_dedup": SQL_OP6}
+    op7_edit_fingerprints, op8_warc, op9_simhash, op10_langid, op11_source_divergence, op12_token_counts, op13_conversation_repair)}
+SQL = {"op1_exact_topk": SQL_OP1, "op6_line_dedup": SQL_OP6, "op11_source_divergence": SQL_OP11}

@@ -116,3 +116,83 @@ def minimax(sizes, shards) -> int:
         mid = (lo + hi) // 2
         lo, hi = (lo, mid) if fits(mid) else (mid + 1, hi)
     return lo
+
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def damaged_turns(rows):
+    """(conv_id, turn, role, text) after the damage of the contract."""
+    out = []
+    for c, t, role, text in rows:
+        d = crc(f"{' ' if c is None else c}:{' ' if t is None else t}") % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if d == 1:
+            text = ""
+        if d == 2:
+            text = "".join(x for x in text if x not in ".!?")
+        if d == 4:
+            role = "user"
+        out += [(c, t, role, text)] * (0 if d == 0 else 2 if d == 3 else 1)
+    return out
+
+
+def cheapest_repair(rows):
+    """(cost, audit, lines) for (role, text, fault) in order, all audits of
+    every state held: the least (cost, audit) is taken."""
+    grammar = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    name = {"u": "user", "a": "assistant"}
+
+    def inserted(at):
+        for _ in range(3):          # further inserts only come back
+            for s, (cost, audit, lines) in list(at.items()):
+                for x in "ua":
+                    if x in grammar[s]:
+                        got = (cost + 2, audit + "I", lines + [name[x] + ":"])
+                        z = grammar[s][x]
+                        if z not in at or got < at[z]:
+                            at[z] = got
+        return at
+
+    at = {"": (0, "", [])}
+    for role, text, fault in rows:
+        nxt = {}
+
+        def put(s, *v):
+            if s not in nxt or v < nxt[s]:
+                nxt[s] = v
+        for s, (cost, audit, lines) in inserted(at).items():
+            put(s, cost + 3, audit + "D", lines)
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = fault == "truncated"
+            if role[:1] in grammar[s]:
+                put(grammar[s][role[:1]], cost + extra, audit + "K", lines + [f"{role}:{text}"])
+            for x in "ua":
+                if x in grammar[s]:
+                    put(grammar[s][x], cost + 2 + extra, audit + "R", lines + [f"{name[x]}:{text}"])
+        at = nxt
+    at = inserted(at)
+    return min(at[s] for s in ("", "a") if s in at)
+
+
+def conversation_rows(rows, every):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha)}"""
+    by = defaultdict(list)
+    for c, t, role, text in rows:
+        by[c].append((t is not None, t or 0, role, hashlib.sha256(text.encode()).digest(), text))
+    out = {}
+    for c in set(every) | set(by):
+        seen, told, faults = set(), [], Counter()
+        for _, _, role, _, text in sorted(by[c]):
+            solid = text.strip(WHITE)
+            fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults[fault] += 1
+            told.append((role, text, fault))
+        turns = [t for has, t, *_ in by[c] if has]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(told, told[1:]))
+        cost, audit, lines = cheapest_repair(told)
+        out[c] = (gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out

@@ -82,5 +82,5 @@ def test_pipeline_stages_on_odd_and_empty_tables(spark, docs_of, tmp_path):
 
 def test_registered_columns(spark):
     from cohortkit.llm import queries
-    assert len(queries.QUERIES) == 10 and set(queries.SQL) <= set(queries.QUERIES)
+    assert len(queries.QUERIES) == 13 and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language id", "line dedup", "simhash near-dedup", "best-fit packing"]
