@@ -27,7 +27,8 @@ from .common import small_batches, stored
 SCALE_A, SCALE_B = 31_250, 32_000          # their product is 10**9
 CHUNK_TERMS = 32_768                       # terms of a chunk, about
 BLOCK_SOURCES = 16                         # sources of a block, about
-HELD_TERMS = 200_000                       # counts that a task holds before it emits them
+HELD_TERMS = 500_000                       # counts that a task holds before it emits them
+ONE_DOC = 1 << 40                          # a held count is occurrences + ONE_DOC * documents
 
 #: Letters A-Z lower-cased; other ASCII characters than letters separate terms.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -79,13 +80,13 @@ def group_terms(docs: DataFrame) -> DataFrame:
     names = ["lang", "source", "term", "n", "docs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, dict[bytes, list[int]]] = {}
+        held: dict[tuple, dict[bytes, int]] = {}
         size = 0
 
         def out():
             for (lang, source), terms in held.items():
-                n, docs = zip(*terms.values()) if terms else ((), ())
-                cols = [[lang] * len(terms), [source] * len(terms), list(terms), n, docs]
+                both = np.fromiter(terms.values(), np.int64, len(terms))
+                cols = [[lang] * len(terms), [source] * len(terms), list(terms), both % ONE_DOC, both // ONE_DOC]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
         for b in batches:
@@ -97,12 +98,7 @@ def group_terms(docs: DataFrame) -> DataFrame:
                     for w in words:
                         seen[w] = seen.get(w, 0) + 1
                 for w, k in seen.items():
-                    c = terms.get(w)
-                    if c is None:
-                        terms[w] = [k, 1]
-                    else:
-                        c[0] += k
-                        c[1] += 1
+                    terms[w] = terms.get(w, 0) + k + ONE_DOC
                 size += len(terms) - before
                 if size > HELD_TERMS:
                     yield from out()

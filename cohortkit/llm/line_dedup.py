@@ -152,7 +152,8 @@ def _unpack(b) -> bytes:
 def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
     """Every non-blank line: place, class, set size, and its prefix entries
     word(32 bits) | size(16) | position(16).  A class has its entries at its first line
-    in each task only.  Sets so small that only equal ones match are not indexed;
+    in each task only.  Sets so small that only equal ones match are not indexed, nor
+    are words that occur once in the corpus (a count of hashed buckets is never too small);
     sizes and positions above 65535 saturate, which only loosens the filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = counts.value, set()
@@ -173,7 +174,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 line = np.repeat(np.arange(len(lo)), n)
                 pos, size = np.arange(len(h)) - lo[line], n[line]
                 least = -(-size * num // den)              # overlap with a line of like size
-                use = (pos <= size - least) & (size * (den - num) >= num) & fresh[line]
+                use = (pos <= size - least) & (size * (den - num) >= num) & fresh[line] & (c > 1)
                 entry = (h[use] & _U(0xFFFFFFFF00000000)) | (np.minimum(size[use], 65535).astype(_U) << _U(16)) | np.minimum(pos[use], 65535).astype(_U)
                 many = np.bincount(line[use], minlength=len(lo))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(entry.view(np.int64)))
@@ -367,9 +368,15 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     lines = kept(_lines(docs, counts, num, den), "lines")
     place = F.struct("doc", "line_no")
     # classes of one line need no entry here: it is their first
-    repeated = kept(lines.groupBy("k1", "bits").agg(F.min(place).alias("first"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
+    repeated = kept(lines.groupBy("k1", "bits").agg(
+        F.min(place).alias("first"), F.min(F.when(F.size("prefix") > 0, place)).alias("indexed"), F.count("*").alias("lines")).where("lines > 1").drop("lines"), "line-repeats")
     release(docs.sparkSession)
-    entries = lines.where(F.size("prefix") > 0).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("bits2").alias("a2"))
+    # a class is indexed once in the corpus, whatever tasks it is in: only lines that may repeat are joined
+    maybe = lines.where(F.size("prefix") > 0).withColumn("again", _may_match(repeated, F.xxhash64("k1", "bits"), used)(F.xxhash64("k1", "bits")))
+    cols = ["prefix", "bits", "bits2", "doc"]
+    alone = maybe.where(~F.col("again")).select(cols)
+    once = maybe.where("again").join(repeated, ["k1", "bits"], "left").where(F.col("indexed").isNull() | (F.col("indexed") == place)).select(cols)
+    entries = alone.union(once).select(F.explode("prefix").alias("entry"), F.col("bits").alias("a"), F.col("doc").alias("adoc"), F.col("bits2").alias("a2"))
     found = kept(_candidates(entries, num, den, few_entries), "line-candidates")
     release(docs.sparkSession)
 
