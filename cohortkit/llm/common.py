@@ -61,6 +61,33 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made of ``name`` that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name in have:
+        name += "_"
+    return name
+
+
+NO_ID = -(1 << 63)          # stands for the one null document id, which comes first
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a long column that tells its rows apart, and its name: the
+    id where every row has its own, otherwise the place in the order of id (null
+    first) and text, in a stored table."""
+    row = unused(docs, "row")
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    if docs.select(own.alias("doc")).groupBy("doc").count().where("count > 1").isEmpty():
+        return docs.withColumn(row, own), row
+    # rows alike in id and text are dealt by their place in the input, so that they fill no single task
+    order = {unused(docs, "doc"): F.col(id_col).cast("long"), unused(docs, "text"): F.xxhash64(F.col(text_col).cast("string")),
+             unused(docs, "place"): F.monotonically_increasing_id()}
+    dealt = docs.withColumns(order).repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
+    return stored(dealt.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def held_out(id_col: str | Column, mod: int, rest: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``rest``; a null id is
     never held out."""

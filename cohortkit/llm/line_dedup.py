@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
-from .common import discard, id_and_text, release, stored, sub_batches
+from .common import discard, id_and_text, release, row_keys, stored, sub_batches, unused
 
 RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
@@ -37,7 +37,6 @@ FILTER_BITS = 24            # log2 of the bits of a membership filter
 FEW = 512                   # entries under a word up to which all pairs are candidates
 EXACT = 1024                # counts from here on are coded by their logarithm, in steps of half a percent
 MOST = 4095                 # the largest code: 12 bits of a sort key
-NO_ID = -(1 << 63)          # stands for the one null document id, which comes first
 _U = np.uint64
 _LINES = "doc long, line_no int, k1 long, bits long, bits2 long, n int, prefix array<long>"
 _FOUND = "a long, adoc long, b long, bdoc long, entry long"
@@ -435,24 +434,10 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
     return lines.select("doc", "line_no", "k1", "bits"), marked
 
 
-def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a long ``__row`` that tells its rows apart: the id where
-    every row has its own, otherwise the place in the order of id (null first)
-    and text, in a stored table."""
-    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    if docs.select(own.alias("doc")).groupBy("doc").count().where("count > 1").isEmpty():
-        return docs.withColumn("__row", own)
-    # rows alike in id and text are dealt by their place in the input, so that they fill no single task
-    order = ["__doc", "__text", "__place"]
-    dealt = docs.withColumns({"__doc": F.col(id_col).cast("long"), "__text": F.xxhash64(F.col(text_col).cast("string")), "__place": F.monotonically_increasing_id()})
-    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
-    return stored(dealt.withColumn("__row", F.monotonically_increasing_id()), "line-rows")
-
-
-def _removed(keyed: DataFrame, similarity: tuple[int, int], text_col: str, few_entries: int, tables: list | None) -> DataFrame:
-    """(doc, removed) of the rows of ``keyed`` (see ``_row_keys``) that lose
+def _removed(keyed: DataFrame, row: str, similarity: tuple[int, int], text_col: str, few_entries: int, tables: list | None) -> DataFrame:
+    """(doc, removed) of the rows of ``keyed`` (see ``row_keys``) that lose
     lines; doc is the row's key."""
-    d = id_and_text(keyed, "__row", text_col).select(F.col("doc_id").alias("doc"), "text")
+    d = id_and_text(keyed, row, text_col).select(F.col("doc_id").alias("doc"), "text")
     lines, marked = line_classes(d, similarity, few_entries, tables)
     test = _may_match(marked, F.xxhash64("k1", "bits"), [])
     j = lines.where(test(F.xxhash64("k1", "bits"))).join(marked, ["k1", "bits"])
@@ -469,9 +454,9 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col:
     line number.  Blank lines are never matched.  Rows without an id or with an
     equal one are documents of their own, ordered by a hash of the text; of
     equal rows any one is the earliest."""
-    keyed = _row_keys(docs, id_col, text_col)
-    r = _removed(keyed, similarity, text_col, few_entries, tables)
-    ids = keyed.select(F.col("__row").alias("doc"), F.col(id_col).cast("long").alias("doc_id"))
+    keyed, row = row_keys(docs, id_col, text_col)
+    r = _removed(keyed, row, similarity, text_col, few_entries, tables)
+    ids = keyed.select(F.col(row).alias("doc"), F.col(id_col).cast("long").alias("doc_id"))
     return r.join(ids, "doc").select("doc_id", "removed")
 
 
@@ -483,19 +468,21 @@ def dedup_lines(docs: DataFrame, similarity: tuple[int, int] = (4, 5), id_col: s
     Null and empty texts stay as they are.  A text of which no line is left is
     empty.  An empty table gives an empty result."""
     tables: list[DataFrame] = []
-    keyed = _row_keys(docs, id_col, text_col)
-    r = stored(_removed(keyed, similarity, text_col, few_entries, tables), "line-removed")
+    used: list = []
+    keyed, row = row_keys(docs, id_col, text_col)
+    r = stored(_removed(keyed, row, similarity, text_col, few_entries, tables), "line-removed")
     for t in tables:                                        # all that the result needs is in r
         discard(t)
     release(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    hit = keyed.withColumn("__hit", _may_match(r, F.xxhash64("doc"), [])(F.xxhash64("__row")))     # the others need no join
+    hit, gone = unused(keyed, "hit"), unused(keyed, "removed")
+    marked = keyed.withColumn(hit, _may_match(r, F.xxhash64("doc"), used)(F.xxhash64(row)))     # the others need no join
     none = F.array().cast("array<int>")
-    same = hit.where(~F.col("__hit")).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
-    r = r.select(F.col("doc").alias("__id"), F.col("removed").alias("__removed"))
-    j = hit.where("__hit").join(r, F.col("__row") == F.col("__id"), "left")
-    gone = F.coalesce("__removed", none)
+    same = marked.where(~F.col(hit)).withColumn(out, F.struct(text.alias("text"), none.alias("removed")))
+    # merged at every size: both sides grow with the corpus
+    r = r.select(F.col("doc").alias(row), F.col("removed").alias(gone)).hint("merge")
+    j = marked.where(F.col(hit)).join(r, row, "left").withColumn(gone, F.coalesce(gone, none))
     kept = F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(
         F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n"))
-    cut = j.withColumn(out, F.struct(kept.alias("text"), gone.alias("removed")))
+    cut = j.withColumn(out, F.struct(kept.alias("text"), F.col(gone).alias("removed")))
     return same.select(*docs.columns, out).union(cut.select(*docs.columns, out))

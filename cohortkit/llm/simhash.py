@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, id_and_text, release, stored
+from .common import blocks_for, id_and_text, release, row_keys, stored
 from .graph import components
 
 
@@ -140,19 +140,11 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket_cap: int = 32,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each
-    component: the one with the smallest id.  Of rows with a repeated id one
-    is kept; of a component of rows without id one of each fingerprint is."""
-    narrow = stored(with_fingerprint(id_and_text(docs, id_col, text_col), "code", "text", shingle).select("doc_id", "code"), "simhash")
-    c = stored(classes(narrow, max_bits, bucket_cap), "simhash-classes")
-    keep = narrow.join(c, "code").where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep"))
-    ids = F.col(id_col).cast("long")
-    repeated = narrow.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    out = docs.join(keep.distinct(), ids == F.col("__keep"), "left_semi")
-    if repeated:
-        out = out.dropDuplicates([id_col])
-    if narrow.where("doc_id is null").limit(1).count():
-        lost = with_fingerprint(docs.where(ids.isNull()), "__code", text_col, shingle)
-        lost = lost.join(c.where("component_id is null").select(F.col("code").alias("__c")), F.col("__code") == F.col("__c"), "left_semi")
-        out = out.union(lost.dropDuplicates(["__code"]).drop("__code"))
-    return out
+    """The rows of ``docs``, all columns, with one row of each component: the
+    one with the smallest id, a null id coming first.  Rows that share an id or
+    have none are told apart by a stored key in the order of id and text, so every
+    component keeps a row and none keeps two.  An empty table gives an empty result."""
+    keyed, row = row_keys(docs, id_col, text_col)
+    narrow = stored(with_fingerprint(id_and_text(keyed, row, text_col), "code", "text", shingle).select("doc_id", "code"), "simhash")
+    keep = classes(narrow, max_bits, bucket_cap).select(F.col("component_id").alias(row)).distinct()
+    return keyed.join(keep, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

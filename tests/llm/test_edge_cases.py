@@ -84,3 +84,23 @@ def test_registered_columns(spark):
     from cohortkit.llm import queries
     assert len(queries.QUERIES) == 13 and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language id", "line dedup", "simhash near-dedup", "best-fit packing"]
+
+
+A, B = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+
+
+@pytest.mark.parametrize("rows,texts", [
+    ([(3, A), (7, A), (7, B)], [A, B]), ([(7, A), (7, B)], [A, B]), ([(None, A), (None, B), (None, A)], [A, B]), ([(5, A), (5, A), (5, A)], [A]),
+    ([(None, A), (2, A), (2, B), (1, B)], [A, B]), ([(1, None), (2, ""), (2, " ")], None)])
+def test_one_row_of_each_component_stays(spark, rows, texts):
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'kept' AS __row", "1 AS code", "doc_id AS component_id").repartition(3)
+    got = simhash.drop_near_duplicates(d).collect()
+    assert sorted(r["text"] for r in got) == sorted(texts) if texts else len(got) == 1
+    assert {r["__row"] for r in got} == {"kept"} and got[0].asDict().keys() == {"doc_id", "text", "__row", "code", "component_id"}
+
+
+def test_line_dedup_leaves_columns_of_its_own_names_alone(spark):
+    d = spark.createDataFrame([(1, A), (2, A + "\n" + B), (2, B)], "doc_id long, text string").selectExpr("*", "'keep' AS __row", "true AS __hit", "7 AS __removed")
+    got = line_dedup.dedup_lines(d, out="__out").collect()
+    assert {(r["__row"], r["__hit"], r["__removed"]) for r in got} == {("keep", True, 7)}
+    assert sorted((r["__out"]["text"], len(r["__out"]["removed"])) for r in got) == [("", 1), (A, 0), (B, 1)]
