@@ -44,15 +44,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the setting must name a folder that all machines share;
     without it this fails.  Only a local master (tests, one machine) gets a
-    scratch folder of its own.
+    scratch folder of its own, which the context then remembers (the setting
+    itself cannot be changed in a running session).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -1,14 +1,11 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,8 +16,6 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: a scratch folder
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortkit-test-ckpt-"))
-    ensure_checkpoint_dir(s)
+    ensure_checkpoint_dir(s)                # a scratch folder, where none is set
     yield s
     s.stop()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from cohortkit.functions import quantiles as Q
 from cohortkit.functions import special as SP
 from cohortkit.functions import windows as Wn

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from cohortkit.session import materialize
+from sf_paths import SF_SMALL
 
 Q = E.queries()
 ROWS_ONLY = sorted(set(Q) - set(E.oracle_sql()))
@@ -74,7 +75,7 @@ def test_random_search_is_whole(spark, monkeypatch):
 
 def test_ablation_has_area_and_leaves(spark):
     from cohortkit.operators import ablation as Ab
-    res = Q["b4_single_ablation"](spark, SF_SMALL).localCheckpoint()
+    res = materialize(Q["b4_single_ablation"](spark, SF_SMALL))
     got = {(r["experiment"], r["metric"]): r["value"] for r in res.collect()}
     for e in ("baseline", "without_price"):
         assert 0 <= got[e, "roc_auc"] <= 1 and got[e, "tree_leaves"] == (got[e, "tree_nodes"] + 1) / 2

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from cohortkit.functions import scalar as S
 from cohortkit.session import scratch_path
 from cohortkit.streaming import run_incremental
