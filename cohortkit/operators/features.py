@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,60 +133,6 @@ class IndicatorThenImpute:
         return self.imputer.transform(self._indicators(df))
 
 
-def iterative_impute(df: DataFrame, cols: Sequence[str], max_iter: int = 10, ridge: float = 1e-6,
-                     tol: float = 1e-3) -> DataFrame:
-    """chained-equation imputation of numeric columns.
-
-    Start from column means; each round takes the columns with missing
-    values in turn, those with the fewest first.  A column is fitted by ridge
-    regression on the other columns, as they are by then, over the rows where it is
-    observed (one aggregation builds its Gram matrix), and its missing cells are replaced by the
-    prediction before the next column is fitted.  Observed cells are never
-    changed.  Rounds stop at ``max_iter`` or when the largest coefficient
-    change is below ``tol``.  Lineage is cut with ``checkpoint()`` per round.
-    """
-    cols = list(cols)
-    miss = {c: f"__miss_{c}" for c in cols}
-    d = df.withColumns({miss[c]: F.col(c).isNull() for c in cols})
-    means = d.agg(*[F.avg(c).alias(c) for c in cols], *[F.count_if(miss[c]).alias(miss[c]) for c in cols]).first().asDict()
-    d = d.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(means[c] or 0.0))) for c in cols})
-    targets = sorted((c for c in cols if means[miss[c]]), key=lambda c: means[miss[c]])
-    prev = None
-    for _ in range(max_iter):
-        coefs = {}
-        for t in targets:
-            feats = ["__one"] + [c for c in cols if c != t]
-            obs = ~F.col(miss[t])
-            x = {f: (F.lit(1.0) if f == "__one" else F.col(f)) for f in feats}
-            aggs = []
-            for i, a in enumerate(feats):
-                aggs.append(F.sum(F.when(obs, x[a] * F.col(t))).alias(f"xy|{a}"))
-                for b in feats[i:]:
-                    aggs.append(F.sum(F.when(obs, x[a] * x[b])).alias(f"xx|{a}|{b}"))
-            stats = d.agg(*aggs).first().asDict()  # p^2 numbers
-            k = len(feats)
-            xtx = np.zeros((k, k))
-            xty = np.zeros(k)
-            for i, a in enumerate(feats):
-                xty[i] = stats[f"xy|{a}"] or 0.0
-                for j in range(i, k):
-                    v = stats[f"xx|{a}|{feats[j]}"] or 0.0
-                    xtx[i, j] = xtx[j, i] = v
-            xtx[1:, 1:] += ridge * np.eye(k - 1)
-            beta = np.linalg.solve(xtx + 1e-12 * np.eye(k), xty)
-            coefs[t] = (feats, beta)
-            pred = F.lit(float(beta[0]))
-            for f, b in zip(feats[1:], beta[1:]):
-                pred = pred + F.lit(float(b)) * F.col(f)
-            d = d.withColumn(t, F.when(F.col(miss[t]), pred).otherwise(F.col(t)))
-        d = materialize(d)
-        flat = np.concatenate([coefs[t][1] for t in targets]) if targets else np.zeros(0)
-        if prev is not None and flat.size and np.max(np.abs(flat - prev)) < tol:
-            break
-        prev = flat
-    return d.drop(*miss.values())
-
-
 def fit_label_encoder(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """dictionary ``(variable, value, code)``: codes are the 0-based
     positions of the distinct values in sorted order, nulls read as

@@ -2,22 +2,25 @@
 
 Data rows are first aggregated to one row per (group, distinct time); risk
 sets are reverse running sums over those rows, computed with the skew-safe
-two-level running sum.  The Cox model runs Newton steps: each step is one
-Spark aggregation producing a gradient (p numbers) and Hessian (p x p) for
-the driver to solve.
+two-level running sum.  The Cox model runs Newton steps: each step sums a
+gradient (p numbers) and Hessian (p x p) in Spark for the driver to solve; tied
+events enter by closed forms, whatever their number.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from typing import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import windows as Wn
 from ..functions.joins import null_safe_join
+from ..session import materialize
 
 
 def event_table(df: DataFrame, duration: str, event: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -70,53 +73,113 @@ def survival_frame(df: DataFrame, key: str, outcomes: DataFrame, cluster: str, d
 
 # ---- Cox proportional hazards --------------------------------------------------
 
+def _grown(x: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of log(x + i), 1 / (x + i) and 1 / (x + i)**2 over i = 0 .. d - 1,
+    as differences of the log-gamma function and its derivatives (asymptotic series).
+    Small x are first raised to 16 term by term, so the series hold to 1e-15, and the
+    leading differences are written without cancellation."""
+    x, d = x.astype(float).copy(), d.astype(float).copy()
+    log, one, two = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x))
+    for _ in range(16):
+        low = (x < 16) & (d > 0)
+        if not low.any():
+            break
+        log[low] += np.log(x[low])
+        one[low] += 1 / x[low]
+        two[low] += 1 / x[low] ** 2
+        x[low] += 1
+        d[low] -= 1
+    y = x + d
+
+    def fall(f):
+        return f(x) - f(y)
+    more = d * np.log(x) - d + (y - 0.5) * np.log1p(d / x)
+    log += np.where(d > 0, more - fall(lambda v: 1 / (12 * v) - 1 / (360 * v**3) + 1 / (1260 * v**5) - 1 / (1680 * v**7)), 0)
+    one += np.where(d > 0, np.log1p(d / x) + d / (2 * x * y) + fall(lambda v: 1 / (12 * v**2) - 1 / (120 * v**4) + 1 / (252 * v**6) - 1 / (240 * v**8)), 0)
+    two += np.where(d > 0, d / (x * y) + fall(lambda v: 1 / (2 * v**2) + 1 / (6 * v**3) - 1 / (30 * v**5) + 1 / (42 * v**7) - 1 / (30 * v**9)), 0)
+    return log, one, two
+
+
+def _efron_terms(dd: np.ndarray, xb: np.ndarray, x: np.ndarray, own: np.ndarray, risk: np.ndarray, p: int) -> np.ndarray:
+    """Log-likelihood, gradient and information (upper triangle) summed over
+    event times.  Columns of ``own`` (the events') and ``risk`` (all at risk): the
+    sums of w, w z and w z z'.
+
+    With d tied events, mean weight e = D0 / d and c = S0 / e, the denominators are e (c - l)
+    for l = 0 .. d - 1, so their logs and inverse powers sum in closed form."""
+    c = risk[:, 0] * dd / own[:, 0]
+    log, one, two = _grown(np.maximum(c - dd + 1, 1.0), dd)
+    v = own[:, 1:] / own[:, :1]
+    u = (risk[:, 1:] - c[:, None] * own[:, 1:] / dd[:, None]) * (dd / own[:, 0])[:, None]
+    up = np.triu_indices(p)
+    u1, v1, u2, v2 = u[:, :p], v[:, :p], u[:, p:], v[:, p:]
+    a, b = up
+    info = u2 * one[:, None] + v2 * dd[:, None] - u1[:, a] * u1[:, b] * two[:, None] - (u1[:, a] * v1[:, b] + v1[:, a] * u1[:, b]) * one[:, None] - v1[:, a] * v1[:, b] * dd[:, None]
+    ll = xb - dd * np.log(own[:, 0] / dd) - log
+    grad = x - u1 * one[:, None] - v1 * dd[:, None]
+    return np.concatenate([[ll.sum()], grad.sum(axis=0), info.sum(axis=0)])
+
+
+def _time_blocks(d: DataFrame, blocks: int) -> DataFrame:
+    """``d`` (__t, ...) with ``__block``, the number of its range of times."""
+    probs = [i / blocks for i in range(1, blocks)]
+    cuts = sorted(set(d.agg(F.percentile_approx("__t", probs, 10 * blocks)).first()[0] or [])) if blocks > 1 else []  # a bounded sketch
+    return d.withColumn("__block", F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda c: c < F.col("__t"))))
+
+
 def _efron_step(d: DataFrame, cols: list[str], beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """One Newton quantity pass: Efron log partial likelihood, gradient and
-    Hessian at ``beta`` (standardised covariates in ``cols``)."""
+    """Efron log partial likelihood, gradient and information at ``beta``.
+
+    ``d`` (__t, __e, cols, and __block where ``_time_blocks`` has been called) is read twice: once for
+    each block's sums, which say what is at risk after the block, and once for the rows of each time,
+    which are walked from the last time to the first within the block."""
     p = len(cols)
-    xb = sum((F.lit(float(b)) * F.col(c) for b, c in zip(beta, cols)), F.lit(0.0))
-    w = F.exp(xb)
+    if "__block" not in d.columns:
+        d = _time_blocks(d, 8)
+    w = F.exp(sum((F.lit(float(b)) * F.col(c) for b, c in zip(beta, cols)), F.lit(0.0)))
+    up = list(zip(*np.triu_indices(p)))
+    moments = [F.col("w"), *[F.col("w") * F.col(c) for c in cols], *[F.col("w") * F.col(cols[a]) * F.col(cols[b]) for a, b in up]]
+    k, rows = len(moments), d.withColumn("w", w)
+    totals = rows.groupBy("__block").agg(F.array(*[F.sum(m) for m in moments]).alias("s")).collect()  # one row a block
+    after, run_sum = {}, np.zeros(k)
+    for r in sorted(totals, key=lambda r: -r["__block"]):
+        after[r["__block"]] = run_sum
+        run_sum = run_sum + np.array(r["s"], float)
     ev = F.col("__e") == 1
-    pairs = [(a, b) for a in range(p) for b in range(a, p)]
-    per_t = d.groupBy("__t").agg(
-        F.sum(F.col("__e")).alias("dd"),
-        F.sum(F.when(ev, xb)).alias("xb_d"),
-        F.sum(w).alias("A0"), F.sum(F.when(ev, w)).alias("D0"),
-        *[F.sum(w * F.col(c)).alias(f"A1_{i}") for i, c in enumerate(cols)],
-        *[F.sum(F.when(ev, w * F.col(c))).alias(f"D1_{i}") for i, c in enumerate(cols)],
-        *[F.sum(F.when(ev, F.col(c))).alias(f"X_{i}") for i, c in enumerate(cols)],
-        *[F.sum(w * F.col(cols[a]) * F.col(cols[b])).alias(f"A2_{a}_{b}") for a, b in pairs],
-        *[F.sum(F.when(ev, w * F.col(cols[a]) * F.col(cols[b]))).alias(f"D2_{a}_{b}") for a, b in pairs])
-    sums = {"S0": F.col("A0")}
-    sums.update({f"S1_{i}": F.col(f"A1_{i}") for i in range(p)})
-    sums.update({f"S2_{a}_{b}": F.col(f"A2_{a}_{b}") for a, b in pairs})
-    rs = Wn.running_sum(per_t, [], ["__t"], sums, descending=True).where(F.col("dd") > 0)
-    dd = F.col("dd").cast("int")
-    seq = F.sequence(F.lit(0), dd - 1)
-
-    def den(l):
-        return F.col("S0") - l / F.col("dd") * F.col("D0")
-
-    def num1(i, l):
-        return F.col(f"S1_{i}") - l / F.col("dd") * F.col(f"D1_{i}")
-
-    def gterm(i):
-        return lambda acc, l: acc + num1(i, l) / den(l)
-
-    def hterm(a, b):
-        return lambda acc, l: (acc + (F.col(f"S2_{a}_{b}") - l / F.col("dd") * F.col(f"D2_{a}_{b}")) / den(l)
-                               - num1(a, l) * num1(b, l) / (den(l) * den(l)))
-
-    ll = F.col("xb_d") - F.aggregate(seq, F.lit(0.0), lambda acc, l: acc + F.log(den(l)))
-    grad = [F.coalesce(F.col(f"X_{i}"), F.lit(0.0)) - F.aggregate(seq, F.lit(0.0), gterm(i)) for i in range(p)]
-    hess = [F.aggregate(seq, F.lit(0.0), hterm(a, b)) for a, b in pairs]
-    tot = rs.agg(F.sum(ll).alias("ll"), *[F.sum(g).alias(f"g{i}") for i, g in enumerate(grad)],
-                 *[F.sum(h).alias(f"h{a}_{b}") for (a, b), h in zip(pairs, hess)]).first()
-    g = np.array([tot[f"g{i}"] for i in range(p)], dtype=float)
-    info = np.zeros((p, p))  # information = minus the Hessian of the log-likelihood
-    for a, b in pairs:
-        info[a, b] = info[b, a] = tot[f"h{a}_{b}"]
-    return float(tot["ll"]), g, info
+    none = F.lit(0.0)
+    per_t = rows.groupBy("__block", "__t").agg(
+        F.array(F.sum(F.col("__e").cast("double")), F.coalesce(F.sum(F.when(ev, F.log("w"))), none), *[F.coalesce(F.sum(F.when(ev, F.col(c))), none) for c in cols],
+                *[F.coalesce(F.sum(F.when(ev, m)), none) for m in moments], *[F.sum(m) for m in moments]).alias("s"))
+    size = 1 + p + len(up)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, total = None, None, np.zeros(size)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            block = b.column(0).to_numpy(zero_copy_only=False)
+            s = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            edge = np.flatnonzero(np.diff(block)) + 1
+            for lo, hi in zip([0, *edge], [*edge, len(block)]):
+                part = s[lo:hi]
+                if block[lo] != at:
+                    at, held = block[lo], after[int(block[lo])]
+                risk = held + np.cumsum(part[:, 2 + p + k:], axis=0)
+                held = risk[-1]
+                hit = part[:, 0] > 0
+                if hit.any():
+                    q = part[hit]
+                    total = total + _efron_terms(q[:, 0], q[:, 1], q[:, 2:2 + p], q[:, 2 + p:2 + p + k], risk[hit], p)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total)], ["cell", "v"])
+
+    walked = per_t.repartition("__block").sortWithinPartitions("__block", F.desc("__t")).select("__block", "s").mapInArrow(walk, "cell int, v double")
+    got = np.zeros(size)
+    for r in walked.groupBy("cell").agg(F.sum("v").alias("v")).collect():  # 1 + p + p (p + 1) / 2 numbers
+        got[r["cell"]] = r["v"]
+    info = np.zeros((p, p))
+    for (a, b), v in zip(up, got[1 + p:]):
+        info[a, b] = info[b, a] = v
+    return float(got[0]), got[1:1 + p], info
 
 
 def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str], penalizer: float = 0.1,
@@ -127,6 +190,8 @@ def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
     standardised by mean and sample std, minus ``n * penalizer / 2 * |beta|^2``.
     Coefficients are reported on the original scale (beta / std) with
     standard errors from the penalised Hessian and two-sided normal p-values.
+    The standardised rows are written once, by ranges of time; a Newton step reads
+    them twice and shuffles one row a distinct time.
     Returns ``(covariate, coef, exp_coef, se, z, p)``.
     """
     cols = list(covariates)
@@ -137,22 +202,19 @@ def cox_ph(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
     std = np.array([stats[f"s_{c}"] or 1.0 for c in cols], dtype=float)
     std[std == 0] = 1.0
     z = [f"__z{i}" for i in range(len(cols))]
-    d = df.select(F.col(duration).cast("double").alias("__t"), F.col(event).cast("int").alias("__e"),
-                  *[((F.col(c) - mean[i]) / std[i]).alias(z[i]) for i, c in enumerate(cols)]).persist()
-    try:
-        beta = np.zeros(len(cols))
-        for _ in range(max_steps):
-            ll, g, H = _efron_step(d, z, beta)
-            g = g - n * penalizer * beta
-            H = H + n * penalizer * np.eye(len(cols))
-            step = np.linalg.solve(H, g)
-            beta = beta + step
-            if np.max(np.abs(step)) < tol:
-                break
-        _, g, H = _efron_step(d, z, beta)
+    d = materialize(df.select(F.col(duration).cast("double").alias("__t"), F.col(event).cast("int").alias("__e"),
+                              *[((F.col(c) - mean[i]) / std[i]).alias(z[i]) for i, c in enumerate(cols)]))
+    d = _time_blocks(d, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    beta = np.zeros(len(cols))
+    for _ in range(max_steps):
+        ll, g, H = _efron_step(d, z, beta)
         H = H + n * penalizer * np.eye(len(cols))
-    finally:
-        d.unpersist()
+        step = np.linalg.solve(H, g - n * penalizer * beta)
+        beta = beta + step
+        if np.max(np.abs(step)) < tol:
+            break
+    _, g, H = _efron_step(d, z, beta)
+    H = H + n * penalizer * np.eye(len(cols))
     cov = np.linalg.inv(H)
     se_std = np.sqrt(np.diag(cov))
     coef = beta / std

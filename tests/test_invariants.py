@@ -11,6 +11,7 @@ from cohortkit.functions import quantiles as Q
 from cohortkit.functions import special as SP
 from cohortkit.functions import windows as Wn
 from cohortkit.operators import features as Fe
+from cohortkit.operators import impute as Im
 from cohortkit.operators import groups as G
 from cohortkit.operators import phik as Ph
 from cohortkit.operators import survival as Sv
@@ -73,7 +74,7 @@ def test_label_encoder_is_dense_rank(spark):
 def test_iterative_impute_keeps_observed(spark):
     li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
     d = li.withColumn("q", F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_quantity")))
-    out = Fe.iterative_impute(d, ["q", "l_extendedprice", "l_tax"], max_iter=5)
+    out = Im.iterative_impute(d, ["q", "l_extendedprice", "l_tax"], max_iter=5)
     assert out.where(F.col("q").isNull()).count() == 0
     # observed cells untouched (the original travels along as l_quantity)
     assert out.where((F.col("l_orderkey") % 7 != 0) & (F.col("q") != F.col("l_quantity"))).count() == 0
@@ -85,7 +86,7 @@ def test_iterative_impute_is_chained(spark):
     gap = np.zeros(x.shape, bool)
     gap[:, 0], gap[:, 1] = rng.uniform(size=200) < .3, rng.uniform(size=200) < .2
     rows = [(i, *[None if g else float(v) for v, g in zip(a, m)]) for i, (a, m) in enumerate(zip(x, gap))]
-    got = Fe.iterative_impute(spark.createDataFrame(rows, "i int, a double, b double, c double"), ["a", "b", "c"], max_iter=2, ridge=0.0)
+    got = Im.iterative_impute(spark.createDataFrame(rows, "i int, a double, b double, c double"), ["a", "b", "c"], max_iter=2, ridge=0.0)
     want = np.where(gap, 0, x)
     want = np.where(gap, want.sum(axis=0) / (~gap).sum(axis=0), x)
     for _ in range(2):
@@ -121,6 +122,75 @@ def test_cox_gradient_zero_at_optimum(spark):
     assert abs(g[0]) < 1e-4
 
 
+def test_tied_sums_equal_term_by_term():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([1 + rng.uniform(size=40) * 30, 10 ** rng.uniform(0, 9, size=40)])
+    d = rng.integers(1, 400, size=80)
+    for i, got in enumerate(Sv._grown(x, d)):
+        f = (np.log, lambda v: 1 / v, lambda v: 1 / v**2)[i]
+        want = [f(a + np.arange(n)).sum() for a, n in zip(x, d)]
+        assert np.allclose(got, want, rtol=1e-11, atol=0)
+
+
+def test_efron_step_equals_plain_loops(spark):
+    rng = np.random.default_rng(6)
+    n, beta = 240, np.array([0.4, -0.2])
+    z = rng.normal(size=(n, 2))
+    t = rng.integers(1, 9, size=n).astype(float)           # many ties; time 3 has a third of the rows
+    t[rng.uniform(size=n) < .3] = 3.0
+    e = (rng.uniform(size=n) < .6).astype(int)
+    ll, g, info = 0.0, np.zeros(2), np.zeros((2, 2))
+    w = np.exp(z @ beta)
+    for u in np.unique(t[e == 1]):
+        at, tied = t >= u, (t == u) & (e == 1)
+        d = tied.sum()
+        ll += (z[tied] @ beta).sum()
+        g += z[tied].sum(axis=0)
+        for i in range(d):
+            v = np.where(at, w, 0) - i / d * np.where(tied, w, 0)
+            m = (v[:, None] * z).sum(axis=0) / v.sum()
+            ll -= np.log(v.sum())
+            g -= m
+            info += (v[:, None, None] * z[:, :, None] * z[:, None, :]).sum(axis=0) / v.sum() - np.outer(m, m)
+    rows = [(float(a), int(b), float(c[0]), float(c[1])) for a, b, c in zip(t, e, z)]
+    df = spark.createDataFrame(rows, "__t double, __e int, z0 double, z1 double")
+    got = Sv._efron_step(Sv._time_blocks(df, 3), ["z0", "z1"], beta)
+    for a, b in zip(got, (ll, g, info)):
+        assert np.allclose(a, b, rtol=1e-10)
+
+
+def test_imputer_fits_once_and_applies_to_other_frames(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4)) + 5
+    gap = rng.uniform(size=x.shape) < [0.3, 0.2, 0.1, 0.0]
+    rows = [(i, *[None if g else float(v) for v, g in zip(a, m)], None, "k" if i % 3 else ("m" if i % 2 else None), None) for i, (a, m) in enumerate(zip(x, gap))]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c double, d double, never double, word string, empty string")
+    train = df.where("i < 200")
+    small = Im.IterativeImputerFit(train, df.columns[1:], max_iter=6, tol=0.0)
+    spread = Im.IterativeImputerFit(train, df.columns[1:], max_iter=6, tol=0.0, local_bytes=1)
+    assert small.dropped == spread.dropped == ["never", "empty"] and small.fills == {"word": "k"}
+    order = [t - 1 for t in small.targets]
+    tr, m = x[:200], gap[:200]
+    mean = np.where(m, 0, tr).sum(axis=0) / (~m).sum(axis=0)
+    want, steps = np.where(m, mean, tr), []
+    for _ in range(6):
+        for t in order:
+            q = np.column_stack([np.ones(200), np.delete(want, t, axis=1)])
+            ridge = np.diag([1e-12, *[1e-6 + 1e-12] * 3])
+            b = np.linalg.solve(q[~m[:, t]].T @ q[~m[:, t]] + ridge, q[~m[:, t]].T @ want[~m[:, t], t])
+            want[m[:, t], t] = q[m[:, t]] @ b
+            steps.append(b)
+    for fit in (small, spread):
+        assert all(np.allclose(b, s, rtol=1e-7, atol=1e-9) for (_, b), s in zip(fit.history, steps))
+    every = np.where(gap, mean, x)
+    for t, b in zip(order * 6, steps):
+        every[gap[:, t], t] = np.column_stack([np.ones(300), np.delete(every, t, axis=1)])[gap[:, t]] @ b
+    got = small.transform(df).orderBy("i").collect()
+    assert got[0].asDict().keys() == {"i", "a", "b", "c", "d", "word"} and {r["word"] for r in got} == {"k", "m"}
+    assert np.allclose([[r[c] for c in "abcd"] for r in got], every, atol=1e-8)
+    assert small.transform(df.where("false")).count() == 0
+
+
 def test_silhouette_matches_bruteforce(spark):
     rng = np.random.default_rng(5)
     pts = rng.normal(size=(60, 3)) + np.repeat(np.eye(3) * 3, 20, axis=0)
