@@ -1,13 +1,14 @@
-"""Exact quantiles without buffering a whole group in one task.
+"""Exact quantiles by distributed radix selection.
 
 Spark's exact ``percentile`` keeps every value of a group in one aggregation
 buffer; for a column of a 100 TB table that is one task holding the column.
-Here the needed order statistics are found by narrowing: each round counts
-the candidate rows of every target rank, splits the large candidate ranges
-into value blocks by ``percentile_approx`` (a bounded sketch), keeps the
-block that holds the rank and tracks how many rows lie below it.  Once a
-target has at most ``cap`` candidates (or a single distinct value), its value
-is read with a window over that small slice.
+Here every double has a 64-bit key in the order of the values, and the wanted
+order statistics are found 16 bits at a time: a pass counts the rows of each
+digit, for all groups and ranks at once, and the cumulated counts say which digit holds a
+rank.  The next pass looks only at rows that begin with such a digit.  A digit whose
+rows are all equal ends its ranks, so four passes suffice for any data and columns of
+few values take one or two.  A pass shuffles at most 65536 counts for each rank
+that is open, whatever the size of its group.
 
 Methods (``n`` values, probability ``p``, ranks 0-based):
   * ``linear``  - pandas/numpy default: position (n-1)p, linear interpolation.
@@ -19,11 +20,21 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialize
 
+DIGIT = 16                                  # bits of a digit
+SHIFTS = (48, 32, 16, 0)
+
+
+def ordered_key(v: Column) -> Column:
+    """A long in the order of the doubles of ``v`` (not null, not NaN): their
+    64 bits, with the negative key for negative values; both zeros have key 0."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), v).cast("long")
+    return F.when(bits < 0, -bits.bitwiseAND(F.lit((1 << 63) - 1))).otherwise(bits)
+
 
 def _targets(counts: DataFrame, group_cols: list[str], probs: Sequence[float], method: str) -> DataFrame:
     rows = []
@@ -49,129 +60,45 @@ def _targets(counts: DataFrame, group_cols: list[str], probs: Sequence[float], m
     return out
 
 
-def _search(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds: int) -> DataFrame:
-    """Exact values of the target ranks.
-
-    Fast path, three passes and no row expansion: (1) one sketch per group;
-    (2) each target gets a bracket of +-2 sketch steps around its rank, and
-    one pass places every row among its group's few bracket end points
-    (interval counts give the exact rows below each bracket); (3) the rows
-    inside brackets that hold their rank with at most ``cap`` rows are
-    ranked with a window.  Targets whose bracket is still large (huge groups,
-    heavy ties) go through the general narrowing loop.
-    """
-    keys = ["__gk", "__k"]
-    S = splits
-    probs = [i / S for i in range(1, S)]
-    sk = base.groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"),
-                                  F.percentile_approx("__v", probs, 4 * S).alias("__b"))
-    t = ranks.join(sk, "__gk")
-    idx = F.floor((F.col("__k") + 1) * S / F.col("__n")).cast("int")
-    # the sketch points around the rank become cut points of the group
-    window_pts = F.slice("__b", F.greatest(idx - 2, F.lit(1)), F.lit(5))
-    cuts = materialize(t.groupBy("__gk").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(window_pts)))).alias("__cuts")))
-    # interval i holds rows with cuts[i-1] < v <= cuts[i] (1-based; 0 below all)
-    iv = base.join(broadcast_if_small(cuts), "__gk").withColumn(
-        "__iv", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
-    counts = iv.groupBy("__gk", "__iv").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__mn"),
-                                            F.max("__v").alias("__mx"))
-    wi = Window.partitionBy("__gk").orderBy("__iv").rowsBetween(Window.unboundedPreceding, -1)
-    ci = counts.join(cuts, "__gk").select(
-        "__gk", "__iv", "__cnt", "__mn", "__mx",
-        F.when(F.col("__iv") >= 1, F.element_at("__cuts", F.col("__iv"))).otherwise(F.lit(float("-inf"))).alias("__lo"),
-        F.coalesce(F.try_element_at("__cuts", F.col("__iv") + 1), F.lit(float("inf"))).alias("__hi")) \
-        .withColumn("__below", F.coalesce(F.sum("__cnt").over(wi), F.lit(0)))  # intervals: a few per target
-    k = F.col("__k")
-    st = materialize(ranks.join(ci, "__gk").where((F.col("__below") <= k) & (k < F.col("__below") + F.col("__cnt")))
-                          .select(*keys, "__lo", "__hi", "__below", "__cnt", "__mn", "__mx"))
-    fast = (F.col("__cnt") <= cap) | (F.col("__mn") == F.col("__mx"))
-    single = st.where(F.col("__mn") == F.col("__mx")).select(*keys, F.col("__mn").alias("__val"))
-    multi = st.where(fast & (F.col("__mn") < F.col("__mx")))
-    mb = multi.groupBy("__gk").agg(F.collect_list(F.struct("__lo", "__hi")).alias("__br"))
-    rows = (base.join(broadcast_if_small(mb), "__gk")
-                .where(F.exists("__br", lambda b: (F.col("__v") > b["__lo"]) & (F.col("__v") <= b["__hi"])))
-                .select("__gk", "__v"))
-    cand = rows.join(broadcast_if_small(multi.select(*keys, "__lo", "__hi", "__below")), "__gk") \
-               .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-    w = Window.partitionBy(*keys).orderBy("__v")
-    picked = (cand.withColumn("__r", F.row_number().over(w) - 1)
-                  .where(F.col("__r") == F.col("__k") - F.col("__below"))
-                  .select(*keys, F.col("__v").alias("__val")))
-    out = single.unionByName(picked)
-    slow = st.where(~fast).select(*keys)
-    if slow.limit(1).count() == 0:
-        return out
-    return out.unionByName(_search_loop(base, slow, cap, splits, max_rounds))
-
-
-def _search_loop(base: DataFrame, ranks: DataFrame, cap: int, splits: int, max_rounds: int) -> DataFrame:
-    """General narrowing search.  ``base``: ``(__gk, __v)`` non-null values;
-    ``ranks``: ``(__gk, __k)`` 0-based target ranks.  Returns
-    ``(__gk, __k, __val)``.
-
-    State per target: a bracket ``(lo, hi]`` that holds rank k and the
-    previous bracket ``(plo, phi]``.  One pass per round over the group's
-    rows ``v <= phi`` counts ``v <= plo``, ``v <= lo``, ``v <= hi`` and
-    sketches the bracket's values; the next bracket is the sketch window of
-    +-2 of ``splits`` steps around the rank (about ``4 c / splits`` rows).  If
-    ties make the rank fall outside it, the counts show on which side and the
-    bracket becomes ``(plo, lo]`` or ``(hi, phi]``, which still holds it.
-    """
-    keys = ["__gk", "__k"]
-    S = splits
-    probs = [i / S for i in range(1, S)]
-    inf = float("inf")
-    state = materialize(ranks.select(*keys, F.lit(-inf).alias("__lo"), F.lit(inf).alias("__hi"),
-                                     F.lit(-inf).alias("__plo"), F.lit(inf).alias("__phi")))
-    for rnd in range(max_rounds + 1):
-        last = rnd == max_rounds
-        cand = base.join(broadcast_if_small(state), on="__gk", how="inner").where(F.col("__v") <= F.col("__phi"))
-        inb = (F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
-        aggs = [F.count_if(F.col("__v") <= F.col("__plo")).alias("__nplo"),
-                F.count_if(F.col("__v") <= F.col("__lo")).alias("__nlo"),
-                F.count_if(F.col("__v") <= F.col("__hi")).alias("__nhi"),
-                F.min(F.when(inb, F.col("__v"))).alias("__mn"), F.max(F.when(inb, F.col("__v"))).alias("__mx")]
-        if not last:
-            aggs.append(F.percentile_approx(F.when(inb, F.col("__v")), probs, 4 * S).alias("__b"))
-        st = cand.groupBy(*keys).agg(*aggs)
-        st = materialize(state.join(st, keys, "left"))  # one row per target
-        k = F.col("__k")
-        valid = (F.col("__nlo") <= k) & (k < F.col("__nhi"))
-        c = F.col("__nhi") - F.col("__nlo")
-        done = valid & ((c <= cap) | (F.col("__mn") == F.col("__mx")))
-        if last or st.where(~done).limit(1).count() == 0:
+def _keyed(df: DataFrame, gk: Column, value_col: str) -> DataFrame:
+    """(__gk, __v, __key) of the values that are not null or NaN."""
+    d = df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    return d.withColumn("__key", ordered_key(F.col("__v")))
+
+
+def _digits(base: DataFrame, keys: Sequence[str], shift: int) -> DataFrame:
+    """Rows of each digit, with the least and largest value that it holds."""
+    return base.groupBy(*keys, F.shiftright("__key", shift).alias("__digit")).agg(
+        F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx"))
+
+
+def _located(open_: DataFrame, digits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each open rank (``keys``, __k, __rest) in the digit that holds it: its
+    prefix, its rank there, and its value where the digit has one value only."""
+    w = Window.partitionBy(*keys).orderBy("__digit").rowsBetween(Window.unboundedPreceding, -1)  # at most 65536 rows
+    d = digits.withColumn("__below", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
+    here = open_.join(d, list(keys)).where((F.col("__below") <= F.col("__rest")) & (F.col("__rest") < F.col("__below") + F.col("__cnt")))
+    return materialize(here.select("__gk", "__k", (F.col("__rest") - F.col("__below")).alias("__rest"), F.col("__digit").alias("__prefix"),
+                                   F.when(F.col("__mn") == F.col("__mx"), F.col("__mn")).alias("__val")))
+
+
+def _search(base: DataFrame, ranks: DataFrame, first: DataFrame) -> DataFrame:
+    """(__gk, __k, __val): exact values of the 0-based ``ranks`` (__gk, __k)
+    among ``base`` (__gk, __v, __key), given the counts of the first digit."""
+    at = _located(ranks.withColumn("__rest", F.col("__k")), first, ["__gk"])
+    found = [at.where("__val is not null")]
+    for before, shift in zip(SHIFTS, SHIFTS[1:]):
+        open_ = at.where("__val is null")
+        if open_.isEmpty():
             break
-        r = k - F.col("__nlo")
-        idx = F.floor((r + 1) * S / c).cast("int")
-        new_lo = F.when(idx - 2 >= 1, F.element_at("__b", idx - 2)).otherwise(F.col("__lo"))
-        new_hi = F.when(idx + 2 <= S - 1, F.element_at("__b", idx + 2)).otherwise(F.col("__hi"))
-        miss_low = k < F.col("__nlo")   # the rank lies in (plo, lo]
-        state = materialize(st.select(
-            *keys,
-            F.when(done, F.col("__lo")).when(valid, new_lo).when(miss_low, F.col("__plo")).otherwise(F.col("__hi")).alias("__lo"),
-            F.when(done, F.col("__hi")).when(valid, new_hi).when(miss_low, F.col("__lo")).otherwise(F.col("__phi")).alias("__hi"),
-            F.when(valid, F.col("__lo")).otherwise(F.col("__plo")).alias("__plo"),
-            F.when(valid, F.col("__hi")).otherwise(F.col("__phi")).alias("__phi")))
-    # final: the bracket that holds the rank (after a miss in the last round,
-    # the side the counts point to) and the rows at or below it
-    k = F.col("__k")
-    valid = (F.col("__nlo") <= k) & (k < F.col("__nhi"))
-    miss_low = k < F.col("__nlo")
-    fin = st.select(*keys,
-                    F.when(valid, F.col("__lo")).when(miss_low, F.col("__plo")).otherwise(F.col("__hi")).alias("__lo"),
-                    F.when(valid, F.col("__hi")).when(miss_low, F.col("__lo")).otherwise(F.col("__phi")).alias("__hi"),
-                    F.when(valid, F.col("__nlo")).when(miss_low, F.col("__nplo")).otherwise(F.col("__nhi")).alias("__below"),
-                    (valid & (F.col("__mn") == F.col("__mx"))).alias("__single"), "__mn")
-    single = fin.where("__single").select(*keys, F.col("__mn").alias("__val"))
-    multi = fin.where(~F.col("__single"))
-    cand = (base.join(broadcast_if_small(multi), on="__gk", how="inner")
-                .where((F.col("__v") > F.col("__lo")) & (F.col("__v") <= F.col("__hi"))))
-    w = Window.partitionBy(*keys).orderBy("__v")
-    picked = (cand.withColumn("__r", F.row_number().over(w) - 1)
-                  .where(F.col("__r") == F.col("__k") - F.col("__below"))
-                  .select(*keys, F.col("__v").alias("__val")))
-    return single.unionByName(picked)
+        prefixes = broadcast_if_small(open_.select("__gk", "__prefix").distinct())
+        inside = base.withColumn("__prefix", F.shiftright("__key", before)).join(prefixes, ["__gk", "__prefix"])
+        at = _located(open_.select("__gk", "__prefix", "__k", "__rest"), _digits(inside, ["__gk", "__prefix"], shift), ["__gk", "__prefix"])
+        found.append(at.where("__val is not null"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out.select("__gk", "__k", "__val")
 
 
 def _group_key(user_groups: Sequence[str]):
@@ -184,48 +111,45 @@ def _group_key(user_groups: Sequence[str]):
                                     .otherwise(F.concat(F.lit("V"), F.col(c).cast("string"))) for c in user_groups])
 
 
-def order_statistics(df: DataFrame, value_col: str, group_cols: Sequence[str] | str, ranks: DataFrame,
-                     cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
+def order_statistics(df: DataFrame, value_col: str, group_cols: Sequence[str] | str, ranks: DataFrame) -> DataFrame:
     """Exact values of given 0-based ranks per group.  ``ranks`` holds the
     group columns and ``__k``; returns the group columns, ``__k``, ``__val``."""
     user_groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     gk = _group_key(user_groups)
-    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
-              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    base = _keyed(df, gk, value_col)
     rk = ranks.select(gk.alias("__gk"), *user_groups, "__k")
-    vals = _search(base, rk.select("__gk", "__k").distinct(), cap, splits, max_rounds)
+    vals = _search(base, rk.select("__gk", "__k").distinct(), _digits(base, ["__gk"], SHIFTS[0]))
     return rk.join(vals, ["__gk", "__k"], "left").drop("__gk")
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), method: str = "linear",
-                    cap: int = 200_000, splits: int = 256, max_rounds: int = 6) -> DataFrame:
+                    group_cols: Sequence[str] = (), method: str = "linear") -> DataFrame:
     """Return ``(group_cols..., prob, quantile)``; nulls and NaN are ignored.
     Groups without values produce no rows."""
     user_groups = list(group_cols)
     gk = _group_key(user_groups)
-    base = (df.select(gk.alias("__gk"), F.col(value_col).cast("double").alias("__v"))
-              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    counts = (df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v"))
-                .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-                .groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in user_groups]))
-    tg = _targets(counts, ["__gk", *user_groups], probs, method)
+    base = _keyed(df, gk, value_col)
+    # the first digit's counts also say how many values each group has
+    named = df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    first = materialize(named.withColumn("__key", ordered_key(F.col("__v"))).groupBy("__gk", F.shiftright("__key", SHIFTS[0]).alias("__digit")).agg(
+        F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx"), *[F.first(c).alias(c) for c in user_groups]))
+    counts = first.groupBy("__gk").agg(F.sum("__cnt").alias("__n"), *[F.first(c).alias(c) for c in user_groups])
+    tg = materialize(_targets(counts, ["__gk", *user_groups], probs, method))
     ranks = (tg.select("__gk", F.col("__klo").alias("__k"))
                .unionByName(tg.select("__gk", F.col("__khi").alias("__k"))).distinct())
-    vals = _search(base, ranks, cap, splits, max_rounds)
+    vals = _search(base, ranks, first.drop(*user_groups))
     lo = vals.withColumnRenamed("__k", "__klo").withColumnRenamed("__val", "__vlo")
     hi = vals.withColumnRenamed("__k", "__khi").withColumnRenamed("__val", "__vhi")
-    res = (tg.join(lo, on=["__gk", "__klo"], how="left")
-             .join(hi, on=["__gk", "__khi"], how="left")
-             .select(*user_groups, "prob",
-                     (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("quantile")))
-    return res
+    step = F.when(F.col("__frac") == 0, F.lit(0.0)).otherwise((F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
+    return (tg.join(lo, on=["__gk", "__klo"], how="left")
+              .join(hi, on=["__gk", "__khi"], how="left")
+              .select(*user_groups, "prob", (F.col("__vlo") + step).alias("quantile")))
 
 
 def quantile_columns(df: DataFrame, value_col: str, probs: dict[str, float],
-                     group_cols: Sequence[str] = (), method: str = "linear", **kw) -> DataFrame:
+                     group_cols: Sequence[str] = (), method: str = "linear") -> DataFrame:
     """Wide form: one column per named probability, one row per group."""
-    q = exact_quantiles(df, value_col, list(probs.values()), group_cols, method, **kw)
+    q = exact_quantiles(df, value_col, list(probs.values()), group_cols, method)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name)
             for name, p in probs.items()]
     if group_cols:

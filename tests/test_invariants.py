@@ -27,18 +27,17 @@ def test_special_functions():
     assert abs(SP.t_two_sided_p(1.96, 1e7) - 0.05) < 1e-3
 
 
-def test_exact_quantiles_narrowing_with_hot_group(spark):
+def test_exact_quantiles_with_hot_group(spark):
     rng = np.random.default_rng(1)
     vals = np.concatenate([rng.normal(size=3000), np.full(1500, 0.25), rng.exponential(size=500)])
     groups = np.where(np.arange(len(vals)) < 3500, "hot", "cold")
     pdf = list(zip(groups.tolist(), vals.tolist()))
     df = spark.createDataFrame(pdf, "g string, v double")
-    # a tiny cap forces several narrowing rounds
-    q = Q.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"], "linear", cap=50, splits=8).collect()
+    q = Q.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"], "linear").collect()
     for r in q:
         x = vals[groups == r["g"]]
         assert abs(r["quantile"] - np.quantile(x, r["prob"])) < 1e-12
-    n = Q.exact_quantiles(df, "v", [0.25], [], "nearest", cap=40, splits=4).first()["quantile"]
+    n = Q.exact_quantiles(df, "v", [0.25], [], "nearest").first()["quantile"]
     s = np.sort(vals)
     assert n == s[int(math.floor((len(s) - 1) * 0.25 + 0.5))]
 
@@ -71,6 +70,31 @@ def test_label_encoder_is_dense_rank(spark):
     assert codes == {"MISSING_CATEGORY": 0, "a": 1, "b": 2, "c": 3}
 
 
+def test_ordered_keys_are_in_the_order_of_the_doubles(spark):
+    rng = np.random.default_rng(9)
+    bits = rng.integers(0, 1 << 63, 3000).astype(np.uint64) * 2 + rng.integers(0, 2, 3000).astype(np.uint64)
+    v = np.concatenate([bits.view(np.float64), [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 2.0 ** -1022, np.nextafter(2.0 ** -1022, 0), 1.7976931348623157e308],
+                        *[np.array([np.nextafter(x, 0), x, np.nextafter(x, np.inf), -x]) for x in 2.0 ** np.arange(-1021, 1024)]])
+    v = v[~np.isnan(v)]
+    df = spark.createDataFrame([(float(x),) for x in v], "v double").select("v", Q.ordered_key(F.col("v")).alias("k"))
+    for r in df.collect():
+        b = int(np.float64(abs(r["v"])).view(np.int64))
+        assert r["k"] == (-b if r["v"] < 0 else b), r["v"]
+
+
+def test_quantiles_that_need_every_digit(spark):
+    x = [1.0 + i * 2.0 ** -52 for i in range(40)] + [-3.5] * 7 + [float("inf"), 5e-324, 0.0, -0.0, float("nan"), None]
+    df = spark.createDataFrame([(v, "g" if i % 2 else None) for i, v in enumerate(x)], "v double, g string")
+    for g in (None, "g"):
+        own = np.sort([v for i, v in enumerate(x) if v is not None and v == v and (i % 2 == 1) == (g == "g")])
+        for m in ("nearest", "lower", "higher"):
+            got = {r["prob"]: r["quantile"] for r in Q.exact_quantiles(df, "v", [0.0, 0.3, 0.5, 0.77, 1.0], ["g"], m).where(F.col("g").eqNullSafe(F.lit(g))).collect()}
+            for p, q in got.items():
+                pos = (len(own) - 1) * p
+                assert q == own[int({"nearest": math.floor(pos + 0.5), "lower": math.floor(pos), "higher": math.ceil(pos)}[m])]
+    assert Q.exact_quantiles(df.where("false"), "v", [0.5], ["g"]).count() == 0
+
+
 def test_iterative_impute_keeps_observed(spark):
     li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
     d = li.withColumn("q", F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_quantity")))
