@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, id_and_text, stored
+from .common import blocks_for, id_and_text, stored, unused
 
 END_ID = 2
 END_OF_TEXT = {"<|endoftext|>": 50256}     # the vocabulary's added token, told apart in texts
@@ -42,12 +42,18 @@ def token_ids(enc, text: str | None) -> list[int]:
     return enc.encode(text or "", allowed_special="all")
 
 
-def default_tokenizer() -> tuple[str, str]:
-    """(rank file, split pattern) of the byte-level BPE vocabulary of 50k
-    ids.  The rank file holds the same vocabulary as byte_bpe_50k.json and
-    gives the same ids (tests compare the two); it is several times faster."""
+@functools.lru_cache(maxsize=2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def default_tokenizer() -> tuple[str, str, str]:
+    """(rank file, split pattern, tokenizers file) of the byte-level BPE
+    vocabulary of 50k ids.  The rank file holds the same vocabulary as the other
+    and gives the same ids (tests compare the two); it is several times faster."""
     import public_tokenizers as P
-    return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    return P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json")
 
 
 def piece_lengths(n: int, limit: int) -> list[int]:
@@ -57,14 +63,20 @@ def piece_lengths(n: int, limit: int) -> list[int]:
     return ([n % limit] if n % limit else []) + [limit] * (n // limit)
 
 
-def token_pieces(docs: DataFrame, limit: int = 1024, tokenizer: tuple[str, str] | None = None,
+def token_pieces(docs: DataFrame, limit: int = 1024, tokenizer: tuple[str, str, str] | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: doc_id, piece (from 0), start (the document's ids
     before it), length, ids (little-endian unsigned 32-bit).
 
     ``<|endoftext|>`` in a text is its one id.  Null texts count as empty: one piece with the end id alone.  Rows without id and repeated
     rows give pieces like any other."""
-    path, pattern = tokenizer or default_tokenizer()
+    path, pattern, library = tokenizer or default_tokenizer()
+
+    def ids_of(enc, text: str | None) -> list[int]:
+        try:
+            return token_ids(enc, text)
+        except ValueError:      # its matcher refuses white space of a million characters
+            return _library(library).encode(text, add_special_tokens=False).ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, pattern)
@@ -73,7 +85,7 @@ def token_pieces(docs: DataFrame, limit: int = 1024, tokenizer: tuple[str, str]
         for b in batches:
             cols, held = [[] for _ in names], 0
             for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.array(token_ids(enc, t.as_py()) + [END_ID], "<u4")
+                ids = np.array(ids_of(enc, t.as_py()) + [END_ID], "<u4")
                 at = 0
                 for k, n in enumerate(piece_lengths(len(ids), limit)):
                     for c, v in zip(cols, (d, k, at, n, ids[at:at + n].tobytes())):
@@ -141,23 +153,25 @@ def pack(pieces: DataFrame, limit: int = 1024, max_docs: int = 1024, max_cost: f
          score: str = "norm", weights: Sequence[float] = (1.0, 0.05, 0.05), group_rows: int = 16384) -> DataFrame:
     """``pieces`` (any columns, with a long ``length``) with sequence_id and
     offset.  ``pieces`` should be a stored table: it is read to count its
-    rows.  Pieces are dealt by hash into groups of about ``group_rows``, each packed
-    by itself (a group leaves about one sequence half empty).  ``max_cost``
+    rows.  Pieces are dealt by a hash of the row and its place there into groups of about
+    ``group_rows`` (equal rows go to many), each packed by itself (a group leaves about
+    one sequence half empty).  ``max_cost``
     defaults to the square of ``limit``, which one full document reaches."""
     cost = float(limit) ** 2 if max_cost is None else float(max_cost)
     groups = blocks_for(pieces.count(), group_rows)
     rest = [c for c in pieces.columns]
+    order, group = unused(pieces, "spread"), unused(pieces, "group")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__spread"], kind="stable")
-        g = int(pdf["__group"].iloc[0])
+        pdf = pdf.sort_values([order], kind="stable")
+        g = int(pdf[group].iloc[0])
         bins, offs = vector_best_fit(pdf["length"].to_numpy(), limit, max_docs, cost, score, weights)
         return pdf[rest].assign(sequence_id=bins + (g << 32), offset=offs)
 
-    spread = F.xxhash64(*[F.col(c) for c in rest])
-    dealt = pieces.withColumn("__spread", spread).withColumn("__group", F.pmod("__spread", F.lit(groups)).cast("long"))
+    spread = F.xxhash64(*[F.col(c) for c in rest], F.monotonically_increasing_id())
+    dealt = pieces.withColumn(order, spread).withColumn(group, F.pmod(order, F.lit(groups)).cast("long"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.groupBy("__group").applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    return dealt.groupBy(group).applyInPandas(run, f"{schema}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -104,3 +104,21 @@ def test_line_dedup_leaves_columns_of_its_own_names_alone(spark):
     got = line_dedup.dedup_lines(d, out="__out").collect()
     assert {(r["__row"], r["__hit"], r["__removed"]) for r in got} == {("keep", True, 7)}
     assert sorted((r["__out"]["text"], len(r["__out"]["removed"])) for r in got) == [("", 1), (A, 0), (B, 1)]
+
+
+def test_equal_pieces_are_dealt_to_many_groups(spark):
+    from cohortkit.llm.common import stored
+    p = stored(spark.range(3000).selectExpr("cast(null as long) AS doc_id", "0 AS piece", "1L AS length", "'x' AS __group", "2 AS __spread"), "pieces")
+    got = packing.pack(p, limit=8, group_rows=300).collect()
+    assert len(got) == 3000 and {(r["__group"], r["__spread"]) for r in got} == {("x", 2)}
+    groups = {}
+    for r in got:
+        groups[r["sequence_id"] >> 32] = groups.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(groups) == 10 and max(groups.values()) < 450
+
+
+def test_white_space_without_end_is_packed(docs_of):
+    got = packing.token_pieces(docs_of([(1, " " * 1_500_000 + "x")]), 1 << 21).first()
+    from tokenizers import Tokenizer
+    want = Tokenizer.from_file(packing.default_tokenizer()[2]).encode(" " * 1_500_000 + "x", add_special_tokens=False).ids
+    assert got["length"] == len(want) + 1
