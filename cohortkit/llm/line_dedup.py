@@ -326,15 +326,16 @@ def _may_match(rows: DataFrame, hashed: Column, used: list) -> Column:
 
 def _class_words(docs: DataFrame, places: DataFrame, counts, used: list) -> DataFrame:
     """(k1, bits, words) of the lines at ``places`` (doc, line_no), read from
-    the texts; filters keep most other lines from leaving the tasks."""
+    the texts; filters keep most other texts from Python and most other lines from
+    leaving the tasks."""
     sc = docs.sparkSession.sparkContext
-    sent = sc.broadcast((_filter_bits(places, F.xxhash64("doc")), _filter_bits(places, F.xxhash64("doc", "line_no"))))
+    some = _may_match(places, F.xxhash64("doc"), used)
+    sent = sc.broadcast(_filter_bits(places, F.xxhash64("doc", "line_no")))
     used.append(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, lines = sent.value
+        lines = sent.value
         for b in batches:
-            b = b.filter(pa.array(_inside(some, b.column(2).to_numpy(zero_copy_only=False).view(_U))))
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = _folded(t).split(b"\n")
                 seed = xxhash.xxh64_intdigest(struct.pack("<q", d), 42)     # as Spark hashes (doc, line_no)
@@ -345,7 +346,7 @@ def _class_words(docs: DataFrame, places: DataFrame, counts, used: list) -> Data
                     k1, bits, _ = _keys(lo, words)
                     yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
 
-    found = docs.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
+    found = docs.where(some(F.xxhash64("doc"))).select("doc", "text").mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
     return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
 
 
@@ -390,6 +391,8 @@ def line_classes(docs: DataFrame, similarity: tuple[int, int] = (4, 5), few_entr
         """(k1, bits, first) of the classes of ``pairs`` (a, adoc, b, bdoc)
         that match an earlier one."""
         p = kept(pairs.distinct(), "line-found")
+        if p.isEmpty():
+            return repeated.where("false").select("k1", "bits", "first")
         who = kept(named(p.select(F.col("a").alias("bits"), F.col("adoc").alias("doc")).union(p.select("b", "bdoc")).distinct()), "line-named")
         for side, m in (("a", "u"), ("b", "v")):
             p = p.join(who.select(F.col("bits").alias(side), F.col("doc").alias(side + "doc"), F.struct("k1", "bits").alias(m), F.col("first").alias(m + "first")), [side, side + "doc"])
