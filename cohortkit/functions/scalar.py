@@ -24,8 +24,6 @@ ROMAN_GRADES = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5}
 # Unicode NFKD decomposition, which Spark SQL has no function for).
 ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇç"
 UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCc"
-# Hyphen-like characters turned into spaces by text normalisation.
-HYPHENS = "‐‑‒–—−-"
 # Sentinel for "never occurred" in time-to-event columns.
 NEVER_OCCURRED = 1_000_000
 # ---------------------------------------------------------------------------

@@ -194,7 +194,7 @@ def group_by_membership(df: DataFrame, col: str, out: str, groups: Mapping[str,
     The lists become a small ``(key, group)`` table joined by broadcast.
     """
     spark = df.sparkSession
-    rows, seen = [], set()
+    rows = []
     for g, values in groups.items():
         for v in values:
             rows.append((v, g))

@@ -57,29 +57,12 @@ def _norm_ppf(p: np.ndarray) -> np.ndarray:
     return out
 
 
-def _phi(x):
-    return 0.5 * math.erfc(-x / math.sqrt(2.0))
-
-
-def _bvn_cdf(h: float, k: float, rho: float) -> float:
-    """P(X <= h, Y <= k) for a standard bivariate normal with correlation
-    rho: Phi(h)Phi(k) + (1/2pi) int_0^rho exp(-(h^2-2hkr+k^2)/(2(1-r^2)))/sqrt(1-r^2) dr."""
-    base = _phi(h) * _phi(k)
-    if rho == 0:
-        return base
-    r = 0.5 * rho * (_GL_X + 1.0)
-    w = 0.5 * rho * _GL_W
-    r = np.minimum(r, 1 - 1e-12)
-    f = np.exp(-(h * h - 2 * h * k * r + k * k) / (2 * (1 - r * r))) / np.sqrt(1 - r * r)
-    return base + float(np.sum(w * f)) / (2 * math.pi)
-
-
 _erfc = np.vectorize(math.erfc)
 
 
 def _bvn_grid(ex: np.ndarray, ey: np.ndarray, rho: float) -> np.ndarray:
-    """Bivariate normal CDF on the grid ex x ey (same formula as
-    ``_bvn_cdf``, evaluated for all points at once)."""
+    """P(X <= h, Y <= k) of a standard bivariate normal on the grid ex x ey:
+    Phi(h)Phi(k) + (1/2pi) int_0^rho exp(-(h^2-2hkr+k^2)/(2(1-r^2)))/sqrt(1-r^2) dr."""
     px = 0.5 * _erfc(-ex / math.sqrt(2.0))
     py = 0.5 * _erfc(-ey / math.sqrt(2.0))
     base = np.outer(px, py)

@@ -122,9 +122,16 @@ def f7_one_hot_drop_first(spark, sf):
     return Fe.one_hot_drop_first(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"])
 
 
-@register("f8_one_hot_unseen")
+@register("f8_one_hot_unseen", sql="""
+WITH d AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 5 = 0 AND c_custkey % 7 = 0 THEN 'NEW' ELSE c_mktsegment END AS segment,
+  CASE WHEN c_custkey % 5 = 0 AND c_custkey % 3 = 0 THEN 'NATION_X' ELSE n_name END AS nation
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+e AS (SELECT c_custkey, coalesce(segment, 'MISSING_CATEGORY') AS segment, nation FROM d),
+l AS (SELECT list_sort(list(DISTINCT segment)) AS ls, list_sort(list(DISTINCT nation)) AS ln FROM e WHERE c_custkey % 5 <> 0)
+SELECT c_custkey, [CASE WHEN x = segment THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END FOR x IN ls] AS segment_ohe,
+  [CASE WHEN x = nation THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END FOR x IN ln] AS nation_ohe FROM e, l WHERE c_custkey % 5 = 0""")
 def f8_one_hot_unseen(spark, sf):
-    """Rows-only: Spark ML indexer + encoder; unseen levels encode as zeros."""
+    """Spark ML indexer + encoder; unseen levels encode as zeros."""
     tr, te = _enc(spark, sf)
     tr = tr.fillna({"segment": "MISSING_CATEGORY"})
     te = te.fillna({"segment": "MISSING_CATEGORY"})

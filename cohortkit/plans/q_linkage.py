@@ -96,18 +96,19 @@ def u1_mismatch_rows(spark, sf):
 
 @register("j4_group_label_inner", sql="""
 SELECT e.event_id, e.user_id, CAST(c.c_nationkey % 4 AS INTEGER) AS cluster
-FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE c.c_custkey % 3 <> 0""")
+FROM events e JOIN customer c ON e.user_id = c.c_custkey + 7""")
 def j4_group_label_inner(spark, sf):
-    labels = (table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0)
-              .select(F.col("c_custkey").alias("user_id"), (F.col("c_nationkey") % 4).cast("int").alias("cluster")))
+    """The whole lookup; its keys are shifted, so that some events have no label."""
+    labels = (table(spark, sf, "customer")
+              .select((F.col("c_custkey") + 7).alias("user_id"), (F.col("c_nationkey") % 4).cast("int").alias("cluster")))
     return L.attach_label(table(spark, sf, "events").select("event_id", "user_id"), labels, "user_id")
 
 
 @register("j5_key_attach", sql="""
-SELECT o.o_orderkey, c.c_mktsegment FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) c ON o.o_custkey = c.c_custkey""")
+SELECT o.o_orderkey, c.c_mktsegment FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey + 7""")
 def j5_key_attach(spark, sf):
-    c = table(spark, sf, "customer").where(F.col("c_custkey") % 5 != 0).select(
-        F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    """The whole lookup; its keys are shifted, so that some orders stay without one."""
+    c = table(spark, sf, "customer").select((F.col("c_custkey") + 7).alias("o_custkey"), "c_mktsegment")
     return L.attach_label(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), c, "o_custkey",
                           how="left").select("o_orderkey", "c_mktsegment")
 
@@ -138,9 +139,10 @@ def j7_missing_labels(spark, sf):
 
 @register("j8_lookup_default", sql="""
 SELECT c.c_custkey, coalesce(n.n_name, 'UNKNOWN') AS nation FROM customer c
-LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n ON c.c_nationkey = n.n_nationkey""")
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey + 5""")
 def j8_lookup_default(spark, sf):
-    n = table(spark, sf, "nation").where(F.col("n_nationkey") < 20)
+    """The whole lookup; its keys are shifted, so that some customers get the default."""
+    n = table(spark, sf, "nation").withColumn("n_nationkey", F.col("n_nationkey") + 5)
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     return L.lookup_with_default(c, "c_nationkey", n, "n_nationkey", "n_name", "nation", "UNKNOWN").select("c_custkey", "nation")
 

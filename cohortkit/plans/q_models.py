@@ -34,7 +34,7 @@ def _memo(fn):
     """Fitted models are reused by the queries of one session that share
     them (the fit is the expensive part; the DataFrames stay lazy)."""
     def run(spark, sf):
-        key = (fn.__name__, id(spark), sf)
+        key = (fn.__name__, spark.sparkContext.applicationId, sf)
         if key not in _MEMO:
             _MEMO[key] = fn(spark, sf)
         return _MEMO[key]

@@ -116,6 +116,14 @@ def h1_event_sequences(spark, sf):
     return ev.select("user_id", "seq", r("t").alias("t"))
 
 
+@register("h1_sequences_without_zero_gaps", sql=f"""
+WITH {_TL_SQL}, z AS (SELECT ct.user_id, ct.seq, ct.t FROM ct WHERE t > 0 AND gap > 0) SELECT user_id, seq, round(t, 6) AS t FROM z""")
+def h1_sequences_without_zero_gaps(spark, sf):
+    """H1 with ``drop_zero_gaps``: events at the time of the one before are left out."""
+    ev, _ = Tl.event_sequences(_gaps(spark, sf), "user_id", drop_zero_gaps=True)
+    return ev.select("user_id", "seq", r("t").alias("t"))
+
+
 @register("h1_sequence_summary", sql=f"WITH {_TL_SQL} SELECT user_id, round(end_time, 6) AS end_time, n_events FROM su")
 def h1_sequence_summary(spark, sf):
     _, su = Tl.event_sequences(_gaps(spark, sf), "user_id")
