@@ -186,8 +186,7 @@ def tree_nodes(spark, model) -> DataFrame:
 def tree_shape(nodes: DataFrame, n_features: int) -> DataFrame:
     """Leaves, nodes, depth (from the node table) and features used."""
     from .rules import node_paths
-    paths = node_paths(nodes)
-    return paths.agg(F.count_if(F.col("leftChild") == -1).alias("n_leaves"), F.count(F.lit(1)).alias("n_nodes"),
-                     F.max("depth").alias("depth"),
-                     F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("path_features", lambda x: x))))).alias("n_features_used")) \
-                .withColumn("n_features_in", F.lit(n_features))
+    used = F.countDistinct(F.when(F.col("leftChild") != -1, F.col("split.featureIndex")))
+    return node_paths(nodes).agg(F.count_if(F.col("leftChild") == -1).alias("n_leaves"), F.count(F.lit(1)).alias("n_nodes"),
+                                 F.max("depth").alias("depth"), used.cast("int").alias("n_features_used")) \
+                            .withColumn("n_features_in", F.lit(n_features))

@@ -1,8 +1,8 @@
 """Readable rules from trees.
 
-R1 walks the saved node table of a fitted Spark tree (one row per node,
-at most ``2^(depth+1)`` rows): each level is one join of the frontier with
-the node table, building the root-to-node condition list.  Rules are then
+R1 walks a tree's node table (one row per node, at most ``2^(depth+1)``
+rows) with a recursive query over its edges, building the root-to-node
+condition list of every node in one statement.  Rules are then
 ordinary DataFrames: scored on any table (R2), ranked (R3), profiled (R4)
 and written as CSV / JSON (R5).
 """
@@ -18,38 +18,34 @@ from ..functions import windows as Wn
 from ..functions.quantiles import quantile_columns
 
 
+_PATHS = """
+WITH RECURSIVE p AS (
+  SELECT CAST(0 AS LONG) AS id, CAST(array() AS ARRAY<STRING>) AS conditions, CAST(array() AS ARRAY<STRING>) AS path_features, 0 AS depth
+  UNION ALL
+  SELECT e.child, concat(p.conditions, array(e.condition)), array_union(p.path_features, array(e.name)), p.depth + 1
+  FROM p JOIN {edges} e ON p.id = e.parent)
+SELECT * FROM p"""
+
+
 def node_paths(nodes: DataFrame, feature_names: Sequence[str] | None = None) -> DataFrame:
     """Every node with its depth, condition list and the features used on
     its path.  Continuous splits read ``name <= t`` / ``name > t`` (4
-    decimals); categorical ones ``name in {..}`` / ``name not in {..}``."""
+    decimals); categorical ones ``name in {..}`` / ``name not in {..}``.
+    An empty node table gives no rows."""
     names = F.array(*[F.lit(n) for n in feature_names]) if feature_names else None
-    nd = nodes.select("id", "prediction", "impurityStats", "rawCount", "leftChild", "rightChild", "split")
-    frontier = nd.where(F.col("id") == 0).select("id", F.array().cast("array<string>").alias("conditions"),
-                                                  F.array().cast("array<string>").alias("path_features"),
-                                                  F.lit(0).alias("depth"))
-    levels = [frontier]
-    while True:
-        j = frontier.join(nd, "id").where(F.col("leftChild") != -1)
-        if j.limit(1).count() == 0:
-            break
-        fi = F.col("split.featureIndex")
-        name = F.element_at(names, fi + 1) if names is not None else F.concat(F.lit("f"), fi.cast("string"))
-        cats = F.col("split.leftCategoriesOrThreshold")
-        is_cat = F.col("split.numCategories") >= 0
-        thr = F.element_at(cats, 1)
-        left_c = F.when(is_cat, F.concat(name, F.lit(" in {"), F.array_join(F.transform(cats, lambda x: x.cast("int").cast("string")), ","), F.lit("}"))) \
-                  .otherwise(F.format_string("%s <= %.4f", name, thr))
-        right_c = F.when(is_cat, F.concat(name, F.lit(" not in {"), F.array_join(F.transform(cats, lambda x: x.cast("int").cast("string")), ","), F.lit("}"))) \
-                   .otherwise(F.format_string("%s > %.4f", name, thr))
-        base = [F.array_union(F.col("path_features"), F.array(name)).alias("path_features"), (F.col("depth") + 1).alias("depth")]
-        left = j.select(F.col("leftChild").alias("id"), F.concat("conditions", F.array(left_c)).alias("conditions"), *base)
-        right = j.select(F.col("rightChild").alias("id"), F.concat("conditions", F.array(right_c)).alias("conditions"), *base)
-        frontier = left.unionByName(right).cache()  # a tree level: at most 2^depth rows
-        levels.append(frontier)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out.join(nd, "id")
+    nd = nodes.select(F.col("id").cast("long").alias("id"), "prediction", "impurityStats", "rawCount", "leftChild", "rightChild", "split")
+    fi = F.col("split.featureIndex")
+    name = F.element_at(names, fi + 1) if names is not None else F.concat(F.lit("f"), fi.cast("string"))
+    cats = F.col("split.leftCategoriesOrThreshold")
+    listed = F.concat(F.lit("{"), F.array_join(F.transform(cats, lambda x: x.cast("int").cast("string")), ","), F.lit("}"))
+    is_cat, thr = F.col("split.numCategories") >= 0, F.element_at(cats, 1)
+    left = F.when(is_cat, F.concat(name, F.lit(" in "), listed)).otherwise(F.format_string("%s <= %.4f", name, thr))
+    right = F.when(is_cat, F.concat(name, F.lit(" not in "), listed)).otherwise(F.format_string("%s > %.4f", name, thr))
+    child = F.explode(F.array(F.struct(F.col("leftChild").cast("long").alias("child"), left.alias("condition")),
+                              F.struct(F.col("rightChild").cast("long").alias("child"), right.alias("condition"))))
+    edges = nd.where(F.col("leftChild") != -1).select(F.col("id").alias("parent"), name.alias("name"), child.alias("e")) \
+              .select("parent", "name", "e.child", "e.condition")
+    return nodes.sparkSession.sql(_PATHS, edges=edges).join(nd, "id")
 
 
 def extract_rules(nodes: DataFrame, feature_names: Sequence[str], min_support: int = 10,

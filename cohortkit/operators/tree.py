@@ -293,6 +293,17 @@ def leaf_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, max_depth: i
     return at
 
 
+def saved_form(nodes: DataFrame) -> DataFrame:
+    """One tree's node table with the columns of a saved Spark tree, as the
+    rule operators read them."""
+    split = F.struct(F.coalesce("feature", F.lit(-1)).alias("featureIndex"), F.array("threshold").alias("leftCategoriesOrThreshold"),
+                     F.lit(-1).alias("numCategories"))
+    return nodes.select(F.col("node").alias("id"), F.col("prediction").cast("double").alias("prediction"), "impurity",
+                        F.transform("counts", lambda c: c.cast("double")).alias("impurityStats"), F.col("n").alias("rawCount"),
+                        F.coalesce("decrease", F.lit(-1.0)).alias("gain"), F.coalesce("left", F.lit(-1)).alias("leftChild"),
+                        F.coalesce("right", F.lit(-1)).alias("rightChild"), split.alias("split"))
+
+
 def predict(df: DataFrame, nodes: DataFrame, max_depth: int = MAX_DEPTH, out: str = "prediction", node_out: str = "leaf") -> DataFrame:
     """Route rows down one tree's node table by its thresholds (null and NaN go
     left).  The splits are one array of at most 2^(max_depth+1) entries, read

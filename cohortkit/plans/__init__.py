@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_grades", "q_clean", "q_linkage", "q_profile", "q_features", "q_survival", "q_eval", "q_models", "q_misc"]
+MODULES = ["q_grades", "q_clean", "q_linkage", "q_profile", "q_features", "q_survival", "q_eval", "q_models", "q_tree", "q_misc"]
 
 
 def load_all():
