@@ -1,16 +1,19 @@
 """Column-level functions (cleaning rules P5-P25 and the null rules N1-N16).
 
 All of them return ``Column`` expressions built from Spark built-ins, so they
-stay inside whole-stage codegen.
+stay inside whole-stage codegen; only text beyond ASCII is decomposed in Python.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 from typing import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ColumnOrName = Column | str
 
@@ -20,10 +23,6 @@ ColumnOrName = Column | str
 MISSING_TOKENS = ["", "Faltan Datos", "Missing data"]
 # Roman grade numerals I..V and their grades.
 ROMAN_GRADES = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5}
-# Latin letters with diacritics and their base letters (used in place of
-# Unicode NFKD decomposition, which Spark SQL has no function for).
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇç"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCc"
 # Sentinel for "never occurred" in time-to-event columns.
 NEVER_OCCURRED = 1_000_000
 # ---------------------------------------------------------------------------
@@ -98,12 +97,27 @@ def differs_non_null(a: ColumnOrName, b: ColumnOrName) -> Column:
     return a.isNotNull() & b.isNotNull() & (a != b)
 
 
+@F.pandas_udf(StringType())
+def _decomposed(texts: pd.Series) -> pd.Series:
+    def plain(t):
+        return None if t is None else "".join(ch for ch in unicodedata.normalize("NFKD", t) if not unicodedata.combining(ch))
+    return texts.map(plain)
+
+
+def strip_accents(c: ColumnOrName) -> Column:
+    """Compatibility decomposition without combining marks, for every code
+    point (Spark SQL has no function for it).  Only texts with a character
+    beyond ASCII go to Python; all others are returned as they are."""
+    s = _c(c)
+    return F.coalesce(_decomposed(F.when(s.rlike("[^\\x00-\\x7F]"), s)), s)
+
+
 def normalise_text(c: ColumnOrName) -> Column:
-    """Trim, strip Latin accents, lower, hyphens and punctuation to
+    """Trim, strip accents, lower, hyphens and punctuation to
     space, squeeze spaces.  'nan'/'none'/'' become ''."""
-    s = F.trim(_c(c).cast("string"))
+    s = F.regexp_replace(_c(c).cast("string"), "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$", "")
     s = F.when(F.lower(s).isin("nan", "none"), F.lit("")).otherwise(s)
-    s = F.lower(F.translate(s, ACCENTED, UNACCENTED))
+    s = F.lower(strip_accents(s))
     s = F.regexp_replace(s, "[\\x{2010}\\x{2011}\\x{2012}\\x{2013}\\x{2014}\\x{2212}-]+", " ")
     s = F.regexp_replace(s, "[^\\p{L}\\p{N}_\\s]", " ")
     s = F.regexp_replace(s, "\\s+", " ")

@@ -1,11 +1,10 @@
-"""Clustering and projection on Spark ML."""
+"""Clustering and projection."""
 
 from __future__ import annotations
 
 from typing import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..session import materialize
 from .groups import davies_bouldin, silhouette_sq
+from .kmeans import fit_many
 
 
 def _vec(df: DataFrame, vec: str) -> DataFrame:
@@ -21,49 +22,30 @@ def _vec(df: DataFrame, vec: str) -> DataFrame:
 
 
 def kmeans_fit(df: DataFrame, vec: str, k: int, seed: int = 42, n_init: int = 10, out: str = "cluster"):
-    """K-means|| with ``n_init`` seeds; the fit with the lowest cost
+    """``n_init`` seeds fitted together; the fit with the lowest cost
     wins.  Returns ``(assigned frame, model, cost)``."""
-    d = _vec(df, vec).cache()
-    best = None
-    try:
-        for s in range(n_init):
-            m = KMeans(k=k, seed=seed + s, maxIter=300, featuresCol="__features", predictionCol=out).fit(d)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (m, cost)
-        return best[0].transform(d).drop("__features"), best[0], best[1]
-    finally:
-        d.unpersist()
+    best = min(fit_many(df, vec, [(k, seed + s) for s in range(n_init)]), key=lambda f: f.cost)
+    return best.transform(df, vec, out), best, best.cost
 
 
 def elbow(df: DataFrame, vec: str, ks: Sequence[int] = range(1, 16), seed: int = 99) -> DataFrame:
-    """Within-cluster sum of squares for each k (features cached once)."""
-    d = _vec(df, vec).cache()
-    rows = []
-    try:
-        for k in ks:
-            if k == 1:  # one cluster: distance to the overall mean
-                m = d.agg(Summarizer.mean(F.col("__features")).alias("m")).select(vector_to_array("m").alias("m"))
-                cost = d.withColumn("__m", m.scalar()).agg(F.sum(V.sqdist(vector_to_array("__features"), "__m"))).first()[0]
-            else:
-                cost = KMeans(k=k, seed=seed, maxIter=300, featuresCol="__features").fit(d).summary.trainingCost
-            rows.append((int(k), float(cost)))
-    finally:
-        d.unpersist()
+    """Within-cluster sum of squares for each k, all fitted together."""
+    rows = [(f.k, f.cost) for f in fit_many(df, vec, [(int(k), seed) for k in ks])]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
 def select_k(df: DataFrame, vec: str, ks: Sequence[int] = range(2, 8), seed: int = 42, n_init: int = 1) -> DataFrame:
     """Per k the inertia, silhouette (squared Euclidean, exact) and
-    Davies-Bouldin; ``best`` marks the k with the highest silhouette."""
+    Davies-Bouldin of its best fit, all k and seeds fitted together; ``best``
+    marks the k with the highest silhouette."""
+    fits = fit_many(df, vec, [(int(k), seed + s) for k in ks for s in range(n_init)])
     rows = []
     for k in ks:
-        a, _, cost = kmeans_fit(df, vec, k, seed, n_init)
-        a = a.cache()
+        fit = min((f for f in fits if f.k == k), key=lambda f: f.cost)
+        a = materialize(fit.transform(df, vec))
         _, sil = silhouette_sq(a, vec, "cluster")
         db = davies_bouldin(a, vec, "cluster")
-        rows.append((int(k), float(cost), float(sil.first()["silhouette"]), float(db.first()["davies_bouldin"])))
-        a.unpersist()
+        rows.append((int(k), fit.cost, float(sil.first()["silhouette"]), float(db.first()["davies_bouldin"])))
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return df.sparkSession.createDataFrame([r + (r[0] == best,) for r in rows],
                                            "k int, inertia double, silhouette double, davies_bouldin double, best boolean")

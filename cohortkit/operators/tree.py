@@ -3,9 +3,9 @@
 Spark ML's tree has no minimum split size, no random splitter and no
 impurity decrease weighted by the node's share of the rows.  Here a level of
 *all* trees is one scan: a task routes its rows down each tree with numpy and
-emits class sums by (tree, node, feature, bin); one aggregate adds them, and
-window sums over the bins of a feature price every split.  What reaches the
-driver is one row a grown node, as in Spark ML.
+emits class sums by (tree, node, feature, bin); one shuffle brings a node's sums
+together, ordered, and its splits are priced there.  What reaches the driver is
+one row a grown node, as in Spark ML.
 
 Rows are cut into bins once and equal binned rows are folded into one row
 with a count, so a level's cost is bounded by the distinct binned rows.
@@ -18,7 +18,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import exact_quantiles
@@ -123,84 +123,144 @@ def _class_weights(binned: Binned, spec: TreeSpec) -> np.ndarray:
     return np.divide(n.sum(), k * n, out=np.zeros(k), where=n > 0)
 
 
+HELD_CELLS = 4_000_000  # cells a counting task holds before it sends them on
+
+
+def _cells(pdf: pd.DataFrame, nf: int, feature: np.ndarray, cut: np.ndarray, depth: int, fold: int | None, width: int, k: int):
+    """(cell numbers, rows) of one tree in one batch, equal cells added; a cell
+    number is ((place of the node in its level * features + feature) * width + bin) * classes + class."""
+    bins = pdf[[f"__b{i}" for i in range(nf)]].to_numpy(dtype=np.int64)
+    at = _route(bins, feature, cut, depth)
+    keep = at >= 0
+    if fold is not None:
+        keep &= pdf["__fold"].to_numpy() != fold
+    flat = (((at[keep, None] - (2 ** depth - 1)) * nf + np.arange(nf)) * width + bins[keep]) * k + pdf["__y"].to_numpy()[keep, None]
+    return _added(flat.ravel(), np.repeat(pdf["__n"].to_numpy()[keep], nf))
+
+
+def _added(cells: np.ndarray, counts: np.ndarray):
+    if len(cells) and cells.max() < 8 * len(cells):  # few numbers: count without sorting
+        total = np.bincount(cells, weights=counts).astype(np.int64)
+        found = np.flatnonzero(total)
+        return found, total[found]
+    found, slot = np.unique(cells, return_inverse=True)
+    total = np.zeros(len(found), dtype=np.int64)
+    np.add.at(total, slot, counts)
+    return found, total
+
+
 def _histograms(binned: Binned, grown: dict, specs: dict, depth: int) -> DataFrame:
-    """(tree, node, feature, bin, c0, c1, ...) class counts of every open node."""
+    """(tree, seed, node, feature, bin, c0, c1, ...) class counts of every open
+    node, the rows of a node in one partition and in order."""
     k, nf = len(binned.classes), len(binned.features)
     width = max((len(c) for c in binned.cuts), default=0) + 1
-    folds = {t: s.fold for t, s in specs.items()}
-    names = ["tree", "node", "feature", "bin", *[f"c{i}" for i in range(k)]]
+    plan = {t: (specs[t].fold, specs[t].seed) for t in grown}
+    names = ["tree", "seed", "node", "feature", "bin", *[f"c{i}" for i in range(k)]]
+
+    def frame(t: int, parts: list) -> pd.DataFrame:
+        flat, total = _added(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        cell, which = np.unique(flat // k, return_inverse=True)
+        sums = np.zeros((len(cell), k), dtype=np.int64)
+        sums[which, flat % k] = total
+        return pd.DataFrame({"tree": t, "seed": plan[t][1], "node": cell // (nf * width) + 2 ** depth - 1, "feature": cell // width % nf, "bin": cell % width}
+                            | {f"c{i}": sums[:, i] for i in range(k)})[names]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = {}, 0
         for pdf in batches:
-            bins = pdf[[f"__b{i}" for i in range(nf)]].to_numpy(dtype=np.int64)
-            y, fold, n = (pdf[c].to_numpy() for c in ("__y", "__fold", "__n"))
             for t, (feature, cut) in grown.items():
-                at = _route(bins, feature, cut, depth)
-                keep = at >= 0
-                if folds[t] is not None:
-                    keep &= fold != folds[t]
-                if not keep.any():
-                    continue
-                nodes, where = np.unique(at[keep], return_inverse=True)
-                cells = ((where[:, None] * nf + np.arange(nf)) * width + bins[keep]) * k + y[keep, None]
-                flat, slot = np.unique(cells.ravel(), return_inverse=True)
-                total = np.bincount(slot, weights=np.repeat(n[keep], nf))
-                cell, which = np.unique(flat // k, return_inverse=True)
-                sums = np.zeros((len(cell), k), dtype=np.int64)
-                sums[which, flat % k] = total
-                yield pd.DataFrame({"tree": t, "node": nodes[cell // (nf * width)], "feature": cell // width % nf, "bin": cell % width}
-                                   | {f"c{i}": sums[:, i] for i in range(k)})[names]
-
-    schema = "tree int, node long, feature int, bin int" + "".join(f", c{i} long" for i in range(k))
-    part = binned.rows.mapInPandas(count, schema)
-    return part.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)])
-
-
-def _impurity(parts: list[Column], criterion: Column) -> Column:
-    total = sum(parts[1:], parts[0])
-    share = [p / total for p in parts]
-    gini = F.lit(1.0) - sum((s * s for s in share[1:]), share[0] * share[0])
-    logs = [F.when(s > 0, -s * F.log2(s)).otherwise(0.0) for s in share]
-    return F.when(total > 0, F.when(criterion == "gini", gini).otherwise(sum(logs[1:], logs[0]))).otherwise(0.0)
-
-
-def _best_splits(hist: DataFrame, spec_rows: DataFrame, k: int, depth: int) -> DataFrame:
-    """One row a node: its class counts and, where a split is allowed, the best
-    (feature, bin).  Equal decreases (to 12 digits) go to the lower feature, then
-    the lower bin.  A random splitter has one candidate a feature, drawn between
-    the lowest and highest bin of the node."""
-    feat = Window.partitionBy("tree", "node", "feature")
-    upto = feat.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = hist.join(F.broadcast(spec_rows), "tree")  # one row a tree
-    left_n, all_n = [F.col(f"l{i}") for i in range(k)], [F.col(f"t{i}") for i in range(k)]
-    h = h.select("*", *[F.sum(f"c{i}").over(upto).alias(f"l{i}") for i in range(k)], *[F.sum(f"c{i}").over(feat).alias(f"t{i}") for i in range(k)],
-                 F.min("bin").over(feat).alias("lo"), F.max("bin").over(feat).alias("hi"))
-    w = [F.col("weights")[i] for i in range(k)]
-    lw = [a * b for a, b in zip(left_n, w)]
-    tw = [a * b for a, b in zip(all_n, w)]
-    rw = [(a - c) * b for a, c, b in zip(all_n, left_n, w)]
-
-    def add(xs):
-        return sum(xs[1:], xs[0])
-    crit = F.col("criterion")
-    h = h.withColumn("n_left", add(left_n)).withColumn("n", add(all_n)).withColumn("w", add(tw)) \
-         .withColumn("impurity", _impurity(tw, crit)) \
-         .withColumn("decrease", F.round((F.col("w") * F.col("impurity") - add(lw) * _impurity(lw, crit) - add(rw) * _impurity(rw, crit)) / F.col("total"), 12))
-    # features are drawn among those that are not constant at the node
-    drawn = F.xxhash64(F.col("seed").cast("long"), F.col("node"), F.col("feature").cast("long"))
-    order = Window.partitionBy("tree", "node").orderBy(F.col("lo") == F.col("hi"), drawn, "feature")
-    h = h.withColumn("place", F.dense_rank().over(order))
-    pick = F.col("lo") + F.pmod(F.xxhash64(F.col("seed").cast("long"), F.col("node"), F.col("feature").cast("long"), F.lit(1).cast("long")),
-                                F.greatest(F.col("hi") - F.col("lo"), F.lit(1)).cast("long"))
-    # the candidate of an empty bin is the split at the occupied bin below it
-    nxt = F.coalesce(F.lead("bin").over(feat.orderBy("bin")), F.col("hi") + 1)
-    h = h.withColumn("chosen", (F.col("splitter") == "best") | ((F.col("bin") <= pick) & (pick < nxt)))
-    allowed = (F.lit(depth) < F.col("max_depth")) & (F.col("n") >= F.col("min_split")) & (F.col("impurity") > 0) & F.col("chosen") \
-        & (F.col("place") <= F.col("n_draw")) & (F.col("bin") < F.col("hi")) & (F.col("n_left") >= F.col("min_leaf")) \
-        & (F.col("n") - F.col("n_left") >= F.col("min_leaf")) & (F.col("decrease") >= F.col("min_decrease"))
-    best = F.max(F.when(allowed, F.struct("decrease", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"))))
-    return h.groupBy("tree", "node").agg(F.first("n").alias("n"), F.first("w").alias("w"), F.first("impurity").alias("impurity"),
-                                         *[F.first(f"t{i}").alias(f"t{i}") for i in range(k)], best.alias("best"))
+                part = _cells(pdf, nf, feature, cut, depth, plan[t][0], width, k)
+                held.setdefault(t, []).append(part)
+                size += len(part[0])
+            if size > HELD_CELLS:
+                yield from (frame(t, parts) for t, parts in held.items())
+                held, size = {}, 0
+        yield from (frame(t, parts) for t, parts in held.items())
+
+    schema = "tree int, seed long, node long, feature int, bin int" + "".join(f", c{i} long" for i in range(k))
+    part = binned.rows.mapInPandas(count, schema).repartition("tree", "node")
+    return part.groupBy("tree", "seed", "node", "feature", "bin").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]) \
+               .sortWithinPartitions("tree", "node", "feature", "bin")
+
+
+def _impurity(parts: np.ndarray, gini: np.ndarray) -> np.ndarray:
+    """Gini where ``gini``, else entropy in bits, of the class weights in each row."""
+    total = parts.sum(axis=1)
+    share = np.divide(parts, total[:, None], out=np.zeros_like(parts), where=total[:, None] > 0)
+    logs = np.log2(share, out=np.zeros_like(share), where=share > 0)
+    return np.where(total > 0, np.where(gini, 1.0 - (share * share).sum(axis=1), -(share * logs).sum(axis=1)), 0.0)
+
+
+def split_nodes(h: pd.DataFrame, specs: dict, weights: dict, totals: dict, n_features: int, depth: int) -> pd.DataFrame:
+    """One row a node of whole, ordered nodes ``h``: its class counts and, where a
+    split is allowed, the best (feature, bin); -1 where none is.  Equal decreases (to 12
+    digits) go to the lower feature, then the lower bin.  Features are drawn among
+    those not constant at the node.  A random splitter has one candidate a feature, drawn
+    between the node's lowest and highest bin (an empty bin splits as the occupied one below)."""
+    k = len(next(iter(weights.values())))
+    tree, node, feat, bin_ = (h[c].to_numpy() for c in ("tree", "node", "feature", "bin"))
+    c = h[[f"c{i}" for i in range(k)]].to_numpy()
+    new_node = np.r_[True, (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])]
+    new_feat = new_node | np.r_[True, feat[1:] != feat[:-1]]
+    start, fs, ns = np.flatnonzero(new_feat), np.cumsum(new_feat) - 1, np.cumsum(new_node) - 1
+    end = np.r_[start[1:], len(h)] - 1
+    cum = c.cumsum(axis=0)
+    left = cum - (cum[start] - c[start])[fs]
+    total = np.add.reduceat(c, start, axis=0)[fs]
+    lo, hi = bin_[start], bin_[end]
+
+    def of(value):  # one value a tree, at every row
+        ids, at = np.unique(tree, return_inverse=True)
+        return np.array([value(t) for t in ids.tolist()])[at]
+    w = of(lambda t: weights[t])
+    gini = of(lambda t: specs[t].criterion == "gini")
+    lw, tw, rw = left * w, total * w, (total - left) * w
+    impurity = _impurity(tw, gini)
+    decrease = np.round((tw.sum(axis=1) * impurity - lw.sum(axis=1) * _impurity(lw, gini) - rw.sum(axis=1) * _impurity(rw, gini))
+                        / of(lambda t: totals[t]), 12)
+    order = np.lexsort((feat[start], h["drawn"].to_numpy()[start], lo == hi, ns[start]))
+    place = np.empty(len(start), dtype=np.int64)
+    place[order] = np.arange(len(start)) - np.searchsorted(ns[start][order], ns[start][order])
+    pick = lo + h["pick"].to_numpy()[start] % np.maximum(hi - lo, 1)
+    above = np.where(np.arange(len(h)) == end[fs], hi[fs] + 1, np.r_[bin_[1:], 0])
+    n, n_left = total.sum(axis=1), left.sum(axis=1)
+    chosen = of(lambda t: specs[t].splitter == "best") | ((bin_ <= pick[fs]) & (pick[fs] < above))
+    leaf = of(lambda t: specs[t].min_leaf)
+    ok = chosen & (bin_ < hi[fs]) & (impurity > 0) & (of(lambda t: specs[t].max_depth) > depth) & (n >= of(lambda t: specs[t].min_split)) \
+        & (place[fs] < of(lambda t: specs[t].n_features(n_features))) & (n_left >= leaf) & (n - n_left >= leaf) \
+        & (decrease >= of(lambda t: specs[t].min_decrease))
+    may = np.flatnonzero(ok)
+    may = may[np.lexsort((bin_[may], feat[may], -decrease[may], ns[may]))]
+    _, first = np.unique(ns[may], return_index=True)
+    best, at = may[first], np.flatnonzero(new_node)
+    out = pd.DataFrame({"tree": tree[at], "node": node[at], "n": n[at], "w": tw.sum(axis=1)[at], "impurity": impurity[at],
+                        **{f"t{i}": total[at, i] for i in range(k)}, "feature": -1, "bin": -1, "decrease": 0.0})
+    out.loc[ns[best], ["feature", "bin"]] = np.c_[feat[best], bin_[best]]
+    out.loc[ns[best], "decrease"] = decrease[best]
+    return out
+
+
+def _best_splits(hist: DataFrame, specs: dict, weights: dict, totals: dict, n_features: int, depth: int) -> DataFrame:
+    """``split_nodes`` over the partitions as streams: the last node of a batch
+    waits for the next one, so a task holds one batch and one node's cells."""
+    k = len(next(iter(weights.values())))
+    key = [F.col("seed"), F.col("node"), F.col("feature").cast("long")]
+    d = hist.withColumn("drawn", F.xxhash64(*key)).withColumn("pick", F.xxhash64(*key, F.lit(1).cast("long")))
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            last = ((pdf["tree"] == pdf["tree"].iloc[-1]) & (pdf["node"] == pdf["node"].iloc[-1])).to_numpy()
+            rest = pdf[last].reset_index(drop=True)
+            if not last.all():
+                yield split_nodes(pdf[~last].reset_index(drop=True), specs, weights, totals, n_features, depth)
+        if rest is not None:
+            yield split_nodes(rest, specs, weights, totals, n_features, depth)
+    counts = "".join(f"t{i} long, " for i in range(k))
+    return d.mapInPandas(split, f"tree int, node long, n long, w double, impurity double, {counts}feature int, bin int, decrease double")
 
 
 NODE_SCHEMA = ("tree int, node long, depth int, feature int, name string, bin int, threshold double, left long, right long, "
@@ -213,34 +273,28 @@ def grow(binned: Binned, specs: Sequence[TreeSpec]) -> "Forest":
     for s in specs:
         if s.max_depth > MAX_DEPTH:
             raise ValueError(f"max_depth above {MAX_DEPTH}")
-    spark, k = binned.rows.sparkSession, len(binned.classes)
+    k = len(binned.classes)
     by = dict(enumerate(specs))
     weights = {t: _class_weights(binned, s) for t, s in by.items()}
     total = {t: float(sum(v * weights[t][y] for (f, y), v in binned.sizes.items() if s.fold is None or f != s.fold)) for t, s in by.items()}
-    spec_rows = spark.createDataFrame(
-        [(t, s.max_depth, s.min_split, s.min_leaf, float(s.min_decrease), s.criterion, s.splitter, s.n_features(len(binned.features)),
-          s.seed, [float(x) for x in weights[t]], total[t]) for t, s in by.items()],
-        "tree int, max_depth int, min_split long, min_leaf long, min_decrease double, criterion string, splitter string, n_draw int, "
-        "seed long, weights array<double>, total double")
     arrays = {t: (np.full(2 ** (s.max_depth + 1), -1, dtype=np.int32), np.zeros(2 ** (s.max_depth + 1), dtype=np.int32)) for t, s in by.items()}
     open_, nodes, depth = set(by), [], 0
     while open_:
         # rows at a leaf route to -1; a tree without a grown node at this level is left out of the scan
         hist = _histograms(binned, {t: arrays[t] for t in open_}, by, depth)
-        found = _best_splits(hist, spec_rows, k, depth).collect()  # one row a node of this level
+        found = _best_splits(hist, by, weights, total, len(binned.features), depth).collect()  # one row a node of this level
         open_ = set()
         for r in found:
             counts = [int(r[f"t{i}"]) for i in range(k)]
-            best, t = r["best"], r["tree"]
+            t, f, b = r["tree"], r["feature"], r["bin"]
             votes = [c * x for c, x in zip(counts, weights[t])]
             leaf = (None, None, None, None, None, None)
-            if best is not None:
-                f, b = -best["f"], -best["b"]
+            if f >= 0:
                 arrays[t][0][r["node"]], arrays[t][1][r["node"]] = f, b
                 open_.add(t)
                 leaf = (f, binned.features[f], b, binned.cuts[f][b], 2 * r["node"] + 1, 2 * r["node"] + 2)
             nodes.append((t, r["node"], depth, *leaf, r["n"], float(r["w"]), float(r["impurity"]),
-                          None if best is None else float(best["decrease"]), counts, int(np.argmax(votes))))
+                          float(r["decrease"]) if f >= 0 else None, counts, int(np.argmax(votes))))
         depth += 1
     return Forest(binned, by, arrays, weights, nodes)
 

@@ -114,10 +114,10 @@ durations AS (
 
 
 def sql_normalise(x: str) -> str:
-    """The P19 rule as DuckDB SQL (same accent table and patterns)."""
+    """The P19 rule as DuckDB SQL (DuckDB's own accent removal)."""
     s = f"trim(CAST({x} AS VARCHAR))"
     s = f"(CASE WHEN lower({s}) IN ('nan', 'none') THEN '' ELSE {s} END)"
-    s = f"lower(translate({s}, '{S.ACCENTED}', '{S.UNACCENTED}'))"
+    s = f"lower(strip_accents({s}))"
     s = f"regexp_replace({s}, '[\\x{{2010}}\\x{{2011}}\\x{{2012}}\\x{{2013}}\\x{{2014}}\\x{{2212}}-]+', ' ', 'g')"
     s = f"regexp_replace({s}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g')"
     s = f"regexp_replace({s}, '\\s+', ' ', 'g')"

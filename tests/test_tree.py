@@ -131,3 +131,22 @@ def test_empty_and_one_class(spark, data):
     assert len(one.rows) == 1 and one.rows[0][-1] == 1
     with pytest.raises(ValueError):
         T.grow(empty, [T.TreeSpec(max_depth=16)])
+
+
+def test_racing_search_proposes_and_drops(data):
+    from cohortkit.operators import search as Se
+    _, binned = data
+    trials, best = Se.racing_search(binned, 15, generations=(9, 6), margin=0.01, pool=30)
+    rows = sorted(trials.collect(), key=lambda r: r["trial"])
+    assert [r["generation"] for r in rows] == [0] * 9 + [1] * 6 and {r["folds_used"] for r in rows} <= {1, 2, 5}
+    top = [r for r in rows if r["best"]]
+    assert len(top) == 1 and top[0]["cv_f1"] == max(r["cv_f1"] for r in rows if r["folds_used"] == 5)
+    import json
+    for r in (rows[0], top[0]):  # the folds' mean of trees grown alone
+        spec = json.loads(r["params"])
+        f1 = []
+        for f in range(r["folds_used"]):
+            tp, fp, fn = T.grow(binned, [T.TreeSpec(**spec, fold=f, seed=42)]).held_out_counts()[0]
+            f1.append(2 * tp / (2 * tp + fp + fn) if tp else 0.0)
+        assert abs(sum(f1) / len(f1) - r["cv_f1"]) < 1e-12
+    assert best.specs[0].fold is None and len(best.rows) >= 1
