@@ -193,6 +193,13 @@ def l4_mmd_linear(spark, sf):
     return Lt.mmd_linear_sets(a, "a", b, "b").select(r("mmd2", 9).alias("mmd2"))
 
 
+@register("l4_mmd_rbf")
+def l4_mmd_rbf(spark, sf):
+    """Embeddings of even against odd ids, by random Fourier features."""
+    e = table(spark, sf, "embeddings")
+    return Lt.mmd_rbf_sets(e.where(F.col("vec_id") % 2 == 0), "embedding", e.where(F.col("vec_id") % 2 == 1), "embedding", 0.01)
+
+
 @register("l6_domain_loss", sql=f"""
 WITH {_PAIRS}, m AS (SELECT vec_id_a, avg(x) AS ma, avg(y) AS mb FROM u GROUP BY vec_id_a)
 SELECT round(sum(ln(exp(-ma) + exp(ma)) + ma) + sum(ln(exp(-mb) + exp(mb)) - mb), 6) AS domain_loss FROM m""")
