@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import groups as G
 from ..operators import profile as Pr
+from ..operators import sketches as Sk
 from ..operators import stats as St
 from ..operators import table1 as T1
 from ..session import table
@@ -224,6 +225,14 @@ def a23_kde_top25_span(spark, sf):
     return span.select(r("top25_min").alias("top25_min"), r("top25_max").alias("top25_max"), "n_points")
 
 
+@register("a2_a4_sketch_profile")
+def a2_a4_sketch_profile(spark, sf):
+    """A2 and A4 from sketches: one table for each return flag, merged over them."""
+    li = table(spark, sf, "lineitem")
+    parts = Sk.sketch_table(li, ["l_orderkey", "l_quantity", "l_extendedprice", "l_linestatus"], ["l_returnflag"])
+    return Sk.profile(Sk.merge(parts.drop("l_returnflag")))
+
+
 @register("a24_five_numbers_by_class", sql=f"""
 WITH {_LI_NULLS}, lv AS ({_union_sql(['l_quantity', 'l_extendedprice'], 't', 'DOUBLE', 'l_returnflag')})
 SELECT l_returnflag, variable, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q1,

@@ -12,7 +12,7 @@ from sf_paths import SF_SMALL
 Q = E.queries()
 ROWS_ONLY = sorted(set(Q) - set(E.oracle_sql()))
 SLOW = {"m2_random_search_cv", "m4_gbt_regressor", "m6_c_sweep_confusion", "m9_apply_full", "b5_ablation_results",
-        "b6_importance_shift", "b7_ablation_highlights", "b8_shared_top_features", "c3_select_k"}
+        "b6_importance_shift", "b7_ablation_highlights", "b8_shared_top_features"}
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
