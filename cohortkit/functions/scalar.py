@@ -23,6 +23,8 @@ ColumnOrName = Column | str
 MISSING_TOKENS = ["", "Faltan Datos", "Missing data"]
 # Roman grade numerals I..V and their grades.
 ROMAN_GRADES = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5}
+# Characters trimmed from both ends of a text: every white space character of Unicode.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Sentinel for "never occurred" in time-to-event columns.
 NEVER_OCCURRED = 1_000_000
 # ---------------------------------------------------------------------------
@@ -109,13 +111,13 @@ def strip_accents(c: ColumnOrName) -> Column:
     point (Spark SQL has no function for it).  Only texts with a character
     beyond ASCII go to Python; all others are returned as they are."""
     s = _c(c)
-    return F.coalesce(_decomposed(F.when(s.rlike("[^\\x00-\\x7F]"), s)), s)
+    return F.coalesce(_decomposed(F.when(F.octet_length(s) > F.char_length(s), s)), s)
 
 
 def normalise_text(c: ColumnOrName) -> Column:
     """Trim, strip accents, lower, hyphens and punctuation to
     space, squeeze spaces.  'nan'/'none'/'' become ''."""
-    s = F.regexp_replace(_c(c).cast("string"), "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$", "")
+    s = F.btrim(_c(c).cast("string"), F.lit(WHITE_SPACE))
     s = F.when(F.lower(s).isin("nan", "none"), F.lit("")).otherwise(s)
     s = F.lower(strip_accents(s))
     s = F.regexp_replace(s, "[\\x{2010}\\x{2011}\\x{2012}\\x{2013}\\x{2014}\\x{2212}-]+", " ")
