@@ -1,30 +1,30 @@
 """Exact top-k search in Hamming space by incremental multi-index hashing.
 
-A code of b bits is cut into m segments, each indexed by its value.  A query
-looks up all segment values within a radius that grows segment by segment: after
-segment j has been searched at radius s (and the later ones at s - 1), every
-code within m*s + j bits has been seen.  A query is done when its k-th
-verified distance is covered by that bound, so the result is exact.
-
-Equal codes are one index entry that carries its k smallest ids.  Queries and
-entries are dealt into blocks of bounded size; each pair of blocks is searched by
-itself and the best k of all blocks are kept.
+A code of b bits is cut into m segments, and a table holds every code under
+each (segment, value).  The search radius of the segments grows from 0: in
+round s each open query looks up the segment values at exactly s flipped bits, an
+equi-join on (segment, value).  After round s every code within m*(s + 1) - 1 bits has
+been seen, for a code further away in all m segments differs in m*(s + 1) bits or more.
+A query whose k-th verified distance lies within that bound is done and leaves;
+the others go on, so the result is exact.
+
+A pair that several segments find counts once: in its nearest segment, the
+first of them.  Equal codes are one entry that carries its k smallest ids.  A
+segment value with many entries is dealt into parts of bounded size, each
+joined by itself, so a frequent value fills no single task.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import blocks_for, stored
-
-_U = np.uint64
+from ..session import broadcast_if_small
+from .common import stored
 
 
 def sign_codes(df: DataFrame, bits: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -48,92 +48,37 @@ def sign_codes(df: DataFrame, bits: int, id_col: str = "vec_id", vector_col: str
 
 
 def segment_widths(bits: int, rows: int) -> list[int]:
-    """Widths near log2(rows) bits, the usual choice for this index, and at
-    most 20 so that a segment's table stays small."""
-    m = max(1, math.ceil(bits / min(20, max(4, round(math.log2(max(2, rows)))))))
+    """Widths near log2(rows) bits, the usual choice for this index, from 4 to 30."""
+    m = max(1, math.ceil(bits / min(30, max(4, round(math.log2(max(2, rows)))))))
     return [bits // m + (i < bits % m) for i in range(m)]
 
 
-def _segment(words: np.ndarray, at: int, width: int) -> np.ndarray:
-    w, off = divmod(at, 64)
-    out = words[:, w] >> _U(off)
-    if off + width > 64:
-        out = out | (words[:, w + 1] << _U(64 - off))
-    return (out & _U((1 << width) - 1)).astype(np.int64)
-
-
-def search_block(codes: np.ndarray, weight: np.ndarray, queries: np.ndarray, bits: int, k: int, chunk: int = 64):
-    """For each query the entries of the block that hold its k nearest ids:
-    (query, entry, distance) arrays.  ``codes`` are distinct rows of words, ``weight``
-    the ids of each (at most k count)."""
-    widths = segment_widths(bits, len(codes))
-    m = len(widths)
-    starts = np.concatenate([[0], np.cumsum(widths)])[:m]
-    tables, qseg = [], []
-    for a, w in zip(starts, widths):
-        seg = _segment(codes, int(a), w)
-        order = np.argsort(seg, kind="stable")
-        edge = np.zeros((1 << w) + 1, np.int64)
-        np.cumsum(np.bincount(seg, minlength=1 << w), out=edge[1:])
-        tables.append((order, edge))
-        qseg.append(_segment(queries, int(a), w))
-    masks: dict[tuple[int, int], np.ndarray] = {}
-
-    def flips(w: int, s: int) -> np.ndarray:
-        if (w, s) not in masks:
-            masks[w, s] = np.array([sum(1 << b for b in c) for c in combinations(range(w), s)], np.int64)
-        return masks[w, s]
-
-    out_q, out_e, out_d = [], [], []
-    for lo in range(0, len(queries), chunk):
-        live = np.arange(lo, min(lo + chunk, len(queries)))
-        have = np.zeros(0, np.int64)           # query * entries + entry, sorted
-        dist = np.zeros(0, np.int64)
-        n = len(codes)
-        s = -1
-        while len(live):
-            s += 1
-            for j in range(m):
-                if s > widths[j] or not len(live):
-                    continue
-                order, edge = tables[j]
-                value = (qseg[j][live][:, None] ^ flips(widths[j], s)[None, :])
-                a, z = edge[value], edge[value + 1]
-                count = (z - a).ravel()
-                total = int(count.sum())
-                if total:
-                    first = np.repeat(a.ravel() - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-                    entry = order[first + np.arange(total)]
-                    q = np.repeat(np.repeat(live, value.shape[1]), count)
-                    key = np.unique(q * n + entry)
-                    key = key[~np.isin(key, have, assume_unique=True)]
-                    d = np.bitwise_count(codes[key % n] ^ queries[key // n]).sum(axis=1).astype(np.int64)
-                    have, dist = np.concatenate([have, key]), np.concatenate([dist, d])
-                covered = m * s + j
-                # ids seen within the covered distance decide who is done
-                inside = dist <= covered
-                got = np.bincount((have[inside] // n) - lo, weight[have[inside] % n], minlength=len(queries) - lo)
-                live = live[got[live - lo] < k]
-            if s >= max(widths):
-                break
-        q, e = have // n, have % n
-        order = np.lexsort((dist, q))
-        q, e, d = q[order], e[order], dist[order]
-        run = np.concatenate([[0], np.cumsum(weight[e])])[:-1]     # ids before this entry, over all queries
-        first = np.concatenate([[True], q[1:] != q[:-1]]) if len(q) else np.zeros(0, bool)
-        base = np.maximum.accumulate(np.where(first, run, 0))
-        # an entry can matter if fewer than k ids are strictly nearer
-        tie = np.concatenate([[True], (q[1:] != q[:-1]) | (d[1:] != d[:-1])]) if len(q) else first
-        nearer = np.maximum.accumulate(np.where(tie, run, 0)) - base
-        keep = nearer < k
-        out_q.append(q[keep])
-        out_e.append(e[keep])
-        out_d.append(d[keep])
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return cat(out_q), cat(out_e), cat(out_d)
-
-
-def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10, index_block: int = 65536, query_block: int = 2048) -> DataFrame:
+def _segments(widths: list[int]):
+    """The values of a code's segments as one array."""
+    out, at = [], 0
+    for width in widths:
+        w, off = divmod(at, 64)
+        value = F.shiftrightunsigned(F.get("code", F.lit(w)), off)
+        if off + width > 64:
+            value = value.bitwiseOR(F.shiftleft(F.get("code", F.lit(w + 1)), 64 - off))
+        out.append(value.bitwiseAND(F.lit((1 << width) - 1).cast("long")))
+        at += width
+    return F.array(*out)
+
+
+def _probes(live: DataFrame, widths: list[int], radius: int) -> DataFrame:
+    """(asked, segment, value): for each segment as wide as ``radius`` or wider all values that
+    differ from the query's in ``radius`` bits.  Bits are flipped from high to low, so that each value
+    comes once."""
+    width = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("segment") + 1)
+    out = live.select("asked", F.posexplode("asked").alias("segment", "value")).withColumn("below", width)
+    for _ in range(radius):
+        out = (out.where("below > 0").select("asked", "segment", "value", F.explode(F.sequence(F.lit(0), F.col("below") - 1)).alias("below"))
+               .withColumn("value", F.expr("value ^ shiftleft(1L, below)")))
+    return out.drop("below")
+
+
+def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10, index_block: int = 4096) -> DataFrame:
     """The k nearest rows of ``codes`` (id, code) for every row of
     ``queries`` (id, code), exactly: query_id, rank (from 1), id, distance; ties go to
     the smaller id.  A query that is itself among the codes finds itself.
@@ -141,28 +86,43 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10,
     rows; an empty side gives an empty result."""
     w = Window.partitionBy("code").orderBy("id")
     few = codes.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)     # at most k a code leave each task
-    index = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
-    asked = stored(queries.select(F.col("id").alias("query_id"), "code"), "queries")
-    qcodes = asked.select("code").distinct()
-    ni, nq = blocks_for(index.count(), index_block), blocks_for(qcodes.count(), query_block)
-    left = (index.withColumn("ib", F.pmod(F.xxhash64("code"), F.lit(ni)))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))))
-    right = (qcodes.withColumn("qb", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(nq)).cast("int"))
-             .withColumn("ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ni - 1).cast("long")))))
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"code": [], "id": [], "distance": []})
-        words = np.stack(a["code"].to_list()).astype(np.int64).view(_U)
-        asks = np.stack(b["code"].to_list()).astype(np.int64).view(_U)
-        ids = a["ids"].to_list()
-        n = np.array([len(x) for x in ids], np.int64)
-        q, e, d = search_block(words, n, asks, bits, k)
-        rep = n[e]
-        return pd.DataFrame({"code": list(asks.view(np.int64)[np.repeat(q, rep)]), "id": np.concatenate([ids[i] for i in e]).astype(np.int64),
-                             "distance": np.repeat(d, rep).astype(np.int32)})
-
-    found = left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInPandas(run, "code array<bigint>, id long, distance int")
-    rank = Window.partitionBy("code").orderBy("distance", "id")
-    best = found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-    return asked.join(best, "code").select("query_id", "rank", "id", "distance")
+    entries = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
+    have = entries.agg(F.count(F.lit(1)).alias("codes"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("ids")).first()
+    enough = min(k, have["ids"])          # ids that a finished query has
+    widths = segment_widths(bits, have["codes"])
+    m = len(widths)
+
+    placed = entries.select(_segments(widths).alias("entry"), "ids").select("entry", "ids", F.posexplode("entry").alias("segment", "value"))
+    crowded = broadcast_if_small(placed.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > index_block)
+                                 .select("segment", "value", F.ceil(F.col("n") / index_block).cast("int").alias("parts")))
+
+    def parts(df: DataFrame) -> DataFrame:
+        return df.join(crowded, ["segment", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+    index = stored(parts(placed).withColumn("part", F.pmod(F.hash("entry"), "parts")).drop("parts"), "segments")
+    asked = stored(queries.select(F.col("id").alias("query_id"), _segments(widths).alias("asked")), "queries")
+
+    differ = F.zip_with("asked", "entry", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    nearest = Window.partitionBy("asked").orderBy(F.col("distance").asc_nulls_first(), "id")
+    whole = Window.partitionBy("asked")
+    live = asked.select("asked").distinct()
+    carried, done = None, []
+    for s in range(max(widths) + 1):
+        probes = parts(_probes(live, widths, s)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        pairs = probes.join(index, ["segment", "value", "part"]).withColumn("differ", differ)
+        # found in this round and segment, not before
+        new = pairs.where((F.array_min("differ") == s) & (F.array_position("differ", s) == F.col("segment") + 1))
+        seen = [new.select("asked", F.explode("ids").alias("id"), F.aggregate("differ", F.lit(0), lambda a, x: a + x).alias("distance")),
+                live.select("asked", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("distance"))]   # rank 0: a query without a code so far
+        if carried is not None:
+            seen.append(carried.select("asked", "id", "distance"))
+        best = (reduce(DataFrame.unionByName, seen).withColumn("rank", F.row_number().over(nearest) - 1).where(F.col("rank") <= k)
+                .withColumns({"got": F.count("id").over(whole), "far": F.coalesce(F.max("distance").over(whole), F.lit(0))}))
+        covered = (F.col("got") == enough) & ((F.col("far") <= m * (s + 1) - 1) | F.lit(enough == have["ids"]))
+        best = stored(best.select("asked", "id", "distance", "rank", covered.alias("done")), "round")
+        done.append(best.where("done AND rank > 0"))
+        live, carried = best.where("NOT done AND rank = 0").select("asked"), best.where("NOT done AND rank > 0")
+        if live.isEmpty():
+            break
+    found = broadcast_if_small(reduce(DataFrame.unionByName, done))
+    return asked.join(found, "asked").select("query_id", "rank", "id", "distance")

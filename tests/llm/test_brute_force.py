@@ -255,7 +255,7 @@ def test_top_k(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     codes = topk_search.sign_codes(df, 70)
     got = defaultdict(list)
-    for r in topk_search.hamming_top_k(codes, codes.where("id % 20 = 0"), 70, 7, index_block=200, query_block=16).collect():
+    for r in topk_search.hamming_top_k(codes, codes.where("id % 20 = 0"), 70, 7, index_block=20).collect():
         got[r["query_id"]].append((r["rank"], r["distance"], r["id"]))
     b = v >= 0
     for q in range(0, 700, 20):
