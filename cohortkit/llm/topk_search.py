@@ -9,7 +9,7 @@ A query whose k-th verified distance lies within that bound is done and leaves;
 the others go on, so the result is exact.
 
 A pair that several segments find counts once: in its nearest segment, the
-first of them.  Equal codes are one entry that carries its k smallest ids.  A
+first of them.  Codes farther than the k-th seen so far are left out at once.  Equal codes are one entry that carries its k smallest ids.  A
 segment value with many entries is dealt into parts of bounded size, each
 joined by itself, so a frequent value fills no single task.
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -48,32 +48,32 @@ def sign_codes(df: DataFrame, bits: int, id_col: str = "vec_id", vector_col: str
 
 
 def segment_widths(bits: int, rows: int) -> list[int]:
-    """Widths near log2(rows) bits, the usual choice for this index, from 4 to 30."""
-    m = max(1, math.ceil(bits / min(30, max(4, round(math.log2(max(2, rows)))))))
+    """Widths of 4 to 30 bits at which a value holds about 16 codes: looking a
+    value up costs more than verifying a few codes."""
+    m = max(1, math.ceil(bits / min(30, max(4, round(math.log2(max(2, rows))) - 4))))
     return [bits // m + (i < bits % m) for i in range(m)]
 
 
-def _segments(widths: list[int]):
-    """The values of a code's segments as one array."""
+def _segments(words: list[Column], widths: list[int]) -> list[Column]:
+    """The values of a code's segments."""
     out, at = [], 0
     for width in widths:
         w, off = divmod(at, 64)
-        value = F.shiftrightunsigned(F.get("code", F.lit(w)), off)
+        value = F.shiftrightunsigned(words[w], off)
         if off + width > 64:
-            value = value.bitwiseOR(F.shiftleft(F.get("code", F.lit(w + 1)), 64 - off))
+            value = value.bitwiseOR(F.shiftleft(words[w + 1], 64 - off))
         out.append(value.bitwiseAND(F.lit((1 << width) - 1).cast("long")))
         at += width
-    return F.array(*out)
+    return out
 
 
-def _probes(live: DataFrame, widths: list[int], radius: int) -> DataFrame:
-    """(asked, segment, value): for each segment as wide as ``radius`` or wider all values that
-    differ from the query's in ``radius`` bits.  Bits are flipped from high to low, so that each value
-    comes once."""
+def _probes(live: DataFrame, segments: Column, widths: list[int], radius: int) -> DataFrame:
+    """The rows of ``live`` with (segment, value): for each segment all values that differ from the
+    query's in ``radius`` bits.  Bits are flipped from high to low, so that each value comes once."""
     width = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("segment") + 1)
-    out = live.select("asked", F.posexplode("asked").alias("segment", "value")).withColumn("below", width)
+    out = live.select("*", F.posexplode(segments).alias("segment", "value")).withColumn("below", width)
     for _ in range(radius):
-        out = (out.where("below > 0").select("asked", "segment", "value", F.explode(F.sequence(F.lit(0), F.col("below") - 1)).alias("below"))
+        out = (out.where("below > 0").select(*live.columns, "segment", "value", F.explode(F.sequence(F.lit(0), F.col("below") - 1)).alias("below"))
                .withColumn("value", F.expr("value ^ shiftleft(1L, below)")))
     return out.drop("below")
 
@@ -92,7 +92,11 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10,
     widths = segment_widths(bits, have["codes"])
     m = len(widths)
 
-    placed = entries.select(_segments(widths).alias("entry"), "ids").select("entry", "ids", F.posexplode("entry").alias("segment", "value"))
+    def words(*cols: str) -> list[Column]:
+        """The words of a code, or of the bits in which two differ."""
+        return [reduce(Column.bitwiseXOR, [F.get(c, F.lit(i)) for c in cols]) for i in range((bits + 63) // 64)]
+
+    placed = entries.select(F.col("code").alias("entry"), "ids", F.posexplode(F.array(*_segments(words("code"), widths))).alias("segment", "value"))
     crowded = broadcast_if_small(placed.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > index_block)
                                  .select("segment", "value", F.ceil(F.col("n") / index_block).cast("int").alias("parts")))
 
@@ -100,28 +104,31 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10,
         return df.join(crowded, ["segment", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
     index = stored(parts(placed).withColumn("part", F.pmod(F.hash("entry"), "parts")).drop("parts"), "segments")
-    asked = stored(queries.select(F.col("id").alias("query_id"), _segments(widths).alias("asked")), "queries")
+    asked = stored(queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")), "queries")
 
-    differ = F.zip_with("asked", "entry", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differ = [F.bit_count(x) for x in _segments(words("asked", "entry"), widths)]
     nearest = Window.partitionBy("asked").orderBy(F.col("distance").asc_nulls_first(), "id")
     whole = Window.partitionBy("asked")
-    live = asked.select("asked").distinct()
+    live = asked.select("asked", F.lit(bits).alias("limit")).distinct()       # limit: no farther code can be among the k nearest
     carried, done = None, []
     for s in range(max(widths) + 1):
-        probes = parts(_probes(live, widths, s)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        pairs = probes.join(index, ["segment", "value", "part"]).withColumn("differ", differ)
-        # found in this round and segment, not before
-        new = pairs.where((F.array_min("differ") == s) & (F.array_position("differ", s) == F.col("segment") + 1))
-        seen = [new.select("asked", F.explode("ids").alias("id"), F.aggregate("differ", F.lit(0), lambda a, x: a + x).alias("distance")),
-                live.select("asked", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("distance"))]   # rank 0: a query without a code so far
+        probes = _probes(live, F.array(*_segments(words("asked"), widths)), widths, s)
+        probes = parts(probes).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        # merged: the planner prices a table of exploded probes by its few queries and would broadcast it
+        pairs = probes.join(index.hint("merge"), ["segment", "value", "part"])
+        first = F.coalesce(*[F.when(d == s, F.lit(j)) for j, d in enumerate(differ)])
+        new = (pairs.where((reduce(Column.__add__, differ) <= F.col("limit")) & (F.least(*differ, F.lit(bits)) == s) & (first == F.col("segment")))
+               .select("asked", F.explode("ids").alias("id"), reduce(Column.__add__, differ).alias("distance")))
+        seen = [new, live.select("asked", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("distance"))]   # rank 0: keeps a query that found nothing
         if carried is not None:
-            seen.append(carried.select("asked", "id", "distance"))
+            seen.append(carried)
         best = (reduce(DataFrame.unionByName, seen).withColumn("rank", F.row_number().over(nearest) - 1).where(F.col("rank") <= k)
-                .withColumns({"got": F.count("id").over(whole), "far": F.coalesce(F.max("distance").over(whole), F.lit(0))}))
-        covered = (F.col("got") == enough) & ((F.col("far") <= m * (s + 1) - 1) | F.lit(enough == have["ids"]))
-        best = stored(best.select("asked", "id", "distance", "rank", covered.alias("done")), "round")
+                .withColumns({"got": F.count("id").over(whole), "far": F.coalesce(F.max("distance").over(whole), F.lit(bits))}))
+        full = F.col("got") == enough
+        covered = full & ((F.col("far") <= m * (s + 1) - 1) | F.lit(enough == have["ids"]))
+        best = stored(best.select("asked", "id", "distance", "rank", F.when(full, F.col("far")).otherwise(bits).alias("limit"), covered.alias("done")), "round")
         done.append(best.where("done AND rank > 0"))
-        live, carried = best.where("NOT done AND rank = 0").select("asked"), best.where("NOT done AND rank > 0")
+        live, carried = best.where("NOT done AND rank = 0").select("asked", "limit"), best.where("NOT done AND rank > 0").select("asked", "id", "distance")
         if live.isEmpty():
             break
     found = broadcast_if_small(reduce(DataFrame.unionByName, done))
