@@ -3,8 +3,9 @@
 A code of b bits is cut into m segments, and a table holds every code under
 each (segment, value).  The search radius of the segments grows from 0: in
 round s each open query looks up the segment values at exactly s flipped bits, an
-equi-join on (segment, value).  After round s every code within m*(s + 1) - 1 bits has
-been seen, for a code further away in all m segments differs in m*(s + 1) bits or more.
+equi-join on (segment, value).  After segment j of round s (both from 0) every code within m*s + j
+bits has been seen, for one not found differs in more than s bits in segments 0 to j and in s or more in the others.
+Segments beyond the k-th distance seen so far are not searched.
 A query whose k-th verified distance lies within that bound is done and leaves;
 the others go on, so the result is exact.
 
@@ -50,7 +51,7 @@ def sign_codes(df: DataFrame, bits: int, id_col: str = "vec_id", vector_col: str
 def segment_widths(bits: int, rows: int) -> list[int]:
     """Widths of 4 to 30 bits at which a value holds about 16 codes: looking a
     value up costs more than verifying a few codes."""
-    m = max(1, math.ceil(bits / min(30, max(4, round(math.log2(max(2, rows))) - 4))))
+    m = max(1, round(bits / min(30, max(4, math.log2(max(2, rows)) - 4))), math.ceil(bits / 30))
     return [bits // m + (i < bits % m) for i in range(m)]
 
 
@@ -67,11 +68,11 @@ def _segments(words: list[Column], widths: list[int]) -> list[Column]:
     return out
 
 
-def _probes(live: DataFrame, segments: Column, widths: list[int], radius: int) -> DataFrame:
-    """The rows of ``live`` with (segment, value): for each segment all values that differ from the
-    query's in ``radius`` bits.  Bits are flipped from high to low, so that each value comes once."""
+def _probes(live: DataFrame, segments: Column, widths: list[int], radius: int, wanted: Column) -> DataFrame:
+    """The rows of ``live`` with (segment, value): for each wanted segment all values that differ from
+    the query's in ``radius`` bits.  Bits are flipped from high to low, so that each value comes once."""
     width = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("segment") + 1)
-    out = live.select("*", F.posexplode(segments).alias("segment", "value")).withColumn("below", width)
+    out = live.select("*", F.posexplode(segments).alias("segment", "value")).where(wanted).withColumn("below", width)
     for _ in range(radius):
         out = (out.where("below > 0").select(*live.columns, "segment", "value", F.explode(F.sequence(F.lit(0), F.col("below") - 1)).alias("below"))
                .withColumn("value", F.expr("value ^ shiftleft(1L, below)")))
@@ -112,7 +113,8 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, bits: int, k: int = 10,
     live = asked.select("asked", F.lit(bits).alias("limit")).distinct()       # limit: no farther code can be among the k nearest
     carried, done = None, []
     for s in range(max(widths) + 1):
-        probes = _probes(live, F.array(*_segments(words("asked"), widths)), widths, s)
+        # later segments need no look: the earlier ones cover the k-th distance seen so far
+        probes = _probes(live, F.array(*_segments(words("asked"), widths)), widths, s, F.col("segment") <= F.col("limit") - m * s)
         probes = parts(probes).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         # merged: the planner prices a table of exploded probes by its few queries and would broadcast it
         pairs = probes.join(index.hint("merge"), ["segment", "value", "part"])
