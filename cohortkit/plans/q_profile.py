@@ -314,7 +314,13 @@ _DOCS = """dl AS (SELECT doc_id, lang, source, CAST(n_chars > 2000 AS VARCHAR) A
   FROM documents JOIN labels USING (doc_id))"""
 
 
-@register("t1_chi_square", sql=f"""
+def _chi2_p_sql(stat: str, dof: str) -> str:
+    """Upper tail of chi-square by the power series of the lower one, to 6 decimals."""
+    return (f"abs(round(1 - CASE WHEN {stat} <= 0 THEN 0.0 ELSE list_sum([exp((n + {dof} / 2.0) * ln({stat} / 2) - {stat} / 2 "
+            f"- lgamma(n + {dof} / 2.0 + 1)) FOR n IN range(0, 3000)]) END, 6))")
+
+
+_T1_SQL = f"""
 WITH {_DOCS}, lv AS (SELECT quality AS target, 'lang' AS variable, lang AS value FROM dl UNION ALL
   SELECT quality, 'source', source FROM dl UNION ALL SELECT quality, 'long_doc', lower(long_doc) FROM dl),
 obs AS (SELECT variable, value, target, count(*) AS o FROM lv GROUP BY ALL),
@@ -323,19 +329,26 @@ cc AS (SELECT variable, target, sum(o) AS c FROM obs GROUP BY ALL),
 t AS (SELECT variable, sum(r) AS n, count(*) AS nr FROM rr GROUP BY variable),
 tc AS (SELECT variable, count(*) AS nc FROM cc GROUP BY variable),
 grid AS (SELECT rr.variable, rr.r * cc.c / t.n AS e, coalesce(obs.o, 0) AS o, (t.nr - 1) * (tc.nc - 1) AS dof, t.n
-  FROM rr JOIN cc USING (variable) JOIN t USING (variable) JOIN tc USING (variable) LEFT JOIN obs USING (variable, value, target))
-SELECT variable, round(sum(CASE WHEN dof = 1 THEN power(abs(o - e) - least(0.5, abs(o - e)), 2) / e ELSE (o - e) * (o - e) / e END), 6) AS chi2,
-  CAST(max(dof) AS BIGINT) AS dof, CAST(max(n) AS BIGINT) AS n FROM grid GROUP BY variable""")
+  FROM rr JOIN cc USING (variable) JOIN t USING (variable) JOIN tc USING (variable) LEFT JOIN obs USING (variable, value, target)),
+raw AS (SELECT variable, sum(CASE WHEN dof = 1 THEN power(abs(o - e) - least(0.5, abs(o - e)), 2) / e ELSE (o - e) * (o - e) / e END) AS chi2,
+  CAST(max(dof) AS BIGINT) AS dof, CAST(max(n) AS BIGINT) AS n FROM grid GROUP BY variable)
+SELECT variable, round(chi2, 6) AS chi2, dof, n, {_chi2_p_sql('chi2', 'dof')} AS p_value FROM raw"""
+
+
+def _t1(t):
+    return t.select("variable", r("chi2").alias("chi2"), "dof", F.col("n").cast("long").alias("n"), r("p_value").alias("p_value"))
+
+
+@register("t1_chi_square", sql=_T1_SQL)
 def t1_chi_square(spark, sf):
     t = St.chi_square(_docs(spark, sf), ["lang", "source", "long_doc"], "quality")
-    return t.select("variable", r("chi2").alias("chi2"), "dof", F.col("n").cast("long").alias("n"))
+    return _t1(t)
 
 
-@register("t2_top_by_p")
+@register("t2_top_by_p", sql=_T1_SQL)
 def t2_top_by_p(spark, sf):
-    """Rows-only: needs the chi-square p-value (incomplete gamma)."""
     t = St.chi_square(_docs(spark, sf), ["lang", "source", "long_doc"], "quality")
-    return St.top_by_p(t, 3)
+    return _t1(St.top_by_p(t, 3))
 
 
 _T3_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -384,10 +397,12 @@ def t5_strong_pairs(spark, sf):
 WITH {_J10_SQL}, p AS (SELECT g.grade_b = g.grade_a AS a, v.pv = g.grade_a AS b FROM graded g JOIN v ON g.o_orderkey = v.o_orderkey),
 t AS (SELECT count_if(a AND b) AS n11, count_if(a AND NOT b) AS n12, count_if(NOT a AND b) AS n21, count_if(NOT a AND NOT b) AS n22 FROM p)
 SELECT n11, n12, n21, n22, n12 + n21 AS n_discordant, CASE WHEN n12 + n21 < 25 THEN 'exact' ELSE 'chi2' END AS method,
-  round(CASE WHEN n12 + n21 = 0 THEN 0.0 WHEN n12 + n21 < 25 THEN least(n12, n21) ELSE power(abs(n12 - n21) - 1, 2) / (n12 + n21) END, 6) AS statistic FROM t""")
+  round(CASE WHEN n12 + n21 = 0 THEN 0.0 WHEN n12 + n21 < 25 THEN least(n12, n21) ELSE power(abs(n12 - n21) - 1, 2) / (n12 + n21) END, 6) AS statistic,
+  CASE WHEN n12 + n21 = 0 THEN 1.0 WHEN n12 + n21 < 25 THEN round(least(1.0, 2 * list_sum([exp(lgamma(n12 + n21 + 1) - lgamma(i + 1) - lgamma(n12 + n21 - i + 1) - (n12 + n21) * ln(2))
+    FOR i IN range(0, CAST(least(n12, n21) + 1 AS BIGINT))])), 6) ELSE {_chi2_p_sql('(power(abs(n12 - n21) - 1, 2) / (n12 + n21))', '1')} END AS p_value FROM t""")
 def t9_mcnemar(spark, sf):
     m = St.mcnemar(_j10(spark, sf))
-    return m.select("n11", "n12", "n21", "n22", "n_discordant", "method", r("statistic").alias("statistic"))
+    return m.select("n11", "n12", "n21", "n22", "n_discordant", "method", r("statistic").alias("statistic"), r("p_value").alias("p_value"))
 
 
 @register("t10_kl_divergence", sql=f"""
