@@ -3,8 +3,8 @@
 Numeric columns are binned into equal-width bins (the A22 rule); the
 contingency counts of every column pair come from one generate + one
 grouping (each row emits one cell per pair, partially aggregated before the
-shuffle).  Each pair's table (at most levels x levels cells) is then solved
-in a grouped pandas function: the observed chi-square is matched by the
+shuffle).  The observed chi-square is an aggregate over the cells that
+occur; a grouped pandas function gets the two margins of a pair and matches it by the
 chi-square that a bivariate normal with correlation rho, cut at the same
 margins, would give (Baak et al., arXiv 1811.11440).  Our reading of the
 paper's noise correction: the model curve runs from the pedestal
@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _GL_X, _GL_W = np.polynomial.legendre.leggauss(24)
 
 
@@ -76,32 +78,37 @@ def _bvn_grid(ex: np.ndarray, ey: np.ndarray, rho: float) -> np.ndarray:
     return base + (f * w).sum(axis=2) / (2 * math.pi)
 
 
+#: Quadrature points held at once: the cells of a pair are priced in chunks of rows.
+_POINTS = 1 << 22
+
+
 def _bvn_chi2(rho: float, px: np.ndarray, py: np.ndarray, n: float) -> float:
+    """Chi-square that the bivariate normal gives on the grid of two margins."""
     ex = np.concatenate([[-8.0], _norm_ppf(np.cumsum(px)[:-1]), [8.0]])
     ey = np.concatenate([[-8.0], _norm_ppf(np.cumsum(py)[:-1]), [8.0]])
-    cdf = _bvn_grid(ex, ey, rho)
-    cell = cdf[1:, 1:] - cdf[:-1, 1:] - cdf[1:, :-1] + cdf[:-1, :-1]
-    exp0 = np.outer(px, py)
-    return float(n * np.sum((cell - exp0) ** 2 / exp0))
-
-
-def phik_from_table(counts: np.ndarray) -> tuple[float, float, int]:
-    """(phi_k, observed chi2, dof) of one contingency table."""
-    counts = counts[counts.sum(axis=1) > 0][:, counts.sum(axis=0) > 0]
-    r, c = counts.shape
-    n = float(counts.sum())
-    if r < 2 or c < 2 or n == 0:
-        return 0.0, 0.0, 0
-    px, py = counts.sum(axis=1) / n, counts.sum(axis=0) / n
-    exp0 = np.outer(px, py) * n
-    chi2 = float(np.sum((counts - exp0) ** 2 / exp0))
-    dof = (r - 1) * (c - 1)
-    ped = float(dof)
+    step = max(1, _POINTS // (len(ey) * len(_GL_X)))
+    total, above = 0.0, _bvn_grid(ex[:1], ey, rho)
+    for lo in range(1, len(ex), step):
+        cdf = np.concatenate([above, _bvn_grid(ex[lo:lo + step], ey, rho)])
+        cell = np.diff(np.diff(cdf, axis=0), axis=1)
+        exp0 = np.outer(px[lo - 1:lo - 1 + step], py)
+        total += float(np.sum((cell - exp0) ** 2 / exp0))
+        above = cdf[-1:]
+    return n * total
+
+
+def phik_from_margins(rows: np.ndarray, cols: np.ndarray, chi2: float) -> float:
+    """phi_k of a table with these (positive) row and column sums and this observed chi2."""
+    r, c, n = len(rows), len(cols), float(rows.sum())
+    if r < 2 or c < 2:
+        return 0.0
+    px, py = rows / n, cols / n
+    ped = float((r - 1) * (c - 1))
     chi2_max = n * min(r - 1, c - 1)
     if chi2 <= ped:
-        return 0.0, chi2, dof
+        return 0.0
     if chi2 >= chi2_max:
-        return 1.0, chi2, dof
+        return 1.0
     top = _bvn_chi2(0.9999, px, py, n)
 
     def model(rho):
@@ -113,7 +120,18 @@ def phik_from_table(counts: np.ndarray) -> tuple[float, float, int]:
             lo = mid
         else:
             hi = mid
-    return 0.5 * (lo + hi), chi2, dof
+    return 0.5 * (lo + hi)
+
+
+def phik_from_table(counts: np.ndarray) -> tuple[float, float, int]:
+    """(phi_k, observed chi2, dof) of one contingency table."""
+    counts = counts[counts.sum(axis=1) > 0][:, counts.sum(axis=0) > 0]
+    rows, cols = counts.sum(axis=1), counts.sum(axis=0)
+    if min(counts.shape) < 2:
+        return 0.0, 0.0, 0
+    e = np.outer(rows, cols) / counts.sum()
+    chi2 = float(np.sum((counts - e) ** 2 / e))
+    return phik_from_margins(rows, cols, chi2), chi2, (len(rows) - 1) * (len(cols) - 1)
 
 
 def pair_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10) -> DataFrame:
@@ -121,7 +139,7 @@ def pair_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     numeric columns cut into ``bins`` equal-width bins, categorical columns
     as text (null is its own level)."""
     cols = list(numeric) + list(categorical)
-    mm = df.agg(*[F.min(c).alias(f"mn_{c}") for c in numeric], *[F.max(c).alias(f"mx_{c}") for c in numeric]).first()
+    mm = df.agg(*[F.min(c).alias(f"mn_{c}") for c in numeric], *[F.max(c).alias(f"mx_{c}") for c in numeric]).first() if numeric else None
     coded = []
     for c in numeric:
         mn, mx = mm[f"mn_{c}"], mm[f"mx_{c}"]
@@ -135,22 +153,40 @@ def pair_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     return d.select(cells.alias("p")).select("p.*").groupBy("col_a", "col_b", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def phik_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10,
-                max_levels: int = 1000) -> DataFrame:
+def _margins_and_chi2(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((col_a, col_b, side, level, m), (col_a, col_b, chi2, dof)) of stored
+    pair counts.  A cell that does not occur adds its expected count to chi2, so only cells that do are read."""
+    pair = ["col_a", "col_b"]
+    side = [counts.groupBy(*pair, x).agg(F.sum("n").alias(f"n_{x}")) for x in ("a", "b")]
+    levels = side[0].select(*pair, F.lit("a").alias("side"), F.col("a").alias("level"), F.col("n_a").alias("m")) \
+        .unionByName(side[1].select(*pair, F.lit("b").alias("side"), F.col("b").alias("level"), F.col("n_b").alias("m")))
+    size = levels.groupBy(*pair).agg(F.count_if(F.col("side") == "a").alias("ra"), F.count_if(F.col("side") == "b").alias("rb"),
+                                     F.sum(F.when(F.col("side") == "a", F.col("m"))).alias("total"))
+    e = F.col("n_a") * F.col("n_b") / F.col("total")
+    cells = counts.join(side[0], [*pair, "a"]).join(side[1], [*pair, "b"]).join(size, pair).withColumn("e", e)
+    chi2 = cells.groupBy(*pair, "ra", "rb", "total").agg(F.sum((F.col("n") - F.col("e")) ** 2 / F.col("e")).alias("s"), F.sum("e").alias("se"))
+    return levels, chi2.select(*pair, (F.col("s") + F.col("total") - F.col("se")).alias("chi2"), ((F.col("ra") - 1) * (F.col("rb") - 1)).cast("long").alias("dof"))
+
+
+def pair_chi2(counts: DataFrame) -> DataFrame:
+    """``(col_a, col_b, chi2, dof)`` of pair counts: Pearson's chi-square without correction."""
+    return _margins_and_chi2(materialize(counts))[1]
+
+
+def phik_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10) -> DataFrame:
     """``(col_a, col_b, phik, chi2, dof)`` for every pair (upper triangle
-    in column order).  Columns with more than ``max_levels`` levels are
-    rejected (an id column would make a table of n cells)."""
-    pc = pair_counts(df, numeric, categorical, bins)
-    lv = pc.groupBy("col_a", "col_b").agg(F.countDistinct("a").alias("ra"), F.countDistinct("b").alias("rb"))
-    if lv.where((F.col("ra") > max_levels) | (F.col("rb") > max_levels)).limit(1).count():
-        raise ValueError(f"a column has more than {max_levels} levels")
+    in column order), for any number of levels: chi2 is an aggregate over the cells that occur, and
+    a pair's task gets its two margins only."""
+    levels, chi2 = _margins_and_chi2(materialize(pair_counts(df, numeric, categorical, bins)))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf.pivot_table(index="a", columns="b", values="n", aggfunc="sum", fill_value=0).to_numpy(dtype=float)
-        phik, chi2, dof = phik_from_table(t)
-        return pd.DataFrame([{"col_a": pdf["col_a"].iloc[0], "col_b": pdf["col_b"].iloc[0],
-                              "phik": phik, "chi2": chi2, "dof": int(dof)}])
-    return pc.groupBy("col_a", "col_b").applyInPandas(solve, "col_a string, col_b string, phik double, chi2 double, dof int")
+        pdf = pdf.sort_values("level")
+        side = [pdf.loc[pdf["side"] == x, "m"].to_numpy(dtype=float) for x in ("a", "b")]
+        top = pdf.iloc[0]
+        return pd.DataFrame([{"col_a": top["col_a"], "col_b": top["col_b"], "phik": phik_from_margins(*side, float(top["chi2"])),
+                              "chi2": float(top["chi2"]), "dof": int(top["dof"])}])
+    return (levels.join(chi2, ["col_a", "col_b"]).groupBy("col_a", "col_b")
+            .applyInPandas(solve, "col_a string, col_b string, phik double, chi2 double, dof int"))
 
 
 def top_pairs(phik: DataFrame, n: int = 20) -> DataFrame:

@@ -152,16 +152,30 @@ _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _CAT = ["l_returnflag", "l_linestatus"]
 
 
-@register("t6_pair_counts", sql="""
+_T6_SQL = """
 WITH mm AS (SELECT min(l_quantity) AS mn, max(l_quantity) AS mx FROM lineitem),
 d AS (SELECT CAST(CAST(LEAST(floor((l_quantity - mn) / ((mx - mn) / 10)), 9) AS BIGINT) AS VARCHAR) AS q, l_returnflag, l_linestatus FROM lineitem, mm)
 SELECT 'l_quantity' AS col_a, 'l_returnflag' AS col_b, q AS a, l_returnflag AS b, count(*) AS n FROM d GROUP BY 3, 4
 UNION ALL SELECT 'l_quantity', 'l_linestatus', q, l_linestatus, count(*) FROM d GROUP BY 3, 4
-UNION ALL SELECT 'l_returnflag', 'l_linestatus', l_returnflag, l_linestatus, count(*) FROM d GROUP BY 3, 4""")
+UNION ALL SELECT 'l_returnflag', 'l_linestatus', l_returnflag, l_linestatus, count(*) FROM d GROUP BY 3, 4"""
+
+
+@register("t6_pair_counts", sql=_T6_SQL)
 def t6_pair_counts(spark, sf):
     return Ph.pair_counts(table(spark, sf, "lineitem"), ["l_quantity"], _CAT, 10)
 
 
+@register("t6_pair_chi2", sql=f"""
+WITH o AS (SELECT * FROM ({_T6_SQL})),
+ra AS (SELECT col_a, col_b, a, sum(n) AS x FROM o GROUP BY ALL), rb AS (SELECT col_a, col_b, b, sum(n) AS y FROM o GROUP BY ALL),
+t AS (SELECT col_a, col_b, sum(x) AS total FROM ra GROUP BY ALL),
+grid AS (SELECT col_a, col_b, a, b, x * y / total AS e FROM ra JOIN rb USING (col_a, col_b) JOIN t USING (col_a, col_b))
+SELECT col_a, col_b, round(sum((coalesce(n, 0) - e) * (coalesce(n, 0) - e) / e), 6) AS chi2,
+  CAST((count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS BIGINT) AS dof FROM grid LEFT JOIN o USING (col_a, col_b, a, b) GROUP BY col_a, col_b""")
+def t6_pair_chi2(spark, sf):
+    return Ph.pair_chi2(Ph.pair_counts(table(spark, sf, "lineitem"), ["l_quantity"], _CAT, 10)).withColumn("chi2", r("chi2"))
+
+
 def _phik(spark, sf):
     return Ph.phik_matrix(table(spark, sf, "lineitem"), _NUM, _CAT, 10)
 

@@ -247,3 +247,29 @@ def test_stratified_split_sizes(spark):
         F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect()}
     for q, (n, t) in got.items():
         assert t == math.ceil(0.2 * n)
+
+
+def test_phik_sparse(spark, monkeypatch):
+    """Columns of more than a thousand levels; chunks do not change the model; the matrix equals dense tables."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 1500, 4000), rng.integers(0, 5, 4000)
+    df = spark.createDataFrame([(f"a{x}", f"b{y}", f"c{(x + z) % 6}") for x, y, z in zip(a.tolist(), b.tolist(), rng.integers(0, 2, 4000).tolist())], "a string, b string, c string")
+    got = {(r["col_a"], r["col_b"]): r for r in Ph.phik_matrix(df, [], ["a", "b", "c"]).collect()}
+    pdf = df.toPandas()
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+        phik, chi2, dof = Ph.phik_from_table(pdf.groupby([x, y]).size().unstack(fill_value=0).to_numpy(dtype=float))
+        r = got[x, y]
+        assert abs(r["phik"] - phik) < 1e-6 and abs(r["chi2"] - chi2) < 1e-6 * chi2 and r["dof"] == dof
+    px = np.full(40, 1 / 40)
+    whole = Ph._bvn_chi2(0.6, px, px, 1000.0)
+    monkeypatch.setattr(Ph, "_POINTS", 3000)
+    assert abs(Ph._bvn_chi2(0.6, px, px, 1000.0) - whole) < 1e-9 * whole
+
+
+def test_special_functions_against_closed_forms():
+    for x in (0.1, 1.0, 5.0, 40.0):
+        assert abs(SP.chi2_sf(x, 1) - math.erfc(math.sqrt(x / 2))) < 1e-12
+        assert abs(SP.chi2_sf(x, 6) - math.exp(-x / 2) * (1 + x / 2 + x * x / 8)) < 1e-12
+        assert abs(SP.t_two_sided_p(x, 1) - (1 - 2 / math.pi * math.atan(x))) < 1e-12
+        assert abs(SP.t_two_sided_p(x, 2) - (1 - x / math.sqrt(2 + x * x))) < 1e-12
+    assert SP.chi2_sf(0, 3) == 1 and math.isnan(SP.chi2_sf(None, 1)) and math.isnan(SP.t_two_sided_p(1.0, 0))
