@@ -15,10 +15,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .evaluate import binary_metrics, roc_auc
-from .linkage import compare_predictions
-from .models import decision_tree, importance_table
-from .stats import mcnemar
+from .linkage import compare_counts
+from .models import decision_tree
+from .stats import mcnemar_of_counts
 
 
 def group_table(spark: SparkSession, groups: Mapping[str, tuple[Sequence[str], str]]) -> DataFrame:
@@ -63,16 +64,17 @@ def run_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], lab
     """For every experiment fit the tree with the baseline
     parameters on its feature slice, evaluate on ``test`` (E1), compare with
     the baseline predictions (J10 + McNemar, T9) and keep importances.
+    The test rows are scored by all trees in one pass, and one job each counts
+    the metrics, areas and pairs of all experiments.
     A failing experiment becomes a row with its error.  Returns
     ``(results (experiment, metric, value, error), importances)``."""
     spark = train.sparkSession
     asm = VectorAssembler(inputCols=list(features), outputCol="__all", handleInvalid="keep")
-    tr = asm.transform(train).select(key, label, "__all").cache()
-    te = asm.transform(test).select(key, label, "__all").cache()
+    tr = asm.transform(train).select(label, "__all").cache()
     lists = {}
     for row in exp_features.groupBy("experiment").agg(F.collect_list("feature").alias("f")).collect():
         lists[row["experiment"]] = [f for f in features if f in set(row["f"])]  # one row per experiment
-    results, imps, base_pred = [], [], None
+    results, imps, fitted = [], [], {}
     order = ["baseline"] + sorted(e for e in lists if e != "baseline")
     try:
         for exp in order:
@@ -80,40 +82,58 @@ def run_ablation(train: DataFrame, test: DataFrame, features: Sequence[str], lab
             try:
                 if not feats:
                     raise ValueError("no features")
-                idx = [list(features).index(f) for f in feats]
-                sl = VectorSlicer(inputCol="__all", outputCol="features", indices=idx)
-                dt = decision_tree(label, **params)
-                model = dt.fit(sl.transform(tr))
-                scored = model.transform(sl.transform(te)).select(key, label, F.col("prediction").cast("int").alias("pred"),
-                                                                  vector_to_array("probability")[1].alias("score"))
-                pred = scored.drop("score")
-                m = binary_metrics(pred, label, "pred").first().asDict()
-                both = m["tp"] + m["fn"] > 0 and m["fp"] + m["tn"] > 0     # no area where a class is absent
-                auc = float(roc_auc(scored, label, "score").first()["roc_auc"]) if both else None
-                if base_pred is None:
-                    base_pred = pred.cache()
-                    mc = {"statistic": 0.0, "p_value": 1.0}
-                else:
-                    pairs = compare_predictions(base_pred, pred, key, label, "pred", "pred")
-                    mc = mcnemar(pairs).first().asDict()
-                vals = {k: float(m[k]) for k in ("accuracy", "precision", "recall", "f1")}
-                vals.update({"roc_auc": auc, "tree_leaves": float((model.numNodes + 1) // 2), "n_features": float(len(feats)), "tree_depth": float(model.depth),
-                             "tree_nodes": float(model.numNodes), "mcnemar_statistic": float(mc["statistic"]),
-                             "mcnemar_p": float(mc["p_value"])})
-                results += [(exp, k, v, None) for k, v in vals.items()]
-                imps += [(exp, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())]
+                sl = VectorSlicer(inputCol="__all", outputCol="features", indices=[list(features).index(f) for f in feats])
+                fitted[exp] = sl, decision_tree(label, **params).fit(sl.transform(tr))
             except Exception as e:  # an experiment error is a result row
                 results.append((exp, "error", None, str(e)[:500]))
     finally:
         tr.unpersist()
-        te.unpersist()
-        if base_pred is not None:
-            base_pred.unpersist()
+    try:
+        found = _evaluated(asm.transform(test).select(key, label, "__all"), fitted, label, key) if fitted else {}
+    except Exception as e:
+        found, results = {}, results + [(exp, "error", None, str(e)[:500]) for exp in fitted]
+    for exp, vals in found.items():
+        model, feats = fitted[exp][1], lists[exp]
+        vals.update({"tree_leaves": float((model.numNodes + 1) // 2), "n_features": float(len(feats)), "tree_depth": float(model.depth),
+                     "tree_nodes": float(model.numNodes)})
+        results += [(exp, k, v, None) for k, v in vals.items()]
+        imps += [(exp, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())]
     res = spark.createDataFrame(results, "experiment string, metric string, value double, error string")
     imp = spark.createDataFrame(imps, "experiment string, feature string, importance double")
     return res, imp
 
 
+def _evaluated(test: DataFrame, fitted: Mapping, label: str, key: str) -> dict[str, dict]:
+    """Per experiment its metrics; the first one is what the others are compared with."""
+    wide, kept = test, [key, label, "__all"]
+    for i, (sl, model) in enumerate(fitted.values()):
+        wide = model.transform(sl.transform(wide)).select(*kept, F.col("prediction").cast("int").alias(f"__pred{i}"),
+                                                          vector_to_array("probability")[1].alias(f"__score{i}"))
+        kept += [f"__pred{i}", f"__score{i}"]
+    wide = materialize(wide.drop("__all"))
+    long = wide.select(label, F.inline(F.array(*[F.struct(F.lit(e).alias("experiment"), F.col(f"__pred{i}").alias("pred"),
+                                                          F.col(f"__score{i}").alias("score")) for i, e in enumerate(fitted)])))
+    found = {r["experiment"]: r for r in binary_metrics(long, label, "pred", group_cols=["experiment"]).collect()}  # one row an experiment
+    one = next(iter(found.values()), None)
+    if one is None:                                  # no test rows
+        raise ValueError("no rows to evaluate")
+    both = one["tp"] + one["fn"] > 0 and one["fp"] + one["tn"] > 0     # no area where a class is absent
+    auc = {r["experiment"]: r["roc_auc"] for r in roc_auc(long, label, "score", group_cols=["experiment"]).collect()} if both else {}
+    first, *others = fitted
+    classes = list(range(max(model.numClasses for _, model in fitted.values())))
+    tests = {}
+    if others:
+        columns = {e: f"__pred{i}" for i, e in enumerate(fitted) if e != first}
+        counts = compare_counts(wide, key, label, "__pred0", columns, classes)
+        tests = {r["variant"]: r for r in mcnemar_of_counts(counts).collect()}
+    out = {}
+    for exp in fitted:
+        mc = tests[exp] if exp in tests else {"statistic": 0.0, "p_value": 1.0}
+        out[exp] = {k: float(found[exp][k]) for k in ("accuracy", "precision", "recall", "f1")}
+        out[exp].update({"roc_auc": float(auc[exp]) if both else None, "mcnemar_statistic": float(mc["statistic"]), "mcnemar_p": float(mc["p_value"])})
+    return out
+
+
 def comparison(results: DataFrame) -> DataFrame:
     """E9 for ablation: one row per experiment with f1 / accuracy / ROC-AUC and their
     deltas from the baseline, McNemar p and a significance mark."""

@@ -129,6 +129,36 @@ def compare_predictions(base: DataFrame, variant: DataFrame, key: str, actual: s
                         (F.col("__vp") == F.col(actual)).cast("int").alias("correct_variant")))
 
 
+def compare_counts(df: DataFrame, key: str, actual: str, base_pred: str, variants: dict[str, str], classes: Sequence) -> DataFrame:
+    """J10 for many variants at once: ``(variant, n11, n12, n21, n22)`` of the
+    pairs that ``compare_predictions`` joins for each of ``variants`` (name ->
+    column), all predictions being columns of ``df`` and among ``classes``.  Rows
+    are counted by key in one shuffle and a key's pairs are products of its
+    counts, so no pair is built, however often a key repeats."""
+    y, n = F.col(actual), F.col("__n")
+    rows = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("__n"), F.count(actual).alias("__y"),
+        *[F.count_if(y == c).alias(f"__y{i}") for i, c in enumerate(classes)],
+        *[F.count_if((y == c) & (F.col(base_pred) == c)).alias(f"__b{i}") for i, c in enumerate(classes)],
+        *[F.count_if(F.col(v) == c).alias(f"__v{j}_{i}") for j, v in enumerate(variants.values()) for i, c in enumerate(classes)])
+    whole, right, sums = F.sum(F.col("__y") * n), [F.col(f"__b{i}") for i in range(len(classes))], []
+    wrong = [F.col(f"__y{i}") - b for i, b in enumerate(right)]
+    for j in range(len(variants)):
+        hit = [F.col(f"__v{j}_{i}") for i in range(len(classes))]
+        n11 = F.sum(sum((b * v for b, v in zip(right, hit)), F.lit(0)))
+        n12 = F.sum(sum((b * (n - v) for b, v in zip(right, hit)), F.lit(0)))
+        n21 = F.sum(sum((w * v for w, v in zip(wrong, hit)), F.lit(0)))
+        sums += [n11.alias(f"__n11_{j}"), n12.alias(f"__n12_{j}"), n21.alias(f"__n21_{j}")]
+    wide = rows.agg(whole.alias("__whole"), *sums)
+
+    def of(part: str, j: int):
+        return F.coalesce(F.col(f"__{part}_{j}"), F.lit(0)).cast("long").alias(part)
+    one = [F.struct(F.lit(v).alias("variant"), of("n11", j), of("n12", j), of("n21", j),
+                    F.coalesce(F.col("__whole") - F.col(f"__n11_{j}") - F.col(f"__n12_{j}") - F.col(f"__n21_{j}"), F.lit(0)).cast("long").alias("n22"))
+           for j, v in enumerate(variants)]
+    return wide.select(F.inline(F.array(*one)))
+
+
 def align_columns(df: DataFrame, schema: StructType | Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The training column list: absent columns added as typed nulls,
     extra columns dropped, same order."""

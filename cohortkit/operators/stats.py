@@ -114,8 +114,12 @@ def mcnemar(pairs: DataFrame, correct_a: str = "correct_base", correct_b: str =
     correction, statistic = (|n12 - n21| - 1)^2 / (n12 + n21), 1 dof.
     """
     a, b = F.col(correct_a) == 1, F.col(correct_b) == 1
-    t = pairs.agg(F.count_if(a & b).alias("n11"), F.count_if(a & ~b).alias("n12"),
-                  F.count_if(~a & b).alias("n21"), F.count_if(~a & ~b).alias("n22"))
+    return mcnemar_of_counts(pairs.agg(F.count_if(a & b).alias("n11"), F.count_if(a & ~b).alias("n12"),
+                                       F.count_if(~a & b).alias("n21"), F.count_if(~a & ~b).alias("n22")), exact_below)
+
+
+def mcnemar_of_counts(t: DataFrame, exact_below: int = 25) -> DataFrame:
+    """T9 from the counts n11, n12, n21, n22, one test a row."""
     n = F.col("n12") + F.col("n21")
     k = F.least("n12", "n21")
     # exact two-sided binomial(n, 1/2) tail: sum_{i<=k} C(n, i) / 2^n, built term by term

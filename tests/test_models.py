@@ -98,3 +98,21 @@ def test_apply_full_has_the_logistic_prediction(spark, monkeypatch):
     assert got.count() == qm._frame(spark, SF_SMALL).count() and got.where("lr_pred is null or lr_pred not between 1 and 5").count() == 0
     m5 = qm.m5_l1_logistic(spark, SF_SMALL).withColumnRenamed("lr_pred", "one")
     assert got.join(m5, "o_orderkey").where("lr_pred <> one").count() == 0
+
+
+def test_counted_pairs_equal_joined_pairs(spark):
+    """Metrics, areas and pairs of several predictions, counted together."""
+    from cohortkit.operators import evaluate as Ev, linkage as L, stats as St
+    rows = [(i % 23 if i % 11 else None, None if i % 13 == 0 else 2 if i % 17 == 0 else i % 2, i // 3 % 2, i // 5 % 2, i * 7 % 3 // 2, (i % 6) / 6) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, y int, b int, v int, w int, score double").repartition(3)
+    got = {r["variant"]: r for r in St.mcnemar_of_counts(L.compare_counts(df, "k", "y", "b", {"one": "v", "two": "w"}, [0, 1])).collect()}
+    for name, col in (("one", "v"), ("two", "w")):
+        want = St.mcnemar(L.compare_predictions(df.select("k", "y", "b"), df.select("k", "y", col), "k", "y", "b", col)).first()
+        assert [got[name][c] for c in ("n11", "n12", "n21", "n22", "statistic", "p_value")] == [want[c] for c in ("n11", "n12", "n21", "n22", "statistic", "p_value")]
+    binary = df.where("y < 2")
+    m = {r["w"]: r for r in Ev.binary_metrics(binary, "y", "b", group_cols=["w"]).collect()}
+    a = {r["w"]: r for r in Ev.roc_auc(binary, "y", "score", group_cols=["w"]).collect()}
+    for w in (0, 1):
+        one = binary.where(F.col("w") == w)
+        assert m[w]["f1"] == Ev.binary_metrics(one, "y", "b").first()["f1"]
+        assert abs(a[w]["roc_auc"] - Ev.roc_auc(one, "y", "score").first()["roc_auc"]) < 1e-12
