@@ -24,6 +24,7 @@ from ..functions import vectors as V
 from ..session import materialize
 
 INIT_ROWS = 4096  # rows that the first centres are drawn from
+BLOCK = 2048      # rows whose distances a task holds at once
 
 
 @dataclass
@@ -72,25 +73,43 @@ def first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(got)
 
 
-def _pass(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
-    """Per fit (rows of each cluster, coordinate sums, cost) in one scan."""
+def _pass(rows: DataFrame, centres: dict[int, np.ndarray], with_cost: bool = False) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """Per fit (rows of each cluster, coordinate sums, cost where asked for, else 0) in one
+    scan.  The distances to the centres of all fits are one matrix product a block of rows,
+    their coordinate sums another."""
+    many, first, size = list(centres), {}, 0
+    for f in many:
+        first[f] = size
+        size += len(centres[f])
+    every = np.concatenate([centres[f] for f in many])
+    half = np.square(every).sum(axis=1) / 2
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = {f: np.zeros(len(c), dtype=np.int64) for f, c in centres.items()}
-        total = {f: np.zeros_like(c) for f, c in centres.items()}
-        cost = {f: np.zeros(len(c)) for f, c in centres.items()}
+        n, total, cost = np.zeros(size, dtype=np.int64), np.zeros_like(every), np.zeros(size)
         for b in batches:
             if b.num_rows == 0:
                 continue
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            for f, c in centres.items():
-                at, d = nearest(x, c)
-                n[f] += np.bincount(at, minlength=len(c))
-                cost[f] += np.bincount(at, weights=d, minlength=len(c))
-                member = at[None, :] == np.arange(len(c))[:, None]
-                total[f] += member.astype(float) @ x
-        for f, c in centres.items():
-            yield pa.RecordBatch.from_pydict({"fit": pa.array([f] * len(c), pa.int32()), "cluster": pa.array(range(len(c)), pa.int32()),
-                                              "n": pa.array(n[f]), "total": pa.array(list(total[f]), pa.list_(pa.float64())), "cost": pa.array(cost[f])})
+            whole = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            for x in np.array_split(whole, -(-len(whole) // BLOCK)):
+                far = half[:, None] - every @ x.T              # half the squared distance less the row's own half square
+                member = np.zeros(far.shape)
+                for f in many:
+                    low = first[f]
+                    at, best = np.full(len(x), low), far[low]
+                    for j in range(low + 1, low + len(centres[f])):  # equal distances: the lowest
+                        at[far[j] < best] = j
+                        best = np.minimum(best, far[j])
+                    for j in range(low, low + len(centres[f])):
+                        member[j] = at == j
+                    if with_cost:
+                        cost += np.bincount(at, weights=np.square(x - every[at]).sum(axis=1), minlength=size)
+                n += member.sum(axis=1).astype(np.int64)
+                total += member @ x
+        for f in many:
+            own = slice(first[f], first[f] + len(centres[f]))
+            k = len(centres[f])
+            yield pa.RecordBatch.from_pydict({"fit": pa.array([f] * k, pa.int32()), "cluster": pa.array(range(k), pa.int32()),
+                                              "n": pa.array(n[own]), "total": pa.array(list(total[own]), pa.list_(pa.float64())), "cost": pa.array(cost[own])})
     part = rows.mapInArrow(scan, "fit int, cluster int, n long, total array<double>, cost double")
     got = part.groupBy("fit", "cluster").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
                                              F.sum("cost").alias("cost")).collect()  # one row a centre
@@ -126,5 +145,5 @@ def fit_many(df: DataFrame, vec: str, fits: Sequence[tuple[int, int]], max_iter:
                 del open_[f]
         if not open_:
             break
-    last = _pass(rows, centres)
+    last = _pass(rows, centres, with_cost=True)
     return [KMeansFit(k, seed, centres[i], last[i][2], done[i]) for i, (k, seed) in enumerate(fits)]

@@ -63,3 +63,19 @@ def test_normalised_texts(spark):
         t = re.sub("[^\\w\\s]", " ", re.sub("[‐-—−-]+", " ", t))
         return re.sub("\\s+", " ", t).strip()
     assert got == [None if t is None else plain(t) for t in texts]
+
+
+def test_one_pass_sums_all_fits_and_costs_only_when_asked(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(3)
+    centres = {0: x[:2].copy(), 7: np.array([x[0], x[5], x[5], x[9] + 50]), 3: x[10:11].copy()}
+    monkeypatch.setattr(K, "BLOCK", 37)
+    plain, costed = K._pass(rows, centres), K._pass(rows, centres, with_cost=True)
+    for f, c in centres.items():
+        d = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        at = d.argmin(axis=1)                      # equal centres: the lowest
+        for got in (plain[f], costed[f]):
+            assert got[0].tolist() == np.bincount(at, minlength=len(c)).tolist()
+            assert np.allclose(got[1], [x[at == j].sum(axis=0) for j in range(len(c))])
+        assert plain[f][2] == 0 and abs(costed[f][2] - d.min(axis=1).sum()) < 1e-9
