@@ -131,8 +131,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     base = _keyed(df, gk, value_col)
     # the first digit's counts also say how many values each group has
     named = df.select(gk.alias("__gk"), *user_groups, F.col(value_col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    first = materialize(named.withColumn("__key", ordered_key(F.col("__v"))).groupBy("__gk", F.shiftright("__key", SHIFTS[0]).alias("__digit")).agg(
-        F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx"), *[F.first(c).alias(c) for c in user_groups]))
+    # group columns are keys of the large aggregate, so that its buffer holds numbers only and is hashed, not sorted
+    parts = _digits(named.withColumn("__key", ordered_key(F.col("__v"))), ["__gk", *[F.col(c) for c in user_groups]], SHIFTS[0])
+    first = materialize(parts.groupBy("__gk", "__digit").agg(
+        F.sum("__cnt").alias("__cnt"), F.min("__mn").alias("__mn"), F.max("__mx").alias("__mx"), *[F.first(c).alias(c) for c in user_groups]))
     counts = first.groupBy("__gk").agg(F.sum("__cnt").alias("__n"), *[F.first(c).alias(c) for c in user_groups])
     tg = materialize(_targets(counts, ["__gk", *user_groups], probs, method))
     ranks = (tg.select("__gk", F.col("__klo").alias("__k"))

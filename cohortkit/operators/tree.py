@@ -2,10 +2,11 @@
 
 Spark ML's tree has no minimum split size, no random splitter and no
 impurity decrease weighted by the node's share of the rows.  Here a level of
-*all* trees is one scan: a task routes its rows down each tree with numpy and
-emits class sums by (tree, node, feature, bin); one shuffle brings a node's sums
-together, ordered, and its splits are priced there.  What reaches the driver is
-one row a grown node, as in Spark ML.
+*all* trees is one scan: trees whose splits agree so far share their nodes, so a
+task sends a row once down each distinct path, with numpy, and emits class sums by
+(path, fold left out, feature, bin); one shuffle brings a node's sums
+together, ordered, and its splits are priced there for each of its trees.  What
+reaches the driver is one row a grown node, as in Spark ML.
 
 Rows are cut into bins once and equal binned rows are folded into one row
 with a count, so a level's cost is bounded by the distinct binned rows.
@@ -81,9 +82,13 @@ def cut_points(df: DataFrame, features: Sequence[str], bins: int = 32) -> list[l
 def _bin_of(col: str, cuts: Sequence[float]) -> Column:
     """Number of cuts below the value; null and NaN go to bin 0, the left side of
     every split.  A value on a cut stays at or left of it."""
-    x = F.col(col).cast("double")
-    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c < x))
-    return F.when(x.isNull() | F.isnan(x), 0).otherwise(below).cast("short")
+    points = np.array(cuts, dtype=float)
+
+    @F.pandas_udf("short")
+    def below(x: pd.Series) -> pd.Series:
+        v = x.to_numpy(dtype=float)
+        return pd.Series(np.where(np.isnan(v), 0, np.searchsorted(points, v)).astype(np.int16))
+    return below(F.col(col).cast("double"))
 
 
 def bin_rows(df: DataFrame, features: Sequence[str], label: str, classes: Sequence = (0, 1), fold_col: str | None = None,
@@ -91,6 +96,7 @@ def bin_rows(df: DataFrame, features: Sequence[str], label: str, classes: Sequen
     """Cut, fold and write the rows.  Rows whose label is not in ``classes``
     (null too) are left out, as they can train nothing."""
     features, classes = list(features), list(classes)
+    df = materialize(df.select(*dict.fromkeys([*features, label, *([fold_col] if fold_col else [])])))  # read by every pass for the cuts
     cuts = cut_points(df, features, bins) if cuts is None else cuts
     y = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast(df.sparkSession.range(1).select(F.lit(classes[0])).schema[0].dataType)) - 1
     keys = [f"__b{i}" for i in range(len(features))] + ["__y", "__fold"]
@@ -101,19 +107,6 @@ def bin_rows(df: DataFrame, features: Sequence[str], label: str, classes: Sequen
     return Binned(rows, cuts, features, classes, sizes)
 
 
-def _route(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
-    """Heap number of each row's node at ``depth`` (children of i: 2i+1, 2i+2),
-    -1 where the row's path ended in a leaf before."""
-    at = np.zeros(len(bins), dtype=np.int64)
-    rows = np.arange(len(bins))
-    for _ in range(depth):
-        f = feature[np.maximum(at, 0)]
-        go = (at >= 0) & (f >= 0)
-        right = bins[rows, np.maximum(f, 0)] > cut[np.maximum(at, 0)]
-        at = np.where(go, 2 * at + 1 + right, -1)
-    return at
-
-
 def _class_weights(binned: Binned, spec: TreeSpec) -> np.ndarray:
     k = len(binned.classes)
     n = np.array([sum(v for (f, y), v in binned.sizes.items() if y == c and (spec.fold is None or f != spec.fold))
@@ -124,18 +117,44 @@ def _class_weights(binned: Binned, spec: TreeSpec) -> np.ndarray:
 
 
 HELD_CELLS = 4_000_000  # cells a counting task holds before it sends them on
-
-
-def _cells(pdf: pd.DataFrame, nf: int, feature: np.ndarray, cut: np.ndarray, depth: int, fold: int | None, width: int, k: int):
-    """(cell numbers, rows) of one tree in one batch, equal cells added; a cell
-    number is ((place of the node in its level * features + feature) * width + bin) * classes + class."""
-    bins = pdf[[f"__b{i}" for i in range(nf)]].to_numpy(dtype=np.int64)
-    at = _route(bins, feature, cut, depth)
-    keep = at >= 0
-    if fold is not None:
-        keep &= pdf["__fold"].to_numpy() != fold
-    flat = (((at[keep, None] - (2 ** depth - 1)) * nf + np.arange(nf)) * width + bins[keep]) * k + pdf["__y"].to_numpy()[keep, None]
-    return _added(flat.ravel(), np.repeat(pdf["__n"].to_numpy()[keep], nf))
+CHUNK = 1 << 18         # rows that go down the paths at once
+
+
+def _chunks(batches: Iterator[pd.DataFrame], nf: int, folds: list) -> Iterator[tuple]:
+    """(columns of bins, class, number of the row's fold in ``folds`` or their count, rows) of many batches at once."""
+    def whole(parts):
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        fold, at = pdf["__fold"].to_numpy(), np.full(len(pdf), len(folds), dtype=np.int64)
+        for i, f in enumerate(folds):
+            at[fold == f] = i
+        return [pdf[f"__b{i}"].to_numpy(dtype=np.int64) for i in range(nf)], pdf["__y"].to_numpy(dtype=np.int64), at, pdf["__n"].to_numpy()
+    parts, size = [], 0
+    for pdf in batches:
+        parts.append(pdf)
+        size += len(pdf)
+        if size >= CHUNK:
+            yield whole(parts)
+            parts, size = [], 0
+    if size:
+        yield whole(parts)
+
+
+def _down(branches: dict, bins: list, wanted: dict) -> Iterator[tuple[int, np.ndarray]]:
+    """(path, its row numbers) of the ``wanted`` paths that hold rows.  ``branches``:
+    path -> (feature, bin, left path or -1, right path or -1) of each split made there."""
+    todo = [(0, np.arange(len(bins[0]) if bins else 0))]
+    while todo:
+        path, rows = todo.pop()
+        if len(rows) == 0:
+            continue
+        if path in wanted:
+            yield path, rows
+        for f, b, left, right in branches.get(path, ()):
+            over = bins[f][rows] > b
+            if left >= 0:
+                todo.append((left, rows[~over]))
+            if right >= 0:
+                todo.append((right, rows[over]))
 
 
 def _added(cells: np.ndarray, counts: np.ndarray):
@@ -149,38 +168,50 @@ def _added(cells: np.ndarray, counts: np.ndarray):
     return found, total
 
 
-def _histograms(binned: Binned, grown: dict, specs: dict, depth: int) -> DataFrame:
-    """(tree, seed, node, feature, bin, c0, c1, ...) class counts of every open
-    node, the rows of a node in one partition and in order."""
+def _histograms(binned: Binned, branches: dict, shared: list, folds: list) -> DataFrame:
+    """(place, seed, node, feature, bin, c0, c1, ...) class counts of every node of
+    ``shared`` (path, fold left out, seed, node), the rows of a node in one partition and in order."""
     k, nf = len(binned.classes), len(binned.features)
     width = max((len(c) for c in binned.cuts), default=0) + 1
-    plan = {t: (specs[t].fold, specs[t].seed) for t in grown}
-    names = ["tree", "seed", "node", "feature", "bin", *[f"c{i}" for i in range(k)]]
-
-    def frame(t: int, parts: list) -> pd.DataFrame:
-        flat, total = _added(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        cell, which = np.unique(flat // k, return_inverse=True)
-        sums = np.zeros((len(cell), k), dtype=np.int64)
-        sums[which, flat % k] = total
-        return pd.DataFrame({"tree": t, "seed": plan[t][1], "node": cell // (nf * width) + 2 ** depth - 1, "feature": cell // width % nf, "bin": cell % width}
-                            | {f"c{i}": sums[:, i] for i in range(k)})[names]
+    span = nf * width * k
+    names = ["place", "seed", "node", "feature", "bin", *[f"c{i}" for i in range(k)]]
+    wanted: dict[int, list] = {}
+    for place, (path, fold, seed, node) in enumerate(shared):
+        wanted.setdefault(path, []).append((place, len(folds) + 1 if fold is None else folds.index(fold), seed, node))
+
+    def frame(held: dict) -> pd.DataFrame:
+        out = []
+        for path, parts in held.items():
+            sums = np.zeros((len(folds) + 2, span), dtype=np.int64)  # the last row: no row's fold
+            for cells, counts in parts:
+                np.add.at(sums.ravel(), cells, counts)
+            whole = sums.sum(axis=0)
+            for place, fold, seed, node in wanted[path]:
+                h = (whole - sums[fold]).reshape(-1, k)
+                cell = np.flatnonzero(h.any(axis=1))
+                out.append((np.repeat([[place], [seed], [node]], len(cell), axis=1), cell, h[cell]))
+        fixed, cell, h = (np.concatenate([o[i] for o in out], axis=a) for i, a in ((0, 1), (1, 0), (2, 0)))
+        return pd.DataFrame({"place": fixed[0], "seed": fixed[1], "node": fixed[2], "feature": cell // width, "bin": cell % width}
+                            | {f"c{i}": h[:, i] for i in range(k)})[names]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = {}, 0
-        for pdf in batches:
-            for t, (feature, cut) in grown.items():
-                part = _cells(pdf, nf, feature, cut, depth, plan[t][0], width, k)
-                held.setdefault(t, []).append(part)
+        for bins, y, fold, n in _chunks(batches, nf, folds):
+            cells = np.stack([fold * span + (f * width + b) * k + y for f, b in enumerate(bins)], axis=1)
+            for path, rows in _down(branches, bins, wanted):
+                part = _added(cells[rows].ravel(), np.repeat(n[rows], nf))
+                held.setdefault(path, []).append(part)
                 size += len(part[0])
-            if size > HELD_CELLS:
-                yield from (frame(t, parts) for t, parts in held.items())
-                held, size = {}, 0
-        yield from (frame(t, parts) for t, parts in held.items())
+                if size > HELD_CELLS:
+                    yield frame(held)
+                    held, size = {}, 0
+        if held:
+            yield frame(held)
 
-    schema = "tree int, seed long, node long, feature int, bin int" + "".join(f", c{i} long" for i in range(k))
-    part = binned.rows.mapInPandas(count, schema).repartition("tree", "node")
-    return part.groupBy("tree", "seed", "node", "feature", "bin").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]) \
-               .sortWithinPartitions("tree", "node", "feature", "bin")
+    schema = "place int, seed long, node long, feature int, bin int" + "".join(f", c{i} long" for i in range(k))
+    part = binned.rows.mapInPandas(count, schema).repartition("place")
+    return part.groupBy("place", "seed", "node", "feature", "bin").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]) \
+               .sortWithinPartitions("place", "feature", "bin")
 
 
 def _impurity(parts: np.ndarray, gini: np.ndarray) -> np.ndarray:
@@ -240,25 +271,49 @@ def split_nodes(h: pd.DataFrame, specs: dict, weights: dict, totals: dict, n_fea
     return out
 
 
-def _best_splits(hist: DataFrame, specs: dict, weights: dict, totals: dict, n_features: int, depth: int) -> DataFrame:
-    """``split_nodes`` over the partitions as streams: the last node of a batch
-    waits for the next one, so a task holds one batch and one node's cells."""
+PRICED_CELLS = 200_000  # cells whose splits are priced at once
+
+
+def _of_trees(h: pd.DataFrame, users: list) -> Iterator[pd.DataFrame]:
+    """The whole nodes ``h`` once for each of their trees, some nodes at a time."""
+    place = h["place"].to_numpy()
+    start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    rows, trees, size = [], [], 0
+    for a, b in zip(start, np.r_[start[1:], len(h)]):
+        for t in users[place[a]]:
+            rows.append(np.arange(a, b))
+            trees.append(np.full(b - a, t))
+            size += b - a
+            if size >= PRICED_CELLS:
+                yield h.iloc[np.concatenate(rows)].assign(tree=np.concatenate(trees)).reset_index(drop=True)
+                rows, trees, size = [], [], 0
+    if size:
+        yield h.iloc[np.concatenate(rows)].assign(tree=np.concatenate(trees)).reset_index(drop=True)
+
+
+def _best_splits(hist: DataFrame, users: list, specs: dict, weights: dict, totals: dict, n_features: int, depth: int) -> DataFrame:
+    """``split_nodes`` for all trees (``users``, by place) over the partitions as streams: the last
+    node of a batch waits for the next one, so a task holds one batch and one node's cells."""
     k = len(next(iter(weights.values())))
     key = [F.col("seed"), F.col("node"), F.col("feature").cast("long")]
     d = hist.withColumn("drawn", F.xxhash64(*key)).withColumn("pick", F.xxhash64(*key, F.lit(1).cast("long")))
 
+    def priced(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for part in _of_trees(pdf, users):
+            yield split_nodes(part, specs, weights, totals, n_features, depth)
+
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             if len(pdf) == 0:
                 continue
-            last = ((pdf["tree"] == pdf["tree"].iloc[-1]) & (pdf["node"] == pdf["node"].iloc[-1])).to_numpy()
+            last = (pdf["place"] == pdf["place"].iloc[-1]).to_numpy()
             rest = pdf[last].reset_index(drop=True)
             if not last.all():
-                yield split_nodes(pdf[~last].reset_index(drop=True), specs, weights, totals, n_features, depth)
+                yield from priced(pdf[~last].reset_index(drop=True))
         if rest is not None:
-            yield split_nodes(rest, specs, weights, totals, n_features, depth)
+            yield from priced(rest)
     counts = "".join(f"t{i} long, " for i in range(k))
     return d.mapInPandas(split, f"tree int, node long, n long, w double, impurity double, {counts}feature int, bin int, decrease double")
 
@@ -277,34 +332,57 @@ def grow(binned: Binned, specs: Sequence[TreeSpec]) -> "Forest":
     by = dict(enumerate(specs))
     weights = {t: _class_weights(binned, s) for t, s in by.items()}
     total = {t: float(sum(v * weights[t][y] for (f, y), v in binned.sizes.items() if s.fold is None or f != s.fold)) for t, s in by.items()}
-    arrays = {t: (np.full(2 ** (s.max_depth + 1), -1, dtype=np.int32), np.zeros(2 ** (s.max_depth + 1), dtype=np.int32)) for t, s in by.items()}
-    open_, nodes, depth = set(by), [], 0
+    folds = sorted({s.fold for s in specs if s.fold is not None})
+    kids: dict[int, dict] = {}                       # path -> {(feature, bin): (left path, right path)}
+    up = {0: None}                                   # path -> (path above, its split, side)
+    open_ = {(t, 0): 0 for t in by}                  # (tree, node) of this level -> path
+    nodes, ends, depth = [], {}, 0
     while open_:
-        # rows at a leaf route to -1; a tree without a grown node at this level is left out of the scan
-        hist = _histograms(binned, {t: arrays[t] for t in open_}, by, depth)
-        found = _best_splits(hist, by, weights, total, len(binned.features), depth).collect()  # one row a node of this level
-        open_ = set()
+        users: dict[tuple, list] = {}                # trees that share a node, its fold left out and its seed
+        for (t, node), path in open_.items():
+            users.setdefault((path, by[t].fold, by[t].seed, node), []).append(t)
+        hist = _histograms(binned, _branches(kids, up, {u[0] for u in users}), list(users), folds)
+        found = _best_splits(hist, list(users.values()), by, weights, total, len(binned.features), depth).collect()  # one row a node of this level
+        below = {}
         for r in found:
             counts = [int(r[f"t{i}"]) for i in range(k)]
-            t, f, b = r["tree"], r["feature"], r["bin"]
+            t, f, b, path = r["tree"], r["feature"], r["bin"], open_[r["tree"], r["node"]]
             votes = [c * x for c, x in zip(counts, weights[t])]
-            leaf = (None, None, None, None, None, None)
+            prediction, leaf = int(np.argmax(votes)), (None, None, None, None, None, None)
             if f >= 0:
-                arrays[t][0][r["node"]], arrays[t][1][r["node"]] = f, b
-                open_.add(t)
+                if (f, b) not in kids.setdefault(path, {}):
+                    kids[path][f, b] = pair = (len(up), len(up) + 1)
+                    up |= {p: (path, (f, b), side) for side, p in enumerate(pair)}
+                for side, p in enumerate(kids[path][f, b]):
+                    below[t, 2 * r["node"] + 1 + side] = p
                 leaf = (f, binned.features[f], b, binned.cuts[f][b], 2 * r["node"] + 1, 2 * r["node"] + 2)
+            else:
+                ends.setdefault(path, []).append((t, prediction))
             nodes.append((t, r["node"], depth, *leaf, r["n"], float(r["w"]), float(r["impurity"]),
-                          float(r["decrease"]) if f >= 0 else None, counts, int(np.argmax(votes))))
-        depth += 1
-    return Forest(binned, by, arrays, weights, nodes)
+                          float(r["decrease"]) if f >= 0 else None, counts, prediction))
+        open_, depth = below, depth + 1
+    return Forest(binned, by, _branches(kids, up, set(ends)), ends, weights, nodes)
+
+
+def _branches(kids: dict, up: dict, wanted: set) -> dict[int, list]:
+    """The splits on the ways from the root to ``wanted``, as ``_down`` reads them."""
+    on = set(wanted)
+    for path in wanted:
+        while up[path] is not None and up[path][0] not in on:
+            path = up[path][0]
+            on.add(path)
+    return {p: some for p in on if p in kids
+            and (some := [(f, b, left if left in on else -1, right if right in on else -1) for (f, b), (left, right) in kids[p].items() if left in on or right in on])}
 
 
 @dataclass
 class Forest:
-    """Grown trees: bin-level arrays for the tasks and the node rows."""
+    """Grown trees: their shared paths for the tasks, the trees that end on each path with
+    their predictions there, and the node rows."""
     binned: Binned
     specs: dict
-    arrays: dict
+    branches: dict
+    ends: dict
     weights: dict
     rows: list
 
@@ -315,38 +393,29 @@ class Forest:
     def held_out_counts(self, positive: int = 1) -> dict[int, tuple[int, int, int]]:
         """Per tree (true positives, false positives, false negatives) of class
         index ``positive`` on the fold it left out, all trees in one scan."""
-        nf, arrays, specs = len(self.binned.features), self.arrays, self.specs
-        label = {t: np.zeros(len(a[0]), dtype=np.int64) for t, a in arrays.items()}
-        for r in self.rows:
-            label[r[0]][r[1]] = r[-1]
+        nf, k, branches = len(self.binned.features), len(self.binned.classes), self.branches
+        folds = sorted({s.fold for s in self.specs.values() if s.fold is not None})
+        ends = {p: [(t, folds.index(self.specs[t].fold), c == positive) for t, c in some if self.specs[t].fold is not None] for p, some in self.ends.items()}
+        trees = list(self.specs)
 
         def score(batches):
-            for pdf in batches:
-                bins = pdf[[f"__b{i}" for i in range(nf)]].to_numpy(dtype=np.int64)
-                y, fold, n = (pdf[c].to_numpy() for c in ("__y", "__fold", "__n"))
-                out = []
-                for t, (feature, cut) in arrays.items():
-                    mine = fold == specs[t].fold
-                    p = label[t][leaf_of(bins[mine], feature, cut, specs[t].max_depth)]
-                    a, m = y[mine] == positive, n[mine]
-                    out.append((t, int(m[a & (p == positive)].sum()), int(m[~a & (p == positive)].sum()), int(m[a & (p != positive)].sum())))
-                yield pd.DataFrame(out, columns=["tree", "tp", "fp", "fn"])
+            sums = {}
+            for bins, y, fold, n in _chunks(batches, nf, folds):
+                for path, rows in _down(branches, bins, ends):
+                    part = np.bincount(fold[rows] * k + y[rows], weights=n[rows], minlength=(len(folds) + 1) * k)
+                    sums[path] = sums.get(path, 0) + part.astype(np.int64).reshape(-1, k)
+            out = {t: [0, 0, 0] for t in trees}
+            for path, c in sums.items():
+                for t, f, yes in ends[path]:
+                    right = int(c[f, positive])
+                    out[t][0 if yes else 2] += right
+                    out[t][1] += (int(c[f].sum()) - right) * yes
+            yield pd.DataFrame([(t, *v) for t, v in out.items()], columns=["tree", "tp", "fp", "fn"])
         got = self.binned.rows.mapInPandas(score, "tree int, tp long, fp long, fn long") \
                   .groupBy("tree").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn")).collect()
         return {r["tree"]: (r["tp"], r["fp"], r["fn"]) for r in got}
 
 
-def leaf_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, max_depth: int) -> np.ndarray:
-    """Heap number of the leaf of each row."""
-    at = np.zeros(len(bins), dtype=np.int64)
-    rows = np.arange(len(bins))
-    for _ in range(max_depth):
-        f = feature[at]
-        right = bins[rows, np.maximum(f, 0)] > cut[at]
-        at = np.where(f >= 0, 2 * at + 1 + right, at)
-    return at
-
-
 def saved_form(nodes: DataFrame) -> DataFrame:
     """One tree's node table with the columns of a saved Spark tree, as the
     rule operators read them."""

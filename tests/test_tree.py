@@ -150,3 +150,20 @@ def test_racing_search_proposes_and_drops(data):
             f1.append(2 * tp / (2 * tp + fp + fn) if tp else 0.0)
         assert abs(sum(f1) / len(f1) - r["cv_f1"]) < 1e-12
     assert best.specs[0].fold is None and len(best.rows) >= 1
+
+
+def test_trees_that_agree_share_their_nodes(data, monkeypatch):
+    _, binned = data
+    specs = [T.TreeSpec(max_depth=3, min_split=20 + i % 3, min_leaf=5, fold=i % 2) for i in range(40)]
+    seen, plain = [], T._histograms
+    monkeypatch.setattr(T, "_histograms", lambda b, branches, shared, folds: seen.append(len(shared)) or plain(b, branches, shared, folds))
+    forest = T.grow(binned, specs)
+    assert seen[0] == 2 and all(n <= 2 * 2 ** d * 3 for d, n in enumerate(seen))
+    for t in (0, 7, 39):
+        got = {r[1]: (None if r[3] is None else (r[3], r[5]), r[9]) for r in forest.rows if r[0] == t}
+        assert got == plain_tree(_rows(), binned.cuts, specs[t])
+    monkeypatch.setattr(T, "HELD_CELLS", 10)
+    monkeypatch.setattr(T, "PRICED_CELLS", 10)
+    monkeypatch.setattr(T, "CHUNK", 50)
+    assert sorted(T.grow(binned, specs[:3]).rows, key=str) == sorted((r for r in forest.rows if r[0] < 3), key=str)
+    assert T.grow(binned, specs[:3]).held_out_counts() == {t: forest.held_out_counts()[t] for t in range(3)}
