@@ -122,6 +122,17 @@ def importance_table(model, names: Sequence[str], top_n: int | None = None) -> D
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+FOREST_ROWS = 250_000  # rows a partition of a forest's input
+
+
+def spread(df: DataFrame, rows: int = FOREST_ROWS) -> DataFrame:
+    """``df`` in partitions of about ``rows`` rows, where it has fewer partitions than
+    that takes.  A forest keeps the draws of all its trees beside each row (about
+    700 bytes for 100 trees), so a task's share must not grow with the table."""
+    parts = -(-df.count() // rows)
+    return df.repartition(parts) if parts > df.rdd.getNumPartitions() else df
+
+
 def random_forest(label: str, num_trees: int = 100, seed: int = 42, features: str = "features"):
     """M3."""
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, seed=seed)

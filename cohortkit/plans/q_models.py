@@ -100,7 +100,7 @@ def m3_random_forest_importance(spark, sf):
     d = Fe.standardise(d, Fe.fit_scaler(d.where(~F.col("is_test")), NUMERIC))
     stages, _ = M.feature_stages(NUMERIC, CATEGORICAL, one_hot=True)
     a = Pipeline(stages=stages).fit(d.where(~F.col("is_test"))).transform(d)
-    model = M.random_forest("label", num_trees=100).fit(a.where(~F.col("is_test")))
+    model = M.random_forest("label", num_trees=100).fit(M.spread(a.where(~F.col("is_test"))))
     return M.importance_table(model, M.slot_names(a), 15)
 
 
@@ -153,7 +153,7 @@ def m5_l1_logistic(spark, sf):
 @register("m6_c_sweep_confusion")
 def m6_c_sweep_confusion(spark, sf):
     d, _ = _lr_input(spark, sf)
-    tr = d.where(~F.col("is_test")).cache()
+    tr = d.where(~F.col("is_test")).select("grade_class", "features").cache()   # all that the four fits read
     n = tr.count()
     out = None
     for C in (0.1, 0.2, 0.5, 1.0):
@@ -161,6 +161,7 @@ def m6_c_sweep_confusion(spark, sf):
         cm = Ev.confusion_matrix(p.withColumn("pred", (F.col("prediction") + 1).cast("int")).withColumn("act", F.col("grade_a").cast("int")),
                                  "act", "pred", [1, 2, 3, 4, 5]).withColumn("C", F.lit(C))
         out = cm if out is None else out.unionByName(cm)
+    tr.unpersist()
     return out
 
 

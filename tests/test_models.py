@@ -116,3 +116,28 @@ def test_counted_pairs_equal_joined_pairs(spark):
         one = binary.where(F.col("w") == w)
         assert m[w]["f1"] == Ev.binary_metrics(one, "y", "b").first()["f1"]
         assert abs(a[w]["roc_auc"] - Ev.roc_auc(one, "y", "score").first()["roc_auc"]) < 1e-12
+
+
+def test_forest_rows_a_partition_are_bounded(spark, monkeypatch):
+    from cohortkit.operators import models as M
+    from cohortkit.plans import q_models as qm
+    df = spark.range(0, 1000, 1, 2)
+    got = M.spread(df, 100)
+    assert got.rdd.getNumPartitions() == 10 and got.distinct().count() == 1000
+    assert max(got.rdd.glom().map(len).collect()) <= 110
+    assert M.spread(df, 600) is df and M.spread(df.where("false"), 100).count() == 0
+    seen, spread = [], M.spread
+    monkeypatch.setattr(M, "spread", lambda d: seen.append(d) or spread(d))
+    assert qm.m3_random_forest_importance(spark, SF_SMALL).count() > 1 and len(seen) == 1
+
+
+def test_sweep_keeps_only_what_the_fits_read(spark, monkeypatch):
+    from cohortkit.operators import models as M
+    from cohortkit.plans import q_models as qm
+    seen, one = [], M.l1_logistic
+    monkeypatch.setattr(M, "l1_logistic", lambda label, C, n, **k: seen.append(C) or one(label, C, n, **k).setMaxIter(1))
+    kept, cache = [], type(qm._frame(spark, SF_SMALL)).cache
+    monkeypatch.setattr(type(qm._frame(spark, SF_SMALL)), "cache", lambda d: kept.append((d.columns, cache(d))) or kept[-1][1])
+    got = qm.m6_c_sweep_confusion(spark, SF_SMALL)
+    assert seen == [0.1, 0.2, 0.5, 1.0] and [c for c, _ in kept] == [["grade_class", "features"]]
+    assert not kept[0][1].is_cached and got.count() == 100
