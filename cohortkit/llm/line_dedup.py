@@ -22,7 +22,6 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -35,6 +34,7 @@ RARITY_BITS = 22            # buckets of the word counts
 RARITY_BLOCK = 8192
 FILTER_BITS = 24            # log2 of the bits of a membership filter
 FEW = 512                   # entries under a word up to which all pairs are candidates
+MOST_PAIRS = 1 << 18        # pairs that a task holds before it hands them on
 EXACT = 1024                # counts from here on are coded by their logarithm, in steps of half a percent
 MOST = 4095                 # the largest code: 12 bits of a sort key
 _U = np.uint64
@@ -166,7 +166,7 @@ def _lines(docs: DataFrame, counts, num: int, den: int) -> DataFrame:
                 n = np.diff(np.append(lo, len(h)))
                 k1, bits, bits2 = _keys(lo, h)
                 fresh = np.zeros(len(lo), bool)
-                for i, k in enumerate(zip(k1.tolist(), bits.tolist())):
+                for i, k in enumerate(np.stack([k1, bits], axis=1).view("V16").ravel().tolist()):
                     if k not in seen:
                         seen.add(k)
                         fresh[i] = True
@@ -197,7 +197,7 @@ def _near_bits(ubits, vbits, un, vn, num: int, den: int, ones):
     return ((ones(ubits[0], vbits[0]) + ones(ubits[1], vbits[1])) * (den + num) <= (un + vn) * (den - num)) | (un >= 65535) | (vn >= 65535)
 
 
-def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_rows: int = 65536) -> DataFrame:
+def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_rows: int = 65536, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """Rows (a, adoc, b, bdoc) for pairs of lines, each told by bitmap and
     document, and rows (a, adoc, entry) for the entries under words with more than
     ``few_entries``.  ``entries`` (entry, a, adoc, a2) come word by word, the smallest
@@ -218,15 +218,27 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_r
         w, n = x[0] >> 32, (x[0] >> 16) & 65535
         order = np.lexsort((n, w)) if len(w) else np.zeros(0, np.int64)
         x, w, n = x[:, order], w[order], n[order]
-        got, left, step = [], np.arange(len(w)), 1
+        left, step = np.arange(len(w)), 1
         while len(left):
             left = left[left + step < len(w)]
             to = left + step
             go = (w[to] == w[left]) & ((n[left] * den >= n[to] * num) | (n[to] >= 65535))
             left, to = left[go], to[go]
-            got.append(pairs(x[:, left], x[:, to]))
+            yield pairs(x[:, left], x[:, to])
             step += 1
-        return np.concatenate(got, axis=1) if got else np.zeros((4, 0), np.int64)
+
+    def handed(some):
+        """Batches of the pairs of ``some``, a few at a time: a group of alike lines
+        gives the same pairs under many words, and those of a task need not fit."""
+        got, held = [], 0
+        for ab in some:
+            got.append(ab)
+            held += ab.shape[1]
+            if held >= most_pairs:
+                yield out(np.concatenate(got, axis=1))
+                got, held = [], 0
+        if held:
+            yield out(np.concatenate(got, axis=1))
 
     def out(ab):
         swap = (ab[0] > ab[2]) | ((ab[0] == ab[2]) & (ab[1] > ab[3]))
@@ -242,7 +254,7 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_r
             n = (x[0] >> 16) & 65535
             for size, i in zip(*np.unique(n, return_index=True)):
                 lead.setdefault(int(size), x[:, i:i + 1])
-            yield out(np.concatenate([pairs(x, np.repeat(y, x.shape[1], axis=1)) for y in lead.values()], axis=1))
+            yield from handed(pairs(x, np.repeat(y, x.shape[1], axis=1)) for y in lead.values())
             none = pa.nulls(x.shape[1], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x[1]), pa.array(x[2]), none, none, pa.array(x[0])], names)
 
@@ -283,10 +295,10 @@ def _candidates(entries: DataFrame, num: int, den: int, few_entries: int, part_r
             if len(start):
                 sel = int(start[0]) + np.flatnonzero(np.repeat(size <= few_entries, size))
                 if len(sel):
-                    yield out(few(x[:, sel]))
+                    yield from handed(few(x[:, sel]))
             held = x[:, keep:]
         if held.shape[1]:
-            yield out(few(held))
+            yield from handed(few(held))
 
     # word, then document (its low half: which entry counts as earliest only decides what is tried first)
     order = F.col("entry").bitwiseAND(F.lit(-1 << 32).cast("long")).bitwiseOR(F.col("adoc").bitwiseAND(F.lit((1 << 32) - 1).cast("long")))
@@ -317,36 +329,38 @@ def _may_match(rows: DataFrame, hashed: Column, used: list) -> Column:
     sent = rows.sparkSession.sparkContext.broadcast(_filter_bits(rows, hashed))
     used.append(sent)
 
-    @F.pandas_udf("boolean")
-    def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(_inside(sent.value, s.to_numpy(np.int64).view(_U)))
+    @F.arrow_udf("boolean")
+    def test(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for a in batches:
+            yield pa.array(_inside(sent.value, a.to_numpy(zero_copy_only=False).view(_U)))
     return test
 
 
 def _class_words(docs: DataFrame, places: DataFrame, counts, used: list) -> DataFrame:
     """(k1, bits, words) of the lines at ``places`` (doc, line_no), read from
-    the texts; filters keep most other texts from Python and most other lines from
-    leaving the tasks."""
+    the texts; filters spare the work on most other texts and keep most other lines from
+    leaving the tasks.  Both are tested where the texts are read: a filter before it
+    would be a second Python worker beside each task."""
     sc = docs.sparkSession.sparkContext
-    some = _may_match(places, F.xxhash64("doc"), used)
-    sent = sc.broadcast(_filter_bits(places, F.xxhash64("doc", "line_no")))
+    sent = sc.broadcast((_filter_bits(places, F.xxhash64("doc")), _filter_bits(places, F.xxhash64("doc", "line_no"))))
     used.append(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines = sent.value
+        some, lines = sent.value
         for b in batches:
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = _folded(t).split(b"\n")
-                seed = xxhash.xxh64_intdigest(struct.pack("<q", d), 42)     # as Spark hashes (doc, line_no)
-                h = np.array([xxhash.xxh64_intdigest(struct.pack("<i", i), seed) for i in range(len(raw))], _U)
-                raw = [x for x, hit in zip(raw, _inside(lines, h)) if hit and x.strip()]
-                if raw:
-                    text, _, lo, words, _ = line_words(raw, counts.value)
-                    k1, bits, _ = _keys(lo, words)
-                    yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
-
-    found = docs.where(some(F.xxhash64("doc"))).select("doc", "text").mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
+            # as Spark hashes (doc), which it goes on from for (doc, line_no)
+            seeds = [xxhash.xxh64_intdigest(struct.pack("<q", d), 42) for d in b.column(0).to_pylist()]
+            raw = []
+            for i in np.flatnonzero(_inside(some, np.array(seeds, _U))).tolist():
+                own, seed = _folded(b.column(1)[i].as_py()).split(b"\n"), seeds[i]
+                h = np.array([xxhash.xxh64_intdigest(struct.pack("<i", n), seed) for n in range(len(own))], _U)
+                raw += [x for x, hit in zip(own, _inside(lines, h)) if hit and x.strip()]
+            for x, z in sub_batches(raw, 1 << 18):
+                text, _, lo, words, _ = line_words(raw[x:z], counts.value)
+                k1, bits, _ = _keys(lo, words)
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(bits), pa.array([raw[x + i].decode("utf-8", "replace") for i in text], pa.string())], ["k1", "bits", "line"])
+
+    found = docs.select("doc", "text").mapInArrow(run, "k1 long, bits long, line string").groupBy("k1", "bits").agg(F.min("line").alias("line"))
     return found.select("k1", "bits", F.array_distinct(F.filter(F.split("line", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words"))
 
 

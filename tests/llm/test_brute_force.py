@@ -64,6 +64,41 @@ def test_line_dedup_matches_every_pair_compared(spark, few):
     assert got == brute.line_removals(rows)
 
 
+def test_line_dedup_candidates_are_handed_on_a_few_at_a_time(spark):
+    """A group of alike lines gives the same pairs under each word it shares; a task does
+    not hold them until the last one."""
+    n, words = 300, 10
+    rows = [((w << 32) | (100 << 16) | w, d, d, 0) for w in range(words) for d in range(0, n, w + 1)]
+    entries = spark.createDataFrame(rows, "entry long, a long, adoc long, a2 long").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for few in (2, 512):
+            got = [(r["a"], r["b"]) for r in line_dedup._candidates(entries, 4, 5, few, most_pairs=1000).where("b is not null").collect()]
+            whole = [(r["a"], r["b"]) for r in line_dedup._candidates(entries, 4, 5, few).where("b is not null").collect()]
+            assert set(got) == set(whole) and len(set(whole)) == (n * (n - 1) // 2 if few == 512 else n)
+        # a pair that stands at other distances under other words leaves more than once
+        few_times = line_dedup._candidates(entries, 4, 5, 512, most_pairs=1000).count()
+        assert line_dedup._candidates(entries, 4, 5, 512).count() < few_times <= words * n * (n - 1) // 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_line_dedup_has_one_python_worker_a_task(spark, monkeypatch):
+    """Workers stay in an executor's memory beside each other, so the texts of the
+    candidates are filtered where they are read."""
+    plans = []
+    keep = line_dedup.stored
+
+    def told(df, name):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return keep(df, name)
+    monkeypatch.setattr(line_dedup, "stored", told)
+    rows = [(d, f"a b c d e f g h i j{d % 3}\nk l m n o p q r s t{d}") for d in range(30)]
+    line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    plan = [p for name, p in plans if name == "line-words"]
+    assert plan and all(p.count("MapInArrow") + p.count("ArrowEvalPython") == 1 for p in plan)
+
+
 def test_line_dedup_tells_rows_without_id_and_of_one_id_apart(spark):
     a, b = "a b c d\nx1 x2 x3 x4", "p q r s\na b c d"
     for i in (None, 7, -2**63):
