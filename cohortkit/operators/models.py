@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .boosting import BoostedTrees
 
 
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), one_hot: bool = False,
@@ -139,10 +140,10 @@ def random_forest(label: str, num_trees: int = 100, seed: int = 42, features: st
 
 
 def gbt_regressor(label: str, max_iter: int = 400, max_depth: int = 5, step_size: float = 0.05,
-                  subsampling_rate: float = 0.9, seed: int = 42, features: str = "features"):
-    """M4: gradient-boosted trees on an ordinal target."""
-    return GBTRegressor(labelCol=label, featuresCol=features, maxIter=max_iter, maxDepth=max_depth,
-                        stepSize=step_size, subsamplingRate=subsampling_rate, seed=seed)
+                  subsampling_rate: float = 0.9, seed: int = 42, features: str = "features") -> BoostedTrees:
+    """M4: gradient-boosted trees on an ordinal target: what Spark ML's estimator fits, over packed rows."""
+    return BoostedTrees(GBTRegressor(labelCol=label, featuresCol=features, maxIter=max_iter, maxDepth=max_depth,
+                                     stepSize=step_size, subsamplingRate=subsampling_rate, seed=seed))
 
 
 def l1_logistic(label: str, C: float, n_rows: int, features: str = "features"):
