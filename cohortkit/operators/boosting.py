@@ -131,8 +131,8 @@ class BoostedTrees:
         rows = df.count()
         if rows == 0:
             raise ValueError("no rows to learn from")
-        cuts = candidates(df, features, seed, rows, float(rows), max_bins=est.getMaxBins())
-        nf, data = len(cuts.arity), pack(df, features, cuts, [est.getLabelCol()], rows)
+        cuts, = candidates(df, features, seed, rows, {None: float(rows)}, est.getMaxBins())
+        nf, data = len(cuts.arity), pack(df, features, len(cuts.arity), cuts.bins, [est.getLabelCol()], rows)
         state, trees, before = _started(data, nf, seed, rate), [], [data]
         for m in range(est.getMaxIter()):
             tree = _grown(state, cuts, est, m == 0)

@@ -13,7 +13,7 @@ import math
 import struct
 from dataclasses import dataclass
 from functools import lru_cache
-from typing import Sequence
+from typing import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -199,9 +199,10 @@ def thresholds(values: np.ndarray, weights: np.ndarray, expected: float, count:
     return np.array(out)
 
 
-def candidates(df: DataFrame, features: str, seed: int, rows: int, weight: float, weight_col: str | None = None, max_bins: int = 32) -> Candidates:
-    """Spark ML's candidate splits of ``df`` (``rows`` rows that weigh ``weight``), from a
-    sample of about ``SAMPLE`` rows drawn by its RDD sampler."""
+def candidates(df: DataFrame, features: str, seed: int, rows: int, weights: dict[str | None, float], max_bins: int = 32) -> list[Candidates]:
+    """Spark ML's candidate splits of ``df`` (``rows`` rows), from a sample of about
+    ``SAMPLE`` rows drawn by its RDD sampler; one result a weight column (None: each row
+    weighs 1), whose sum over ``df`` is given."""
     arity = arities(df, features)
     most = min(max_bins, rows)
     if most > MAX_BINS:
@@ -210,16 +211,18 @@ def candidates(df: DataFrame, features: str, seed: int, rows: int, weight: float
         raise ValueError(f"a feature has more than the {most} categories that bins allow")
     want = max(most * most, SAMPLE)
     fraction = want / rows if want < rows else 1.0
-    d = df.select(vector_to_array(features).alias("x"), (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
+    d = df.select(vector_to_array(features).alias("x"), *[(F.col(c).cast("double") if c else F.lit(1.0)).alias(f"w{i}") for i, c in enumerate(weights)])
     if fraction < 1:
         spark = df.sparkSession
         d = DataFrame(spark._jsparkSession.createDataFrame(d._jdf.rdd().sample(False, fraction, first_int(seed)), d._jdf.schema()), spark)
     got = d.toArrow()
-    w = got.column("w").to_numpy()
     x = got.column("x").combine_chunks()
-    x = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x).flatten().to_numpy(zero_copy_only=False).reshape(len(w), len(arity))
-    cuts = [np.array([]) if a else thresholds(x[:, f], w, fraction * weight, int((x[:, f] != 0).sum()), most - 1) for f, a in enumerate(arity)]
-    return Candidates(cuts, arity)
+    x = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x).flatten().to_numpy(zero_copy_only=False).reshape(len(got), len(arity))
+    out = []
+    for i, total in enumerate(weights.values()):
+        w = got.column(f"w{i}").to_numpy()
+        out.append(Candidates([np.array([]) if a else thresholds(x[:, f], w, fraction * total, int((x[:, f] != 0).sum()), most - 1) for f, a in enumerate(arity)], arity))
+    return out
 
 
 # ---- packed rows ------------------------------------------------------------------------
@@ -258,11 +261,11 @@ def settle() -> None:
         _frozen = True
 
 
-def pack(df: DataFrame, features: str, cuts: Candidates, numbers: Sequence[str], rows: int):
+def pack(df: DataFrame, features: str, n_features: int, binned: Callable, numbers: Sequence[str], rows: int):
     """An RDD of blocks ``(partition, first row, bins, *numbers)``: where the rows lay in
-    ``df``, their (features, rows) bins and the columns ``numbers`` (see ``narrow``), in bytes.
+    ``df``, what ``binned`` makes of their features (bytes, a column a row) and the columns ``numbers`` (see ``narrow``), in bytes.
     The blocks are dealt evenly and kept."""
-    names, nf = list(numbers), len(cuts.arity)
+    names = list(numbers)
     d = df.select(vector_to_array(features).alias("x"), *[F.col(c).cast("double").alias(c) for c in names])
 
     def packed(batches):
@@ -274,10 +277,10 @@ def pack(df: DataFrame, features: str, cuts: Candidates, numbers: Sequence[str],
             return x, columns
 
         def rows_of(x, columns):
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "start": pa.array([start], pa.int64()), "bins": pa.array([cuts.bins(x).tobytes()], pa.binary())}
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "start": pa.array([start], pa.int64()), "bins": pa.array([binned(x).tobytes()], pa.binary())}
                                               | {c: pa.array([narrow(v)], pa.binary()) for c, v in zip(names, columns)})
         for b in batches:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, nf)
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, n_features)
             columns = [b.column(i + 1).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(len(names))]
             _checked(x, columns)
             held.append((x, *columns))
